@@ -1,0 +1,64 @@
+"""Run a registered Spark query and its DuckDB oracle on the same folder and compare them.
+
+Row count, column names and values are compared without regard to row order; doubles
+within 1e-9 relative.
+"""
+
+from __future__ import annotations
+
+import math
+from datetime import date, datetime
+
+import duckdb
+
+TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+          "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
+
+
+def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
+    return con
+
+
+def _norm(v):
+    if v is None:
+        return (0, "")
+    if isinstance(v, float):
+        if math.isnan(v):
+            return (1, "nan")
+        return (2, float(f"{v:.12g}"))
+    if isinstance(v, datetime):
+        return (3, v.replace(tzinfo=None).isoformat())
+    if isinstance(v, date):
+        return (3, v.isoformat())
+    if isinstance(v, bool):
+        return (4, int(v))
+    if isinstance(v, int):
+        return (2, float(v)) if abs(v) < 2**53 else (5, str(v))
+    return (6, str(v))
+
+
+def rows_of(columns: list[str], rows: list[tuple]) -> list[tuple]:
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return sorted(tuple(_norm(r[i]) for i in order) for r in rows)
+
+
+def compare(spark, con, name: str, query, sql: str, sf_dir: str) -> dict:
+    sdf = query(spark, sf_dir)
+    s_cols = sdf.columns
+    s_rows = [tuple(r) for r in sdf.collect()]
+    res = con.execute(sql)
+    d_cols = [c[0] for c in res.description]
+    d_rows = res.fetchall()
+    out = {"name": name, "spark_rows": len(s_rows), "oracle_rows": len(d_rows),
+           "columns_match": sorted(s_cols) == sorted(d_cols)}
+    if not out["columns_match"]:
+        out["columns"] = (sorted(s_cols), sorted(d_cols))
+    out["values_match"] = out["columns_match"] and rows_of(s_cols, s_rows) == rows_of(d_cols, d_rows)
+    if out["columns_match"] and not out["values_match"]:
+        a, b = set(rows_of(s_cols, s_rows)), set(rows_of(d_cols, d_rows))
+        out["only_spark"] = sorted(a - b)[:3]
+        out["only_oracle"] = sorted(b - a)[:3]
+    return out
