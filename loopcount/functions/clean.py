@@ -11,36 +11,39 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from loopcount.schemas import SLOT_NAMES, SLOTS
+from loopcount.schemas import SLOTS
 
 
 def _int(raw: Column) -> Column:
-    """Integer value of a count text; NULL for missing, empty or malformed text."""
-    return raw.try_cast("int")
+    """Integer value of a count text; NULL for missing, empty or malformed text.
+
+    Empty text is turned into NULL first: ``try_cast('')`` takes a slow exception path.
+    """
+    return F.nullif(raw, F.lit("")).try_cast("int")
 
 
 def usable_probe(raw: Column) -> Column:
-    """Per slot, for P4: the count, NULL when missing or empty; 0 for malformed text, so that
+    """Per count, for P4: its value, NULL when missing or empty; 0 for malformed text, so that
     its row is kept and the cleaning below raises on it."""
     return F.coalesce(_int(raw), F.when(raw != "", F.lit(0)))
 
 
-def is_usable(raw: Column, slots: int = SLOTS) -> Column:
-    """Some count is present and >= 0. ``greatest`` skips NULLs."""
-    return F.coalesce(F.greatest(*[usable_probe(raw[i]) for i in range(slots)]) >= 0, F.lit(False))
+def is_usable(raw: Column) -> Column:
+    """Some count is present and >= 0 (stops at the first one)."""
+    return F.coalesce(F.exists(raw, lambda x: usable_probe(x) >= 0), F.lit(False))
 
 
-def cleaned_count(raw: Column, slot: str) -> Column:
-    """Missing, empty and negative counts become 0; malformed text raises."""
-    value = _int(raw)
-    return (F.when((raw != "") & value.isNull(),
-                   F.raise_error(F.concat(F.lit(f"malformed count in {slot}: "), raw)))
-            .otherwise(F.greatest(value, F.lit(0))))
+def is_malformed(raw: Column) -> Column:
+    """Some count text is neither empty nor an integer."""
+    return F.coalesce(F.exists(raw, lambda x: (x != "") & _int(x).isNull()), F.lit(False))
 
 
-def cleaned(raw: Column, slot_names: list[str] = SLOT_NAMES) -> Column:
-    """ARRAY<INT> of the cleaned counts, one codegen'd expression per slot."""
-    return F.array(*[cleaned_count(raw[i], n) for i, n in enumerate(slot_names)])
+def cleaned(raw: Column, slots: int = SLOTS) -> Column:
+    """ARRAY<INT> of the cleaned counts, one small expression per slot; malformed text
+    anywhere in the row raises."""
+    values = F.array(*[F.greatest(_int(raw[i]), F.lit(0)) for i in range(slots)])
+    return F.when(is_malformed(raw), F.raise_error(
+        F.concat(F.lit("malformed count in row: "), F.array_join(raw, ",")))).otherwise(values)
 
 
 def total(volumes: Column) -> Column:
