@@ -158,7 +158,7 @@ def oracle_sql() -> dict[str, str]:
         "layout_roads": f"WITH {_ROADS}, {_LAYOUT} SELECT site, detector, hf_id, road_wkt FROM layout_roads",
         "observations": f"WITH {_RAW}, {_POINTS}, {_ROADS}, {_LAYOUT}, {_OBS} SELECT {_OBS_COLS} FROM obs",
         "observations_sql": f"WITH {_RAW}, {_POINTS}, {_ROADS}, {_LAYOUT}, {_OBS} SELECT {_OBS_COLS} FROM obs",
-        "observations_csv": f"WITH {_RAW}, {_POINTS}, {_ROADS}, {_LAYOUT}, {_OBS} SELECT {_OBS_COLS} FROM obs",
+        "observations_fixture": f"WITH {_RAW}, {_POINTS}, {_ROADS}, {_LAYOUT}, {_OBS} SELECT {_OBS_COLS} FROM obs",
         "observations_tue": (f"WITH {_RAW}, {_POINTS}, {_ROADS}, {_LAYOUT}, {_OBS} "
                              f"SELECT {_OBS_COLS} FROM obs WHERE day_of_week = 'Tue'"),
         "unplaced_volumes": (f"WITH {_RAW}, {_POINTS} SELECT v.site, v.detector, v.day FROM vol v "

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from loopcount.functions.slots import slot_array
 from loopcount.schemas import SLOTS
 
 
@@ -38,10 +39,11 @@ def is_malformed(raw: Column) -> Column:
     return F.coalesce(F.exists(raw, lambda x: (x != "") & _int(x).isNull()), F.lit(False))
 
 
-def cleaned(raw: Column, slots: int = SLOTS) -> Column:
-    """ARRAY<INT> of the cleaned counts, one small expression per slot; malformed text
-    anywhere in the row raises."""
-    values = F.array(*[F.greatest(_int(raw[i]), F.lit(0)) for i in range(slots)])
+def cleaned(raw: str = "raw", slots: int = SLOTS) -> Column:
+    """ARRAY<INT> of the cleaned counts, one small expression per slot (same as
+    ``greatest(_int(raw[i]), 0)``); malformed text anywhere in the row raises."""
+    values = slot_array(f"greatest(try_cast(nullif(`{raw}`[{{i}}], '') AS INT), 0)", slots)
+    raw = F.col(raw)
     return F.when(is_malformed(raw), F.raise_error(
         F.concat(F.lit("malformed count in row: "), F.array_join(raw, ",")))).otherwise(values)
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loopcount.functions import clean
+from loopcount.functions.slots import slot_columns
 from loopcount.schemas import SLOT_NAMES
 
 KEYS = ["site", "qt_interval", "detector"]
@@ -13,7 +14,7 @@ KEYS = ["site", "qt_interval", "detector"]
 
 def clean_volumes(raw: DataFrame) -> DataFrame:
     """Rows with a usable count -> site, qt_interval, detector, volumes ARRAY<INT> (96)."""
-    return raw.where(clean.is_usable(F.col("raw"))).select(*KEYS, clean.cleaned(F.col("raw")).alias("volumes"))
+    return raw.where(clean.is_usable(F.col("raw"))).select(*KEYS, clean.cleaned("raw").alias("volumes"))
 
 
 def dropped_volumes(raw: DataFrame) -> DataFrame:
@@ -23,4 +24,4 @@ def dropped_volumes(raw: DataFrame) -> DataFrame:
 
 def wide(volumes: DataFrame, keys: list[str]) -> DataFrame:
     """The 96-element array as columns V00..V95."""
-    return volumes.select(*keys, *[F.col("volumes")[i].alias(n) for i, n in enumerate(SLOT_NAMES)])
+    return volumes.selectExpr(*[f"`{k}`" for k in keys], *slot_columns("volumes[{i}]", SLOT_NAMES))

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loopcount.functions import dates
-from loopcount.schemas import SLOTS
+from loopcount.functions.slots import slot_array
 
 GROUP_KEYS = ["site", "day_of_week", "point_wkt", "road_wkt"]
 ALL_DETECTORS = "all"
@@ -26,7 +26,7 @@ PROFILE_COLUMNS = [
 def slot_sums(observations: DataFrame) -> DataFrame:
     """A2: per group, BIGINT sums of the 96 slots and the number of records."""
     return observations.groupBy(*GROUP_KEYS).agg(
-        F.array(*[F.sum(F.col("volumes")[i]) for i in range(SLOTS)]).alias("sums"),
+        slot_array("sum(volumes[{i}])").alias("sums"),
         F.count(F.lit(1)).alias("num_features"),
         F.max("lon").alias("lon"),
         F.max("lat").alias("lat"))

@@ -22,18 +22,34 @@ from loopcount.sources import csv as csv_source
 from loopcount.sources import fixtures
 from loopcount.sources.tables import read_table
 
-POINT_ORDER = ["_row"]
-LINE_ORDER = ["_row"]
+# Lookup order: position in the CSV files, which were written in the fixture's order.
+POINT_ORDER = LINE_ORDER = LAYOUT_ORDER = csv_source.ORDER_COLUMNS
+
+# Bump when the reshaping of the driver tables changes, so old exported files are not reused.
+INPUTS_VERSION = "v1"
 
 
 def _tag(sf_dir: str) -> str:
     return hashlib.sha1(sf_dir.rstrip("/").encode()).hexdigest()[:12]
 
 
-def _inputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def _direct_inputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The reshaped driver tables as DataFrames, without files in between."""
     return fixtures.inputs(spark, sf_dir)
 
 
+def _inputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The reshaped driver tables, written once as the reference's CSV files and read back
+    with the CSV readers (S1-S6). Lookup order is file order."""
+    p = export_csv_inputs(spark, sf_dir)
+    return {
+        "volumes": csv_source.read_raw_volumes(spark, p["volumes"]),
+        "points": csv_source.read_points(spark, p["points"]),
+        "lines": csv_source.read_lines(spark, p["lines"]),
+        "layouts": csv_source.read_site_layouts(spark, p["layouts"]),
+    }
+
+
 def _keyed(volumes: DataFrame) -> DataFrame:
     return volumes.withColumn("day", dates.interval_date(F.col("qt_interval")))
 
@@ -68,14 +84,14 @@ def road_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def layout_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S4, A1."""
-    return lookups.first_layout(_inputs(spark, sf_dir)["layouts"], fixtures.LAYOUT_ORDER)
+    return lookups.first_layout(_inputs(spark, sf_dir)["layouts"], LAYOUT_ORDER)
 
 
 def layout_roads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A1 + J2: reduced layout with the road of its flow id."""
     i = _inputs(spark, sf_dir)
     roads = lookups.road_lookup(i["lines"], LINE_ORDER)
-    return (lookups.layout_roads(lookups.first_layout(i["layouts"], fixtures.LAYOUT_ORDER), roads)
+    return (lookups.layout_roads(lookups.first_layout(i["layouts"], LAYOUT_ORDER), roads)
             .select("site", "detector", "hf_id", "road_wkt"))
 
 
@@ -84,7 +100,7 @@ def observation_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     i = _inputs(spark, sf_dir)
     return jobs.import_observations(i["volumes"], i["points"], i["layouts"], i["lines"],
                                     point_order=POINT_ORDER, line_order=LINE_ORDER,
-                                    layout_order=fixtures.LAYOUT_ORDER)
+                                    layout_order=LAYOUT_ORDER)
 
 
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,7 +112,7 @@ def observations_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same join written as SQL text over temp views."""
     i = _inputs(spark, sf_dir)
     obs = jobs.import_sql(spark, i["volumes"], i["points"], i["layouts"], i["lines"],
-                          point_order=POINT_ORDER, line_order=LINE_ORDER, layout_order=fixtures.LAYOUT_ORDER)
+                          point_order=POINT_ORDER, line_order=LINE_ORDER, layout_order=LAYOUT_ORDER)
     return enrich.with_total(obs)
 
 
@@ -105,11 +121,11 @@ def export_csv_inputs(spark: SparkSession, sf_dir: str) -> dict[str, str]:
 
     Lookup files are written in their lookup order, so that file order carries it.
     """
-    base = shared_path(spark, "csv", _tag(sf_dir))
+    base = shared_path(spark, "inputs", INPUTS_VERSION, _tag(sf_dir))
     paths = {k: f"{base}/{k}" for k in ("volumes", "points", "lines", "layouts")}
     if all(path_exists(spark, p) for p in paths.values()):
         return paths
-    i = _inputs(spark, sf_dir)
+    i = _direct_inputs(spark, sf_dir)
     csv_source.write_raw_volumes_csv(i["volumes"], paths["volumes"])
     csv_source.write_csv(i["points"].orderBy("_row").select(F.col("wkt").alias("WKT"), F.col("site").alias("SITE_NO")),
                          paths["points"])
@@ -123,11 +139,13 @@ def export_csv_inputs(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     return paths
 
 
-def observations_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S1-S6 + E1: the import from CSV files; the first layout row in file order wins."""
-    p = export_csv_inputs(spark, sf_dir)
-    obs = jobs.import_csv(spark, p["volumes"], p["layouts"], p["points"], p["lines"],
-                          layout_order=csv_source.ORDER_COLUMNS)
+def observations_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E1 with DataFrame inputs straight from the driver tables (no files); the lookups use
+    the fixture's own order columns."""
+    i = _direct_inputs(spark, sf_dir)
+    obs = jobs.import_observations(i["volumes"], i["points"], i["layouts"], i["lines"],
+                                   point_order=["_row"], line_order=["_row"],
+                                   layout_order=fixtures.LAYOUT_ORDER)
     return enrich.with_total(obs)
 
 
@@ -177,7 +195,7 @@ QUERIES = {
     "layout_roads": layout_roads,
     "observations": observations,
     "observations_sql": observations_sql,
-    "observations_csv": observations_csv,
+    "observations_fixture": observations_fixture,
     "observations_tue": observations_tue,
     "unplaced_volumes": unplaced_volumes,
     "dow_profile": dow_profile,

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loopcount.functions.slots import slot_columns
 from loopcount.schemas import (
     LAYOUT_CSV_SCHEMA, LINE_HEADER, POINT_HEADER, RAW_VOLUME_CSV_SCHEMA, SLOT_NAMES,
     VOLUME_KEY_HEADER,
@@ -41,7 +42,8 @@ def read_raw_volumes(spark: SparkSession, path: str | list[str], *, strict_heade
            .csv(path))
     site, interval, detector = VOLUME_KEY_HEADER
     return raw.select(F.col(site).alias("site"), F.col(interval).alias("qt_interval"),
-                      F.col(detector).alias("detector"), F.array(*SLOT_NAMES).alias("raw"))
+                      F.col(detector).alias("detector"),
+                      F.expr("array(" + ", ".join(f"`{n}`" for n in SLOT_NAMES) + ")").alias("raw"))
 
 
 def read_site_layouts(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -78,8 +80,8 @@ def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
 def write_raw_volumes_csv(raw: DataFrame, path: str) -> None:
     """Write canonical raw volume rows in the reference's file layout: quoted, with header."""
     site, interval, detector = VOLUME_KEY_HEADER
-    (raw.select(F.col("site").alias(site), F.col("qt_interval").alias(interval),
-                F.col("detector").alias(detector), *[F.col("raw")[i].alias(n) for i, n in enumerate(SLOT_NAMES)])
+    (raw.selectExpr(f"site AS {site}", f"qt_interval AS {interval}", f"detector AS {detector}",
+                    *slot_columns("raw[{i}]", SLOT_NAMES))
      .write.mode("overwrite").option("header", True).option("quoteAll", True).csv(path))
 
 

@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loopcount.schemas import SLOT_MINUTES, SLOTS
+from loopcount.functions.slots import slot_array
+from loopcount.schemas import SLOT_MINUTES
 
 # Event type → detector number; any other type is detector '5'.
 DETECTOR_OF_EVENT = {"click": "1", "error": "2", "purchase": "3", "signup": "4"}
@@ -53,14 +54,13 @@ def raw_volumes(events: DataFrame) -> DataFrame:
                 .when(rest == 1, F.lit("-1"))
                 .otherwise(F.lit("0")))
 
-    # The texts are an aggregate result, so later filters see one plain array column.
-    counts = F.array(*[F.count_if(F.col("slot") == i) for i in range(SLOTS)])
-    return keyed.groupBy("user_id", "detector", "day").agg(
-        F.transform(counts, text).alias("raw")
-    ).select(
+    counts = slot_array("count_if(slot = {i})")
+    counted = keyed.groupBy("user_id", "detector", "day").agg(counts.alias("counts"))
+    return counted.select(
         F.col("user_id").cast("string").alias("site"),
         F.concat(F.col("day").cast("string"), F.lit(" 00:00:00")).alias("qt_interval"),
-        F.col("detector"), "raw")
+        F.col("detector"),
+        F.transform("counts", text).alias("raw"))
 
 
 def points(supplier: DataFrame) -> DataFrame:
