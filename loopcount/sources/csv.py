@@ -61,7 +61,10 @@ def read_site_layouts(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def _by_header(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    return spark.read.option("header", True).option("inferSchema", False).csv(path)
+    """Columns by header name. Spark names them from the first file; ``enforceSchema=False``
+    makes every other file's header agree, instead of being read by position."""
+    return (spark.read.option("header", True).option("inferSchema", False)
+            .option("enforceSchema", False).csv(path))
 
 
 def read_points(spark: SparkSession, path: str | list[str]) -> DataFrame:
