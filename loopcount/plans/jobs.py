@@ -24,6 +24,18 @@ from loopcount.sources.tables import read_table
 class Lookups:
     points: DataFrame
     layout: DataFrame
+    points_broadcast: bool = True
+    layout_broadcast: bool = True
+
+    def checkpointed(self) -> "Lookups":
+        """The lookups written to the checkpoint folder (lineage cut), broadcast as measured.
+
+        Needed where the lineage may not be re-run, e.g. as the static side of a stream."""
+        def cut(df: DataFrame, hint: bool) -> DataFrame:
+            done = df.checkpoint(eager=True)
+            return F.broadcast(done) if hint else done
+        return Lookups(cut(self.points, self.points_broadcast), cut(self.layout, self.layout_broadcast),
+                       self.points_broadcast, self.layout_broadcast)
 
 
 def build_lookups(points: DataFrame, layouts: DataFrame, lines: DataFrame | None = None, *,
@@ -37,7 +49,7 @@ def build_lookups(points: DataFrame, layouts: DataFrame, lines: DataFrame | None
                                   max_broadcast_bytes).df
     layout = lookups.layout_roads(lookups.first_layout(layouts, layout_order), roads)
     lay = bounded_broadcast(layout, "detector layouts", max_broadcast_bytes)
-    return Lookups(pts.df, lay.df)
+    return Lookups(pts.df, lay.df, pts.broadcast, lay.broadcast)
 
 
 def import_observations(volumes: DataFrame, points: DataFrame, layouts: DataFrame,

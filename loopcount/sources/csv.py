@@ -28,6 +28,21 @@ def file_order() -> list[Column]:
     ]
 
 
+def _volume_reader(reader, strict_header: bool):
+    return (reader.schema(RAW_VOLUME_CSV_SCHEMA)
+            .option("header", True)
+            .option("enforceSchema", not strict_header)
+            .option("mode", "PERMISSIVE"))
+
+
+def canonical_volumes(raw: DataFrame) -> DataFrame:
+    """Header columns -> site, qt_interval, detector, raw ARRAY<STRING> of the 96 count texts."""
+    site, interval, detector = VOLUME_KEY_HEADER
+    return raw.select(F.col(site).alias("site"), F.col(interval).alias("qt_interval"),
+                      F.col(detector).alias("detector"),
+                      F.expr("array(" + ", ".join(f"`{n}`" for n in SLOT_NAMES) + ")").alias("raw"))
+
+
 def read_raw_volumes(spark: SparkSession, path: str | list[str], *, strict_header: bool = True) -> DataFrame:
     """Raw volume CSV with a header line in each file.
 
@@ -35,15 +50,16 @@ def read_raw_volumes(spark: SparkSession, path: str | list[str], *, strict_heade
     NB_DETECTOR, V00..V95 (Spark compares them with the schema); otherwise columns are
     taken by position, as the reference does after its header check.
     """
-    raw = (spark.read.schema(RAW_VOLUME_CSV_SCHEMA)
-           .option("header", True)
-           .option("enforceSchema", not strict_header)
-           .option("mode", "PERMISSIVE")
-           .csv(path))
-    site, interval, detector = VOLUME_KEY_HEADER
-    return raw.select(F.col(site).alias("site"), F.col(interval).alias("qt_interval"),
-                      F.col(detector).alias("detector"),
-                      F.expr("array(" + ", ".join(f"`{n}`" for n in SLOT_NAMES) + ")").alias("raw"))
+    return canonical_volumes(_volume_reader(spark.read, strict_header).csv(path))
+
+
+def stream_raw_volumes(spark: SparkSession, folder: str, *, strict_header: bool = True,
+                       max_files_per_trigger: int | None = None) -> DataFrame:
+    """S1-S3 as a file stream: every new CSV file in ``folder`` is read once."""
+    reader = _volume_reader(spark.readStream, strict_header)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return canonical_volumes(reader.csv(folder))
 
 
 def read_site_layouts(spark: SparkSession, path: str | list[str]) -> DataFrame:

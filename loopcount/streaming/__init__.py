@@ -1,0 +1 @@
+"""The import job over a stream of arriving volume files (Structured Streaming)."""

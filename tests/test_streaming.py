@@ -1,0 +1,27 @@
+"""The import as a file stream gives the same rows as the batch import."""
+
+from loopcount.plans import jobs
+from loopcount.sources import csv as csv_source
+from loopcount.streaming.importer import start_import_stream
+from tests.conftest import write_text, write_volume_csv
+
+TUE, WED = "2012-01-31 00:00:00", "2012-02-01 00:00:00"
+
+
+def test_stream_equals_batch(spark, tmp):
+    write_volume_csv(f"{tmp}/in", [("1", TUE, "1", ['"3"'] * 96), ("2", TUE, "1", ['"1"'] * 96)], "a.csv")
+    write_volume_csv(f"{tmp}/in", [("1", WED, "2", ['""'] + ['"2"'] * 95), ("1", WED, "3", ['"-1"'] * 96)], "b.csv")
+    write_text(f"{tmp}/points", "p.csv", "WKT,SITE_NO\nPOINT (10 20),1\n")
+    write_text(f"{tmp}/lines", "l.csv", 'WKT,hfidl,hfidr\n"LINESTRING (0 0, 1 1)",7,8\n')
+    write_text(f"{tmp}/layouts", "s.csv", "SITE,A,B,LOC,DET,DT,LANE,LMVT,LOCMVT,HF\n1,,,INT A,1,2012-01-01,1,L,T,7\n")
+    order = csv_source.ORDER_COLUMNS
+    lk = jobs.build_lookups(csv_source.read_points(spark, f"{tmp}/points"),
+                            csv_source.read_site_layouts(spark, f"{tmp}/layouts"),
+                            csv_source.read_lines(spark, f"{tmp}/lines"), point_order=order, line_order=order)
+    q = start_import_stream(spark, f"{tmp}/in", lk, f"{tmp}/out", f"{tmp}/ckpt")
+    q.awaitTermination(180)
+    streamed = spark.read.parquet(f"{tmp}/out")
+    batch = jobs.import_csv(spark, f"{tmp}/in", f"{tmp}/layouts", f"{tmp}/points", f"{tmp}/lines")
+    cols = ["feature_id", "site", "detector", "obs_date", "day_of_week", "road_wkt", "ds_location"]
+    assert sorted(streamed.select(*cols).collect()) == sorted(batch.select(*cols).collect())
+    assert streamed.count() == 2
