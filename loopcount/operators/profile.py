@@ -8,11 +8,11 @@ rows are exploded into 96 slot rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loopcount.functions import dates
 from loopcount.functions.slots import slot_array
+from loopcount.schemas import SLOT_MINUTES, SLOTS
 
 GROUP_KEYS = ["site", "day_of_week", "point_wkt", "road_wkt"]
 ALL_DETECTORS = "all"
@@ -32,14 +32,26 @@ def slot_sums(observations: DataFrame) -> DataFrame:
         F.max("lat").alias("lat"))
 
 
+def _slot_constants() -> Column:
+    """Literal ARRAY<STRUCT<slot, time_of_day, hhmm>> for the 96 slots (F3 and the time part
+    of F5 computed once, not per output row); equal to ``dates.time_of_day(slot)``."""
+    items = []
+    for i in range(SLOTS):
+        minutes = i * SLOT_MINUTES
+        hhmm = f"{minutes // 60:02d}:{minutes % 60:02d}"
+        items.append(f"named_struct('slot', {i}, 'time_of_day', TIMESTAMP_NTZ'1970-01-01 {hhmm}:00', "
+                     f"'hhmm', '{hhmm}')")
+    return F.expr("array(" + ", ".join(items) + ")")
+
+
 def dow_profile(observations: DataFrame) -> DataFrame:
     """One row per group and slot; mean = slot sum / records in the group."""
+    zipped = F.arrays_zip(F.col("sums").alias("slot_sum"), _slot_constants().alias("c"))
     exploded = slot_sums(observations).select(
-        *GROUP_KEYS, "num_features", "lon", "lat", F.posexplode("sums").alias("slot", "slot_sum"))
-    detector = F.lit(ALL_DETECTORS)
-    tod = dates.time_of_day(F.col("slot"))
+        *GROUP_KEYS, "num_features", "lon", "lat", F.inline(zipped))
     return exploded.select(
-        dates.profile_id(F.col("site"), detector, F.col("day_of_week"), tod).alias("feature_id"),
-        "site", detector.alias("detector"), "day_of_week", "slot", tod.alias("time_of_day"),
+        F.concat_ws("-", "site", F.lit(ALL_DETECTORS), "day_of_week", F.col("c.hhmm")).alias("feature_id"),
+        "site", F.lit(ALL_DETECTORS).alias("detector"), "day_of_week",
+        F.col("c.slot").alias("slot"), F.col("c.time_of_day").alias("time_of_day"),
         (F.col("slot_sum") / F.col("num_features")).alias("avg_vehicle_count"),
         "num_features", "point_wkt", "lon", "lat", "road_wkt")
