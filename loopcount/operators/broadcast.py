@@ -28,6 +28,7 @@ class Measured:
     rows: int
     bytes: int
     broadcast: bool
+    limit: int
 
 
 def _width(field: T.StructField) -> Column:
@@ -58,6 +59,6 @@ def bounded_broadcast(df: DataFrame, label: str, max_bytes: int | None = None) -
     rows, size = int(stats["rows"]), int(stats["bytes"])
     if size <= limit:
         log.info("broadcasting %s: %d rows, ~%d bytes", label, rows, size)
-        return Measured(F.broadcast(df), rows, size, True)
+        return Measured(F.broadcast(df), rows, size, True, limit)
     log.warning("%s is ~%d bytes (> %d): using a shuffle join", label, size, limit)
-    return Measured(df, rows, size, False)
+    return Measured(df, rows, size, False, limit)

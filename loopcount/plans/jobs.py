@@ -97,20 +97,24 @@ def profile_job(spark: SparkSession, observations_path: str, output_path: str, *
     return output_path
 
 
-# The import join as SQL text over temp views (E3): first layout row per detector, then a
-# left join of the placed volume rows on (site, detector).
+# The import join as SQL text over temp views (E3): first layout row per detector, its road,
+# then a left join of the placed volume rows on (site, detector).
 IMPORT_SQL = """
 SELECT {hint} b.site, b.detector, b.obs_date, b.volumes, b.point_wkt, b.lon, b.lat,
        c.ds_location, c.nb_lane, c.lane_mvt, c.loc_mvt, c.hf_id, c.road_wkt, c.road
 FROM volumeData b
 LEFT JOIN (
-  SELECT site, detector, ds_location, nb_lane, lane_mvt, loc_mvt, hf_id, road_wkt, road
+  SELECT {road_hint} f.site, f.detector, f.ds_location, f.nb_lane, f.lane_mvt, f.loc_mvt, f.hf_id,
+         r.road_wkt, r.road
   FROM (
-    SELECT l.*, row_number() OVER (PARTITION BY site, detector ORDER BY {order}) AS layout_rank
-    FROM siteLayouts l
-    WHERE site IS NOT NULL AND detector IS NOT NULL
-  ) ranked
-  WHERE layout_rank = 1
+    SELECT * FROM (
+      SELECT l.*, row_number() OVER (PARTITION BY site, detector ORDER BY {order}) AS layout_rank
+      FROM siteLayouts l
+      WHERE site IS NOT NULL AND detector IS NOT NULL
+    ) ranked
+    WHERE layout_rank = 1
+  ) f
+  LEFT JOIN roadLines r ON f.hf_id = r.hf_id
 ) c
 ON b.site = c.site AND b.detector = c.detector
 """
@@ -119,22 +123,26 @@ ON b.site = c.site AND b.detector = c.detector
 def import_sql(spark: SparkSession, volumes: DataFrame, points: DataFrame, layouts: DataFrame,
                lines: DataFrame | None = None, *, point_order: list, line_order: list | None = None,
                layout_order: list, max_broadcast_bytes: int | None = None) -> DataFrame:
-    """Register ``volumeData`` (cleaned rows with their point) and ``siteLayouts`` (layout
-    rows with their road, J2 per row) and run the join as SQL text."""
+    """Register ``volumeData`` (cleaned rows with their point), ``siteLayouts`` (layout
+    rows) and ``roadLines`` (road per flow id) and run the join as SQL text."""
     pts = bounded_broadcast(lookups.site_points(points, point_order), "site points", max_broadcast_bytes)
     placed = enrich.dated(cleaning.clean_volumes(volumes)).join(enrich.placed_points(pts.df), "site", "inner")
     placed.createOrReplaceTempView("volumeData")
-    roads = None
     if lines is not None:
         roads = bounded_broadcast(lookups.road_lookup(lines, line_order or point_order), "roads",
-                                  max_broadcast_bytes).df
-    with_roads = layouts if roads is None else layouts.join(roads.select("hf_id", "road_wkt", "road"), "hf_id", "left")
-    if roads is None:
-        with_roads = with_roads.withColumn("road_wkt", F.lit(None).cast("string")).withColumn(
+                                  max_broadcast_bytes)
+        road_view, road_bytes, road_rows = roads.df, roads.bytes, roads.rows
+    else:
+        road_view = spark.createDataFrame([], "hf_id string, road_wkt string").withColumn(
             "road", geo.road_parts(F.lit(None).cast("string")))
-    # The rows before reduction bound the reduced table from above.
-    measured = bounded_broadcast(with_roads, "site layouts", max_broadcast_bytes)
-    measured.df.createOrReplaceTempView("siteLayouts")
+        road_bytes = road_rows = 0
+    road_view.createOrReplaceTempView("roadLines")
+    # The layout rows before reduction bound the reduced rows; each gets at most one road.
+    lay = bounded_broadcast(layouts, "site layouts", max_broadcast_bytes)
+    lay.df.createOrReplaceTempView("siteLayouts")
+    per_road = road_bytes // road_rows if road_rows else 0
+    small = lay.bytes + lay.rows * per_road <= lay.limit
     order = ", ".join(f"`{c}`" if isinstance(c, str) else c for c in layout_order)
-    hint = "/*+ BROADCAST(c) */" if measured.broadcast else ""
-    return enrich.finish(spark.sql(IMPORT_SQL.format(hint=hint, order=order)))
+    hint = "/*+ BROADCAST(c) */" if small else ""
+    road_hint = "/*+ BROADCAST(r) */" if road_rows else ""
+    return enrich.finish(spark.sql(IMPORT_SQL.format(hint=hint, road_hint=road_hint, order=order)))

@@ -38,16 +38,24 @@ def _direct_inputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return fixtures.inputs(spark, sf_dir)
 
 
-def _inputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+class _CsvInputs(dict):
     """The reshaped driver tables, written once as the reference's CSV files and read back
-    with the CSV readers (S1-S6). Lookup order is file order."""
-    p = export_csv_inputs(spark, sf_dir)
-    return {
-        "volumes": csv_source.read_raw_volumes(spark, p["volumes"]),
-        "points": csv_source.read_points(spark, p["points"]),
-        "lines": csv_source.read_lines(spark, p["lines"]),
-        "layouts": csv_source.read_site_layouts(spark, p["layouts"]),
-    }
+    with the CSV readers (S1-S6) on first use. Lookup order is file order."""
+
+    _READERS = {"volumes": csv_source.read_raw_volumes, "points": csv_source.read_points,
+                "lines": csv_source.read_lines, "layouts": csv_source.read_site_layouts}
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        super().__init__()
+        self._spark, self._paths = spark, export_csv_inputs(spark, sf_dir)
+
+    def __missing__(self, key: str) -> DataFrame:
+        self[key] = self._READERS[key](self._spark, self._paths[key])
+        return self[key]
+
+
+def _inputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return _CsvInputs(spark, sf_dir)
 
 
 def _keyed(volumes: DataFrame) -> DataFrame:

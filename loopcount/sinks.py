@@ -25,8 +25,10 @@ def _check_existing(df: DataFrame, path: str, target: T.StructType, table: str)
 
 
 def _write(df: DataFrame, path: str, target: T.StructType, table: str, sort: list[str], mode: str,
-           dedupe_ids: bool) -> None:
+           dedupe_ids: bool, rebalance: bool = False) -> None:
     df = check_schema(df, target, table)
+    if rebalance:
+        df = df.hint("rebalance", PARTITION_COLUMN)
     if mode != "overwrite":
         _check_existing(df, path, target, table)
     if dedupe_ids:
@@ -44,5 +46,10 @@ def write_observations(df: DataFrame, path: str, *, mode: str = "overwrite", ded
 
 
 def write_profile(df: DataFrame, path: str, *, mode: str = "overwrite") -> None:
-    """K2, K4: one row per profile group and slot. Feature ids repeat when a site has two roads."""
-    _write(df, path, DOW_PROFILE_SCHEMA, "dow_profile", ["site", "slot"], mode, dedupe_ids=False)
+    """K2, K4: one row per profile group and slot. Feature ids repeat when a site has two roads.
+
+    The profile is 96 rows per aggregated group, made after the shuffle; adaptive execution
+    sizes that shuffle by the aggregated rows and may leave one task for all of it. A
+    rebalance on the weekday spreads the writing over tasks of the advisory size (cheap: the
+    profile is small next to the observations, which are never re-shuffled for writing)."""
+    _write(df, path, DOW_PROFILE_SCHEMA, "dow_profile", ["site", "slot"], mode, dedupe_ids=False, rebalance=True)
