@@ -7,11 +7,11 @@ fixed by the fixture description; the operators downstream do not know where row
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loopcount.functions.slots import slot_array
-from loopcount.schemas import SLOT_MINUTES
+from loopcount.schemas import SLOT_MINUTES, SLOTS
 
 # Event type → detector number; any other type is detector '5'.
 DETECTOR_OF_EVENT = {"click": "1", "error": "2", "purchase": "3", "signup": "4"}
@@ -30,12 +30,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _absent_pattern_sql() -> str:
+    """Texts of the slots without events, per row kind: detector-2 rows of every seventh site
+    alternate '' and '-1'; other rows cycle '', '-1', '0' by (site + slot) mod 3."""
+    def literal(texts: list[str]) -> str:
+        return "array(" + ", ".join(f"'{t}'" for t in texts) + ")"
+    negative = literal(["" if i % 2 == 0 else "-1" for i in range(SLOTS)])
+    by_phase = [literal([["", "-1", "0"][(r + i) % 3] for i in range(SLOTS)]) for r in range(3)]
+    return (f"CASE WHEN {_NEGATIVE_ROW_SQL} THEN {negative} "
+            f"WHEN user_id % 3 = 0 THEN {by_phase[0]} WHEN user_id % 3 = 1 THEN {by_phase[1]} "
+            f"ELSE {by_phase[2]} END")
+
+
+# Rows whose present counts are written negative (they must all drop).
+_NEGATIVE_ROW_SQL = "(detector = '2' AND user_id % 7 = 0)"
+
+
 def raw_volumes(events: DataFrame) -> DataFrame:
     """One raw row per (site, detector, day) with an event; slot counts as text.
 
-    Counting all 96 slots is one aggregate (partial aggregation before the shuffle), then the
-    counts become texts: a present count n is 'n' ('-n' for the detector-2 rows of every
-    seventh site, which must drop); an absent one is '', '-1' or '0' by a fixed rule.
+    Counting all 96 slots is one aggregate (partial aggregation before the shuffle). A present
+    count n becomes 'n' ('-n' on the rows that must drop); an absent one comes from a fixed
+    pattern per row kind, so the per-slot work is one small lambda over two arrays.
     """
     detector = F.coalesce(
         F.create_map(*[F.lit(x) for kv in DETECTOR_OF_EVENT.items() for x in kv])[F.col("event_type")],
@@ -43,24 +59,15 @@ def raw_volumes(events: DataFrame) -> DataFrame:
     slot = (F.hour("ts") * (60 // SLOT_MINUTES) + (F.minute("ts") / SLOT_MINUTES).cast("int"))
     keyed = events.select(F.col("user_id"), detector.alias("detector"),
                           F.to_date("ts").alias("day"), slot.alias("slot"))
-    negative_row = (F.col("detector") == "2") & (F.col("user_id") % 7 == 0)
-
-    def text(n: Column, i: Column) -> Column:
-        rest = (F.col("user_id") + i) % 3
-        return (F.when((n > 0) & negative_row, (-n).cast("string"))
-                .when(n > 0, n.cast("string"))
-                .when(negative_row, F.when(i % 2 == 0, F.lit("")).otherwise(F.lit("-1")))
-                .when(rest == 0, F.lit(""))
-                .when(rest == 1, F.lit("-1"))
-                .otherwise(F.lit("0")))
-
-    counts = slot_array("count_if(slot = {i})")
-    counted = keyed.groupBy("user_id", "detector", "day").agg(counts.alias("counts"))
+    sign = f"(CASE WHEN {_NEGATIVE_ROW_SQL} THEN -1 ELSE 1 END)"
+    counted = keyed.groupBy("user_id", "detector", "day").agg(
+        slot_array(f"count_if(slot = {{i}}) * {sign}").alias("counts"),
+        F.expr(_absent_pattern_sql()).alias("absent"))
+    raw = F.zip_with("counts", "absent", lambda n, a: F.when(n != 0, n.cast("string")).otherwise(a))
     return counted.select(
         F.col("user_id").cast("string").alias("site"),
         F.concat(F.col("day").cast("string"), F.lit(" 00:00:00")).alias("qt_interval"),
-        F.col("detector"),
-        F.transform("counts", text).alias("raw"))
+        F.col("detector"), raw.alias("raw"))
 
 
 def points(supplier: DataFrame) -> DataFrame:
