@@ -27,6 +27,11 @@ class Lookups:
     points_broadcast: bool = True
     layout_broadcast: bool = True
 
+    def unpersist(self) -> None:
+        """Release the measured (persisted) lookups once the job that used them is written."""
+        self.points.unpersist()
+        self.layout.unpersist()
+
     def checkpointed(self) -> "Lookups":
         """The lookups written to the checkpoint folder (lineage cut), broadcast as measured.
 
@@ -61,26 +66,37 @@ def import_observations(volumes: DataFrame, points: DataFrame, layouts: DataFram
     return enrich.observations(cleaning.clean_volumes(volumes), lk.points, lk.layout)
 
 
+def _csv_lookups(spark: SparkSession, layouts_path, points_path, lines_path, layout_order,
+                 max_broadcast_bytes) -> Lookups:
+    order = csv_source.ORDER_COLUMNS
+    lines = csv_source.read_lines(spark, lines_path) if lines_path else None
+    return build_lookups(csv_source.read_points(spark, points_path),
+                         csv_source.read_site_layouts(spark, layouts_path), lines,
+                         point_order=order, line_order=order,
+                         layout_order=layout_order or lookups.DEFAULT_LAYOUT_ORDER + order,
+                         max_broadcast_bytes=max_broadcast_bytes)
+
+
 def import_csv(spark: SparkSession, volumes_path, layouts_path, points_path, lines_path=None, *,
                strict_header: bool = True, layout_order: list | None = None,
                max_broadcast_bytes: int | None = None) -> DataFrame:
     """E1 on the reference's CSV inputs; the line file is optional (roads are then NULL)."""
-    order = csv_source.ORDER_COLUMNS
-    lines = csv_source.read_lines(spark, lines_path) if lines_path else None
-    return import_observations(
-        csv_source.read_raw_volumes(spark, volumes_path, strict_header=strict_header),
-        csv_source.read_points(spark, points_path),
-        csv_source.read_site_layouts(spark, layouts_path),
-        lines, point_order=order, line_order=order,
-        layout_order=layout_order or lookups.DEFAULT_LAYOUT_ORDER + order,
-        max_broadcast_bytes=max_broadcast_bytes)
+    lk = _csv_lookups(spark, layouts_path, points_path, lines_path, layout_order, max_broadcast_bytes)
+    volumes = cleaning.clean_volumes(csv_source.read_raw_volumes(spark, volumes_path, strict_header=strict_header))
+    return enrich.observations(volumes, lk.points, lk.layout)
 
 
 def import_job(spark: SparkSession, output_path: str, volumes_path, layouts_path, points_path,
-               lines_path=None, *, mode: str = "overwrite", **options) -> str:
+               lines_path=None, *, mode: str = "overwrite", strict_header: bool = True,
+               layout_order: list | None = None, max_broadcast_bytes: int | None = None) -> str:
     """E1 end to end: CSV files in, the observations table written."""
-    obs = import_csv(spark, volumes_path, layouts_path, points_path, lines_path, **options)
-    sinks.write_observations(obs, output_path, mode=mode)
+    lk = _csv_lookups(spark, layouts_path, points_path, lines_path, layout_order, max_broadcast_bytes)
+    try:
+        volumes = cleaning.clean_volumes(
+            csv_source.read_raw_volumes(spark, volumes_path, strict_header=strict_header))
+        sinks.write_observations(enrich.observations(volumes, lk.points, lk.layout), output_path, mode=mode)
+    finally:
+        lk.unpersist()
     return output_path
 
 
