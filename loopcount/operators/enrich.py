@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loopcount.functions import dates
+from loopcount.functions import clean, dates
 
 OBSERVATION_COLUMNS = [
     "feature_id", "site", "detector", "obs_date", "day_of_week", "volumes", "point_wkt", "lon", "lat",
@@ -47,5 +47,4 @@ def unplaced(volumes: DataFrame, points: DataFrame) -> DataFrame:
 
 def with_total(observations: DataFrame) -> DataFrame:
     """Flat view of observations with the day's total count."""
-    total = F.aggregate("volumes", F.lit(0).cast("bigint"), lambda acc, x: acc + x)
-    return observations.select(*FLAT_OBSERVATION_COLUMNS, total.alias("total"))
+    return observations.select(*FLAT_OBSERVATION_COLUMNS, clean.total("volumes").alias("total"))

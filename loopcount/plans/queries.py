@@ -65,8 +65,8 @@ def _keyed(volumes: DataFrame) -> DataFrame:
 def clean_volumes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Kept rows with their total and number of non-zero slots."""
     kept = cleaning.clean_volumes(_inputs(spark, sf_dir)["volumes"])
-    return _keyed(kept).select("site", "detector", "day", clean.total(F.col("volumes")).alias("total"),
-                               clean.nonzero_slots(F.col("volumes")).alias("nonzero_slots"))
+    return _keyed(kept).select("site", "detector", "day", clean.total("volumes").alias("total"),
+                               clean.nonzero_slots("volumes").alias("nonzero_slots"))
 
 
 def clean_volumes_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
