@@ -11,8 +11,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from loopcount.functions.slots import slot_array
-from loopcount.schemas import SLOTS
 
 
 def _int(raw: Column) -> Column:
@@ -39,13 +37,15 @@ def is_malformed(raw: Column) -> Column:
     return F.coalesce(F.exists(raw, lambda x: (x != "") & _int(x).isNull()), F.lit(False))
 
 
-def cleaned(raw: str = "raw", slots: int = SLOTS) -> Column:
-    """ARRAY<INT> of the cleaned counts, one small expression per slot (same as
-    ``greatest(_int(raw[i]), 0)``); malformed text anywhere in the row raises."""
-    values = slot_array(f"greatest(try_cast(nullif(`{raw}`[{{i}}], '') AS INT), 0)", slots)
-    raw = F.col(raw)
-    return F.when(is_malformed(raw), F.raise_error(
-        F.concat(F.lit("malformed count in row: "), F.array_join(raw, ",")))).otherwise(values)
+def cleaned(raw: str = "raw") -> Column:
+    """ARRAY<INT> of the cleaned counts; malformed text anywhere in the row raises.
+
+    One small lambda over the array (compiles fast, no size limits) was measured as fast as 96
+    separate compiled element expressions once ``try_cast`` no longer sees empty text."""
+    col = F.col(raw)
+    values = F.transform(col, lambda x: F.greatest(_int(x), F.lit(0)))
+    return F.when(is_malformed(col), F.raise_error(
+        F.concat(F.lit("malformed count in row: "), F.array_join(col, ",")))).otherwise(values)
 
 
 def total(volumes: Column) -> Column:
