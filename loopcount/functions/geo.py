@@ -11,6 +11,16 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Fixed value: every geometry is WGS 84 longitude/latitude.
+SRID = 4326
+SRID_METADATA = {"srid": SRID}
+
+
+def with_srid(col, name: str):
+    """F8: tag a geometry column (WKT text, lon, lat, coordinates) with its SRID as column metadata."""
+    return col.alias(name, metadata=SRID_METADATA)
+
+
 _NUM = r"[-+]?(?:\d+\.?\d*|\.\d+)(?:[eE][-+]?\d+)?"
 _COORD = rf"{_NUM}\s+{_NUM}(?:\s+{_NUM}){{0,2}}"
 _LINE_BODY = rf"\(\s*{_COORD}(?:\s*,\s*{_COORD})*\s*\)"

@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loopcount.functions import dates
+from loopcount.functions import dates, geo
 
 OBSERVATION_COLUMNS = [
     "feature_id", "site", "detector", "obs_date", "day_of_week", "volumes", "point_wkt", "lon", "lat",
     "ds_location", "nb_lane", "lane_mvt", "loc_mvt", "hf_id", "road_wkt", "road",
 ]
+GEOMETRY_COLUMNS = {"point_wkt", "lon", "lat", "road_wkt", "road"}
 FLAT_OBSERVATION_COLUMNS = [c for c in OBSERVATION_COLUMNS if c not in ("volumes", "road")]
 
 
@@ -33,11 +34,12 @@ def observations(volumes: DataFrame, points: DataFrame, layout: DataFrame) -> Da
 
 
 def finish(joined: DataFrame) -> DataFrame:
-    """Weekday and feature id, target column order."""
-    return (joined
-            .withColumn("day_of_week", dates.day_of_week(F.col("obs_date")))
-            .withColumn("feature_id", dates.observation_id(F.col("site"), F.col("detector"), F.col("obs_date")))
-            .select(*OBSERVATION_COLUMNS))
+    """Weekday and feature id, geometry tagged with its SRID, target column order."""
+    out = (joined
+           .withColumn("day_of_week", dates.day_of_week(F.col("obs_date")))
+           .withColumn("feature_id", dates.observation_id(F.col("site"), F.col("detector"), F.col("obs_date"))))
+    return out.select(*[geo.with_srid(F.col(c), c) if c in GEOMETRY_COLUMNS else F.col(c)
+                        for c in OBSERVATION_COLUMNS])
 
 
 def unplaced(volumes: DataFrame, points: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loopcount.functions import geo
 from loopcount.functions.slots import slot_array
 from loopcount.schemas import SLOT_MINUTES, SLOTS
 
@@ -54,4 +55,4 @@ def dow_profile(observations: DataFrame) -> DataFrame:
         "site", F.lit(ALL_DETECTORS).alias("detector"), "day_of_week",
         F.col("c.slot").alias("slot"), F.col("c.time_of_day").alias("time_of_day"),
         (F.col("slot_sum") / F.col("num_features")).alias("avg_vehicle_count"),
-        "num_features", "point_wkt", "lon", "lat", "road_wkt")
+        "num_features", *[geo.with_srid(F.col(c), c) for c in ("point_wkt", "lon", "lat", "road_wkt")])

@@ -140,7 +140,8 @@ def import_sql(spark: SparkSession, volumes: DataFrame, points: DataFrame, layou
                lines: DataFrame | None = None, *, point_order: list, line_order: list | None = None,
                layout_order: list, max_broadcast_bytes: int | None = None) -> DataFrame:
     """Register ``volumeData`` (cleaned rows with their point), ``siteLayouts`` (layout
-    rows) and ``roadLines`` (road per flow id) and run the join as SQL text."""
+    rows) and ``roadLines`` (road per flow id), run the join as SQL text, and register the
+    result as ``scats`` (S10)."""
     pts = bounded_broadcast(lookups.site_points(points, point_order), "site points", max_broadcast_bytes)
     placed = enrich.dated(cleaning.clean_volumes(volumes)).join(enrich.placed_points(pts.df), "site", "inner")
     placed.createOrReplaceTempView("volumeData")
@@ -161,4 +162,6 @@ def import_sql(spark: SparkSession, volumes: DataFrame, points: DataFrame, layou
     order = ", ".join(f"`{c}`" if isinstance(c, str) else c for c in layout_order)
     hint = "/*+ BROADCAST(c) */" if small else ""
     road_hint = "/*+ BROADCAST(r) */" if road_rows else ""
-    return enrich.finish(spark.sql(IMPORT_SQL.format(hint=hint, road_hint=road_hint, order=order)))
+    joined = enrich.finish(spark.sql(IMPORT_SQL.format(hint=hint, road_hint=road_hint, order=order)))
+    joined.createOrReplaceTempView("scats")
+    return joined
