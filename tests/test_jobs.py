@@ -143,3 +143,21 @@ def test_overwrite_is_idempotent(spark, inputs):
     for _ in range(2):
         jobs.import_job(spark, f"{root}/obs2", inputs["volumes"], inputs["layouts"], inputs["points"], inputs["lines"])
     assert spark.read.parquet(f"{root}/obs2").count() == 6
+
+
+def test_command_line(spark, inputs):
+    from loopcount.__main__ import main
+    root = inputs["root"]
+    assert main(["import", "--volumes", inputs["volumes"], "--layouts", inputs["layouts"], "--points",
+                 inputs["points"], "--lines", inputs["lines"], "--output", f"{root}/cli_obs"]) == 0
+    assert main(["profile", "--observations", f"{root}/cli_obs", "--output", f"{root}/cli_prof",
+                 "--day-of-week", "Tue"]) == 0
+    assert spark.read.parquet(f"{root}/cli_prof").count() == 2 * 96
+
+
+def test_dedupe_ids_keeps_one_row_per_feature_id(spark, inputs):
+    from loopcount import sinks
+    root = inputs["root"]
+    obs = jobs.import_csv(spark, inputs["volumes"], inputs["layouts"], inputs["points"], inputs["lines"])
+    sinks.write_observations(obs.unionByName(obs), f"{root}/dedupe", dedupe_ids=True)
+    assert spark.read.parquet(f"{root}/dedupe").count() == 6
