@@ -17,6 +17,7 @@ from loopcount.functions import geo
 from loopcount.operators import cleaning, enrich, lookups, profile
 from loopcount.operators.broadcast import bounded_broadcast
 from loopcount.sources import csv as csv_source
+from loopcount.session import shared_dir
 from loopcount.sources.tables import read_table
 
 
@@ -36,6 +37,8 @@ class Lookups:
         """The lookups written to the checkpoint folder (lineage cut), broadcast as measured.
 
         Needed where the lineage may not be re-run, e.g. as the static side of a stream."""
+        shared_dir(self.points.sparkSession)   # the checkpoint folder must be named on a cluster
+
         def cut(df: DataFrame, hint: bool) -> DataFrame:
             done = df.checkpoint(eager=True)
             return F.broadcast(done) if hint else done
