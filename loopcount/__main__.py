@@ -31,6 +31,8 @@ def parse(argv: list[str]) -> argparse.Namespace:
     imp.add_argument("--positional-header", action="store_true",
                      help="read volume columns by position instead of checking header names")
     imp.add_argument("--max-broadcast-bytes", type=int, help="largest lookup to broadcast")
+    imp.add_argument("--cluster-by-site", action="store_true",
+                     help="one shuffle at import so that files hold whole sites (cheaper profiles)")
     prof = sub.add_parser("profile", help="average observations by site, weekday and slot (E2)")
     prof.add_argument("--observations", required=True, help="observations table path")
     prof.add_argument("--output", required=True, help="profile table path")
@@ -46,7 +48,7 @@ def main(argv: list[str] | None = None) -> int:
     if args.job == "import":
         jobs.import_job(spark, args.output, args.volumes, args.layouts, args.points, args.lines,
                         mode=args.mode, strict_header=not args.positional_header,
-                        max_broadcast_bytes=args.max_broadcast_bytes)
+                        max_broadcast_bytes=args.max_broadcast_bytes, cluster_by_site=args.cluster_by_site)
     else:
         jobs.profile_job(spark, args.observations, args.output, day_of_week=args.day_of_week, mode=args.mode)
     print(f"{args.job} finished in {time.perf_counter() - start:.1f} s", file=sys.stderr)

@@ -91,13 +91,15 @@ def import_csv(spark: SparkSession, volumes_path, layouts_path, points_path, lin
 
 def import_job(spark: SparkSession, output_path: str, volumes_path, layouts_path, points_path,
                lines_path=None, *, mode: str = "overwrite", strict_header: bool = True,
-               layout_order: list | None = None, max_broadcast_bytes: int | None = None) -> str:
+               layout_order: list | None = None, max_broadcast_bytes: int | None = None,
+               cluster_by_site: bool = False) -> str:
     """E1 end to end: CSV files in, the observations table written."""
     lk = _csv_lookups(spark, layouts_path, points_path, lines_path, layout_order, max_broadcast_bytes)
     try:
         volumes = cleaning.clean_volumes(
             csv_source.read_raw_volumes(spark, volumes_path, strict_header=strict_header))
-        sinks.write_observations(enrich.observations(volumes, lk.points, lk.layout), output_path, mode=mode)
+        sinks.write_observations(enrich.observations(volumes, lk.points, lk.layout), output_path, mode=mode,
+                                 cluster_by_site=cluster_by_site)
     finally:
         lk.unpersist()
     return output_path

@@ -25,10 +25,10 @@ def _check_existing(df: DataFrame, path: str, target: T.StructType, table: str)
 
 
 def _write(df: DataFrame, path: str, target: T.StructType, table: str, sort: list[str], mode: str,
-           dedupe_ids: bool, rebalance: bool = False) -> None:
+           dedupe_ids: bool, rebalance: tuple[str, ...] = ()) -> None:
     df = check_schema(df, target, table)
     if rebalance:
-        df = df.hint("rebalance", PARTITION_COLUMN)
+        df = df.hint("rebalance", *rebalance)
     if mode != "overwrite":
         _check_existing(df, path, target, table)
     if dedupe_ids:
@@ -40,9 +40,18 @@ def _write(df: DataFrame, path: str, target: T.StructType, table: str, sort: lis
      .parquet(path))
 
 
-def write_observations(df: DataFrame, path: str, *, mode: str = "overwrite", dedupe_ids: bool = False) -> None:
-    """K1, K4, K5: one row per detector-day."""
-    _write(df, path, OBSERVATIONS_SCHEMA, "observations", ["site", "obs_date"], mode, dedupe_ids)
+def write_observations(df: DataFrame, path: str, *, mode: str = "overwrite", dedupe_ids: bool = False,
+                       cluster_by_site: bool = False) -> None:
+    """K1, K4, K5: one row per detector-day.
+
+    ``cluster_by_site`` spends one shuffle of the observations at import so that every file
+    holds whole sites of one weekday (the reference's stores index by site). The profile's
+    partial aggregate then collapses each split to a few rows per site, and its shuffle
+    shrinks from about one row per observation to about one per group and split. A rebalance
+    (not a plain repartition) lets adaptive execution split a site holding a large share of
+    the rows over several tasks instead of one."""
+    _write(df, path, OBSERVATIONS_SCHEMA, "observations", ["site", "obs_date"], mode, dedupe_ids,
+           rebalance=(PARTITION_COLUMN, "site") if cluster_by_site else ())
 
 
 def write_profile(df: DataFrame, path: str, *, mode: str = "overwrite") -> None:
@@ -52,4 +61,5 @@ def write_profile(df: DataFrame, path: str, *, mode: str = "overwrite") -> None:
     sizes that shuffle by the aggregated rows and may leave one task for all of it. A
     rebalance on the weekday spreads the writing over tasks of the advisory size (cheap: the
     profile is small next to the observations, which are never re-shuffled for writing)."""
-    _write(df, path, DOW_PROFILE_SCHEMA, "dow_profile", ["site", "slot"], mode, dedupe_ids=False, rebalance=True)
+    _write(df, path, DOW_PROFILE_SCHEMA, "dow_profile", ["site", "slot"], mode, dedupe_ids=False,
+           rebalance=(PARTITION_COLUMN,))

@@ -161,3 +161,14 @@ def test_dedupe_ids_keeps_one_row_per_feature_id(spark, inputs):
     obs = jobs.import_csv(spark, inputs["volumes"], inputs["layouts"], inputs["points"], inputs["lines"])
     sinks.write_observations(obs.unionByName(obs), f"{root}/dedupe", dedupe_ids=True)
     assert spark.read.parquet(f"{root}/dedupe").count() == 6
+
+
+def test_cluster_by_site_gives_the_same_table(spark, inputs):
+    root = inputs["root"]
+    args = (inputs["volumes"], inputs["layouts"], inputs["points"], inputs["lines"])
+    jobs.import_job(spark, f"{root}/plain", *args)
+    jobs.import_job(spark, f"{root}/clustered", *args, cluster_by_site=True)
+    cols = ["feature_id", "site", "detector", "obs_date", "day_of_week", "road_wkt"]
+    a = spark.read.parquet(f"{root}/plain").select(*cols).collect()
+    b = spark.read.parquet(f"{root}/clustered").select(*cols).collect()
+    assert sorted(a) == sorted(b) and len(a) == 6
