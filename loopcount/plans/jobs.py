@@ -146,7 +146,7 @@ def import_sql(spark: SparkSession, volumes: DataFrame, points: DataFrame, layou
                layout_order: list, max_broadcast_bytes: int | None = None) -> DataFrame:
     """Register ``volumeData`` (cleaned rows with their point), ``siteLayouts`` (layout
     rows) and ``roadLines`` (road per flow id), run the join as SQL text, and register the
-    result as ``scats`` (S10)."""
+    result as ``placedVolumes`` (S10)."""
     pts = bounded_broadcast(lookups.site_points(points, point_order), "site points", max_broadcast_bytes)
     placed = enrich.dated(cleaning.clean_volumes(volumes)).join(enrich.placed_points(pts.df), "site", "inner")
     placed.createOrReplaceTempView("volumeData")
@@ -168,5 +168,5 @@ def import_sql(spark: SparkSession, volumes: DataFrame, points: DataFrame, layou
     hint = "/*+ BROADCAST(c) */" if small else ""
     road_hint = "/*+ BROADCAST(r) */" if road_rows else ""
     joined = enrich.finish(spark.sql(IMPORT_SQL.format(hint=hint, road_hint=road_hint, order=order)))
-    joined.createOrReplaceTempView("scats")
+    joined.createOrReplaceTempView("placedVolumes")
     return joined

@@ -69,7 +69,7 @@ def test_sql_form_equals_dataframe_form(spark, inputs):
     b = jobs.import_observations(*args, point_order=order, line_order=order, layout_order=order)
     cols = [c for c in a.columns if c not in ("volumes", "road")]
     assert sorted(a.select(*cols).collect()) == sorted(b.select(*cols).collect())
-    assert spark.table("scats").count() == a.count()
+    assert spark.table("placedVolumes").count() == a.count()
     assert a.schema["point_wkt"].metadata == {"srid": 4326}
 
 
