@@ -172,3 +172,23 @@ def test_cluster_by_site_gives_the_same_table(spark, inputs):
     a = spark.read.parquet(f"{root}/plain").select(*cols).collect()
     b = spark.read.parquet(f"{root}/clustered").select(*cols).collect()
     assert sorted(a) == sorted(b) and len(a) == 6
+
+
+def test_hot_site_is_combined_before_the_shuffle(spark):
+    """A site holding a third of all rows: exact averages, and the plan aggregates map-side
+    (one partial row per group and task goes through the exchange)."""
+    from datetime import date
+
+    from loopcount.operators import profile
+    rows = []
+    for k in range(300):
+        site = "hot" if k % 3 == 0 else f"s{k}"
+        rows.append((site, "Tue", "POINT (1 2)", None, 1.0, 2.0, [k % 5] * 96, date(2012, 1, 31)))
+    obs = spark.createDataFrame(rows, "site string, day_of_week string, point_wkt string, road_wkt string, "
+                                      "lon double, lat double, volumes array<int>, obs_date date").repartition(8)
+    prof = profile.dow_profile(obs)
+    plan = prof._jdf.queryExecution().executedPlan().toString()
+    assert "partial_sum" in plan   # the function list is truncated after the first fields
+    hot = prof.where("site = 'hot' AND slot = 7").first()
+    assert hot.num_features == 100
+    assert abs(hot.avg_vehicle_count - sum(k % 5 for k in range(0, 300, 3)) / 100) < 1e-12
