@@ -14,6 +14,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 from loopcount.plans import queries as _q
 
+# The operators on texts, pages and vectors are an optional part: without their folder (and
+# the pipeline built on it) the other queries stand alone. Any other import error is raised.
+try:
+    import corpus_pipeline as _pipeline
+    from loopcount.llm import queries as _llm
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "loopcount.llm"):
+        raise
+    _pipeline = _llm = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 
@@ -23,7 +33,10 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_q.QUERIES)
+    found = dict(_q.QUERIES)
+    if _llm is not None:
+        found |= _llm.QUERIES | {"pipeline": _pipeline.run}
+    return found
 
 
 # --- oracle -----------------------------------------------------------------------------
@@ -147,6 +160,15 @@ FROM timed
 
 
 def oracle_sql() -> dict[str, str]:
+    found = _counts_oracle()
+    if _llm is not None:
+        found |= _llm.ORACLE_SQL
+        if _pipeline.ORACLE_SQL is not None:
+            found["pipeline"] = _pipeline.ORACLE_SQL
+    return found
+
+
+def _counts_oracle() -> dict[str, str]:
     wide = ", ".join(f"max(v) FILTER (WHERE slot = {i}) AS V{i:02d}" for i in range(_SLOTS))
     return {
         "clean_volumes": f"WITH {_RAW} SELECT site, detector, day, total, nonzero_slots FROM vol",
