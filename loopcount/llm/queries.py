@@ -3,10 +3,11 @@ where SQL can express the result."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loopcount.llm import neighbours, topk
+from loopcount.llm import bpe, neighbours, topk
 from loopcount.llm.common import table
 
 
@@ -20,9 +21,14 @@ def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.exact_topk(vectors, vectors.filter(F.col("vec_id") % 100 == 0), k=10)
 
 
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_texts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 QUERIES = {
     "op1_neighbours": op1_neighbours,
     "op4_topk": op4_topk,
+    "op7_bpe": op7_bpe,
 }
 
 _OP4 = """
