@@ -115,7 +115,7 @@ class MergeList:
         """Apply the merges to every window (stretches of ``symbols`` of the given sizes), lowest
         rank first and leftmost among equals."""
         out: list[np.ndarray] = [symbols[:0]] * len(sizes)
-        todo = np.arange(len(sizes))
+        todo, symbols = np.arange(len(sizes)), symbols.copy()
         last = np.zeros(len(symbols), bool)
         last[np.cumsum(sizes) - 1] = True
         rank, product = np.full(len(symbols), _NEVER), np.zeros(len(symbols), np.int64)
