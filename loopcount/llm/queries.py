@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loopcount.llm import bpe, neighbours, topk
+from loopcount.llm import bpe, neighbours, packing, topk
 from loopcount.llm.common import table
 
 
@@ -25,10 +25,15 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_texts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 QUERIES = {
     "op1_neighbours": op1_neighbours,
     "op4_topk": op4_topk,
     "op7_bpe": op7_bpe,
+    "op9_packing": op9_packing,
 }
 
 _OP4 = """
