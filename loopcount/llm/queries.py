@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loopcount.llm import bpe, neighbours, packing, topk
+from loopcount.llm import bpe, language, neighbours, packing, quality, topk
 from loopcount.llm.common import table
 
 
@@ -29,11 +29,21 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_of(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.languages_of(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_neighbours": op1_neighbours,
+    "op3_quality": op3_quality,
     "op4_topk": op4_topk,
     "op7_bpe": op7_bpe,
     "op9_packing": op9_packing,
+    "op10_language": op10_language,
 }
 
 _OP4 = """
