@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loopcount.llm import bpe, language, neighbours, packing, quality, topk
+from loopcount.llm import bpe, language, licenses, neighbours, packing, quality, topk, warc
 from loopcount.llm.common import table
 
 
@@ -21,6 +21,14 @@ def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.exact_topk(vectors, vectors.filter(F.col("vec_id") % 100 == 0), k=10)
 
 
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents")).drop("findings")
+
+
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_texts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -41,6 +49,8 @@ QUERIES = {
     "op1_neighbours": op1_neighbours,
     "op3_quality": op3_quality,
     "op4_topk": op4_topk,
+    "op5_licenses": op5_licenses,
+    "op6_warc": op6_warc,
     "op7_bpe": op7_bpe,
     "op9_packing": op9_packing,
     "op10_language": op10_language,
@@ -61,6 +71,18 @@ WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
 QUALIFY row_number() OVER w <= 10
 """
 
+_OP6 = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (
+  SELECT payload_digest, min(page_id) AS first FROM p WHERE octet_length(encode(html)) >= 100 GROUP BY ALL)
+SELECT p.page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes, p.payload_digest,
+       CASE WHEN f.first IS NULL OR f.first = p.page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN f.first <> p.page_id THEN f.first END AS refers_to
+FROM p LEFT JOIN f USING (payload_digest)
+"""
+
 ORACLE_SQL = {
+    "op6_warc": _OP6,
     "op4_topk": _OP4,
 }
