@@ -194,44 +194,73 @@ _ready: dict[int, tuple] = {}
 def identify(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, lang_pred, score, accepted, cross_entropy) of every whole text."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    token = shared._jbroadcast.id() if shared._jbroadcast is not None else id(model)
+    token = shared._jbroadcast.id()
 
     def run(batches):
-        if token not in _ready:
-            _ready.clear()
-            got = shared.value
-            log_p = got.log_probabilities()
-            _ready[token] = (log_p, *got.calibration(log_p), got.languages)
-        log_p, limit, variance, languages = _ready[token]
+        judge = _judge(token, shared)
         for batch in sliced(batches, size=1 << 19):
-            texts = batch.column(1).to_pylist()
-            code, at = windows(texts)
-            n = np.diff(at)
-            known = (n > 0) & bool(languages)
-            rows, total = len(texts), np.zeros((len(languages), len(texts)))
-            if known.any():
-                for i, table in enumerate(log_p):
-                    total[i, known] = -np.add.reduceat(table[code], at[:-1][known], dtype=np.float64)
-                entropy = total / np.maximum(n, 1)
-                best = entropy.argmin(axis=0)
-                lowest = entropy[best, np.arange(rows)]
-                weight = np.exp(-(entropy - lowest) * np.minimum(n, EVIDENCE))
-                accepted = known & (lowest <= limit[best] + DEVIATIONS * np.sqrt(variance[best] / np.maximum(n, 1)))
-                score = np.where(known, np.where(accepted, 1.0, 0.5) / weight.sum(axis=0), 0.0)
-            else:
-                best, accepted, score, lowest = np.zeros(rows, int), known, np.zeros(rows), np.zeros(rows)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([languages[b] if k else UNKNOWN for b, k in zip(best, known)], pa.string()),
-                 pa.array(score), pa.array(accepted), pa.array(np.where(known, lowest, 0.0))],
-                names=["doc_id", "lang_pred", "score", "accepted", "cross_entropy"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *judge(batch.column(1).to_pylist())],
+                                             names=["doc_id", "lang_pred", "score", "accepted", "cross_entropy"])
 
     return text_rows(docs).mapInArrow(run, "doc_id long, lang_pred string, score double, accepted boolean, cross_entropy double")
 
 
+def keep_known(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` (doc_id, text, lang), with all their columns, that a language accepts."""
+    ship_package(docs.sparkSession)
+    rows = _training_rows(docs)
+    shared = docs.sparkSession.sparkContext.broadcast(train(rows, _training()))
+    token = shared._jbroadcast.id()
+    at = docs.columns.index("text")
+
+    def run(batches):
+        judge = _judge(token, shared)
+        for batch in sliced(batches, at, 1 << 19):
+            yield batch.filter(judge(batch.column(at).to_pylist())[2])
+
+    return docs.mapInArrow(run, docs.schema)
+
+
+def _judge(token: int, shared):
+    """A function from texts to arrays (lang_pred, score, accepted, cross_entropy)."""
+    if token not in _ready:
+        _ready.clear()
+        got = shared.value
+        log_p = got.log_probabilities()
+        _ready[token] = (log_p, *got.calibration(log_p), got.languages)
+    log_p, limit, variance, languages = _ready[token]
+
+    def judge(texts: list[str | None]) -> list[pa.Array]:
+        code, at = windows(texts)
+        n, rows = np.diff(at), len(texts)
+        known = (n > 0) & bool(languages)
+        best, accepted, score, lowest = np.zeros(rows, int), known, np.zeros(rows), np.zeros(rows)
+        if known.any():
+            entropy = np.zeros((len(languages), rows))
+            for i, table in enumerate(log_p):
+                entropy[i, known] = -np.add.reduceat(table[code], at[:-1][known], dtype=np.float64)
+            entropy /= np.maximum(n, 1)
+            best = entropy.argmin(axis=0)
+            lowest = entropy[best, np.arange(rows)]
+            weight = np.exp(-(entropy - lowest) * np.minimum(n, EVIDENCE))
+            accepted = known & (lowest <= limit[best] + DEVIATIONS * np.sqrt(variance[best] / np.maximum(n, 1)))
+            score = np.where(known, np.where(accepted, 1.0, 0.5) / weight.sum(axis=0), 0.0)
+        return [pa.array([languages[b] if k else UNKNOWN for b, k in zip(best, known)], pa.string()), pa.array(score), pa.array(accepted), pa.array(lowest)]
+
+    return judge
+
+
+def _training_rows(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
+
+
+def _training() -> Column:
+    return F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))
+
+
 def languages_of(docs: DataFrame) -> DataFrame:
     """(doc_id, held_out, lang_pred, score, accepted, cross_entropy); learned from rows not held out."""
     ship_package(docs.sparkSession)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
-    model = train(rows, F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    found = identify(rows, model)
+    rows = _training_rows(docs)
+    found = identify(rows, train(rows, _training()))
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "accepted", "cross_entropy")

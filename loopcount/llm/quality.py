@@ -275,6 +275,19 @@ def score(docs: DataFrame, model: Additive) -> DataFrame:
     return text_rows(docs).mapInArrow(run, "doc_id long, score double")
 
 
+def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose score reaches THRESHOLD."""
+    ship_package(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(train(docs, labels))
+    at = docs.columns.index("text")
+
+    def run(batches):
+        for batch in sliced(batches, at):
+            yield batch.filter(pa.array(shared.value.score(features(batch.column(at))) >= THRESHOLD))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def quality_of(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, held_out, score, predicted)."""
     ship_package(docs.sparkSession)

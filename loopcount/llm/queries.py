@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loopcount.llm import bpe, language, licenses, neighbours, packing, quality, topk, warc
+from loopcount.llm import bpe, html, jaccard, language, licenses, neighbours, packing, quality, topk, warc
 from loopcount.llm.common import table
 
 
@@ -33,10 +33,18 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_texts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op2_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=85)
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_of(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -47,11 +55,13 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_neighbours": op1_neighbours,
+    "op2_jaccard": op2_jaccard,
     "op3_quality": op3_quality,
     "op4_topk": op4_topk,
     "op5_licenses": op5_licenses,
     "op6_warc": op6_warc,
     "op7_bpe": op7_bpe,
+    "op8_html": op8_html,
     "op9_packing": op9_packing,
     "op10_language": op10_language,
 }
