@@ -5,8 +5,8 @@ are folded into one, which leaves the page's skeleton. The most frequent skeleto
 its wrapper, and every page's skeleton is aligned with it by simple tree matching (the order
 preserving alignment of most nodes whose parents are aligned). Over all pages of the host two
 things are counted for each aligned node: its text mass, and in how many different pages the
-same text stands there. Nodes of the same text in most pages are template; so are the parts
-that HTML itself marks as no content (menus, forms, scripts, notices and so on, by element or
+same text stands there. Nodes of the same text in most pages are template, unless HTML marks
+them as article or main part; so are the parts that HTML itself marks as no content (menus, forms, scripts, notices and so on, by element or
 by name). The varying slots remain, and the deepest wrapper node that holds most of their mass
 is where the article is: the page's text in nodes aligned below it is its main text. A page
 that has no such node, or whose host has fewer than ``LEAST_PAGES`` different pages, is read by
@@ -58,6 +58,7 @@ NO_CONTENT_NAME = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?>[^>"']+|"[^"]*"|'[^']*')*+|[^>]*)>|<[!?][^>]*(?:>|\Z)""", re.S)
 _ATTRIBUTE = re.compile(r"""(?:^|[\s"'/])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _WHITE = re.compile(r"\s+")
+_MARKED = r"(^|>)(article|main)([.>]|$)"
 _DIGITS = re.compile(r"\d+")
 
 
@@ -94,6 +95,9 @@ def parse(source: str) -> Element:
                 if stack[i].tag == tag:
                     del stack[i:]
                     break
+            else:
+                if tag == "p":  # ends nothing, and stands for an empty paragraph
+                    stack[-1].children.append(Element("p", ""))
             continue
         if tag in ENDS_P:
             for i in range(len(stack) - 1, 0, -1):
@@ -375,7 +379,7 @@ def extract(pages: DataFrame) -> DataFrame:
     texts = slots.groupBy("host", "node", "text", "page").agg(F.sum("chars").alias("chars")).groupBy("host", "node", "text").agg(
         F.count("*").alias("pages"), F.sum("chars").alias("chars"))
     n_pages = rows.select("host", F.xxhash64("html").alias("page")).distinct().groupBy("host").agg(F.count("*").alias("n_pages"))
-    constant = (F.col("pages") >= LEAST_PAGES) & (F.col("pages") >= CONSTANT_SHARE * F.col("n_pages"))
+    constant = (F.col("pages") >= LEAST_PAGES) & (F.col("pages") >= CONSTANT_SHARE * F.col("n_pages")) & ~F.col("node").rlike(_MARKED)
     judged = texts.join(n_pages, "host").withColumn("constant", constant)
     by_node = judged.groupBy("host", "node").agg(F.sum(F.when(~F.col("constant"), F.col("chars")).otherwise(0)).alias("mass"),
                                                  F.collect_list(F.when(F.col("constant"), F.col("text"))).alias("texts"), F.first("n_pages").alias("n_pages"))

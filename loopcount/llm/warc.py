@@ -91,13 +91,13 @@ class Members:
         self.found = False  # a WARC record has begun in this range
         self._open = None  # decompressor, chunks and content of a member that goes on
 
-    def feed(self, chunk: bytes) -> tuple[bytes | None, list[bytes]]:
-        """(content of a member that ends in this chunk, chunks that belong to no member here)."""
+    def feed(self, chunk: bytes) -> tuple[list[bytes], list[bytes]]:
+        """(contents of members that end by this chunk, chunks that belong to no member here)."""
         if self._open is not None and self._sure():
             try:
                 return self._go_on(chunk), []
-            except zlib.error:  # a damaged member; the chunk may begin one itself
-                self._open = None
+            except zlib.error:
+                return self._again([chunk])
         packer = zlib.decompressobj(31)
         try:
             content = packer.decompress(chunk)
@@ -109,21 +109,38 @@ class Members:
                 return self._go_on(chunk), []
             except zlib.error:
                 pass
-        lost = self.rest(drop=True)
+        lost = self.rest() if not self.found else []
+        self._open = None
         if content is not None and b"WARC/".startswith(content[:5]):
-            self._open = (packer, [chunk], [content])
             self.found |= likely
+            if packer.eof and content:
+                return [content], lost
             if not packer.eof:
-                return None, lost
-            self._open = None
-            if content:
-                return content, lost
-        return None, lost + ([] if self.found else [chunk])
+                self._open = (packer, [chunk], [content])
+                return [], lost
+        return [], lost + ([] if self.found else [chunk])
+
+    def _again(self, more: list[bytes]) -> tuple[list[bytes], list[bytes]]:
+        """A damaged member: the chunks after its first may hold members themselves."""
+        chunks, contents, lost = self._open[1][1:] + more, [], []
+        self._open = None
+        for chunk in chunks:
+            got, away = self.feed(chunk)
+            contents += got
+            lost += away
+        return contents, lost
+
+    def finish(self) -> list[bytes]:
+        """Contents of the members behind one that never ended."""
+        contents: list[bytes] = []
+        while self._open is not None:
+            contents += self._again([])[0]
+        return contents
 
     def _sure(self) -> bool:
         return any(self._open[2])
 
-    def _go_on(self, chunk: bytes) -> bytes | None:
+    def _go_on(self, chunk: bytes) -> list[bytes]:
         packer, raw, content = self._open
         new = packer.decompress(chunk)
         if not self._sure() and not b"WARC/".startswith(new[:5]):
@@ -132,19 +149,13 @@ class Members:
         content.append(new)
         self.found |= self._sure()
         if not packer.eof:
-            return None
+            return []
         self._open = None
-        return b"".join(content)
+        return [b"".join(content)]
 
-    def rest(self, drop: bool = False) -> list[bytes]:
-        """The chunks of a member that goes on; to drop: of one that turned out to be none."""
-        if self._open is None:
-            return []
-        _, raw, _ = self._open
-        if drop:
-            self._open = None
-            return [] if self.found else raw
-        return raw
+    def rest(self) -> list[bytes]:
+        """The chunks of a member that goes on."""
+        return self._open[1] if self._open is not None else []
 
 
 def parse(content: bytes) -> dict | None:
@@ -204,7 +215,7 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> Data
     fields = _RECORD
 
     def row(content: bytes) -> dict | None:
-        got = parse(content) if content else None
+        got = parse(content)
         if got and not payloads:
             got["payload"] = None
         return got
@@ -215,13 +226,12 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> Data
             if ends:
                 members = Members()
                 continue
-            content, _ = members.feed(chunk)
-            if got := row(content):
+            for got in filter(None, map(row, members.feed(chunk)[0])):
                 out.append(got)
                 size += len(got["payload"] or b"") + 200
-                if size > 1 << 20:
-                    yield _batch(out, fields)
-                    out, size = [], 0
+            if size > 1 << 20:
+                yield _batch(out, fields)
+                out, size = [], 0
         yield _batch(out, fields)
 
     def torn(batches) -> Iterator[pa.RecordBatch]:
@@ -234,11 +244,10 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> Data
                 members, place = Members(), 0
 
     def joined(pieces: pa.Table) -> pa.Table:
-        members, out = Members(), []
+        members, contents = Members(), []
         for piece in pieces.sort_by([("block", "ascending"), ("place", "ascending")])["piece"].to_pylist():
-            if got := row(members.feed(piece)[0]):
-                out.append(got)
-        return pa.Table.from_batches([_batch(out, fields)])
+            contents += members.feed(piece)[0]
+        return pa.Table.from_batches([_batch(list(filter(None, map(row, contents + members.finish()))), fields)])
 
     chunks = (spark.read.option("lineSep", MAGIC.decode("latin-1")).option("encoding", "ISO-8859-1").text(path)
               .select(F.col("value").cast("binary").alias("value"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")))
