@@ -1,0 +1,101 @@
+"""op2 against brute force."""
+
+import random
+import re
+from collections import Counter, defaultdict
+
+import pytest
+
+from loopcount.llm import jaccard
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+LOWER = {i: i + 32 for i in range(65, 91)}
+
+
+def brute(rows, words, percent):
+    sets, holders = {}, defaultdict(list)
+    for i, text in rows:
+        w = WORD.findall((text or "").translate(LOWER))
+        sets[i] = {tuple(w[j:j + words]) for j in range(len(w) - words + 1)} if len(w) >= words else {tuple(w)} - {()}
+        for g in sets[i]:
+            holders[g].append(i)
+    parent = {i: i for i in sets}
+
+    def top(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, x in sets.items():
+        for j, n in Counter(j for g in x for j in holders[g] if j != i).items():
+            if 100 * n >= percent * (len(x) + len(sets[j]) - n):
+                a, b = sorted((top(i), top(j)))
+                parent[b] = a
+    return {i: (len(x), top(i)) for i, x in sets.items()}
+
+
+def result(df):
+    rows = df.collect()
+    return {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in rows}, len(rows)
+
+
+def texts(seed, n=120):
+    rnd = random.Random(seed)
+    vocabulary = ["w%d" % i for i in range(40)] + ["É", "ß,"]
+    passage = " ".join(rnd.choice(vocabulary) for _ in range(30))
+    out = []
+    for _ in range(n):
+        kind = rnd.random()
+        if kind < 0.6 and out:
+            w = rnd.choice(out).split(" ")
+            for _ in range(rnd.randint(0, 3)):
+                w[rnd.randrange(len(w))] = rnd.choice(vocabulary).upper()
+            out.append(" ".join(w))
+        else:
+            out.append(" ".join(rnd.choice(vocabulary) for _ in range(rnd.choice((1, 2, 3, 4, 5, 40, 90)))) + (" " + passage if kind > 0.8 else ""))
+    return out
+
+
+@pytest.mark.parametrize("words,percent,seed", [(4, 85, 1), (4, 85, 2), (5, 80, 3), (2, 50, 4)])
+def test_components_equal_brute_force(docs, words, percent, seed, monkeypatch):
+    monkeypatch.setattr(jaccard, "SAMPLE_SHARE", 0.5)
+    rows = list(enumerate(texts(seed)))
+    rows += [(900, None), (901, ""), (902, " \n\t"), (903, "One two"), (904, "one  TWO"), (905, "one two three")]
+    got, n = result(jaccard.near_duplicates(docs(rows), words, percent))
+    assert n == len(rows) and got == brute(rows, words, percent)
+
+
+def test_many_copies_and_chains(docs):
+    base = ["x%d" % i for i in range(200)]
+    rows = [(i, " ".join(base)) for i in range(50, 90)]
+    rows += [(i, " ".join(base[:i] + ["new%d" % i] + base[i + 1:])) for i in range(100, 140)]
+    rows += [(200 + i, " ".join(base[i:] + ["tail%d" % j for j in range(i)])) for i in range(0, 100, 5)]
+    got, _ = result(jaccard.near_duplicates(docs(rows), 4, 85))
+    assert got == brute(rows, 4, 85)
+
+
+def test_null_ids_repeated_rows_and_empty_tables(docs):
+    rows = [(None, "a b c d e f"), (1, "a b c d e f"), (1, "a b c d e f"), (2, "A B C D E F")]
+    found = sorted(map(tuple, jaccard.near_duplicates(docs(rows), 4, 85).collect()), key=str)
+    assert found == [(1, 3, 1), (1, 3, 1), (2, 3, 1), (None, 3, None)]
+    assert jaccard.near_duplicates(docs([]), 4, 85).count() == 0
+    kept = sorted((r["doc_id"] is None, r["doc_id"]) for r in jaccard.keep_one_of_each(docs(rows), 4, 85).collect())
+    assert kept == [(False, 1), (True, None)]
+
+
+def test_components_of_a_long_path(spark):
+    links = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101)], "u long, v long")
+    got = dict(map(tuple, jaccard.components(links).collect()))
+    assert got == {i: 0 for i in range(1, 61)} | {101: 100}
+
+
+def test_prefix_length_keeps_a_shared_gram():
+    for n in range(1, 200):
+        assert jaccard.prefix_length(n, 85) == n - -(-85 * n // 100) + 1
+    assert jaccard.prefix_length(0, 85) == 0
+
+
+def test_a_very_long_text(docs):
+    long = " ".join(str(i) for i in range(300_000))
+    got, _ = result(jaccard.near_duplicates(docs([(1, long), (2, long + " end"), (3, "short one")]), 4, 85))
+    assert got == {1: (299_997, 1), 2: (299_998, 1), 3: (1, 3)}
