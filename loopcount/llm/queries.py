@@ -81,6 +81,27 @@ WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
 QUALIFY row_number() OVER w <= 10
 """
 
+_OP2 = """
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\\x20\\x09-\\x0D]+') AS a
+  FROM documents),
+g AS (
+  SELECT DISTINCT doc_id, unnest(list_transform(range(1, greatest(2, len(a) - 2)), lambda i: array_to_string(a[i:i + 3], ' '))) AS gram
+  FROM w WHERE len(a) > 0),
+n AS (
+  SELECT w.doc_id, count(g.gram) AS n_shingles FROM w LEFT JOIN g USING (doc_id) GROUP BY ALL),
+c AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM g x JOIN g y ON x.gram = y.gram AND x.doc_id < y.doc_id GROUP BY ALL),
+l AS (
+  SELECT a, b FROM c JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * k >= 85 * (p.n_shingles + q.n_shingles - k)),
+sym AS (
+  SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (
+  SELECT doc_id AS a, doc_id AS b FROM n UNION SELECT r.a, sym.b FROM r JOIN sym ON sym.a = r.b)
+SELECT n.doc_id, n.n_shingles, min(r.b) AS component_id FROM n JOIN r ON r.a = n.doc_id GROUP BY ALL
+"""
+
 _OP6 = """
 WITH p AS (
   SELECT page_id, coalesce(html, '') AS html, sha256(coalesce(html, '')) AS payload_digest FROM pages),
@@ -93,6 +114,7 @@ FROM p LEFT JOIN f USING (payload_digest)
 """
 
 ORACLE_SQL = {
+    "op2_jaccard": _OP2,
     "op6_warc": _OP6,
     "op4_topk": _OP4,
 }
