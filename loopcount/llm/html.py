@@ -380,7 +380,7 @@ def extract(pages: DataFrame) -> DataFrame:
         F.count("*").alias("pages"), F.sum("chars").alias("chars"))
     n_pages = rows.select("host", F.xxhash64("html").alias("page")).distinct().groupBy("host").agg(F.count("*").alias("n_pages"))
     constant = (F.col("pages") >= LEAST_PAGES) & (F.col("pages") >= CONSTANT_SHARE * F.col("n_pages")) & ~F.col("node").rlike(_MARKED)
-    judged = texts.join(n_pages, "host").withColumn("constant", constant)
+    judged = texts.join(hint(n_pages), "host").withColumn("constant", constant)
     by_node = judged.groupBy("host", "node").agg(F.sum(F.when(~F.col("constant"), F.col("chars")).otherwise(0)).alias("mass"),
                                                  F.collect_list(F.when(F.col("constant"), F.col("text"))).alias("texts"), F.first("n_pages").alias("n_pages"))
 
