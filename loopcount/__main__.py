@@ -1,10 +1,11 @@
-"""Command line for spark-submit: ``python -m loopcount import|profile ...``.
-
-    spark-submit --py-files loopcount.zip -m loopcount import \\
-        --volumes s3://b/volumes/ --layouts s3://b/layouts.csv --points s3://b/sites.csv \\
-        --lines s3://b/roads.csv --output s3://b/observations
-    spark-submit ... -m loopcount profile --observations s3://b/observations \\
-        --output s3://b/dow_profile [--day-of-week Tue]
+"""Command line of the two jobs: ``python -m loopcount import|profile ...``, or on a cluster
+
+    zip -r loopcount.zip loopcount
+    spark-submit --conf spark.checkpoint.dir=hdfs:///shared/loopcount --py-files loopcount.zip \\
+        loopcount_job.py import --volumes hdfs:///in/volumes/ --layouts hdfs:///in/layouts.csv \\
+        --points hdfs:///in/sites.csv --lines hdfs:///in/roads.csv --output hdfs:///out/observations
+    spark-submit ... loopcount_job.py profile --observations hdfs:///out/observations \\
+        --output hdfs:///out/dow_profile [--day-of-week Tue]
 """
 
 from __future__ import annotations
@@ -27,17 +28,13 @@ def parse(argv: list[str]) -> argparse.Namespace:
     imp.add_argument("--points", required=True, nargs="+", help="site point CSV files (WKT, SITE_NO)")
     imp.add_argument("--lines", nargs="+", help="road line CSV files (WKT, hfidl, hfidr); optional")
     imp.add_argument("--output", required=True, help="observations table path")
-    imp.add_argument("--mode", default="overwrite", choices=["overwrite", "append"])
-    imp.add_argument("--positional-header", action="store_true",
-                     help="read volume columns by position instead of checking header names")
+    imp.add_argument("--mode", default="merge", choices=["merge", "create"],
+                     help="merge into the table by feature id, or create it")
     imp.add_argument("--max-broadcast-bytes", type=int, help="largest lookup to broadcast")
-    imp.add_argument("--cluster-by-site", action="store_true",
-                     help="one shuffle at import so that files hold whole sites (cheaper profiles)")
     prof = sub.add_parser("profile", help="average observations by site, weekday and slot (E2)")
     prof.add_argument("--observations", required=True, help="observations table path")
     prof.add_argument("--output", required=True, help="profile table path")
     prof.add_argument("--day-of-week", nargs="+", help="only these weekdays, e.g. Tue")
-    prof.add_argument("--mode", default="overwrite", choices=["overwrite", "append"])
     return p.parse_args(argv)
 
 
@@ -47,10 +44,9 @@ def main(argv: list[str] | None = None) -> int:
     start = time.perf_counter()
     if args.job == "import":
         jobs.import_job(spark, args.output, args.volumes, args.layouts, args.points, args.lines,
-                        mode=args.mode, strict_header=not args.positional_header,
-                        max_broadcast_bytes=args.max_broadcast_bytes, cluster_by_site=args.cluster_by_site)
+                        mode=args.mode, max_broadcast_bytes=args.max_broadcast_bytes)
     else:
-        jobs.profile_job(spark, args.observations, args.output, day_of_week=args.day_of_week, mode=args.mode)
+        jobs.profile_job(spark, args.observations, args.output, day_of_week=args.day_of_week)
     print(f"{args.job} finished in {time.perf_counter() - start:.1f} s", file=sys.stderr)
     return 0
 

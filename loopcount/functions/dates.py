@@ -1,12 +1,10 @@
-"""Date and id expressions (F1-F5). All zone-free: nothing depends on the session time zone."""
+"""Date and id expressions (F1, F2, F4; the slot times F3 and F5 are constants of the profile). All zone-free: nothing depends on the session time zone."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from loopcount.schemas import SLOT_MINUTES
-
 
 def interval_date(text: Column) -> Column:
     """date part of 'yyyy-MM-dd HH:mm:ss' (text before the first blank); invalid dates raise."""
@@ -22,23 +20,16 @@ def day_of_week(date: Column) -> Column:
     return F.date_format(date, "EEE")
 
 
+def month(date: Column) -> Column:
+    """Year and month as one number, e.g. 201201."""
+    return F.year(date) * 100 + F.month(date)
+
+
 def epoch_millis(date: Column) -> Column:
     """Milliseconds from 1970-01-01 to the start of ``date``."""
     return F.unix_date(date).cast("bigint") * F.lit(86_400_000)
 
 
 def observation_id(site: Column, detector: Column, date: Column) -> Column:
-    """'site-detector-epochMillis'."""
-    return F.concat_ws("-", site, detector, epoch_millis(date).cast("string"))
-
-
-def time_of_day(slot: Column) -> Column:
-    """slot i → 1970-01-01 plus 15*i minutes, as TIMESTAMP_NTZ."""
-    minutes = slot * SLOT_MINUTES
-    return F.make_timestamp_ntz(F.lit(1970), F.lit(1), F.lit(1),
-                                (minutes / 60).cast("int"), minutes % 60, F.lit(0))
-
-
-def profile_id(site: Column, detector: Column, dow: Column, tod: Column) -> Column:
-    """'site-detector-day-HH:mm'."""
-    return F.concat_ws("-", site, detector, dow, F.date_format(tod, "HH:mm"))
+    """'site-detector-epochMillis'; NULL if any part is."""
+    return F.concat(site, F.lit("-"), detector, F.lit("-"), epoch_millis(date).cast("string"))

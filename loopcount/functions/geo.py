@@ -27,7 +27,7 @@ _LINE_BODY = rf"\(\s*{_COORD}(?:\s*,\s*{_COORD})*\s*\)"
 _MULTI_BODY = rf"\(\s*{_LINE_BODY}(?:\s*,\s*{_LINE_BODY})*\s*\)"
 
 POINT_RE = rf"(?i)^POINT\s*(?:ZM|Z|M)?\s*\(\s*({_NUM})\s+({_NUM})(?:\s+{_NUM}){{0,2}}\s*\)$"
-LINE_RE = rf"(?i)^(MULTILINESTRING|LINESTRING)\s*(ZM|Z|M)?\s*(\(.*\)|EMPTY)$"
+LINE_RE = rf"(?is)^(MULTILINESTRING|LINESTRING)\s*(ZM|Z|M)?\s*(\(.*\)|EMPTY)$"
 LINE_BODY_RE = rf"^(?:{_LINE_BODY}|EMPTY)$"
 MULTI_BODY_RE = rf"^(?:{_MULTI_BODY}|EMPTY)$"
 
@@ -38,15 +38,15 @@ def missing_to_null(wkt: Column) -> Column:
     return F.when(text.isin("", "null"), F.lit(None).cast("string")).otherwise(text)
 
 
-def point_coords(wkt: Column, site: Column) -> tuple[Column, Column]:
-    """(lon, lat) of a POINT text; any other non-null text raises, naming the site."""
-    bad = wkt.isNotNull() & ~wkt.rlike(POINT_RE)
+def is_point_or_null(wkt: Column, site: Column) -> Column:
+    """D22 as a filter: true, or an error that names the site of a text that is no POINT."""
     fail = F.raise_error(F.concat(F.lit("site "), site, F.lit(" has no POINT geometry: "), wkt))
+    return F.when(wkt.isNotNull() & ~wkt.rlike(POINT_RE), fail).otherwise(F.lit(True))
 
-    def part(i: int) -> Column:
-        value = F.regexp_extract(wkt, POINT_RE, i).cast("double")
-        return F.when(bad, fail).otherwise(F.when(wkt.isNotNull(), value))
 
+def point_coords(wkt: Column) -> tuple[Column, Column]:
+    """(lon, lat) of a checked POINT text."""
+    part = lambda i: F.when(wkt.isNotNull(), F.regexp_extract(wkt, POINT_RE, i).cast("double"))
     return part(1), part(2)
 
 
@@ -57,25 +57,36 @@ def _canonical_spacing(body: Column) -> Column:
     return F.regexp_replace(body, r"\s*\)", ")")
 
 
-def road_multilinestring(wkt: Column) -> Column:
-    """MULTILINESTRING text of a road; LINESTRING is wrapped; other kinds give NULL.
-
-    A LINESTRING/MULTILINESTRING whose coordinate list is malformed raises.
-    """
+def _line(wkt: Column) -> tuple[Column, Column, Column, Column]:
+    """Kind, dimensions and canonical body of a line text, and whether the body is well formed."""
     kind = F.upper(F.regexp_extract(wkt, LINE_RE, 1))
     dim = F.upper(F.regexp_extract(wkt, LINE_RE, 2))
     raw_body = F.regexp_extract(wkt, LINE_RE, 3)
     body = F.when(F.upper(raw_body) == "EMPTY", F.lit("EMPTY")).otherwise(_canonical_spacing(raw_body))
     valid = F.when(kind == "LINESTRING", body.rlike(LINE_BODY_RE)).otherwise(body.rlike(MULTI_BODY_RE))
+    return kind, dim, body, valid
+
+
+def is_line_other_or_null(wkt: Column) -> Column:
+    """A filter: true, or an error for a LINESTRING or MULTILINESTRING whose coordinates are malformed."""
+    kind, _, _, valid = _line(wkt)
+    looks_like_line = F.upper(F.trim(wkt)).rlike(r"^(MULTI)?LINESTRING\b")
+    return F.when(wkt.isNotNull() & looks_like_line & ((kind == "") | ~valid),
+                  F.raise_error(F.concat(F.lit("malformed line geometry: "), wkt))).otherwise(F.lit(True))
+
+
+def road_multilinestring(wkt: Column) -> Column:
+    """MULTILINESTRING text of a checked line; LINESTRING is wrapped; other kinds give NULL."""
+    kind, dim, body, _ = _line(wkt)
     wrapped = F.when((kind == "LINESTRING") & (body != "EMPTY"), F.concat(F.lit("("), body, F.lit(")"))
                      ).otherwise(body)
     head = F.when(dim == "", F.lit("MULTILINESTRING ")).otherwise(F.concat(F.lit("MULTILINESTRING "), dim, F.lit(" ")))
-    looks_like_line = F.upper(F.trim(wkt)).rlike(r"^(MULTI)?LINESTRING\b")
-    return (F.when(wkt.isNull(), F.lit(None).cast("string"))
-            .when(looks_like_line & ((kind == "") | ~valid),
-                  F.raise_error(F.concat(F.lit("malformed line geometry: "), wkt)))
-            .when(kind == "", F.lit(None).cast("string"))
-            .otherwise(F.concat(head, wrapped)))
+    return F.when(wkt.isNotNull() & (kind != ""), F.concat(head, wrapped))
+
+
+def road_key(road_wkt: Column) -> Column:
+    """A short key of the road text; NULL for no road."""
+    return F.when(road_wkt.isNotNull(), F.xxhash64(road_wkt))
 
 
 def road_parts(road_wkt: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loopcount.functions import clean
@@ -12,14 +12,19 @@ from loopcount.schemas import SLOT_NAMES
 KEYS = ["site", "qt_interval", "detector"]
 
 
-def clean_volumes(raw: DataFrame) -> DataFrame:
-    """Rows with a usable count -> site, qt_interval, detector, volumes ARRAY<INT> (96)."""
-    return raw.where(clean.is_usable(F.col("raw"))).select(*KEYS, clean.cleaned("raw").alias("volumes"))
+def _where(raw: DataFrame, condition: Column) -> DataFrame:
+    return raw.where(clean.checked(condition, F.col("raw"), [F.col(k) for k in KEYS]))
+
+
+def clean_volumes(raw: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """Rows with a usable count -> site, qt_interval, detector, volumes ARRAY<INT> (96), and the
+    columns ``keep`` (the order of rows)."""
+    return _where(raw, clean.is_usable(F.col("raw"))).select(*KEYS, clean.cleaned("raw").alias("volumes"), *(keep or []))
 
 
 def dropped_volumes(raw: DataFrame) -> DataFrame:
     """Rows the cleaner drops: no count present and >= 0."""
-    return raw.where(~clean.is_usable(F.col("raw"))).select(*KEYS)
+    return _where(raw, ~clean.is_usable(F.col("raw"))).select(*KEYS)
 
 
 def wide(volumes: DataFrame, keys: list[str]) -> DataFrame:

@@ -8,17 +8,18 @@ from pyspark.sql import functions as F
 from loopcount.functions import dates, geo
 
 OBSERVATION_COLUMNS = [
-    "feature_id", "site", "detector", "obs_date", "day_of_week", "volumes", "point_wkt", "lon", "lat",
-    "ds_location", "nb_lane", "lane_mvt", "loc_mvt", "hf_id", "road_wkt", "road",
+    "feature_id", "site", "detector", "obs_date", "day_of_week", "obs_month", "volumes", "point_wkt", "lon",
+    "lat", "ds_location", "nb_lane", "lane_mvt", "loc_mvt", "hf_id", "road_wkt", "road_key", "road",
 ]
 GEOMETRY_COLUMNS = {"point_wkt", "lon", "lat", "road_wkt", "road"}
-FLAT_OBSERVATION_COLUMNS = [c for c in OBSERVATION_COLUMNS if c not in ("volumes", "road")]
+FLAT_OBSERVATION_COLUMNS = [c for c in OBSERVATION_COLUMNS if c not in ("obs_month", "volumes", "road_key", "road")]
 
 
 def dated(volumes: DataFrame) -> DataFrame:
-    """site, detector, obs_date, volumes from cleaned rows."""
+    """site, detector, obs_date, volumes from cleaned rows, and their order columns."""
+    others = [c for c in volumes.columns if c not in ("site", "detector", "qt_interval", "volumes")]
     return volumes.select("site", "detector", dates.interval_date(F.col("qt_interval")).alias("obs_date"),
-                          "volumes")
+                          "volumes", *others)
 
 
 def placed_points(points: DataFrame) -> DataFrame:
@@ -30,16 +31,18 @@ def observations(volumes: DataFrame, points: DataFrame, layout: DataFrame) -> Da
     """J1 + P7 as an inner join on site (J4), then J3: left join on (site, detector)."""
     placed = dated(volumes).join(placed_points(points), "site", "inner")
     joined = placed.join(layout, ["site", "detector"], "left")
-    return finish(joined)
+    return finish(joined, [c for c in placed.columns if c.startswith("_")])
 
 
-def finish(joined: DataFrame) -> DataFrame:
-    """Weekday and feature id, geometry tagged with its SRID, target column order."""
+def finish(joined: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """Weekday and feature id, geometry tagged with its SRID, target column order,
+    then the order columns ``keep``."""
     out = (joined
            .withColumn("day_of_week", dates.day_of_week(F.col("obs_date")))
+           .withColumn("obs_month", dates.month(F.col("obs_date")))
            .withColumn("feature_id", dates.observation_id(F.col("site"), F.col("detector"), F.col("obs_date"))))
     return out.select(*[geo.with_srid(F.col(c), c) if c in GEOMETRY_COLUMNS else F.col(c)
-                        for c in OBSERVATION_COLUMNS])
+                        for c in OBSERVATION_COLUMNS], *(keep or []))
 
 
 def unplaced(volumes: DataFrame, points: DataFrame) -> DataFrame:

@@ -16,6 +16,7 @@ from loopcount.functions import geo
 # Default layout order when the caller gives none: the layout date, then all other fields.
 DEFAULT_LAYOUT_ORDER = ["dt_general", "ds_location", "nb_lane", "lane_mvt", "loc_mvt", "hf_id"]
 
+ROAD_COLUMNS = ["road_wkt", "road_key", "road"]
 LAYOUT_COLUMNS = ["site", "detector", "ds_location", "nb_lane", "lane_mvt", "loc_mvt", "hf_id"]
 
 
@@ -43,26 +44,34 @@ def site_points(points: DataFrame, order: list) -> DataFrame:
     POINT raises, naming the site (D22).
     """
     last = last_per_key(points.where(F.col("site").isNotNull()), ["site"], order)
-    wkt = geo.missing_to_null(F.col("wkt"))
-    lon, lat = geo.point_coords(wkt, F.col("site"))
-    return last.select("site", wkt.alias("point_wkt"), lon.alias("lon"), lat.alias("lat"))
+    last = last.select("site", geo.missing_to_null(F.col("wkt")).alias("point_wkt"))
+    lon, lat = geo.point_coords(F.col("point_wkt"))
+    return last.where(geo.is_point_or_null(F.col("point_wkt"), F.col("site"))).select("site", "point_wkt", lon.alias("lon"), lat.alias("lat"))
 
 
 def road_lookup(lines: DataFrame, order: list) -> DataFrame:
     """Each line is indexed under its left and its right flow id; the later record wins,
     and within a record the right id is written after the left one.
 
-    -> hf_id, wkt (as read), road_wkt (MULTILINESTRING text or NULL), road (nested coordinates).
+    -> hf_id, wkt (as read), road_wkt (MULTILINESTRING text or NULL), road (nested coordinates),
+    road_key (a 64-bit hash of road_wkt that stands for the text in group keys).
     """
     ids = (lines.select(F.posexplode(F.array("hfidl", "hfidr")).alias("_side", "hf_id"), "wkt", *order)
            .where(F.col("hf_id").isNotNull() & (F.col("hf_id") != "")))
     last = last_per_key(ids, ["hf_id"], list(order) + ["_side"])
-    wkt = geo.missing_to_null(F.col("wkt"))
-    road_wkt = geo.road_multilinestring(wkt)
-    return (last.select("hf_id", wkt.alias("wkt"), road_wkt.alias("road_wkt"))
+    last = last.select("hf_id", geo.missing_to_null(F.col("wkt")).alias("wkt")).where(geo.is_line_other_or_null(F.col("wkt")))
+    return (last.withColumn("road_wkt", geo.road_multilinestring(F.col("wkt")))
+            .withColumn("road_key", geo.road_key(F.col("road_wkt")))
             .withColumn("road", geo.road_parts(F.col("road_wkt"))))
 
 
+def road_points(roads: DataFrame) -> DataFrame:
+    """F7 flattened: hf_id, part and position (from 0), lon, lat of every coordinate of a road."""
+    parts = roads.select("hf_id", F.posexplode("road").alias("part", "coords"))
+    return (parts.select("hf_id", "part", F.posexplode("coords").alias("position", "coord"))
+            .select("hf_id", "part", "position", F.col("coord.lon").alias("lon"), F.col("coord.lat").alias("lat")))
+
+
 def first_layout(layouts: DataFrame, order: list | None = None) -> DataFrame:
     """A1: one whole layout row per (site, detector), the first in ``order``."""
     order = list(order) if order else DEFAULT_LAYOUT_ORDER
@@ -73,7 +82,7 @@ def first_layout(layouts: DataFrame, order: list | None = None) -> DataFrame:
 def layout_roads(layout: DataFrame, roads: DataFrame | None) -> DataFrame:
     """Attach road text and coordinates to each reduced layout row by flow id (left join)."""
     if roads is None:
-        return (layout.withColumn("road_wkt", F.lit(None).cast("string"))
-                .withColumn("road", geo.road_parts(F.lit(None).cast("string"))))
-    return layout.join(roads.select("hf_id", "road_wkt", "road"), "hf_id", "left").select(
-        *LAYOUT_COLUMNS, "road_wkt", "road")
+        none = F.lit(None).cast("string")
+        return (layout.withColumn("road_wkt", none).withColumn("road_key", geo.road_key(none))
+                .withColumn("road", geo.road_parts(none)))
+    return layout.join(roads.select("hf_id", *ROAD_COLUMNS), "hf_id", "left").select(*LAYOUT_COLUMNS, *ROAD_COLUMNS)

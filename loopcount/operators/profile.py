@@ -2,8 +2,9 @@
 
 Detectors of a site are pooled (detector 'all'); the group key is site, weekday, point and
 road text. The 96 slot sums and the record count are one hash aggregate, combined map-side
-before the shuffle, so a hot group costs one partial row per map task. Only the aggregated
-rows are exploded into 96 slot rows.
+before the shuffle, so a hot group costs one partial row per map task. The road stands in the
+key as its 64-bit key (equal texts have equal keys, no road is NULL, one group); the text is
+attached to the aggregated rows. Only these are exploded into 96 slot rows.
 """
 
 from __future__ import annotations
@@ -26,16 +27,20 @@ PROFILE_COLUMNS = [
 
 def slot_sums(observations: DataFrame) -> DataFrame:
     """A2: per group, BIGINT sums of the 96 slots and the number of records."""
-    return observations.groupBy(*GROUP_KEYS).agg(
+    if "road_key" not in observations.columns:
+        observations = observations.withColumn("road_key", geo.road_key(F.col("road_wkt")))
+    sums = observations.groupBy("site", "day_of_week", "point_wkt", "road_key").agg(
         slot_array("sum(volumes[{i}])").alias("sums"),
         F.count(F.lit(1)).alias("num_features"),
         F.max("lon").alias("lon"),
         F.max("lat").alias("lat"))
+    roads = observations.where(F.col("road_key").isNotNull()).groupBy("road_key").agg(F.min("road_wkt").alias("road_wkt"))
+    return sums.join(roads, "road_key", "left")
 
 
 def _slot_constants() -> Column:
     """Literal ARRAY<STRUCT<slot, time_of_day, hhmm>> for the 96 slots (F3 and the time part
-    of F5 computed once, not per output row); equal to ``dates.time_of_day(slot)``."""
+    of F5 computed once, not per output row)."""
     items = []
     for i in range(SLOTS):
         minutes = i * SLOT_MINUTES

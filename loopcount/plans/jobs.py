@@ -1,8 +1,9 @@
-"""The two jobs of the application, as lazy DataFrames plus thin write wrappers.
+"""The two jobs of the application, as DataFrames plus thin write wrappers.
 
 Import (E1): clean raw rows, attach the site point (inner), the first layout row of the
-detector and its road (left). Every lookup is measured and broadcast when small, so the large
-volume table is read once and never shuffled. Profile (E2): one partial+final aggregate.
+detector and its road (left). Building an import runs small jobs at once: every lookup is
+written to the shared folder, measured, and broadcast when small, so the joins read the large
+volume table once without shuffling it. Profile (E2): one partial+final aggregate.
 """
 
 from __future__ import annotations
@@ -15,93 +16,63 @@ from pyspark.sql import functions as F
 from loopcount import sinks
 from loopcount.functions import geo
 from loopcount.operators import cleaning, enrich, lookups, profile
-from loopcount.operators.broadcast import bounded_broadcast
+from loopcount.operators.broadcast import measured
 from loopcount.sources import csv as csv_source
-from loopcount.session import shared_dir
 from loopcount.sources.tables import read_table
 
 
 @dataclass(frozen=True)
 class Lookups:
+    """Site points and reduced layouts with roads, written and hinted as measured."""
     points: DataFrame
     layout: DataFrame
-    points_broadcast: bool = True
-    layout_broadcast: bool = True
 
-    def unpersist(self) -> None:
-        """Release the measured (persisted) lookups once the job that used them is written."""
-        self.points.unpersist()
-        self.layout.unpersist()
 
-    def checkpointed(self) -> "Lookups":
-        """The lookups written to the checkpoint folder (lineage cut), broadcast as measured.
-
-        Needed where the lineage may not be re-run, e.g. as the static side of a stream."""
-        shared_dir(self.points.sparkSession)   # the checkpoint folder must be named on a cluster
-
-        def cut(df: DataFrame, hint: bool) -> DataFrame:
-            done = df.checkpoint(eager=True)
-            return F.broadcast(done) if hint else done
-        return Lookups(cut(self.points, self.points_broadcast), cut(self.layout, self.layout_broadcast),
-                       self.points_broadcast, self.layout_broadcast)
+def _points(points: DataFrame, order: list, max_broadcast_bytes: int | None) -> DataFrame:
+    return measured(lookups.site_points(points, order), "site points", max_broadcast_bytes, needs_rows=True).df
 
 
 def build_lookups(points: DataFrame, layouts: DataFrame, lines: DataFrame | None = None, *,
                   point_order: list, line_order: list | None = None, layout_order: list | None = None,
                   max_broadcast_bytes: int | None = None) -> Lookups:
-    """A4 + F6 points, A5 + F7 roads, A1 + J2 reduced layout; each measured for broadcast."""
-    pts = bounded_broadcast(lookups.site_points(points, point_order), "site points", max_broadcast_bytes)
+    """A4 + F6 points (at least one), A5 + F7 roads, A1 + J2 reduced layout; each measured for broadcast."""
     roads = None
     if lines is not None:
-        roads = bounded_broadcast(lookups.road_lookup(lines, line_order or point_order), "roads",
-                                  max_broadcast_bytes).df
+        roads = measured(lookups.road_lookup(lines, line_order or point_order), "roads", max_broadcast_bytes).df
     layout = lookups.layout_roads(lookups.first_layout(layouts, layout_order), roads)
-    lay = bounded_broadcast(layout, "detector layouts", max_broadcast_bytes)
-    return Lookups(pts.df, lay.df, pts.broadcast, lay.broadcast)
+    return Lookups(_points(points, point_order, max_broadcast_bytes), measured(layout, "detector layouts", max_broadcast_bytes).df)
 
 
 def import_observations(volumes: DataFrame, points: DataFrame, layouts: DataFrame,
                         lines: DataFrame | None = None, *, point_order: list, line_order: list | None = None,
-                        layout_order: list | None = None, max_broadcast_bytes: int | None = None) -> DataFrame:
-    """E1 as a DataFrame: raw rows in, observations out (not written)."""
+                        layout_order: list | None = None, max_broadcast_bytes: int | None = None,
+                        keep: list[str] | None = None) -> DataFrame:
+    """E1 as a DataFrame: raw rows in, observations out (not written), and the order columns ``keep``."""
     lk = build_lookups(points, layouts, lines, point_order=point_order, line_order=line_order,
                        layout_order=layout_order, max_broadcast_bytes=max_broadcast_bytes)
-    return enrich.observations(cleaning.clean_volumes(volumes), lk.points, lk.layout)
-
-
-def _csv_lookups(spark: SparkSession, layouts_path, points_path, lines_path, layout_order,
-                 max_broadcast_bytes) -> Lookups:
-    order = csv_source.ORDER_COLUMNS
-    lines = csv_source.read_lines(spark, lines_path) if lines_path else None
-    return build_lookups(csv_source.read_points(spark, points_path),
-                         csv_source.read_site_layouts(spark, layouts_path), lines,
-                         point_order=order, line_order=order,
-                         layout_order=layout_order or lookups.DEFAULT_LAYOUT_ORDER + order,
-                         max_broadcast_bytes=max_broadcast_bytes)
+    return enrich.observations(cleaning.clean_volumes(volumes, keep), lk.points, lk.layout)
 
 
 def import_csv(spark: SparkSession, volumes_path, layouts_path, points_path, lines_path=None, *,
-               strict_header: bool = True, layout_order: list | None = None,
-               max_broadcast_bytes: int | None = None) -> DataFrame:
+               layout_order: list | None = None, max_broadcast_bytes: int | None = None,
+               keep: list[str] | None = None) -> DataFrame:
     """E1 on the reference's CSV inputs; the line file is optional (roads are then NULL)."""
-    lk = _csv_lookups(spark, layouts_path, points_path, lines_path, layout_order, max_broadcast_bytes)
-    volumes = cleaning.clean_volumes(csv_source.read_raw_volumes(spark, volumes_path, strict_header=strict_header))
-    return enrich.observations(volumes, lk.points, lk.layout)
+    order = csv_source.ORDER_COLUMNS
+    return import_observations(
+        csv_source.read_raw_volumes(spark, volumes_path, with_order=bool(keep)), csv_source.read_points(spark, points_path),
+        csv_source.read_site_layouts(spark, layouts_path), csv_source.read_lines(spark, lines_path) if lines_path else None,
+        point_order=order, line_order=order, layout_order=layout_order or lookups.DEFAULT_LAYOUT_ORDER + order,
+        max_broadcast_bytes=max_broadcast_bytes, keep=keep)
 
 
 def import_job(spark: SparkSession, output_path: str, volumes_path, layouts_path, points_path,
-               lines_path=None, *, mode: str = "overwrite", strict_header: bool = True,
-               layout_order: list | None = None, max_broadcast_bytes: int | None = None,
-               cluster_by_site: bool = False) -> str:
-    """E1 end to end: CSV files in, the observations table written."""
-    lk = _csv_lookups(spark, layouts_path, points_path, lines_path, layout_order, max_broadcast_bytes)
-    try:
-        volumes = cleaning.clean_volumes(
-            csv_source.read_raw_volumes(spark, volumes_path, strict_header=strict_header))
-        sinks.write_observations(enrich.observations(volumes, lk.points, lk.layout), output_path, mode=mode,
-                                 cluster_by_site=cluster_by_site)
-    finally:
-        lk.unpersist()
+               lines_path=None, *, mode: str = "merge", layout_order: list | None = None,
+               max_broadcast_bytes: int | None = None) -> str:
+    """E1 end to end: CSV files in, merged into the observations table."""
+    order = csv_source.ORDER_COLUMNS
+    obs = import_csv(spark, volumes_path, layouts_path, points_path, lines_path, layout_order=layout_order,
+                     max_broadcast_bytes=max_broadcast_bytes, keep=order)
+    sinks.write_observations(obs, output_path, mode=mode, order=order)
     return output_path
 
 
@@ -111,32 +82,34 @@ def dow_profile(observations: DataFrame) -> DataFrame:
 
 
 def profile_job(spark: SparkSession, observations_path: str, output_path: str, *,
-                day_of_week: str | list[str] | None = None, mode: str = "overwrite") -> str:
+                day_of_week: str | list[str] | None = None) -> str:
     """E2 end to end: scan observations (optionally one weekday, S8), write the profile."""
     obs = read_table(spark, observations_path, day_of_week=day_of_week)
-    sinks.write_profile(profile.dow_profile(obs), output_path, mode=mode)
+    sinks.write_profile(profile.dow_profile(obs), output_path)
     return output_path
 
 
-# The import join as SQL text over temp views (E3): first layout row per detector, its road,
-# then a left join of the placed volume rows on (site, detector).
+# The import join as SQL text over temp views (E3): the first layout row per detector and its
+# road, then a left join of the placed volume rows on (site, detector).
+LAYOUT_SQL = """
+SELECT {hint} f.site, f.detector, f.ds_location, f.nb_lane, f.lane_mvt, f.loc_mvt, f.hf_id,
+       r.road_wkt, r.road_key, r.road
+FROM (
+  SELECT * FROM (
+    SELECT l.*, row_number() OVER (PARTITION BY site, detector ORDER BY {order}) AS layout_rank
+    FROM siteLayouts l
+    WHERE site IS NOT NULL AND detector IS NOT NULL
+  ) ranked
+  WHERE layout_rank = 1
+) f
+LEFT JOIN roadLines r ON f.hf_id = r.hf_id
+"""
+
 IMPORT_SQL = """
 SELECT {hint} b.site, b.detector, b.obs_date, b.volumes, b.point_wkt, b.lon, b.lat,
-       c.ds_location, c.nb_lane, c.lane_mvt, c.loc_mvt, c.hf_id, c.road_wkt, c.road
+       c.ds_location, c.nb_lane, c.lane_mvt, c.loc_mvt, c.hf_id, c.road_wkt, c.road_key, c.road
 FROM volumeData b
-LEFT JOIN (
-  SELECT {road_hint} f.site, f.detector, f.ds_location, f.nb_lane, f.lane_mvt, f.loc_mvt, f.hf_id,
-         r.road_wkt, r.road
-  FROM (
-    SELECT * FROM (
-      SELECT l.*, row_number() OVER (PARTITION BY site, detector ORDER BY {order}) AS layout_rank
-      FROM siteLayouts l
-      WHERE site IS NOT NULL AND detector IS NOT NULL
-    ) ranked
-    WHERE layout_rank = 1
-  ) f
-  LEFT JOIN roadLines r ON f.hf_id = r.hf_id
-) c
+LEFT JOIN detectorLayouts c
 ON b.site = c.site AND b.detector = c.detector
 """
 
@@ -145,28 +118,25 @@ def import_sql(spark: SparkSession, volumes: DataFrame, points: DataFrame, layou
                lines: DataFrame | None = None, *, point_order: list, line_order: list | None = None,
                layout_order: list, max_broadcast_bytes: int | None = None) -> DataFrame:
     """Register ``volumeData`` (cleaned rows with their point), ``siteLayouts`` (layout
-    rows) and ``roadLines`` (road per flow id), run the join as SQL text, and register the
-    result as ``placedVolumes`` (S10)."""
-    pts = bounded_broadcast(lookups.site_points(points, point_order), "site points", max_broadcast_bytes)
-    placed = enrich.dated(cleaning.clean_volumes(volumes)).join(enrich.placed_points(pts.df), "site", "inner")
+    rows) and ``roadLines`` (road per flow id), run the joins as SQL text, and register the
+    result as ``placedVolumes`` (S10). The reduced layout with its roads is measured once, as
+    ``detectorLayouts``; a side is broadcast only as measured."""
+    placed_points = enrich.placed_points(_points(points, point_order, max_broadcast_bytes))
+    placed = enrich.dated(cleaning.clean_volumes(volumes)).join(placed_points, "site", "inner")
     placed.createOrReplaceTempView("volumeData")
+    layouts.createOrReplaceTempView("siteLayouts")
+    road_hint = ""
     if lines is not None:
-        roads = bounded_broadcast(lookups.road_lookup(lines, line_order or point_order), "roads",
-                                  max_broadcast_bytes)
-        road_view, road_bytes, road_rows = roads.df, roads.bytes, roads.rows
+        roads = measured(lookups.road_lookup(lines, line_order or point_order), "roads", max_broadcast_bytes)
+        road_view, road_hint = roads.df, "/*+ BROADCAST(r) */" if roads.broadcast else ""
     else:
-        road_view = spark.createDataFrame([], "hf_id string, road_wkt string").withColumn(
-            "road", geo.road_parts(F.lit(None).cast("string")))
-        road_bytes = road_rows = 0
+        none = F.lit(None).cast("string")
+        road_view = (spark.createDataFrame([], "hf_id string, road_wkt string").withColumn("road_key", geo.road_key(none))
+                     .withColumn("road", geo.road_parts(none)))
     road_view.createOrReplaceTempView("roadLines")
-    # The layout rows before reduction bound the reduced rows; each gets at most one road.
-    lay = bounded_broadcast(layouts, "site layouts", max_broadcast_bytes)
-    lay.df.createOrReplaceTempView("siteLayouts")
-    per_road = road_bytes // road_rows if road_rows else 0
-    small = lay.bytes + lay.rows * per_road <= lay.limit
     order = ", ".join(f"`{c}`" if isinstance(c, str) else c for c in layout_order)
-    hint = "/*+ BROADCAST(c) */" if small else ""
-    road_hint = "/*+ BROADCAST(r) */" if road_rows else ""
-    joined = enrich.finish(spark.sql(IMPORT_SQL.format(hint=hint, road_hint=road_hint, order=order)))
+    layout = measured(spark.sql(LAYOUT_SQL.format(hint=road_hint, order=order)), "detector layouts", max_broadcast_bytes)
+    layout.df.createOrReplaceTempView("detectorLayouts")
+    joined = enrich.finish(spark.sql(IMPORT_SQL.format(hint="/*+ BROADCAST(c) */" if layout.broadcast else "")))
     joined.createOrReplaceTempView("placedVolumes")
     return joined

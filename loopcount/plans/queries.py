@@ -1,7 +1,9 @@
 """The queries registered with the driver: each takes (spark, sf_dir) and returns a flat DataFrame.
 
 All of them start from the driver's tables reshaped into the import inputs
-(``loopcount.sources.fixtures``) and run over the whole tables.
+(``loopcount.sources.fixtures``) and run over all rows of these tables. The reshaped inputs are
+written once as CSV files in the shared folder, under a name that changes with the source
+files; the stored tables are written once per session.
 """
 
 from __future__ import annotations
@@ -11,13 +13,11 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loopcount import sinks
 from loopcount.functions import clean, dates
 from loopcount.operators import cleaning, enrich, lookups, profile
-from loopcount.operators.broadcast import bounded_broadcast
 from loopcount.plans import jobs
 from loopcount.schemas import LAYOUT_HEADER
-from loopcount.session import path_exists, shared_path
+from loopcount.session import files, path_complete, shared_path
 from loopcount.sources import csv as csv_source
 from loopcount.sources import fixtures
 from loopcount.sources.tables import read_table
@@ -26,11 +26,15 @@ from loopcount.sources.tables import read_table
 POINT_ORDER = LINE_ORDER = LAYOUT_ORDER = csv_source.ORDER_COLUMNS
 
 # Bump when the reshaping of the driver tables changes, so old exported files are not reused.
-INPUTS_VERSION = "v1"
+INPUTS_VERSION = "v2"
 
+SOURCE_TABLES = ["events", "supplier", "nation", "lineitem"]
 
-def _tag(sf_dir: str) -> str:
-    return hashlib.sha1(sf_dir.rstrip("/").encode()).hexdigest()[:12]
+
+def _tag(spark: SparkSession, sf_dir: str) -> str:
+    """A name for the source files as they are: their paths, lengths and modification times."""
+    state = [files(spark, f"{sf_dir.rstrip('/')}/{t}.parquet") for t in SOURCE_TABLES]
+    return hashlib.sha1(repr(state).encode()).hexdigest()[:16]
 
 
 def _direct_inputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -129,9 +133,9 @@ def export_csv_inputs(spark: SparkSession, sf_dir: str) -> dict[str, str]:
 
     Lookup files are written in their lookup order, so that file order carries it.
     """
-    base = shared_path(spark, "inputs", INPUTS_VERSION, _tag(sf_dir))
+    base = shared_path(spark, "inputs", INPUTS_VERSION, _tag(spark, sf_dir))
     paths = {k: f"{base}/{k}" for k in ("volumes", "points", "lines", "layouts")}
-    if all(path_exists(spark, p) for p in paths.values()):
+    if all(path_complete(spark, p) for p in paths.values()):
         return paths
     i = _direct_inputs(spark, sf_dir)
     csv_source.write_raw_volumes_csv(i["volumes"], paths["volumes"])
@@ -157,29 +161,84 @@ def observations_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich.with_total(obs)
 
 
-_STORED: dict[tuple[str, str], str] = {}
+def volumes_by_day(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    """The volume files in two parts, by even and odd day of the month."""
+    base = shared_path(spark, "inputs", INPUTS_VERSION, _tag(spark, sf_dir))
+    paths = {k: f"{base}/volumes_{k}" for k in ("even", "odd")}
+    if not all(path_complete(spark, p) for p in paths.values()):
+        raw = _inputs(spark, sf_dir)["volumes"]
+        day = F.dayofmonth(dates.interval_date(F.col("qt_interval")))
+        for k, rest in (("even", 0), ("odd", 1)):
+            csv_source.write_raw_volumes_csv(raw.where(day % 2 == rest), paths[k])
+    return paths
 
 
-def stored_observations(spark: SparkSession, sf_dir: str) -> str:
-    """K1: write the observations table once per session and scale factor; return its path."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+def _import(spark: SparkSession, sf_dir: str, table: str, volumes) -> None:
+    i = export_csv_inputs(spark, sf_dir)
+    jobs.import_job(spark, table, volumes, i["layouts"], i["points"], i["lines"], layout_order=LAYOUT_ORDER)
+
+
+_STORED: dict[tuple[str, str, str], str] = {}
+
+
+def _stored(spark: SparkSession, sf_dir: str, name: str, write) -> str:
+    """The path of a table that ``write`` fills, once per session and state of the sources."""
+    key = (spark.sparkContext.applicationId, name, _tag(spark, sf_dir))
     if key not in _STORED:
-        path = shared_path(spark, "tables", _tag(sf_dir), "observations")
-        sinks.write_observations(observation_frame(spark, sf_dir), path)
+        path = shared_path(spark, "tables", key[0], key[2], name)
+        write(path)
         _STORED[key] = path
     return _STORED[key]
 
 
+def stored_observations(spark: SparkSession, sf_dir: str) -> str:
+    """The observations table, imported at once; returns its path."""
+    return _stored(spark, sf_dir, "observations", lambda path: _import(spark, sf_dir, path, export_csv_inputs(spark, sf_dir)["volumes"]))
+
+
+def stored_profile(spark: SparkSession, sf_dir: str) -> str:
+    """The profile of the stored observations; returns its path."""
+    return _stored(spark, sf_dir, "profile", lambda path: jobs.profile_job(spark, stored_observations(spark, sf_dir), path) and None)
+
+
 def observations_tue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scan the stored table with a weekday filter (a partition filter)."""
     obs = read_table(spark, stored_observations(spark, sf_dir), day_of_week="Tue")
     return enrich.with_total(obs)
 
 
+def observations_two_imports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1: the table after two imports of different days, which share weekdays and months."""
+    def write(path: str) -> None:
+        parts = volumes_by_day(spark, sf_dir)
+        for part in ("even", "odd"):
+            _import(spark, sf_dir, path, parts[part])
+    return enrich.with_total(read_table(spark, _stored(spark, sf_dir, "observations_two_imports", write)))
+
+
+def observations_reimport(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K5: the table after an import of everything and one of a part, with every line twice."""
+    def write(path: str) -> None:
+        part = volumes_by_day(spark, sf_dir)["even"]
+        _import(spark, sf_dir, path, export_csv_inputs(spark, sf_dir)["volumes"])
+        _import(spark, sf_dir, path, [part, part])
+    return enrich.with_total(read_table(spark, _stored(spark, sf_dir, "observations_reimport", write)))
+
+
+def road_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """the coordinates of every road, flat."""
+    return lookups.road_points(lookups.road_lookup(_inputs(spark, sf_dir)["lines"], LINE_ORDER))
+
+
+def profile_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the profile job wrote."""
+    return read_table(spark, stored_profile(spark, sf_dir)).select(*profile.PROFILE_COLUMNS)
+
+
 def unplaced_volumes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Kept rows whose site has no point."""
     i = _inputs(spark, sf_dir)
-    pts = bounded_broadcast(lookups.site_points(i["points"], POINT_ORDER), "site points").df
+    pts = jobs.measured(lookups.site_points(i["points"], POINT_ORDER), "site points", needs_rows=True).df
     return enrich.unplaced(cleaning.clean_volumes(i["volumes"]), pts).withColumnRenamed("obs_date", "day")
 
 
@@ -205,8 +264,12 @@ QUERIES = {
     "observations_sql": observations_sql,
     "observations_fixture": observations_fixture,
     "observations_tue": observations_tue,
+    "observations_two_imports": observations_two_imports,
+    "observations_reimport": observations_reimport,
     "unplaced_volumes": unplaced_volumes,
     "dow_profile": dow_profile,
     "profile_tue": profile_tue,
+    "profile_stored": profile_stored,
+    "road_points": road_points,
 }
 

@@ -10,8 +10,10 @@ SLOTS = 96
 SLOT_MINUTES = 15
 SLOT_NAMES = [f"V{i:02d}" for i in range(SLOTS)]
 
-# Key columns of the raw volume file, in file order, before the 96 counts.
+# Key columns of the raw volume file, in file order, before the 96 counts. The first
+# and the third name must stand in a file's header; the other names are not known and free.
 VOLUME_KEY_HEADER = ["NB_SCATS_SITE", "QT_INTERVAL_COUNT", "NB_DETECTOR"]
+REQUIRED_VOLUME_HEADER = {0: "NB_SCATS_SITE", 2: "NB_DETECTOR"}
 
 # The site-layout file by position; positions 1 and 2 are not used.
 LAYOUT_HEADER = [
@@ -23,21 +25,13 @@ LAYOUT_HEADER = [
 POINT_HEADER = {"site": "SITE_NO", "wkt": "WKT"}
 LINE_HEADER = {"left": "hfidl", "right": "hfidr", "wkt": "WKT"}
 
-DAY_OF_WEEK_NAMES = ["Mon", "Tue", "Wed", "Thu", "Fri", "Sat", "Sun"]
-
 
 def _strings(names: list[str]) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType(), True) for n in names])
 
 
-RAW_VOLUME_CSV_SCHEMA = _strings(VOLUME_KEY_HEADER + SLOT_NAMES)
 LAYOUT_CSV_SCHEMA = _strings(LAYOUT_HEADER)
 
-# Canonical raw volume rows, whatever the source: text key columns and the 96 raw count texts
-# packed in one array (few columns between operators keep generated code small).
-RAW_VOLUME_SCHEMA = T.StructType(list(_strings(["site", "qt_interval", "detector"]).fields)
-                                 + [T.StructField("raw", T.ArrayType(T.StringType()), True)])
-
 COORD = T.StructType([T.StructField("lon", T.DoubleType()), T.StructField("lat", T.DoubleType())])
 ROAD_TYPE = T.ArrayType(T.ArrayType(COORD))
 
@@ -47,6 +41,7 @@ OBSERVATIONS_SCHEMA = T.StructType([
     T.StructField("detector", T.StringType()),
     T.StructField("obs_date", T.DateType()),
     T.StructField("day_of_week", T.StringType()),
+    T.StructField("obs_month", T.IntegerType()),
     T.StructField("volumes", T.ArrayType(T.IntegerType())),
     T.StructField("point_wkt", T.StringType()),
     T.StructField("lon", T.DoubleType()),
@@ -57,6 +52,7 @@ OBSERVATIONS_SCHEMA = T.StructType([
     T.StructField("loc_mvt", T.StringType()),
     T.StructField("hf_id", T.StringType()),
     T.StructField("road_wkt", T.StringType()),
+    T.StructField("road_key", T.LongType()),
     T.StructField("road", ROAD_TYPE),
 ])
 

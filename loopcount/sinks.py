@@ -1,65 +1,104 @@
 """Writers for the two target tables (K1-K5).
 
-Both tables are Parquet, partitioned by ``day_of_week`` (so a weekday filter prunes files)
-and sorted by site inside each task (so min/max statistics skip row groups on site). The
-target schema is checked before anything is written, against the existing table too (K3).
-Overwrite is dynamic: re-running the same input replaces exactly the weekday partitions it
-produces (K5).
+Both are Parquet. Observations are partitioned by ``day_of_week`` and ``obs_month``, so weekday
+and date filters prune files (K4), and hold each feature id once (K5): an import is merged into
+the partitions it touches, and of rows with one id the last imported, last in file order stays;
+all other partitions are left as they are. The profile is partitioned by ``day_of_week``; a new
+profile replaces the weekdays it holds. The target schema is checked before anything is
+written, against the existing table too (K3).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import logging
+import uuid
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loopcount.schemas import DOW_PROFILE_SCHEMA, OBSERVATIONS_SCHEMA, check_schema
-from loopcount.session import path_exists
+from loopcount.session import delete_folder, shared_path, table_exists
+
+log = logging.getLogger(__name__)
 
 PARTITION_COLUMN = "day_of_week"
+OBSERVATION_PARTITIONS = ["day_of_week", "obs_month"]
+
 
+class TableExists(ValueError):
+    """A table was to be created where one lies already."""
 
-def _check_existing(df: DataFrame, path: str, target: T.StructType, table: str) -> None:
+
+def _existing(df: DataFrame, path: str, target: T.StructType, table: str) -> DataFrame | None:
+    """The table at ``path``, its schema checked; None if there is none."""
     spark = df.sparkSession
-    if path_exists(spark, path):
-        check_schema(spark.read.parquet(path), target, f"{table} at {path}")
-
-
-def _write(df: DataFrame, path: str, target: T.StructType, table: str, sort: list[str], mode: str,
-           dedupe_ids: bool, rebalance: tuple[str, ...] = ()) -> None:
-    df = check_schema(df, target, table)
-    if rebalance:
-        df = df.hint("rebalance", *rebalance)
-    if mode != "overwrite":
-        _check_existing(df, path, target, table)
-    if dedupe_ids:
-        df = df.dropDuplicates(["feature_id"])
-    (df.sortWithinPartitions(PARTITION_COLUMN, *sort)
-     .write.mode(mode)
-     .option("partitionOverwriteMode", "dynamic")
-     .partitionBy(PARTITION_COLUMN)
-     .parquet(path))
-
-
-def write_observations(df: DataFrame, path: str, *, mode: str = "overwrite", dedupe_ids: bool = False,
-                       cluster_by_site: bool = False) -> None:
-    """K1, K4, K5: one row per detector-day.
-
-    ``cluster_by_site`` spends one shuffle of the observations at import so that every file
-    holds whole sites of one weekday (the reference's stores index by site). The profile's
-    partial aggregate then collapses each split to a few rows per site, and its shuffle
-    shrinks from about one row per observation to about one per group and split. A rebalance
-    (not a plain repartition) lets adaptive execution split a site holding a large share of
-    the rows over several tasks instead of one."""
-    _write(df, path, OBSERVATIONS_SCHEMA, "observations", ["site", "obs_date"], mode, dedupe_ids,
-           rebalance=(PARTITION_COLUMN, "site") if cluster_by_site else ())
-
-
-def write_profile(df: DataFrame, path: str, *, mode: str = "overwrite") -> None:
+    if not table_exists(spark, path):
+        return None
+    return check_schema(spark.read.parquet(path), target, f"{table} at {path}")
+
+
+def _overwrite(df: DataFrame, path: str, partitions: list[str]) -> None:
+    """Replace exactly the partitions that ``df`` has rows of."""
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path))
+
+
+def write_observations(df: DataFrame, path: str, *, mode: str = "merge", order: list[str] | None = None) -> None:
+    """K1, K4, K5: one row per feature id.
+
+    ``order`` names columns of ``df`` that tell which of several rows with one id came last;
+    they are not written. ``mode``: "merge" into the table at ``path``, or "create" it.
+
+    One shuffle: a range partitioning by weekday, month and site. Every task writes whole sites
+    into about one file, in order, rows of one id meet in it, and no key is hotter than the few
+    days of one site. Spark finds the ranges by sampling, which runs the input a second time.
+    A merge first asks the new rows for the partitions they touch, copies the old rows of these
+    to the shared folder and reads them from there; the copy is removed after the write, so a
+    job that fails at any point leaves the old rows in the table or in the copy it names.
+    """
+    order = list(order or [])
+    if mode not in ("merge", "create"):
+        raise ValueError(f"unknown mode {mode}")
+    rows = check_schema(df.drop(*order), OBSERVATIONS_SCHEMA, "observations")
+    old = _existing(df, path, OBSERVATIONS_SCHEMA, "observations")
+    if old is not None and mode == "create":
+        raise TableExists(path)
+    spark, columns = df.sparkSession, rows.columns
+    new = df.select(*columns, *order, F.lit(1).alias("_import"))
+    copy = None
+    if old is not None:
+        # 7 weekdays times the months of the new rows: a few hundred pairs at most.
+        touched = [(r[0], r[1]) for r in rows.select(*OBSERVATION_PARTITIONS).distinct().collect()]
+        months = {}
+        for day, month in touched:
+            months.setdefault(day, []).append(month)
+        hit = F.lit(False)
+        for day, of_day in sorted(months.items()):
+            hit = hit | ((F.col("day_of_week") == day) & F.col("obs_month").isin(of_day))
+        copy = shared_path(spark, "merge", uuid.uuid4().hex)
+        old.where(hit).write.parquet(copy)
+        new = new.unionByName(spark.read.schema(rows.schema).parquet(copy).withColumn("_import", F.lit(0)), allowMissingColumns=True)
+    key = [*OBSERVATION_PARTITIONS, "site"]
+    last = Window.partitionBy(*key, "detector", "obs_date").orderBy(
+        F.desc("_import"), *[F.col(c).desc_nulls_last() for c in order], F.desc("volumes"))
+    kept = (new.repartitionByRange(*key).withColumn("_last", F.row_number().over(last)).where("_last = 1").select(*columns))
+    try:
+        _overwrite(kept, path, OBSERVATION_PARTITIONS)
+    except Exception:
+        if copy is not None:
+            log.error("merge into %s failed; the old rows of the touched partitions are in %s", path, copy)
+        raise
+    if copy is not None:
+        delete_folder(spark, copy)
+
+
+def write_profile(df: DataFrame, path: str) -> None:
     """K2, K4: one row per profile group and slot. Feature ids repeat when a site has two roads.
 
     The profile is 96 rows per aggregated group, made after the shuffle; adaptive execution
     sizes that shuffle by the aggregated rows and may leave one task for all of it. A
     rebalance on the weekday spreads the writing over tasks of the advisory size (cheap: the
-    profile is small next to the observations, which are never re-shuffled for writing)."""
-    _write(df, path, DOW_PROFILE_SCHEMA, "dow_profile", ["site", "slot"], mode, dedupe_ids=False,
-           rebalance=(PARTITION_COLUMN,))
+    profile is small next to the observations)."""
+    df = check_schema(df, DOW_PROFILE_SCHEMA, "dow_profile")
+    _existing(df, path, DOW_PROFILE_SCHEMA, "dow_profile")
+    _overwrite(df.hint("rebalance", PARTITION_COLUMN).sortWithinPartitions(PARTITION_COLUMN, "site", "slot"), path, [PARTITION_COLUMN])

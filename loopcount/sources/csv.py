@@ -1,19 +1,21 @@
 """CSV inputs of the import job.
 
-Files are read by Spark's quote-aware CSV reader; every file's header line is skipped.
-Order-dependent lookups need the order of lines in the files: ``file_order()`` gives
-(file path, split start, row id), which follows file position because row ids increase
-within a split and splits of one file are ordered by their start offset.
+Files are read by Spark's quote-aware CSV reader; a quote inside a quoted field is doubled and
+a backslash has no meaning. Every file's header line is skipped. Order-dependent lookups need
+the order of lines in the files: ``file_order()`` gives (file path, split start, row id), which
+follows file position because row ids increase within a split and splits of one file are
+ordered by their start offset.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loopcount.functions.slots import slot_columns
 from loopcount.schemas import (
-    LAYOUT_CSV_SCHEMA, LINE_HEADER, POINT_HEADER, RAW_VOLUME_CSV_SCHEMA, SLOT_NAMES,
+    LAYOUT_CSV_SCHEMA, LINE_HEADER, POINT_HEADER, REQUIRED_VOLUME_HEADER, SLOT_NAMES, SLOTS,
     VOLUME_KEY_HEADER,
 )
 
@@ -28,46 +30,45 @@ def file_order() -> list[Column]:
     ]
 
 
-def _volume_reader(reader, strict_header: bool):
-    return (reader.schema(RAW_VOLUME_CSV_SCHEMA)
-            .option("header", True)
-            .option("enforceSchema", not strict_header)
-            .option("mode", "PERMISSIVE"))
+def scanned_order() -> list[Column]:
+    """The same order by functions of the running scan instead of scan columns, for the volume
+    files: with two more columns than their 99 Spark would not generate code for the scan."""
+    return [F.input_file_name().alias("_file"), F.input_file_block_start().alias("_block"), F.monotonically_increasing_id().alias("_row")]
 
 
-def canonical_volumes(raw: DataFrame) -> DataFrame:
-    """Header columns -> site, qt_interval, detector, raw ARRAY<STRING> of the 96 count texts."""
-    site, interval, detector = VOLUME_KEY_HEADER
-    return raw.select(F.col(site).alias("site"), F.col(interval).alias("qt_interval"),
-                      F.col(detector).alias("detector"),
-                      F.expr("array(" + ", ".join(f"`{n}`" for n in SLOT_NAMES) + ")").alias("raw"))
+class HeaderMismatch(ValueError):
+    """A volume file's header does not have its two join columns in place, or not 99 columns."""
 
 
-def read_raw_volumes(spark: SparkSession, path: str | list[str], *, strict_header: bool = True) -> DataFrame:
-    """Raw volume CSV with a header line in each file.
+def _reader(spark: SparkSession):
+    return spark.read.option("header", True).option("escape", '"')
 
-    ``strict_header`` checks that the header names are NB_SCATS_SITE, QT_INTERVAL_COUNT,
-    NB_DETECTOR, V00..V95 (Spark compares them with the schema); otherwise columns are
-    taken by position, as the reference does after its header check.
-    """
-    return canonical_volumes(_volume_reader(spark.read, strict_header).csv(path))
 
+def read_raw_volumes(spark: SparkSession, path: str | list[str], *, with_order: bool = False) -> DataFrame:
+    """Raw volume CSV with a header line in each file.
+
+    The first header must have 99 names, with NB_SCATS_SITE first and NB_DETECTOR third; the
+    others are free. Spark holds the header of every other file against the first. A line with
+    fewer or more than 98 separators fails the job, whichever columns are asked for (empty
+    fields are values, also at the end of a line).
 
-def stream_raw_volumes(spark: SparkSession, folder: str, *, strict_header: bool = True,
-                       max_files_per_trigger: int | None = None) -> DataFrame:
-    """S1-S3 as a file stream: every new CSV file in ``folder`` is read once."""
-    reader = _volume_reader(spark.readStream, strict_header)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return canonical_volumes(reader.csv(folder))
+    -> site, qt_interval, detector, raw ARRAY<STRING> of the 96 count texts; file order if asked for.
+    """
+    names = _reader(spark).csv(path).columns
+    if len(names) != len(VOLUME_KEY_HEADER) + SLOTS or any(names[i] != n for i, n in REQUIRED_VOLUME_HEADER.items()):
+        raise HeaderMismatch(f"expected {len(VOLUME_KEY_HEADER) + SLOTS} columns with "
+                             + ", ".join(f"{n} at {i}" for i, n in REQUIRED_VOLUME_HEADER.items()) + f"; found {len(names)}: {names[:4]} ...")
+    raw = (_reader(spark).schema(T.StructType([T.StructField(n, T.StringType()) for n in names]))
+           .option("enforceSchema", False).option("mode", "FAILFAST").option("columnPruning", False).csv(path))
+    quoted = [f"`{n}`" for n in names]
+    site, interval, detector = quoted[:3]
+    return raw.select(F.expr(site).alias("site"), F.expr(interval).alias("qt_interval"), F.expr(detector).alias("detector"),
+                      F.expr(f"array({', '.join(quoted[3:])})").alias("raw"), *(scanned_order() if with_order else []))
 
 
 def read_site_layouts(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Site-layout CSV by position (columns 0, 3-9); missing trailing fields are NULL."""
-    raw = (spark.read.schema(LAYOUT_CSV_SCHEMA)
-           .option("header", True)
-           .option("enforceSchema", True)
-           .csv(path))
+    raw = _reader(spark).schema(LAYOUT_CSV_SCHEMA).option("enforceSchema", True).csv(path)
     return raw.select(
         F.col("NB_SCATS_SITE").alias("site"), F.col("DS_LOCATION").alias("ds_location"),
         F.col("NB_DETECTOR").alias("detector"), F.col("DT_GENERAL").alias("dt_general"),
@@ -77,10 +78,10 @@ def read_site_layouts(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def _by_header(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Columns by header name. Spark names them from the first file; ``enforceSchema=False``
-    makes every other file's header agree, instead of being read by position."""
-    return (spark.read.option("header", True).option("inferSchema", False)
-            .option("enforceSchema", False).csv(path))
+    """Columns by header name; a quoted field may hold line breaks. Spark names the columns from
+    the first file; ``enforceSchema=False`` makes every other file's header agree, instead of
+    being read by position."""
+    return _reader(spark).option("inferSchema", False).option("enforceSchema", False).option("multiLine", True).csv(path)
 
 
 def read_points(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -101,8 +102,8 @@ def write_raw_volumes_csv(raw: DataFrame, path: str) -> None:
     site, interval, detector = VOLUME_KEY_HEADER
     (raw.selectExpr(f"site AS {site}", f"qt_interval AS {interval}", f"detector AS {detector}",
                     *slot_columns("raw[{i}]", SLOT_NAMES))
-     .write.mode("overwrite").option("header", True).option("quoteAll", True).csv(path))
+     .write.mode("overwrite").option("header", True).option("quoteAll", True).option("escape", '"').csv(path))
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)

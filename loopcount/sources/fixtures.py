@@ -17,13 +17,21 @@ from loopcount.schemas import SLOT_MINUTES, SLOTS
 DETECTOR_OF_EVENT = {"click": "1", "error": "2", "purchase": "3", "signup": "4"}
 OTHER_DETECTOR = "5"
 
-# Layout rows come from line numbers 1-4 and are ordered by these columns.
-LAYOUT_MAX_LINENUMBER = 4
+# Detectors 1-4 have the layouts of line numbers 1-4, detector 5 has none (later
+# line numbers are detectors 6 and up); layout rows are ordered by these columns.
+WITHOUT_LAYOUT = 5
 LAYOUT_ORDER = ["l_orderkey", "l_partkey", "l_returnflag", "l_linestatus"]
 
 # Line geometry per nation region; region 4 is a polygon (no road).
 POLYGON_REGION = 4
 POLYGON_WKT = "POLYGON ((0 0, 1 0, 1 1, 0 0))"
+# Lines of this region have a line break inside their text.
+BROKEN_TEXT_REGION = 1
+
+# Every fifth supplier has an earlier record that must lose; the last record of
+# every eleventh is the text 'null'.
+EARLIER_POINT = (5, "POINT (1 2)")
+NO_POINT = (11, "null")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -74,18 +82,22 @@ def raw_volumes(events: DataFrame) -> DataFrame:
 
 
 def points(supplier: DataFrame) -> DataFrame:
-    """Site points from suppliers; order = supplier key (each site once)."""
+    """Site points from suppliers in key order; some have two records, of which the last counts."""
     pad = lambda c: F.lpad(c.cast("string"), 2, "0")
-    wkt = F.concat(F.lit("POINT (144."), pad(F.col("s_nationkey")), F.lit(" -37."),
-                   pad(F.col("s_suppkey") % 100), F.lit(")"))
-    return supplier.select(F.col("s_suppkey").cast("string").alias("site"), wkt.alias("wkt"),
-                           F.col("s_suppkey").alias("_row"))
+    key = F.col("s_suppkey")
+    wkt = F.concat(F.lit("POINT (144."), pad(F.col("s_nationkey")), F.lit(" -37."), pad(key % 100), F.lit(")"))
+    record = lambda rank, text: F.struct(F.lit(rank).alias("rank"), text.alias("wkt"))
+    records = F.filter(F.array(F.when(key % EARLIER_POINT[0] == 0, record(0, F.lit(EARLIER_POINT[1]))), record(1, wkt),
+                               F.when(key % NO_POINT[0] == 0, record(2, F.lit(NO_POINT[1])))), lambda r: r.isNotNull())
+    each = supplier.select(key, F.explode(records).alias("r"))
+    return each.select(key.cast("string").alias("site"), F.col("r.wkt").alias("wkt"), (key * 3 + F.col("r.rank")).alias("_row"))
 
 
 def lines(nation: DataFrame) -> DataFrame:
     """Road lines from nations in key order: ids 2k and 2k+2, kind by region."""
     k = F.col("n_nationkey")
-    seg = F.concat(F.lit("(0 "), k.cast("string"), F.lit(", 1 "), k.cast("string"), F.lit(")"))
+    comma = F.when(F.col("n_regionkey") == BROKEN_TEXT_REGION, F.lit(",\n1 ")).otherwise(F.lit(", 1 "))
+    seg = F.concat(F.lit("(0 "), k.cast("string"), comma, k.cast("string"), F.lit(")"))
     wkt = (F.when(F.col("n_regionkey") == POLYGON_REGION, F.lit(POLYGON_WKT))
            .when(F.col("n_regionkey") % 2 == 0, F.concat(F.lit("MULTILINESTRING ("), seg, F.lit(")")))
            .otherwise(F.concat(F.lit("LINESTRING "), seg)))
@@ -94,17 +106,21 @@ def lines(nation: DataFrame) -> DataFrame:
 
 
 def layouts(lineitem: DataFrame) -> DataFrame:
-    """Lane layouts from line items 1-4; the order columns are kept for the first-row rule."""
-    return (lineitem.where(F.col("l_linenumber") <= LAYOUT_MAX_LINENUMBER)
-            .select(F.col("l_suppkey").cast("string").alias("site"),
-                    F.concat(F.lit("INT "), F.col("l_partkey").cast("string")).alias("ds_location"),
-                    F.col("l_linenumber").cast("string").alias("detector"),
-                    F.to_date("l_shipdate").cast("string").alias("dt_general"),
-                    F.col("l_returnflag").alias("nb_lane"),
-                    F.col("l_linestatus").alias("lane_mvt"),
-                    (F.col("l_partkey") % 5).cast("string").alias("loc_mvt"),
-                    (F.col("l_partkey") % 60).cast("string").alias("hf_id"),
-                    *LAYOUT_ORDER))
+    """Lane layouts from all line items; the order columns are kept for the first-row rule. The
+    location of every fourth part holds a comma, quotes and a backslash at its end."""
+    number = F.col("l_linenumber")
+    detector = F.when(number >= WITHOUT_LAYOUT, number + 1).otherwise(number)
+    odd = F.when(F.col("l_partkey") % 4 == 0, F.lit(', "HIGH" ST \\')).otherwise(F.lit(""))
+    return lineitem.select(
+        F.col("l_suppkey").cast("string").alias("site"),
+        F.concat(F.lit("INT "), F.col("l_partkey").cast("string"), odd).alias("ds_location"),
+        detector.cast("string").alias("detector"),
+        F.to_date("l_shipdate").cast("string").alias("dt_general"),
+        F.col("l_returnflag").alias("nb_lane"),
+        F.col("l_linestatus").alias("lane_mvt"),
+        (F.col("l_partkey") % 5).cast("string").alias("loc_mvt"),
+        (F.col("l_partkey") % 60).cast("string").alias("hf_id"),
+        *LAYOUT_ORDER)
 
 
 def inputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:

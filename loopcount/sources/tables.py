@@ -1,18 +1,25 @@
-"""Scans of the stored tables (S7, S8). Filters on ``day_of_week`` prune partitions."""
+"""Scans of the stored tables (S7, S8). Filters on ``day_of_week`` and ``obs_month`` prune
+partitions; site, date and flow id skip row groups by their statistics (K4)."""
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
 def read_table(spark: SparkSession, path: str, *, day_of_week: str | list[str] | None = None,
-               where: str | None = None) -> DataFrame:
-    """S7 scan; S8 attribute filter. ``day_of_week`` becomes a partition filter."""
+               first_date: date | None = None, last_date: date | None = None, where: str | None = None) -> DataFrame:
+    """S7 scan; S8 attribute filter. ``day_of_week`` and the months of the two dates (both
+    included) become partition filters."""
     df = spark.read.parquet(path)
     if day_of_week is not None:
         days = [day_of_week] if isinstance(day_of_week, str) else list(day_of_week)
         df = df.where(F.col("day_of_week").isin(days))
+    for bound, op in ((first_date, ">="), (last_date, "<=")):
+        if bound is not None:
+            df = df.where(f"obs_month {op} {bound.year * 100 + bound.month} AND obs_date {op} DATE'{bound.isoformat()}'")
     if where:
         df = df.where(where)
     return df

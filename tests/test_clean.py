@@ -1,5 +1,7 @@
 """Cleaning rules (P1-P5, D1-D4) on hand-written CSV lines and on the published golden output."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -59,14 +61,67 @@ def test_malformed_count_fails_even_when_nothing_else_is_usable(spark, tmp):
         cleaning.clean_volumes(raw).collect()
 
 
-def test_header_names_are_checked(spark, tmp):
-    with open(f"{tmp}/bad.csv", "w") as f:
-        f.write(",".join(["A", "B", "C"] + [f"X{i}" for i in range(96)]) + "\n")
-        f.write(",".join(["1", "2012-01-31 00:00:00", "1"] + ["1"] * 96) + "\n")
+def write_lines(folder, header, lines, name="a.csv"):
+    with open(f"{folder}/{name}", "w") as f:
+        f.write("\n".join([",".join(header)] + lines) + "\n")
+    return folder
+
+
+FREE_HEADER = ["NB_SCATS_SITE", "DAY", "NB_DETECTOR"] + [f"X{i}" for i in range(96)]
+
+
+def test_header_needs_its_two_join_columns_in_place(spark, tmp):
+    row = ",".join(["1", "2012-01-31 00:00:00", "2"] + ["1"] * 96)
+    got = csv_source.read_raw_volumes(spark, write_lines(tmp, FREE_HEADER, [row])).first()
+    assert (got.site, got.detector) == ("1", "2")          # the other names are free
+    for i, header in enumerate((["NB_DETECTOR", "DAY", "NB_SCATS_SITE"] + FREE_HEADER[3:], ["A", "B", "C"] + FREE_HEADER[3:],
+                                FREE_HEADER[:-1], FREE_HEADER + ["X96"])):
+        os.makedirs(f"{tmp}/{i}")
+        with pytest.raises(csv_source.HeaderMismatch):
+            csv_source.read_raw_volumes(spark, write_lines(f"{tmp}/{i}", header, [row]))
+
+
+def test_every_file_has_the_first_files_header(spark, tmp):
+    row = ",".join(["1", "2012-01-31 00:00:00", "2"] + ["1"] * 96)
+    write_lines(tmp, FREE_HEADER, [row], "a.csv")
+    write_lines(tmp, ["NB_DETECTOR", "DAY", "NB_SCATS_SITE"] + FREE_HEADER[3:], [row], "b.csv")
     with pytest.raises(Exception):
         csv_source.read_raw_volumes(spark, tmp).collect()
-    # By position, as the reference reads after its header check.
-    assert csv_source.read_raw_volumes(spark, tmp, strict_header=False).count() == 1
+
+
+@pytest.mark.parametrize("counts", [2, 95, 97, 98])
+def test_short_and_long_lines_fail_whatever_is_read(spark, tmp, counts):
+    raw = csv_source.read_raw_volumes(spark, write_lines(tmp, FREE_HEADER, [",".join(["1", "2012-01-31 00:00:00", "2"] + ["1"] * counts)]))
+    for read in (raw.count, raw.select("site").collect, cleaning.clean_volumes(raw).select("site").collect):
+        with pytest.raises(Exception):
+            read()
+
+
+def test_empty_fields_at_the_end_are_values(spark, tmp):
+    raw = csv_source.read_raw_volumes(spark, write_lines(tmp, FREE_HEADER, ["1,2012-01-31 00:00:00,2,7" + "," * 95]))
+    assert list(cleaning.clean_volumes(raw).first().volumes) == [7] + [0] * 95
+
+
+@pytest.mark.parametrize("row", ["1,2012-01-31 00:00:00,2,x" + ",1" * 95, ",2012-01-31 00:00:00,2" + ",1" * 96, '1,2012-01-31 00:00:00,""' + ",1" * 96, "1,,2" + ",1" * 96])
+def test_checks_hold_in_reports_that_read_no_counts(spark, tmp, row):
+    raw = csv_source.read_raw_volumes(spark, write_lines(tmp, FREE_HEADER, [row]))
+    for df in (cleaning.clean_volumes(raw), cleaning.dropped_volumes(raw)):
+        for read in (df.count, df.select(F.lit(1)).collect):
+            with pytest.raises(Exception, match="malformed count|without site"):
+                read()
+
+
+def test_quotes_are_doubled_and_a_backslash_is_a_character(spark, tmp):
+    with open(f"{tmp}/s.csv", "w") as f:
+        f.write('S,A,B,LOC,DET,DT,LANE,LMVT,LOCMVT,HF\n1,,,"HIGH ST \\",1,d,1,L,T,5\n2,,,"B ""X"", ST",1,d,1,L,T,5\n')
+    got = {r.site: r.ds_location for r in csv_source.read_site_layouts(spark, tmp).collect()}
+    assert got == {"1": "HIGH ST \\", "2": 'B "X", ST'}
+
+
+def test_geometry_texts_may_hold_line_breaks(spark, tmp):
+    with open(f"{tmp}/l.csv", "w") as f:
+        f.write('WKT,hfidl,hfidr\n"LINESTRING (0 0,\n1 1)",7,8\n"POINT (1\n2)",9,\n')
+    assert [(r.wkt, r.hfidl, r.hfidr) for r in csv_source.read_lines(spark, tmp).collect()] == [("LINESTRING (0 0,\n1 1)", "7", "8"), ("POINT (1\n2)", "9", None)]
 
 
 # The published golden output is site 2 on 2012-01-31, detectors 1-24, and slot 14
@@ -104,10 +159,12 @@ def test_golden_output(spark, tmp):
     assert got == expected
 
 
-def test_cleaning_plan_stays_in_codegen(spark, tmp):
+def test_cleaning_is_one_pass_without_shuffle_or_python(spark, tmp):
     rows = [("1", "2012-01-31 00:00:00", "1", ['"1"'] * 96)]
-    raw = csv_source.read_raw_volumes(spark, write_volume_csv(tmp, rows))
-    df = cleaning.clean_volumes(raw)
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "WholeStageCodegen" in plan or "*(" in plan
-    assert df.select(F.size("volumes")).first()[0] == 96
+    folder = write_volume_csv(tmp, rows)
+    for with_order in (False, True):
+        raw = csv_source.read_raw_volumes(spark, folder, with_order=with_order)
+        df = cleaning.clean_volumes(raw, csv_source.ORDER_COLUMNS if with_order else None)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "Python" not in plan and plan.count("FileScan csv") == 1
+        assert df.select(F.size("volumes")).first()[0] == 96

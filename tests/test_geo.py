@@ -14,16 +14,16 @@ def test_points(spark):
     df = one_col(spark, ["POINT (144.05 -37.12)", "point(1 2)", "POINT Z (1 2 3)", " POINT  ( 1.5e1   -2 ) ",
                          "null", None, ""])
     wkt = geo.missing_to_null(F.col("wkt"))
-    lon, lat = geo.point_coords(wkt, F.lit("s"))
+    lon, lat = geo.point_coords(wkt)
     got = [tuple(r) for r in df.select(lon, lat).collect()]
     assert got == [(144.05, -37.12), (1.0, 2.0), (1.0, 2.0), (15.0, -2.0), (None, None), (None, None), (None, None)]
 
 
 def test_non_point_raises_with_site(spark):
     df = one_col(spark, ["LINESTRING (0 0, 1 1)"])
-    lon, _ = geo.point_coords(F.col("wkt"), F.lit("site-7"))
+    checked = df.where(geo.is_point_or_null(F.col("wkt"), F.lit("site-7")))
     with pytest.raises(Exception, match="site-7"):
-        df.select(lon).collect()
+        checked.select(F.lit(1)).collect()   # whichever columns are read
 
 
 def test_roads(spark):
@@ -53,7 +53,19 @@ def test_roads(spark):
 def test_malformed_line_raises(spark):
     df = one_col(spark, ["LINESTRING (0 0, 1"])
     with pytest.raises(Exception, match="malformed line geometry"):
-        df.select(geo.road_multilinestring(F.col("wkt"))).collect()
+        df.where(geo.is_line_other_or_null(F.col("wkt"))).count()
+    assert one_col(spark, ["POINT (1 2)", "LINESTRING EMPTY", "null", None]).where(geo.is_line_other_or_null(F.col("wkt"))).count() == 4
+
+
+def test_road_keys_are_equal_for_equal_texts_only(spark):
+    df = one_col(spark, ["MULTILINESTRING ((0 1, 1 1))", "MULTILINESTRING ((0 1, 1 1))", "MULTILINESTRING ((0 1, 1 2))", None])
+    a, b, c, d = [r[0] for r in df.select(geo.road_key(F.col("wkt"))).collect()]
+    assert a == b != c and d is None
+
+
+def test_line_breaks_inside_a_text_are_blanks(spark):
+    df = one_col(spark, ["LINESTRING (0 1,\n1 1)"]).where(geo.is_line_other_or_null(F.col("wkt")))
+    assert df.select(geo.road_multilinestring(F.col("wkt"))).first()[0] == "MULTILINESTRING ((0 1, 1 1))"
 
 
 def test_road_parts(spark):

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from loopcount.operators.broadcast import bounded_broadcast
+from loopcount.operators.broadcast import EmptyLookup, measured
 from loopcount.plans import jobs
 from loopcount.schemas import OBSERVATIONS_SCHEMA, SchemaMismatch, check_schema
 from loopcount.sources import csv as csv_source
@@ -89,7 +89,7 @@ def test_profile_job_and_pruning(spark, inputs):
     # the weekday filter reaches the scan as a partition filter
     tue = read_table(spark, f"{root}/obs", day_of_week="Tue")
     plan = tue._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(day_of_week" in plan and "Tue" in plan
+    assert "isnotnull(day_of_week" in plan.split("PartitionFilters:")[1] and "Tue" in plan
     assert tue.count() == 3
 
 
@@ -127,9 +127,15 @@ def test_oversized_lookup_falls_back_to_shuffle_join(spark, inputs):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_bounded_broadcast_measures(spark):
-    m = bounded_broadcast(spark.createDataFrame([("a" * 10,), ("b",)], "s string"), "t")
+def test_lookups_are_measured_without_leaving_anything_persisted(spark):
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    m = measured(spark.createDataFrame([("a" * 10,), ("b",)], "s string"), "t")
     assert (m.rows, m.broadcast) == (2, True) and m.bytes == 10 + 8 + 1 + 8
+    nested = measured(spark.createDataFrame([([[(1.0, 2.0), (3.0, 4.0)]],), (None,)], "road array<array<struct<lon double, lat double>>>"), "n", 1)
+    assert (nested.rows, nested.broadcast) == (2, False) and nested.bytes == (2 * 16 + 16 + 16) + 16
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
+    with pytest.raises(EmptyLookup, match="no things found"):
+        measured(spark.createDataFrame([], "s string"), "things", needs_rows=True)
 
 
 def test_schema_check(spark):
@@ -138,40 +144,123 @@ def test_schema_check(spark):
         check_schema(df, OBSERVATIONS_SCHEMA, "observations")
 
 
-def test_overwrite_is_idempotent(spark, inputs):
+def test_import_again_gives_the_same_table(spark, inputs):
     root = inputs["root"]
     for _ in range(2):
         jobs.import_job(spark, f"{root}/obs2", inputs["volumes"], inputs["layouts"], inputs["points"], inputs["lines"])
     assert spark.read.parquet(f"{root}/obs2").count() == 6
 
 
-def test_command_line(spark, inputs):
-    from loopcount.__main__ import main
-    root = inputs["root"]
-    assert main(["import", "--volumes", inputs["volumes"], "--layouts", inputs["layouts"], "--points",
-                 inputs["points"], "--lines", inputs["lines"], "--output", f"{root}/cli_obs"]) == 0
-    assert main(["profile", "--observations", f"{root}/cli_obs", "--output", f"{root}/cli_prof",
-                 "--day-of-week", "Tue"]) == 0
-    assert spark.read.parquet(f"{root}/cli_prof").count() == 2 * 96
+def import_rows(spark, inputs, name, rows, **options):
+    folder = write_volume_csv(f"{inputs['root']}/{name}", rows)
+    jobs.import_job(spark, f"{inputs['root']}/merged", folder, inputs["layouts"], inputs["points"], inputs["lines"], **options)
+    return {r.feature_id: (str(r.obs_date), list(r.volumes)[:1]) for r in spark.read.parquet(f"{inputs['root']}/merged").collect()}
+
+
+def test_a_later_import_keeps_earlier_days_and_replaces_its_own_ids(spark, inputs):
+    first = import_rows(spark, inputs, "v1", [("1", "2012-01-31 00:00:00", "1", counts(1)), ("1", "2012-01-24 00:00:00", "1", counts(2)),
+                                              ("1", "2012-02-07 00:00:00", "2", counts(3))])
+    assert len(first) == 3
+    # the same weekday in another month; in one month already stored; and a corrected row
+    second = import_rows(spark, inputs, "v2", [("1", "2012-02-07 00:00:00", "1", counts(4)), ("1", "2012-01-24 00:00:00", "1", counts(9))])
+    assert sorted(second.values()) == [("2012-01-24", [9]), ("2012-01-31", [1]), ("2012-02-07", [3]), ("2012-02-07", [4])]
+    parts = {(r.day_of_week, r.obs_month) for r in spark.read.parquet(f"{inputs['root']}/merged").select("day_of_week", "obs_month").distinct().collect()}
+    assert parts == {("Tue", 201201), ("Tue", 201202)}
+
 
+def test_of_lines_for_one_detector_day_the_last_in_file_order_stays(spark, inputs):
+    got = import_rows(spark, inputs, "v1", [("1", TUE, "1", counts(n)) for n in (5, 8, 2)] + [("1", WED, "1", counts(7))])
+    assert sorted(got.values()) == [("2012-01-31", [2]), ("2012-02-01", [7])]
 
-def test_dedupe_ids_keeps_one_row_per_feature_id(spark, inputs):
+
+def test_create_refuses_an_existing_table(spark, inputs):
+    from loopcount.sinks import TableExists
+    rows = [("1", TUE, "1", counts(5))]
+    import_rows(spark, inputs, "v1", rows, mode="create")
+    with pytest.raises(TableExists):
+        import_rows(spark, inputs, "v2", rows, mode="create")
+
+
+@pytest.mark.parametrize("scheme", ["", "file:"])
+def test_a_table_of_another_schema_is_refused_in_every_mode(spark, inputs, scheme):
     from loopcount import sinks
     root = inputs["root"]
     obs = jobs.import_csv(spark, inputs["volumes"], inputs["layouts"], inputs["points"], inputs["lines"])
-    sinks.write_observations(obs.unionByName(obs), f"{root}/dedupe", dedupe_ids=True)
-    assert spark.read.parquet(f"{root}/dedupe").count() == 6
+    # written with dynamic overwrite, so without a marker file
+    (obs.drop("road").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day_of_week", "obs_month").parquet(f"{root}/other"))
+    for mode in ("merge", "create"):
+        with pytest.raises(SchemaMismatch, match="missing road"):
+            sinks.write_observations(obs, f"{scheme}{root}/other", mode=mode)
+    prof = jobs.dow_profile(obs)
+    prof.drop("num_features").write.partitionBy("day_of_week").parquet(f"{root}/other_profile")
+    with pytest.raises(SchemaMismatch, match="missing num_features"):
+        sinks.write_profile(prof, f"{scheme}{root}/other_profile")
+    assert spark.read.parquet(f"{root}/other").count() == 6
+
+
+def test_the_write_shuffles_once_and_keeps_sites_whole(spark, inputs):
+    from pyspark.sql import Window
+    obs = jobs.import_csv(spark, inputs["volumes"], inputs["layouts"], inputs["points"], inputs["lines"])
+    key = ["day_of_week", "obs_month", "site"]
+    ranked = obs.repartitionByRange(*key).withColumn("n", F.row_number().over(Window.partitionBy(*key, "detector", "obs_date").orderBy("volumes")))
+    plan = ranked._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange rangepartitioning") == 1 and "Exchange hashpartitioning" not in plan
+
+
+def test_date_filters_prune_months(spark, inputs):
+    from datetime import date
+    root = inputs["root"]
+    jobs.import_job(spark, f"{root}/obs", inputs["volumes"], inputs["layouts"], inputs["points"], inputs["lines"])
+    df = read_table(spark, f"{root}/obs", first_date=date(2012, 2, 1), last_date=date(2012, 2, 29))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "obs_month" in plan.split("PartitionFilters:")[1].split("]")[0] and {r.day_of_week for r in df.collect()} == {"Wed"}
+    assert df.count() == 3
+
+
+def test_the_srid_survives_parquet(spark, inputs):
+    root = inputs["root"]
+    jobs.import_job(spark, f"{root}/obs", inputs["volumes"], inputs["layouts"], inputs["points"], inputs["lines"])
+    jobs.profile_job(spark, f"{root}/obs", f"{root}/prof")
+    for table, columns in (("obs", ("point_wkt", "lon", "lat", "road_wkt", "road")), ("prof", ("point_wkt", "lon", "lat", "road_wkt"))):
+        schema = spark.read.parquet(f"{root}/{table}").schema
+        assert all(schema[c].metadata == {"srid": 4326} for c in columns)
+
+
+def test_an_empty_point_file_is_an_error(spark, inputs):
+    write_text(f"{inputs['root']}/none", "p.csv", "WKT,SITE_NO\n")
+    with pytest.raises(EmptyLookup):
+        jobs.import_job(spark, f"{inputs['root']}/out", inputs["volumes"], inputs["layouts"], f"{inputs['root']}/none")
+
+
+def test_sql_form_broadcasts_only_what_was_measured(spark, inputs):
+    order = csv_source.ORDER_COLUMNS
+    args = (csv_source.read_raw_volumes(spark, inputs["volumes"]), csv_source.read_points(spark, inputs["points"]),
+            csv_source.read_site_layouts(spark, inputs["layouts"]), csv_source.read_lines(spark, inputs["lines"]))
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    df = jobs.import_sql(spark, *args, point_order=order, line_order=order, layout_order=order, max_broadcast_bytes=1)
+    assert "strategy=broadcast" not in df._jdf.queryExecution().analyzed().toString() + df._jdf.queryExecution().optimizedPlan().toString()
+    assert df.count() == 6 and spark.sparkContext._jsc.getPersistentRDDs().size() == before
+
 
+def test_no_road_text_in_the_profile_s_main_exchange(spark, inputs):
+    root = inputs["root"]
+    jobs.import_job(spark, f"{root}/obs", inputs["volumes"], inputs["layouts"], inputs["points"], inputs["lines"])
+    from loopcount.operators import profile
+    plan = profile.slot_sums(spark.read.parquet(f"{root}/obs"))._jdf.queryExecution().executedPlan().toString()
+    main = [line for line in plan.splitlines() if "Exchange hashpartitioning(site" in line]
+    assert len(main) == 1 and "road_key" in main[0] and "road_wkt" not in main[0]
 
-def test_cluster_by_site_gives_the_same_table(spark, inputs):
+
+def test_command_line(spark, inputs):
+    from loopcount.__main__ import main
     root = inputs["root"]
-    args = (inputs["volumes"], inputs["layouts"], inputs["points"], inputs["lines"])
-    jobs.import_job(spark, f"{root}/plain", *args)
-    jobs.import_job(spark, f"{root}/clustered", *args, cluster_by_site=True)
-    cols = ["feature_id", "site", "detector", "obs_date", "day_of_week", "road_wkt"]
-    a = spark.read.parquet(f"{root}/plain").select(*cols).collect()
-    b = spark.read.parquet(f"{root}/clustered").select(*cols).collect()
-    assert sorted(a) == sorted(b) and len(a) == 6
+    assert main(["import", "--volumes", inputs["volumes"], "--layouts", inputs["layouts"], "--points",
+                 inputs["points"], "--lines", inputs["lines"], "--output", f"{root}/cli_obs"]) == 0
+    with pytest.raises(SystemExit):
+        main(["import", "--mode", "overwrite"])
+    assert main(["profile", "--observations", f"{root}/cli_obs", "--output", f"{root}/cli_prof",
+                 "--day-of-week", "Tue"]) == 0
+    assert spark.read.parquet(f"{root}/cli_prof").count() == 2 * 96
 
 
 def test_hot_site_is_combined_before_the_shuffle(spark):

@@ -52,3 +52,17 @@ def test_window_top_one_limits_before_the_shuffle(spark, tmp):
     write_text(tmp, "layouts.csv", header + "".join(f"1,,,l{i},1,2012-01-{i % 28 + 1:02d},1,L,x,1\n" for i in range(200)))
     plan = lookups.first_layout(csv_source.read_site_layouts(spark, tmp))._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_a_text_that_is_no_point_fails_whatever_is_read(spark, tmp):
+    write_text(tmp, "p.csv", "WKT,SITE_NO\n\"LINESTRING (0 0, 1 1)\",77\n")
+    pts = lookups.site_points(csv_source.read_points(spark, tmp), csv_source.ORDER_COLUMNS)
+    with pytest.raises(Exception, match="site 77"):
+        pts.select("site").collect()
+
+
+def test_road_points_are_flat(spark, tmp):
+    write_text(tmp, "l.csv", 'WKT,hfidl,hfidr\n"MULTILINESTRING ((0 1, 2 3), (4 5, 6 7))",1,\n"POLYGON ((0 0, 1 0, 1 1, 0 0))",2,\n')
+    roads = lookups.road_lookup(csv_source.read_lines(spark, tmp), csv_source.ORDER_COLUMNS)
+    assert sorted(map(tuple, lookups.road_points(roads).collect())) == [
+        ("1", 0, 0, 0.0, 1.0), ("1", 0, 1, 2.0, 3.0), ("1", 1, 0, 4.0, 5.0), ("1", 1, 1, 6.0, 7.0)]
