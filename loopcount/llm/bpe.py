@@ -33,7 +33,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from loopcount.llm.common import ship_package, sliced, text_rows
+from loopcount.llm.common import prepare, sliced, text_rows
 
 #: White space in the sense of Unicode, which also ends a pre-token.
 SPACE = "\t-\r \x85\xa0  -     　"
@@ -292,7 +292,7 @@ def _encoder(path: str) -> Encoder:
 
 def encode_texts(docs: DataFrame, path: str) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every whole text."""
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
 
     def run(batches):
         encoder = _encoder(path)

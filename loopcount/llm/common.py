@@ -14,15 +14,24 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that one step of an operator looks at together; a longer text is a step of its own.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def ship_package(spark: SparkSession) -> None:
-    """Give the Python workers this package, once a SparkContext, wherever it is installed."""
+#: Arrow batches for Python tasks where the session sets none: texts are long, and a task holds
+#: a batch several times over (rows, Arrow in the JVM, Arrow in Python, results).
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
+
+
+def prepare(spark: SparkSession) -> None:
+    """Give the Python workers this package, once a SparkContext, wherever it is installed, and
+    the session small Arrow batches."""
+    for name, value in BATCH.items():
+        if spark.conf.get(name, None) is None:
+            spark.conf.set(name, value)
     sc = spark.sparkContext
     if getattr(sc, "_loopcount_shipped", False):
         return

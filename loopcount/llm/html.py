@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loopcount.llm.common import ship_package, sliced, stored
+from loopcount.llm.common import prepare, sliced, stored
 
 #: A text that stands in this share of a host's different pages (and in LEAST_PAGES) is template.
 CONSTANT_SHARE = 0.5
@@ -366,7 +366,7 @@ def main_text(source: str, wrapper: str | None = None, article: str | None = Non
 
 def extract(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars) of every page."""
-    ship_package(pages.sparkSession)
+    prepare(pages.sparkSession)
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"),
                         F.col("url").cast("string").alias("url")).withColumn("host", host_of(F.col("url")))
     skeletons = rows.select("host", "html").mapInArrow(_skeletons, "host string, skeleton string, n long").groupBy("host", "skeleton").agg(F.sum("n").alias("n"))

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loopcount.llm.common import mix, runs, ship_package, sliced, small_enough, span_hashes, stored, text_rows, utf8
+from loopcount.llm.common import mix, runs, prepare, sliced, small_enough, span_hashes, stored, text_rows, utf8
 
 SAMPLE_SHARE = 1 / 32
 SAMPLE_DOCS = 1 << 20
@@ -198,7 +198,7 @@ def keep_one_of_each(documents: DataFrame, words: int = 5, percent: int = 80) ->
 
 def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of ``documents``."""
-    ship_package(documents.sparkSession)
+    prepare(documents.sparkSession)
     docs = text_rows(documents)
     sets = stored(prefixes(docs, words, percent), "prefixes")
     used = sets.filter((F.col("n") > 0) & F.col("doc_id").isNotNull())

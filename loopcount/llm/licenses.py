@@ -29,7 +29,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from loopcount.llm.common import runs, ship_package, sliced, text_rows, utf8
+from loopcount.llm.common import runs, prepare, sliced, text_rows, utf8
 
 #: Phrase and label of the base scan.
 BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
@@ -147,7 +147,7 @@ _DDL = ("doc_id long, n_words long, n_base long, first_word long, last_word long
 
 def scan(docs: DataFrame, notices: dict[str, str] = NOTICES) -> DataFrame:
     """A row a text: base places and labels, fuzzy findings (spans in characters), labels, score."""
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         searcher = Notices(notices)

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loopcount.llm.common import ship_package
+from loopcount.llm.common import prepare
 from loopcount.llm.topk import matrix, usable
 
 PROJECTIONS = 8
@@ -270,7 +270,7 @@ def kind_id(kind: tuple[int, int]) -> int:
 def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
     """(query_id, rank, vec_id, score): each query's ``k`` nearest found, nearest first."""
     spark = vectors.sparkSession
-    ship_package(spark)
+    prepare(spark)
     nonzero = lambda df: usable(df).filter(F.exists("v", lambda x: x != 0))
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
     first = F.row_number().over(Window.partitionBy("v").orderBy("vec_id"))

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loopcount.llm.common import held_out, ship_package, sliced, span_hashes, runs, mix, text_rows, utf8
+from loopcount.llm.common import held_out, prepare, sliced, span_hashes, runs, mix, text_rows, utf8
 
 #: Labelled rows that the model is fitted on, at most.
 SAMPLE = 20_000
@@ -277,7 +277,7 @@ def score(docs: DataFrame, model: Additive) -> DataFrame:
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs``, with all their columns, whose score reaches THRESHOLD."""
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(train(docs, labels))
     at = docs.columns.index("text")
 
@@ -290,6 +290,6 @@ def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def quality_of(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, held_out, score, predicted)."""
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
     return score(docs, train(docs, labels)).select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))

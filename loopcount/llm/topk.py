@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loopcount.llm.common import ship_package
+from loopcount.llm.common import prepare
 
 SCALE = 1024
 SHARD_ROWS = 1 << 14
@@ -116,7 +116,7 @@ def _tile(k: int):
 
 def exact_topk(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     """(query_id, rank, vec_id, score): each query's ``k`` rows with the highest exact score."""
-    ship_package(vectors.sparkSession)
+    prepare(vectors.sparkSession)
     n_shards = max(1, -(-vectors.count() // SHARD_ROWS))
     n_blocks = max(1, -(-queries.count() // BLOCK_ROWS))
     rows = usable(vectors)

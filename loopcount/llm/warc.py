@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loopcount.llm.common import shared_folder, ship_package, sliced, small_enough, stored
+from loopcount.llm.common import shared_folder, prepare, sliced, small_enough, stored
 
 REVISIT_BYTES = 100
 LEVEL = 4
@@ -63,7 +63,7 @@ def record(page_id: int | None, url: str | None, payload: bytes, digest: str, re
 
 def write_archives(pages: DataFrame, path: str) -> None:
     """Write ``pages`` (page_id, url, html) as archives under ``path``."""
-    ship_package(pages.sparkSession)
+    prepare(pages.sparkSession)
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"),
                         F.col("url").cast("string").alias("url")).withColumn("digest", F.unhex(F.sha2("html", 256)))
     many = F.octet_length("html") >= REVISIT_BYTES
@@ -211,7 +211,7 @@ def _chunks(batches) -> Iterator[tuple[tuple[str, int], bytes | None, bool]]:
 def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
     """A row a record: page_id, url, payload_bytes, payload_digest, record_type, refers_to, payload
     (null for revisits, and everywhere without ``payloads``)."""
-    ship_package(spark)
+    prepare(spark)
     fields = _RECORD
 
     def row(content: bytes) -> dict | None:
