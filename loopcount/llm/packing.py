@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
 from loopcount.llm.bpe import byte_alphabet
-from loopcount.llm.common import ship_package, sliced, text_rows
+from loopcount.llm.common import prepare, sliced, text_rows
 
 CONTEXT = 1024
 #: Shorter contexts; a rest goes to the smallest that holds it.
@@ -58,9 +58,7 @@ class Tokens:
         ranks = {b"".join(byte[c] for c in t): i for t, i in spec["model"]["vocab"].items() if t not in specials}
         self._fast = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=specials)
         self._specials = set(specials)
-        self._slow = Tokenizer.from_file(path)
-        self._slow.no_truncation()
-        self._slow.no_padding()
+        self._path, self._slow = path, None
 
     def __call__(self, text: str) -> np.ndarray:
         if not text:
@@ -70,6 +68,10 @@ class Tokens:
         except BaseException as e:  # its regular expressions give up on very long runs of white space
             if type(e).__name__ != "PanicException" and not isinstance(e, ValueError):
                 raise
+            if self._slow is None:  # seldom needed, so not held by every worker
+                self._slow = Tokenizer.from_file(self._path)
+                self._slow.no_truncation()
+                self._slow.no_padding()
             return np.array(self._slow.encode(text, add_special_tokens=False).ids, np.uint32)
 
 
@@ -204,7 +206,7 @@ class _Task:
 
 def pack(docs: DataFrame, path: str, context: int = CONTEXT, tiers: tuple[int, ...] = TIERS) -> DataFrame:
     """(doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, tier, step_group): a row a piece."""
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         if path not in _tokens:
