@@ -9,10 +9,10 @@ once to the interpolated log-probability of every window.
 
 Scoring: the language of the lowest cross-entropy per character wins. ``score`` is the winner's
 posterior at the text's length (at most ``EVIDENCE`` characters count, neighbouring windows
-being dependent) times the acceptance. Calibrated rejection: a language accepts a text up to
-the middle between its entropy on its own counts and the lowest cross-entropy of its model on
-another language's counts (a uniform text, if there is no other), plus ``DEVIATIONS`` standard
-errors at the text's length; both come from the corpus counts.
+being dependent), halved where it is rejected. Calibrated rejection: a language accepts a text
+up to the middle between its entropy on its own counts and the entropy of text without any
+structure, plus ``DEVIATIONS`` standard errors at the text's length; entropy and error come from
+the corpus counts. So texts that mix learned languages stay, and letters in no order go.
 
 Defined results: texts that are null or have no letter get ``und`` and score 0; so does every
 text where nothing was learned. Rows without language, id or letters teach nothing. Repeated
@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loopcount.llm.common import held_out, ship_package, sliced, text_rows
+from loopcount.llm.common import held_out, prepare, sliced, text_rows
 
 ORDER = 4
 BITS = 5
@@ -159,18 +159,14 @@ class Model:
 
     def calibration(self, log_p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Per language the accepted cross-entropy and the variance of a character's."""
-        n = len(self.languages)
-        cross = np.full((n, n + 1), np.log(1 << BITS))
-        variance = np.zeros(n)
-        for i in range(n):
-            for j in range(n):
-                share = self.counts[j] / self.counts[j].sum()
-                bits = -log_p[i][self.hashes[j]].astype(float)
-                cross[i, j] = (share * bits).sum()
-                if i == j:
-                    variance[i] = (share * bits * bits).sum() - cross[i, i] ** 2
-        limit = np.array([(cross[i, i] + min(cross[i, j] for j in range(n + 1) if j != i)) / 2 for i in range(n)])
-        return limit, variance
+        limit, variance = [], []
+        for log_q, hashes, counts in zip(log_p, self.hashes, self.counts):
+            share = counts / counts.sum()
+            loss = -log_q[hashes].astype(float)
+            entropy = (share * loss).sum()
+            limit.append((entropy + np.log(1 << BITS)) / 2)
+            variance.append((share * loss * loss).sum() - entropy ** 2)
+        return np.array(limit), np.array(variance)
 
 
 def train(docs: DataFrame, training: Column) -> Model:
@@ -207,7 +203,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 
 def keep_known(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` (doc_id, text, lang), with all their columns, that a language accepts."""
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
     rows = _training_rows(docs)
     shared = docs.sparkSession.sparkContext.broadcast(train(rows, _training()))
     token = shared._jbroadcast.id()
@@ -260,7 +256,7 @@ def _training() -> Column:
 
 def languages_of(docs: DataFrame) -> DataFrame:
     """(doc_id, held_out, lang_pred, score, accepted, cross_entropy); learned from rows not held out."""
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
     rows = _training_rows(docs)
     found = identify(rows, train(rows, _training()))
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "accepted", "cross_entropy")
