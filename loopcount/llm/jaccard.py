@@ -4,7 +4,9 @@ A document is the set of its distinct word n-grams, as 64-bit hashes. Two sets o
 share an n-gram among the first n - ceil(t n) + 1 of each in any common order, rare n-grams
 first. Documents with identical sets are one class; classes with identical prefixes and size
 are one group, and only groups are joined on the n-grams of their prefixes. Group pairs pass
-the size and the position filter; then members are expanded and verified exactly, on texts.
+the size and the position filter; then members are expanded. A pair of members first compares
+bitmaps of the two sets (each bit of one that the other lacks stands for an n-gram the other
+lacks, which bounds the overlap), and what is left is verified exactly, on texts.
 
 No group of many similar documents is expanded into all its pairs, as the result is components:
 a first round links every group to the smallest group of each posting list, a second one
@@ -13,7 +15,7 @@ left out lies in one component already, so no component is missed.
 
 The order of n-grams only decides how long posting lists get, never the result: n-grams that
 are frequent in a sample of the documents (``SAMPLE_SHARE``, at most ``SAMPLE_DOCS`` of them)
-come last, at most ``HEAVY_MOST`` of them being told apart.
+come last, the most frequent at the end, at most ``HEAVY_MOST`` of them being told apart.
 
 Defined results: a text without words, or null, has an empty set, its own component and no
 links; with fewer than n words the whole sequence is the only n-gram. A row without id has no
@@ -79,8 +81,9 @@ def _signature(x: np.ndarray) -> tuple[int, int]:
     return a - (1 << 63), b - (1 << 63)
 
 
-def heavy_grams(docs: DataFrame, words: int) -> np.ndarray:
-    """The n-grams found frequent in a sample, sorted; a hint for the order only."""
+def heavy_grams(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """The n-grams found frequent in a sample, sorted, and the place of each by its frequency (the
+    least frequent first); a hint for the order only."""
     n = max(1, docs.count())
     share = min(SAMPLE_SHARE, SAMPLE_DOCS / n)
 
@@ -92,31 +95,54 @@ def heavy_grams(docs: DataFrame, words: int) -> np.ndarray:
 
     chosen = docs.filter(F.pmod(F.xxhash64("doc_id", F.lit("order")), F.lit(1 << 30)) < int(share * (1 << 30)))
     got = (chosen.mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).filter(F.col("n") >= HEAVY_DOCS)
-           .orderBy(F.desc("n"), "gram").limit(HEAVY_MOST).select("gram").toArrow())
-    return np.sort(np.asarray(got["gram"]).view(np.uint64))
+           .orderBy(F.desc("n"), "gram").limit(HEAVY_MOST).toArrow())
+    gram, n = np.asarray(got["gram"]).view(np.uint64), np.asarray(got["n"])
+    place = np.empty(len(gram), np.int64)
+    place[np.lexsort((gram, n))] = np.arange(len(gram))
+    order = np.argsort(gram)
+    return gram[order], place[order]
 
 
-_SETS = [("doc_id", pa.int64()), ("n", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64()), ("p1", pa.int64()), ("p2", pa.int64()), ("prefix", pa.list_(pa.int64()))]
-_SETS_DDL = "doc_id long, n long, s1 long, s2 long, p1 long, p2 long, prefix array<long>"
+_SETS = [("doc_id", pa.int64()), ("n", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64()), ("p1", pa.int64()), ("p2", pa.int64()),
+         ("prefix", pa.list_(pa.int64())), ("bits", pa.binary())]
+_SETS_DDL = "doc_id long, n long, s1 long, s2 long, p1 long, p2 long, prefix array<long>, bits binary"
+
+
+def bitmap(x: np.ndarray) -> bytes:
+    """One bit for each hash, by its low bits, in a power of two of at least twice as many bits."""
+    size = max(64, 1 << (2 * len(x) - 1).bit_length()) if len(x) else 64
+    bits = np.zeros(size, bool)
+    bits[(x & np.uint64(size - 1)).astype(np.int64)] = True
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
+def most_shared(n: int, a: bytes, m: int, b: bytes) -> int:
+    """A bound of what sets of n and m elements share, by their bitmaps."""
+    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+    while len(x) > len(y):
+        x = x[:len(x) // 2] | x[len(x) // 2:]
+    while len(y) > len(x):
+        y = y[:len(y) // 2] | y[len(y) // 2:]
+    return min(n - int(np.bitwise_count(x & ~y).sum()), m - int(np.bitwise_count(y & ~x).sum()))
 
 
 def prefixes(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """Size, set signature, prefix signature and prefix of every document."""
+    """Size, set signature, prefix signature, prefix and bitmap of every document."""
     heavy = docs.sparkSession.sparkContext.broadcast(heavy_grams(docs, words))
 
     def run(batches) -> Iterator[pa.RecordBatch]:
-        late = heavy.value
+        late, place = heavy.value
         for batch in sliced(batches):
             rows = []
             for x in shingle_sets(batch.column(1), words):
                 if len(late):
                     at = np.minimum(np.searchsorted(late, x), len(late) - 1)
                     is_late = late[at] == x
-                    ordered = np.concatenate([x[~is_late], x[is_late]])
+                    ordered = np.concatenate([x[~is_late], x[is_late][np.argsort(place[at[is_late]])]])
                 else:
                     ordered = x
                 p = ordered[:prefix_length(len(x), percent)]
-                rows.append((len(x), *_signature(x), *_signature(p), p.view(np.int64)))
+                rows.append((len(x), *_signature(x), *_signature(p), p.view(np.int64), bitmap(x)))
             columns = [batch.column(0)] + [pa.array([r[i] for r in rows], kind) for i, (_, kind) in enumerate(_SETS[1:])]
             yield pa.RecordBatch.from_arrays(columns, schema=pa.schema(_SETS))
 
@@ -150,9 +176,23 @@ def components(links: DataFrame) -> DataFrame:
     return now.select(F.col("u").alias("node"), F.col("v").alias("component"))
 
 
-def verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+def possible(pairs: DataFrame, bitmaps: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that the bitmaps (doc_id, n, bits) of both don't exclude."""
+    def run(batches) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b, n, x, m, y = (batch.column(i).to_pylist() for i in range(6))
+            keep = [i for i in range(len(a)) if 100 * (s := most_shared(n[i], x[i], m[i], y[i])) >= percent * (n[i] + m[i] - s)]
+            at = pa.array(keep, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at)], names=["a", "b"])
+
+    of = lambda name: bitmaps.select(F.col("doc_id").alias(name), F.col("n").alias(f"n_{name}"), F.col("bits").alias(f"bits_{name}"))
+    joined = pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", "n_a", "bits_a", "n_b", "bits_b")
+    return joined.mapInArrow(run, "a long, b long")
+
+
+def verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose texts really have the similarity."""
-    pairs = stored(pairs, "pairs")
+    pairs = stored(possible(pairs, sets, percent).distinct(), "pairs")
     ids = stored(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "pair-ids")
     side = F.broadcast(ids) if small_enough(ids, 16) else ids
     texts = stored(docs.join(side, "doc_id", "left_semi"), "pair-texts")
@@ -217,7 +257,7 @@ def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80) ->
     hubs = lists.filter((F.col("gid") != F.col("hub")) & similar_size("n", "hub_n")).select(F.col("hub").alias("a"), F.col("gid").alias("b"))
     own = members.filter("rep <> gid").select(F.col("gid").alias("a"), F.col("rep").alias("b"))
     first = hubs.unionByName(own).distinct()
-    links = verified(first, docs, words, percent)
+    links = verified(first, used, docs, words, percent)
     found = components(links)
 
     # Second round: members of a posting list or a group whose components still differ.
@@ -242,7 +282,7 @@ def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80) ->
     left, right = two(inside, "gid", [])
     within = left.join(right, (left["gid"] == right["gid"]) & differ)
     pairs = reduce(DataFrame.unionByName, [d.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")) for d in (across, within)]).distinct()
-    second = verified(pairs.join(first, ["a", "b"], "left_anti"), docs, words, percent)
+    second = verified(pairs.join(first, ["a", "b"], "left_anti"), used, docs, words, percent)
     final = components(links.unionByName(second))
 
     of_class = classes.select("n", "s1", "s2", "rep").join(final.withColumnRenamed("node", "rep"), "rep", "left")
