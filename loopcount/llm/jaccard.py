@@ -247,14 +247,20 @@ def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80) ->
     members = stored(classes.join(groups.drop("prefix"), ["n", "p1", "p2"]).select("rep", "gid", "n"), "members")
 
     postings = groups.select("gid", "n", F.posexplode("prefix").alias("pos", "gram"))
-    shared = postings.groupBy("gram").agg(F.count("*").alias("groups"), F.min("gid").alias("hub"), F.min_by("n", "gid").alias("hub_n")).filter("groups > 1")
+    shared = postings.groupBy("gram").agg(F.count("*").alias("groups"), F.min("gid").alias("hub"), F.min_by("n", "gid").alias("hub_n"),
+                                            F.min_by("pos", "gid").alias("hub_pos")).filter("groups > 1")
     lists = stored(postings.join(shared.drop("groups"), "gram"), "posting-lists")
 
     def similar_size(n: str, m: str):
         return (F.col(n) * 100 >= percent * F.col(m)) & (F.col(m) * 100 >= percent * F.col(n))
 
+    def reaches(n: str, pos: str, m: str, other: str):
+        # The first common n-gram in the order has all others behind it, in both sets.
+        most = F.least(F.col(n) - F.col(pos), F.col(m) - F.col(other))
+        return most * 100 >= percent * (F.col(n) + F.col(m) - most)
+
     # First round: to the smallest group of each posting list, and to the group's smallest member.
-    hubs = lists.filter((F.col("gid") != F.col("hub")) & similar_size("n", "hub_n")).select(F.col("hub").alias("a"), F.col("gid").alias("b"))
+    hubs = lists.filter((F.col("gid") != F.col("hub")) & similar_size("n", "hub_n") & reaches("n", "pos", "hub_n", "hub_pos")).select(F.col("hub").alias("a"), F.col("gid").alias("b"))
     own = members.filter("rep <> gid").select(F.col("gid").alias("a"), F.col("rep").alias("b"))
     first = hubs.unionByName(own).distinct()
     links = verified(first, used, docs, words, percent)
@@ -273,9 +279,7 @@ def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80) ->
         return side("a"), side("b")
 
     left, right = two(open_lists, "gram", ["pos"])
-    # Shared n-grams lie before this one in both orders, or after it in both, or are it.
-    most = F.least("pos_a", "pos_b") + F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b"))
-    enough = most * 100 >= percent * (F.col("n_a") + F.col("n_b") - most)
+    enough = reaches("n_a", "pos_a", "n_b", "pos_b")
     differ = (F.col("rep_a") < F.col("rep_b")) & (F.col("comp_a") != F.col("comp_b"))
     across = left.join(right, (left["gram"] == right["gram"]) & differ & similar_size("n_a", "n_b") & enough)
     inside = placed.join(mixed_groups.filter("low <> high").select("gid"), "gid")
