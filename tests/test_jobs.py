@@ -56,6 +56,30 @@ def test_unplaced_report(spark, inputs):
         ("9", "2012-01-31"), ("9", "2012-02-01")]
 
 
+def test_the_unplaced_report_fails_on_a_malformed_row_it_does_not_show(spark, inputs):
+    from loopcount.operators import cleaning, enrich, lookups
+    folder = write_volume_csv(f"{inputs['root']}/bad", [("9", TUE, "1", ['"x"'] + ['"1"'] * 95)])
+    pts = lookups.site_points(csv_source.read_points(spark, inputs["points"]), csv_source.ORDER_COLUMNS)
+    report = enrich.unplaced(cleaning.clean_volumes(csv_source.read_raw_volumes(spark, folder)), pts)
+    for read in (report.collect, report.count):
+        with pytest.raises(Exception, match="malformed count"):
+            read()
+
+
+def test_staged_inputs_follow_the_source_files(spark, tmp):
+    import os
+    import time
+
+    from loopcount.plans import queries
+    for t in queries.SOURCE_TABLES:
+        spark.range(3).write.parquet(f"{tmp}/{t}.parquet")
+    first = queries._tag(spark, tmp)
+    assert queries._tag(spark, tmp + "/") == first
+    name = next(f for f in sorted(os.listdir(f"{tmp}/nation.parquet")) if f.startswith("part"))
+    os.utime(f"{tmp}/nation.parquet/{name}", (time.time() + 60,) * 2)
+    assert queries._tag(spark, tmp) != first
+
+
 def test_lines_are_optional(spark, inputs):
     obs = jobs.import_csv(spark, inputs["volumes"], inputs["layouts"], inputs["points"])
     assert obs.where(F.col("road_wkt").isNotNull()).count() == 0 and obs.count() == 6

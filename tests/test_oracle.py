@@ -29,6 +29,7 @@ def test_query_matches_oracle(spark, duck, name):
     assert r["columns_match"], r
     assert r["spark_rows"] == r["oracle_rows"], r
     assert r["values_match"], r
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == 0
 
 
 def test_entry_smoke(spark):
