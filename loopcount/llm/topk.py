@@ -9,7 +9,7 @@ Defined results: a vector that is null, empty or holds a null or non-finite comp
 part, nor does a row without id. Only vectors of the query's length are its candidates. Rows
 with the query's own id are not candidates; other repeated rows each count. A query id that
 occurs more than once is asked once, with the smallest of its vectors. Scores are exact
-integers; beyond the range of a long the order stays exact and the value is clipped.
+integers; beyond ``MOST``, the largest long, they are clipped, and clipped scores tie.
 """
 
 from __future__ import annotations
@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from loopcount.llm.common import prepare
 
 SCALE = 1024
+MOST = 2**63 - 1
 SHARD_ROWS = 1 << 14
 BLOCK_ROWS = 1 << 14
 FAN_IN = 16
@@ -76,10 +77,9 @@ def best_of_tile(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarra
     out = []
     if bound * n >= 2.0**61:
         for i, row in zip(q_ids, q.astype(object)):
-            score = [sum(int(a) * int(b) for a, b in zip(row, y)) for y in x]
+            score = [max(-MOST, min(MOST, sum(int(a) * int(b) for a, b in zip(row, y)))) for y in x]
             best = sorted((j for j in range(n) if ids[j] != i), key=lambda j: (-score[j], ids[j]))[:k]
-            clip = [max(-2**63, min(2**63 - 1, score[j])) for j in best]
-            out.append((np.full(len(best), i), ids[best], np.array(clip, np.int64)))
+            out.append((np.full(len(best), i), ids[best], np.array([score[j] for j in best], np.int64)))
         return out
     kind = np.float32 if bound < 2**24 else np.float64 if bound < 2**53 else np.int64
     q, xt = q.astype(kind), np.ascontiguousarray(x.astype(kind).T)
