@@ -37,7 +37,7 @@ CONSTANT_SHARE = 0.5
 LEAST_PAGES = 4
 #: Share of the varying text that the article's node has to hold.
 ARTICLE_SHARE = 0.6
-#: Characters of a constant text that are compared; nothing is cut from results.
+#: What all hosts' wrappers may take to be broadcast; else pages are joined with them in a shuffle.
 BROADCAST_BYTES = 16 << 20
 
 # Fixed values of HTML.
@@ -66,10 +66,10 @@ class Element:
     __slots__ = ("tag", "label", "no_content", "children")
 
     def __init__(self, tag: str, attributes: str):
-        names = " ".join(" ".join(m[1:]).strip().lower() for m in map(lambda m: (m[0], m[2] or "", m[3] or "", m[4] or ""), _ATTRIBUTE.finditer(attributes))) if attributes else ""
+        names = " ".join((m[2] or m[3] or m[4] or "").strip().lower() for m in _ATTRIBUTE.finditer(attributes)) if attributes else ""
         self.tag = tag
         self.label = tag + ("." + _DIGITS.sub("", names.split()[0]) if names.strip() else "")
-        self.no_content = tag in NO_CONTENT or (bool(names) and tag not in ("html", "body", "article", "main") and bool(NO_CONTENT_NAME.search(names)))
+        self.no_content = tag in NO_CONTENT or (tag not in ("html", "body", "article", "main") and bool(NO_CONTENT_NAME.search(names)))
         self.children: list[Element | str] = []
 
 
@@ -106,7 +106,7 @@ def parse(source: str) -> Element:
                     break
                 if stack[i].tag in BLOCK:
                     break
-        elif tag in ENDS:
+        if tag in ENDS:
             closes, within = ENDS[tag]
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].tag in within:
@@ -114,13 +114,6 @@ def parse(source: str) -> Element:
                 if stack[i].tag in closes:
                     del stack[i:]
                     break
-        if tag == "li":
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag in ("ul", "ol", "menu", "dir"):
-                    break
-                if stack[i].tag == "li":
-                    del stack[i:]
-                    break
         element = Element(tag, m[3])
         stack[-1].children.append(element)
         if tag in RAW:
@@ -128,11 +121,7 @@ def parse(source: str) -> Element:
             element.children.append(source[at:close.start() if close else end])
             at = close.start() if close else end
             stack.append(element)
-        elif tag not in VOID and not m[3].endswith("/"):
-            stack.append(element)
-        elif m[3].endswith("/") and tag not in VOID and tag not in BLOCK:
-            continue
-        elif tag not in VOID:
+        elif tag not in VOID and (tag in BLOCK or not m[3].endswith("/")):
             stack.append(element)
     return root
 
