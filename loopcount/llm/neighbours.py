@@ -35,12 +35,15 @@ from loopcount.llm.common import prepare
 from loopcount.llm.topk import matrix, usable
 
 PROJECTIONS = 8
-CONFIDENCE = 0.97
+CONFIDENCE = 0.95
 #: Vectors on which the top of the tree is fitted; all vectors are indexed.
 SAMPLE = 1 << 14
 CELL_ROWS = 1 << 13
 MOST_CELLS = 1 << 12
 LEAF = 64
+#: Bound of the error of single-precision scores, as a share of the squared largest norm.
+ROUNDING = 1e-5
+#: Projected neighbours verified between two tests at first; as many as before afterwards.
 VERIFY = 128
 
 _LIST = "qid long, score double, vec_id long"
@@ -103,16 +106,17 @@ class Tree:
 
 def search(tree: Tree, x: np.ndarray, q: np.ndarray, q_projected: np.ndarray, largest: float, k: int, kth: float, stop: float):
     """Rows (numbers in ``tree.order``) and scores of the verified vectors that may be among the
-    k best; q: scaled to norm ``largest``; kth: a score that the k-th best is known to reach."""
+    k best; q: scaled to norm ``largest``; kth: a score that the k-th best is known to reach.
+    x and q may be of single precision: ``ROUNDING`` covers their error, the caller scores exactly."""
     box = tree.box_distance(q_projected)
     nearest = np.argsort(box)
     scores, rows = np.zeros(0), np.zeros(0, np.int64)
     waiting, waiting_rows = np.zeros(0), np.zeros(0, np.int64)
-    at, take = 0, 4
-    slack = 1e-9 * largest * largest
+    at, take, verified = 0, 8, 0
+    slack = ROUNDING * largest * largest
 
     def reach() -> float:
-        return stop * max(0.0, 2 * largest * largest - 2 * kth) + slack
+        return stop * (max(0.0, 2 * largest * largest - 2 * kth) + slack)
 
     while True:
         limit = reach()
@@ -131,9 +135,10 @@ def search(tree: Tree, x: np.ndarray, q: np.ndarray, q_projected: np.ndarray, la
         waiting, waiting_rows = waiting[order], waiting_rows[order]
         done, n_ready = 0, int(np.searchsorted(waiting, ready, "right"))
         while done < n_ready and waiting[done] <= reach():
-            step = waiting_rows[done:min(n_ready, done + VERIFY)]
+            step = waiting_rows[done:min(n_ready, done + max(VERIFY, verified))]
             scores, rows = np.concatenate([scores, x[step] @ q]), np.concatenate([rows, step])
             done += len(step)
+            verified += len(step)
             if len(scores) >= k:
                 bar = np.partition(scores, len(scores) - k)[len(scores) - k]
                 kth = max(kth, bar)
@@ -163,9 +168,10 @@ def _cell_search(k: int):
             norm = np.sqrt((q * q).sum(axis=1))
             scaled = q * (largest / norm)[:, None]
             flat = project_query(scaled)
+            quick, scaled = x.astype(np.float32), scaled.astype(np.float32)
             bound = np.asarray(queries["kth"]) * largest / norm
             for i, qid in enumerate(np.asarray(queries["qid"])):
-                rows, _ = search(tree, x, scaled[i], flat[i], largest, k, bound[i], stop)
+                rows, _ = search(tree, quick, scaled[i], flat[i], largest, k, bound[i], stop)
                 exact = (x[rows] * q[i]).sum(axis=1)
                 if len(rows) > k:
                     keep = exact >= np.partition(exact, len(rows) - k)[len(rows) - k]
