@@ -39,6 +39,8 @@ SAMPLE_DOCS = 1 << 20
 #: Documents of the sample that an n-gram stands in to count as frequent.
 HEAVY_DOCS = 3
 HEAVY_MOST = 1 << 18
+#: Identical sets from which a class is looked up by broadcast, not in one shuffled group.
+HOT_COPIES = 2048
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -242,7 +244,8 @@ def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80) ->
     docs = text_rows(documents)
     sets = stored(prefixes(docs, words, percent), "prefixes")
     used = sets.filter((F.col("n") > 0) & F.col("doc_id").isNotNull())
-    classes = used.groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("rep"), F.first("p1").alias("p1"), F.first("p2").alias("p2"))
+    classes = used.groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("rep"), F.first("p1").alias("p1"), F.first("p2").alias("p2"),
+                                                   F.count("*").alias("copies"))
     groups = used.groupBy("n", "p1", "p2").agg(F.min("doc_id").alias("gid"), F.min_by("prefix", "doc_id").alias("prefix"))
     members = stored(classes.join(groups.drop("prefix"), ["n", "p1", "p2"]).select("rep", "gid", "n"), "members")
 
@@ -289,7 +292,15 @@ def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80) ->
     second = verified(pairs.join(first, ["a", "b"], "left_anti"), used, docs, words, percent)
     final = components(links.unionByName(second))
 
-    of_class = classes.select("n", "s1", "s2", "rep").join(final.withColumnRenamed("node", "rep"), "rep", "left")
-    of_class = of_class.select("n", "s1", "s2", F.coalesce("component", "rep").alias("component"))
-    return (sets.select("doc_id", "n", "s1", "s2").join(of_class, ["n", "s1", "s2"], "left")
-            .select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id")))
+    of_class = classes.select("n", "s1", "s2", "rep", "copies").join(final.withColumnRenamed("node", "rep"), "rep", "left")
+    of_class = stored(of_class.select("n", "s1", "s2", "copies", F.coalesce("component", "rep").alias("component")), "classes")
+    # Rows of large classes find theirs by broadcast, if those classes are few enough; the others by a shuffle.
+    hot = stored(of_class.filter(F.col("copies") >= HOT_COPIES).drop("copies"), "hot-classes")
+    few = small_enough(hot, 64)
+    rows, key = sets.select("doc_id", "n", "s1", "s2"), ["n", "s1", "s2"]
+    usual = rows.join(F.broadcast(hot.select(*key)), key, "left_anti") if few else rows
+    placed_rows = usual.join(of_class.drop("copies"), key, "left")
+    if few:
+        placed_rows = placed_rows.unionByName(rows.join(F.broadcast(hot), key))
+    return placed_rows.select("doc_id", F.col("n").alias("n_shingles"),
+                              F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))

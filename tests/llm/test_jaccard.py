@@ -65,7 +65,9 @@ def test_components_equal_brute_force(docs, words, percent, seed, monkeypatch):
     assert n == len(rows) and got == brute(rows, words, percent)
 
 
-def test_many_copies_and_chains(docs):
+@pytest.mark.parametrize("hot", [2048, 10])
+def test_many_copies_and_chains(docs, monkeypatch, hot):
+    monkeypatch.setattr(jaccard, "HOT_COPIES", hot)
     base = ["x%d" % i for i in range(200)]
     rows = [(i, " ".join(base)) for i in range(50, 90)]
     rows += [(i, " ".join(base[:i] + ["new%d" % i] + base[i + 1:])) for i in range(100, 140)]
