@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loopcount.llm.common import prepare
+from loopcount.llm.common import prepare, stored
 from loopcount.llm.topk import matrix, usable
 
 PROJECTIONS = 8
@@ -39,7 +39,10 @@ CONFIDENCE = 0.95
 #: Vectors on which the top of the tree is fitted; all vectors are indexed.
 SAMPLE = 1 << 14
 CELL_ROWS = 1 << 13
+#: Cells of one vector length and norm band; with more rows than these hold, cells grow.
 MOST_CELLS = 1 << 12
+#: Queries that one task searches in a cell.
+QUERY_BLOCK = 1 << 13
 LEAF = 64
 #: Bound of the error of single-precision scores, as a share of the squared largest norm.
 ROUNDING = 1e-5
@@ -311,7 +314,13 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 20) -> D
     by = ("kind", "cell")
 
     def round_of(q: DataFrame) -> DataFrame:
-        return dealt.groupBy(*by).cogroup(q.groupBy(*by)).applyInArrow(_cell_search(k + 1), _LIST)
+        # A cell with many queries is searched by several tasks; a row a cell tells by how many.
+        q = stored(q, "queries")
+        parts = stored(q.groupBy(*by).agg(F.ceil(F.count("*") / QUERY_BLOCK).cast("int").alias("parts")), "cells")
+        cells = dealt.join(F.broadcast(parts), list(by)).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        again = parts.select(*[F.col(c).alias(c) for c in parts.columns])  # columns of its own, for the second use
+        asking = q.join(F.broadcast(again), list(by)).withColumn("part", F.pmod(F.xxhash64("qid"), F.col("parts")).cast("int"))
+        return cells.groupBy(*by, "part").cogroup(asking.groupBy(*by, "part")).applyInArrow(_cell_search(k + 1), _LIST)
 
     order = Window.partitionBy("qid").orderBy(F.desc("score"), "vec_id")
     one = round_of(q1).withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= k + 1)

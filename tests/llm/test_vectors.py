@@ -90,6 +90,7 @@ def test_neighbours_of_few_rows_are_exact_with_copies_and_norms(vectors):
 
 def test_neighbours_over_several_cells_reach_the_recall(vectors, monkeypatch):
     monkeypatch.setattr(neighbours, "CELL_ROWS", 256)
+    monkeypatch.setattr(neighbours, "QUERY_BLOCK", 7)
     rng = np.random.default_rng(4)
     x = rng.standard_normal((2000, 32)).astype(np.float32)
     df = vectors([(i, v.tolist(), 0) for i, v in enumerate(x)])
