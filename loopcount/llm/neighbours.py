@@ -308,7 +308,7 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 20) -> D
     place = lambda home, skip=False: lambda batches: _deal(*known.value, home, skip)(batches)
 
     top = spark.createDataFrame([(kind_id(x), v) for x, v in largest.items()] or [(-1, 1.0)], "kind long, largest double")
-    dealt = ids.mapInArrow(place(True), "v array<double>, ids array<long>, kind long, cell long").join(F.broadcast(top), "kind")
+    dealt = stored(ids.mapInArrow(place(True), "v array<double>, ids array<long>, kind long, cell long").join(F.broadcast(top), "kind"), "cell-rows")
     kinds = "qid long, v array<double>, kth double, kind long, cell long"
     q1 = distinct.select("qid", "v", F.lit(float("-inf")).alias("kth")).mapInArrow(place(True), kinds)
     by = ("kind", "cell")
