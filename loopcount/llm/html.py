@@ -3,14 +3,17 @@
 Pages of one host come from one template. Every page is parsed into a DOM tree; equal siblings
 are folded into one, which leaves the page's skeleton. The most frequent skeleton of a host is
 its wrapper, and every page's skeleton is aligned with it by simple tree matching (the order
-preserving alignment of most nodes whose parents are aligned). Over all pages of the host two
-things are counted for each aligned node: its text mass, and in how many different pages the
-same text stands there. Nodes of the same text in most pages are template, unless HTML marks
-them as article or main part; so are the parts that HTML itself marks as no content (menus, forms, scripts, notices and so on, by element or
-by name). The varying slots remain, and the deepest wrapper node that holds most of their mass
-is where the article is: the page's text in nodes aligned below it is its main text. A page
-that has no such node, or whose host has fewer than ``LEAST_PAGES`` different pages, is read by
-the marks alone.
+preserving alignment of most nodes whose parents are aligned); what is not aligned is known by
+its aligned ancestor and the labels below. Over all pages of the host it is counted for each node
+in how many different pages the same text stands there. Nodes of the same text in most pages are
+template, unless HTML marks them as article or main part; so are the parts that HTML itself marks
+as no content (menus, forms, scripts, notices and so on, by element or by name). The varying slots
+remain. Those that are bare text of plain containers and short in every page (``SIDE_CHARS``: ids,
+dates, counters) are side parts; the lowest node that covers all others, and no node inside a
+marked article, is where the article is. The page's text there, and marked text wherever it
+stands, is its main text: only template and side parts outside the article are dropped. A page
+that has none, or whose host has fewer than ``LEAST_PAGES`` different pages, is read by the marks
+alone.
 
 Defined results: null and empty html give an empty text, as do pages without content. A null
 url is a host of its own. Repeated rows count as one page for the template and give a row each.
@@ -35,8 +38,10 @@ from loopcount.llm.common import prepare, sliced, stored
 #: A text that stands in this share of a host's different pages (and in LEAST_PAGES) is template.
 CONSTANT_SHARE = 0.5
 LEAST_PAGES = 4
-#: Share of the varying text that the article's node has to hold.
-ARTICLE_SHARE = 0.6
+#: Characters that a side part has in a page at most.
+SIDE_CHARS = 16
+#: Depth to which trees are aligned.
+DEPTH = 200
 #: What all hosts' wrappers may take to be broadcast; else pages are joined with them in a shuffle.
 BROADCAST_BYTES = 16 << 20
 
@@ -59,6 +64,8 @@ _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?>[^>"']+|"[^
 _ATTRIBUTE = re.compile(r"""(?:^|[\s"'/])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _WHITE = re.compile(r"\s+")
 _MARKED = r"(^|>)(article|main)([.>]|$)"
+#: Nodes in a part that has more of a meaning than to hold others.
+_TEXT_PART = "(^|>)(" + "|".join(sorted(BLOCK - {"html", "body", "center", "div", "section"})) + ")([.>]|$)"
 _DIGITS = re.compile(r"\d+")
 
 
@@ -200,7 +207,7 @@ def simple_tree_matching(a: Skeleton, b: Skeleton) -> tuple[int, list[tuple[tupl
 def _match(a, b, path_a, path_b, depth):
     if a[0] != b[0]:
         return 0, []
-    if depth > 200:
+    if depth > DEPTH:
         return 1, [(path_a, path_b)]
     x, y = a[1], b[1]
     best = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
@@ -229,6 +236,14 @@ def aligned(page: str, wrapper: str) -> dict[tuple, str]:
     return {a: ">".join(b) for a, b in pairs}
 
 
+def node_of(path: tuple, nodes: dict[tuple, str]) -> str:
+    """The wrapper's node of a label path, or that of its lowest aligned ancestor and the labels below."""
+    if path in nodes:
+        return nodes[path]
+    n = next((n for n in range(min(len(path), DEPTH + 2), 0, -1) if path[:n] in nodes), 0)
+    return ">".join(([nodes[path[:n]]] if n else []) + list(path[n:]))
+
+
 # --- texts ------------------------------------------------------------------------------
 
 
@@ -306,50 +321,60 @@ def _counted(count) -> pa.RecordBatch:
 
 
 def _slots(batches) -> Iterator[pa.RecordBatch]:
-    """(host, node, text hash, page hash, characters) of each visible block at a wrapper node."""
+    """(host, node, text hash, page hash, the node's characters in the page) of each visible block."""
     for batch in sliced(batches):
         rows = []
         for host, source, page, wrapper in zip(*(batch.column(i).to_pylist() for i in range(4))):
             root = parse(source)
             nodes = aligned(write_skeleton(skeleton(root)), wrapper)
-            rows += [(host, nodes[path], _text_hash(text), page, len(text)) for path, hidden, text in blocks(root) if not hidden and path in nodes]
+            shown = [(node_of(path, nodes), text) for path, hidden, text in blocks(root) if not hidden]
+            chars: dict[str, int] = {}
+            for node, text in shown:
+                chars[node] = chars.get(node, 0) + len(text)
+            rows += [(host, node, _text_hash(text), page, chars[node]) for node, text in shown]
         kinds = (pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64())
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=["host", "node", "text", "page", "chars"])
 
 
-def article_node(nodes: list[str], masses: list[int]) -> str | None:
-    """The deepest node below which at least ARTICLE_SHARE of the mass lies."""
-    total, below = sum(masses), {}
-    for node, mass in zip(nodes, masses):
-        path = node.split(">")
-        for n in range(1, len(path) + 1):
-            key = ">".join(path[:n])
-            below[key] = below.get(key, 0) + mass
+def article_node(low: str, high: str) -> str:
+    """The lowest container that covers all nodes between ``low`` and ``high``, the first and the
+    last of them in the order of their names with ``>`` at the end; no node inside a marked one."""
+    path = []
+    for a, b in zip(low.split(">")[:-1], high.split(">")[:-1]):
+        if a != b:
+            break
+        path.append(a)
+        if a.partition(".")[0] in ("article", "main"):
+            return ">".join(path)
     # A lone paragraph or inline element is no place for an article: its blocks have siblings.
-    fit = [k for k, v in below.items() if v >= ARTICLE_SHARE * total and k.rpartition(">")[2].partition(".")[0] in
-           ("#page", "html", "body", "div", "section", "article", "main", "td", "table", "tr", "tbody", "center", "dl", "ul", "ol", "blockquote")]
-    return max(fit, key=lambda k: (k.count(">"), k)) if total and fit else None
+    while len(path) > 1 and path[-1].partition(".")[0] not in ("html", "body", "div", "section", "td", "table", "tr", "tbody", "center", "dl", "ul", "ol",
+                                                               "blockquote"):
+        path.pop()
+    return ">".join(path)
+
+
+def _is_marked(path: tuple) -> bool:
+    return any(x.partition(".")[0] in ("article", "main") for x in path)
 
 
 def main_text(source: str, wrapper: str | None = None, article: str | None = None, constants: frozenset = frozenset()) -> str:
     """The main text of a page, by its host's wrapper if there is one."""
     root = parse(source)
-    found = list(blocks(root))
-    shown = [(path, text) for path, hidden, text in found if not hidden]
+    shown = [(path, text) for path, hidden, text in blocks(root) if not hidden]
     if wrapper is not None:
         nodes = aligned(write_skeleton(skeleton(root)), wrapper)
-        kept, inside = [], False
+        kept, inside = [], []
         for path, text in shown:
-            node = next((nodes[path[:n]] for n in range(len(path), 0, -1) if path[:n] in nodes), "")
-            if path in nodes and (nodes[path], _text_hash(text)) in constants:
+            node = node_of(path, nodes)
+            if (node, _text_hash(text)) in constants:
                 continue
-            here = article is None or node == article or node.startswith(article + ">")
-            inside |= here
-            kept.append((here, path, text))
-        shown = [(path, text) for here, path, text in kept if here or not inside]
+            kept.append((path, text))
+            if article is None or node == article or node.startswith(article + ">") or _is_marked(path):
+                inside.append(text)
         if inside:
-            return "\n".join(text for _, text in shown)
-    marked = [text for path, text in shown if any(x.partition(".")[0] in ("article", "main") for x in path)]
+            return "\n".join(inside)
+        shown = kept
+    marked = [text for path, text in shown if _is_marked(path)]
     return "\n".join(marked or [text for _, text in shown])
 
 
@@ -365,36 +390,36 @@ def extract(pages: DataFrame) -> DataFrame:
 
     paged = rows.select("host", "html", F.xxhash64("html").alias("page")).join(hint(wrappers), "host")
     slots = paged.select("host", "html", "page", "wrapper").mapInArrow(_slots, "host string, node string, text long, page long, chars long")
-    texts = slots.groupBy("host", "node", "text", "page").agg(F.sum("chars").alias("chars")).groupBy("host", "node", "text").agg(
-        F.count("*").alias("pages"), F.sum("chars").alias("chars"))
+    texts = slots.groupBy("host", "node", "text", "page").agg(F.max("chars").alias("chars")).groupBy("host", "node", "text").agg(
+        F.count("*").alias("pages"), F.max("chars").alias("chars"))
     n_pages = rows.select("host", F.xxhash64("html").alias("page")).distinct().groupBy("host").agg(F.count("*").alias("n_pages"))
     constant = (F.col("pages") >= LEAST_PAGES) & (F.col("pages") >= CONSTANT_SHARE * F.col("n_pages")) & ~F.col("node").rlike(_MARKED)
     judged = texts.join(hint(n_pages), "host").withColumn("constant", constant)
-    by_node = judged.groupBy("host", "node").agg(F.sum(F.when(~F.col("constant"), F.col("chars")).otherwise(0)).alias("mass"),
-                                                 F.collect_list(F.when(F.col("constant"), F.col("text"))).alias("texts"), F.first("n_pages").alias("n_pages"))
-
-    def learn(table: pa.Table) -> pa.Table:
-        nodes, masses = table["node"].to_pylist(), table["mass"].to_pylist()
-        enough = table["n_pages"][0].as_py() >= LEAST_PAGES
-        constants = [f"{t} {node}" for node, texts in zip(nodes, table["texts"].to_pylist()) for t in texts]
-        return pa.table({"host": table["host"][:1].cast(pa.string()), "article": pa.array([article_node(nodes, masses) if enough else None], pa.string()),
-                         "constants": pa.array([sorted(constants)], pa.list_(pa.string()))})
-
-    learned = by_node.groupBy("host").applyInArrow(learn, "host string, article string, constants array<string>")
+    by_node = judged.groupBy("host", "node").agg(F.max("chars").alias("chars"), F.min("constant").alias("template"), F.first("n_pages").alias("n_pages"),
+                                                 F.collect_list(F.when(F.col("constant"), F.concat_ws(" ", F.col("text").cast("string"), "node"))).alias("texts"))
+    side = (F.col("chars") <= SIDE_CHARS) & ~F.col("node").rlike(_TEXT_PART)
+    varying = F.when(~F.col("template"), F.concat("node", F.lit(">")))
+    article = F.when(~side, varying)
+    # The first and the last name have the same ancestors in common as all between; of a host with side parts only, these are the article.
+    learned = by_node.groupBy("host").agg(F.coalesce(F.min(article), F.min(varying)).alias("low"), F.coalesce(F.max(article), F.max(varying)).alias("high"),
+                                          F.flatten(F.collect_list("texts")).alias("constants"), F.first("n_pages").alias("n_pages"))
+    learned = learned.select("host", "constants", *[F.when(F.col("n_pages") >= LEAST_PAGES, F.col(c)).alias(c) for c in ("low", "high")])
     known = stored(wrappers.join(learned, "host", "left"), "html-learned")
 
     def run(batches) -> Iterator[pa.RecordBatch]:
-        ready: dict[str, frozenset] = {}
+        ready: dict[str, tuple[str | None, frozenset]] = {}
         for batch in sliced(batches):
             texts = []
-            for source, host, wrapper, article, constants in zip(*(batch.column(i).to_pylist() for i in range(1, 6))):
+            for source, host, wrapper, low, high, constants in zip(*(batch.column(i).to_pylist() for i in range(1, 7))):
                 if host not in ready:
                     if len(ready) > 1000:
                         ready.clear()
-                    ready[host] = frozenset((node, int(t)) for t, _, node in (c.partition(" ") for c in constants or []))
-                texts.append(main_text(source, wrapper if article else None, article, ready[host]))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(6), pa.array(texts, pa.string()), pa.array(list(map(len, texts)), pa.int64())],
+                    ready[host] = (article_node(low, high) if low else None,
+                                   frozenset((node, int(t)) for t, _, node in (c.partition(" ") for c in constants or [])))
+                article, template = ready[host]
+                texts.append(main_text(source, wrapper if article else None, article, template))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(7), pa.array(texts, pa.string()), pa.array(list(map(len, texts)), pa.int64())],
                                              names=["page_id", "url", "text", "n_chars"])
 
-    return (rows.join(hint(known), "host", "left").select("page_id", "html", "host", "wrapper", "article", "constants", "url")
+    return (rows.join(hint(known), "host", "left").select("page_id", "html", "host", "wrapper", "low", "high", "constants", "url")
             .mapInArrow(run, "page_id long, url string, text string, n_chars long"))

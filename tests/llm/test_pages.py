@@ -107,6 +107,30 @@ def test_copies_of_one_page_are_no_template(pages):
     assert set(got.values()) == {"Head & 1\ncopied", "Head & 2\nother"} and got[50].endswith("other")
 
 
+def test_title_and_lead_beside_a_heavy_inner_container(pages):
+    long = lambda i: " ".join([f"word{i}"] * 80)
+    inner = {"body": "<div class=body><p>{}</p></div>", "list": "<ul><li>{}</li></ul>", "quote": "<blockquote>{}</blockquote>",
+             "table": "<table><tr><td>{}</table>", "section": "<section>{}</section>"}
+    rows, want = [], {}
+
+    def add(host, source, text):
+        rows.append((len(rows), f"http://{host}/", source))
+        want[len(rows) - 1] = text
+
+    for name, form in inner.items():
+        for open_, close, host in (("<article>", "</article>", "marked"), ("<div class=post>", "</div>", "plain"), ("", "", "bare")):
+            for i in range(5):
+                source = f"<body><div>Same all over</div>{open_}<h1>T{i}</h1><p>lead {i}</p>{form.format(long(i))}{close}</body>"
+                add(f"{name}.{host}", source, f"T{i}\nlead {i}\n{long(i)}")
+            # Laid out elsewhere, with one block where the others have their text.
+            source = f"<body><div>Same all over</div>{open_}<h1>T9</h1>{close}<main><h2>Odd</h2><p>other place</p></main></body>"
+            add(f"{name}.{host}", source, "T9\nOdd\nother place")
+            source = f"<body>{open_}<h1>T8</h1>{close}<div class=new><p>new place {long(8)}</p></div></body>"
+            add(f"{name}.{host}", source, f"T8\nnew place {long(8)}")
+    got = {r["page_id"]: r["text"] for r in html.extract(pages(rows)).collect()}
+    assert got == want
+
+
 def test_broken_markup():
     assert html.main_text("<div><p>a<div>b</p>c</span><p title='>'>d<td>e<!-- open") == "a\nb\nc\nd\ne"
     assert html.main_text("<script>never ends <p>x") == ""
