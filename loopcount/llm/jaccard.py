@@ -57,9 +57,10 @@ def shingle_sets(column: pa.Array, words: int) -> list[np.ndarray]:
     begin, end = runs(~_SEPARATOR[raw], at)
     hashes = span_hashes(raw, begin, end)
     first = np.searchsorted(begin, at)
-    grams = np.full(max(0, len(hashes) - words + 1), np.uint64(words))
+    n = max(0, len(hashes) - words + 1)
+    grams = np.full(n, np.uint64(words))
     for k in range(words):
-        grams = mix(grams + hashes[k:len(hashes) - words + 1 + k] * _ODD[k % len(_ODD)])
+        grams = mix(grams + hashes[k:k + n] * _ODD[k % len(_ODD)])
     out = []
     for a, b in zip(first[:-1].tolist(), first[1:].tolist()):
         if b - a >= words:

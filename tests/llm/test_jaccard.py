@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 
 from loopcount.llm import jaccard
@@ -97,6 +98,21 @@ def test_prefix_length_keeps_a_shared_gram():
     assert jaccard.prefix_length(0, 85) == 0
 
 
+@pytest.mark.parametrize("words", [4, 5, 8])
+def test_a_short_text_alone_in_a_slice(words):
+    together = [" ".join("w%d" % i for i in range(n)) for n in range(12)]
+    for text, whole in zip(together, jaccard.shingle_sets(pa.array(together), words)):
+        alone, = jaccard.shingle_sets(pa.array([text]), words)
+        assert alone.tolist() == whole.tolist() and len(alone) == max(min(1, len(text)), len(text.split()) - words + 1)
+
+
+def test_a_short_text_between_long_ones(docs):
+    long = " ".join(str(i) for i in range(120_000))
+    rows = [(1, long), (2, "one two three"), (3, long + " end"), (4, "one two three")]
+    got, _ = result(jaccard.near_duplicates(docs(rows).coalesce(1), 5, 80))
+    assert got == {1: (119_996, 1), 2: (1, 2), 3: (119_997, 1), 4: (1, 2)}
+
+
 def test_a_very_long_text(docs):
     long = " ".join(str(i) for i in range(300_000))
     got, _ = result(jaccard.near_duplicates(docs([(1, long), (2, long + " end"), (3, "short one")]), 4, 85))
