@@ -4,8 +4,9 @@ Encoding is a transducer with bounded lookahead. From the merge list alone it co
 many symbols beyond a token's end can still change that token (``MergeList.lookahead``). A
 pre-token is merged in windows; tokens that end at least that far before the window's end are
 stable and are emitted, the rest stays. Most pre-tokens fit in one window, so all windows of a
-slice of texts are merged together, in arrays. Decoding feeds the bytes of one token after
-another to an incremental UTF-8 state machine.
+slice of texts are merged together, in arrays. Texts longer than a slice are split, encoded and
+decoded a run of pre-tokens (``RUN``) after another. Decoding feeds the bytes of one token after
+another to an incremental UTF-8 state machine; ids and decoded text are hashed as they come.
 
 The lookahead: a boundary at the end of a token changes only if a merge (a, b) crosses it with
 a ending there. That merge happens or not depending on text to the right of b only through a
@@ -27,13 +28,14 @@ import json
 import re
 import unicodedata
 from collections.abc import Iterable, Iterator
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from loopcount.llm.common import prepare, sliced, text_rows
+from loopcount.llm.common import SLICE_BYTES, prepare, sliced, text_rows
 
 #: White space in the sense of Unicode, which also ends a pre-token.
 SPACE = "\t-\r \x85\xa0  -     　"
@@ -42,6 +44,8 @@ WORDS = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}]+|[\p{{N}}]|[^{SPACE}\
 _SPACES = re.compile(f"[{SPACE}]+")
 #: Words whose tokens a worker remembers; when full, it starts anew.
 REMEMBERED = 1 << 18
+#: Pre-tokens of a long text that are encoded together; longer words than that are not remembered.
+RUN = 1 << 16
 _NEVER = np.int64(1 << 40)
 
 
@@ -70,6 +74,7 @@ class MergeList:
         left = np.array([vocab[a] for a, _ in pairs], np.int64)
         right = np.array([vocab[b] for _, b in pairs], np.int64)
         made = np.array([vocab[self._join(a, b)] for a, b in pairs], np.int64)
+        self.pieces: dict[bool, dict[int, bytes]] = {}
         self.size = max(self.token_of) + 1
         key = left * self.size + right
         order = np.argsort(key, kind="stable")
@@ -186,14 +191,14 @@ class MergeList:
 
 
 class Encoder:
-    """Texts to (number of tokens, ids joined by a space, decoded text) with remembered words."""
+    """Texts to ids, with remembered words: (ids, ids joined by a space) of each."""
 
     def __init__(self, path: str):
         self.merges = MergeList(path)
         specials = sorted(self.merges.specials, key=len, reverse=True)
         self._special = re.compile("|".join(map(re.escape, specials))) if specials else None
         self._specials = set(specials)
-        self.known: dict[str, tuple[int, str, str]] = {}
+        self.known: dict[str, tuple[list[int], str]] = {}
 
     @staticmethod
     def normal(text: str) -> str:
@@ -207,25 +212,32 @@ class Encoder:
         """Pre-tokens of a whole text; a special token's string is one of its own."""
         if self._special is None or not any(s in text for s in self._specials):
             return WORDS.findall(self.normal(text))
-        out, at = [], 0
-        for m in self._special.finditer(text):
-            out += WORDS.findall(self.normal(text[at:m.start()])) + [m[0]]
+        return list(self.each_word(text))
+
+    def each_word(self, text: str) -> Iterator[str]:
+        """The same one after another."""
+        at = 0
+        for m in self._special.finditer(text) if self._special else ():
+            yield from (w[0] for w in WORDS.finditer(self.normal(text[at:m.start()])))
+            yield m[0]
             at = m.end()
-        return out + WORDS.findall(self.normal(text[at:]))
+        yield from (w[0] for w in WORDS.finditer(self.normal(text[at:])))
 
     def ids(self, word: str) -> list[int]:
         if word in self._specials:
             return [self.merges.specials[word]]
         return [int(i) for part in self.merges.stable_tokens(word) for i in part]
 
-    def _entry(self, ids: list[int]) -> tuple[int, str, str]:
-        token_of = self.merges.token_of
-        return len(ids), " ".join(map(str, ids)), " ".join([token_of[i] for i in ids])
+    @staticmethod
+    def _entry(ids: list[int]) -> tuple[list[int], str]:
+        return ids, " ".join(map(str, ids))
 
     def learn(self, words: Iterable[str]) -> None:
         """Encode words not met yet: those of one window together, longer ones by streaming."""
         short = []
         for w in words:
+            if len(w) > RUN:
+                continue
             if w in self._specials or len(w) * 4 > self.merges.window:
                 self.known[w] = self._entry(self.ids(w))
             else:
@@ -235,15 +247,41 @@ class Encoder:
             for w, ids in zip(part, self.merges.merge(*self.merges.symbols(part))):
                 self.known[w] = self._entry(ids.tolist())
 
-    def entries(self, texts: list[str]) -> Iterator[list[tuple[int, str, str]]]:
-        split = [self.words(t) for t in texts]
-        new = set().union(*split).difference(self.known)
+    def streams(self, texts: list[str]) -> Iterator[Iterator[tuple[list[int], str]]]:
+        """Of each text the ids and the ids joined by a space, part after part."""
+        if len(texts) > 1 or sum(map(len, texts)) <= SLICE_BYTES:
+            split = [self.words(t) for t in texts]
+            self._learn_all(set().union(*split))
+            yield from map(self._emitted, split)
+        else:
+            yield from map(self._runs, texts)
+
+    def _runs(self, text: str) -> Iterator[tuple[list[int], str]]:
+        words = self.each_word(text)
+        while run := list(islice(words, RUN)):
+            self._learn_all(set(run))
+            yield from self._emitted(run)
+
+    def _learn_all(self, words: set[str]) -> None:
+        new = words.difference(self.known)
         if len(self.known) + len(new) > REMEMBERED:
             self.known.clear()
-            new = set().union(*split)
+            new = words
         self.learn(new)
-        for words in split:
-            yield [self.known[w] for w in words]
+
+    def _emitted(self, words: list[str]) -> Iterator[tuple[list[int], str]]:
+        found = list(map(self.known.get, words))
+        at = 0
+        for i in [i for i, e in enumerate(found) if e is None] if None in found else ():
+            yield self._joined(found[at:i])
+            for part in self.merges.stable_tokens(words[i]):
+                yield self._entry(part.tolist())
+            at = i + 1
+        yield self._joined(found[at:])
+
+    @staticmethod
+    def _joined(entries: list[tuple[list[int], str]]) -> tuple[list[int], str]:
+        return list(chain.from_iterable([e[0] for e in entries])), " ".join([e[1] for e in entries])
 
 
 class Decoder:
@@ -258,23 +296,27 @@ class Decoder:
         self._state = codecs.getincrementaldecoder("utf-8")("replace")
         self._separator = b" " if plain else b""
         self._begun = False
-        if plain:
-            self._piece = {i: t.encode("utf-8") for i, t in merges.token_of.items()}
-        else:
-            byte = {c: bytes([b]) for b, c in enumerate(byte_alphabet())}
-            self._piece = {}
-            for i, t in merges.token_of.items():
+        if plain not in merges.pieces:
+            merges.pieces[plain] = dict(self._pieces(merges, plain))
+        self._piece = merges.pieces[plain]
+
+    @staticmethod
+    def _pieces(merges: MergeList, plain: bool) -> Iterator[tuple[int, bytes]]:
+        byte = {c: bytes([b]) for b, c in enumerate(byte_alphabet())}
+        for i, t in merges.token_of.items():
+            if plain or t in merges.specials:
+                yield i, t.encode("utf-8")
+            else:
                 body, end = (t[:-len(merges.suffix)], b" ") if merges.suffix and t.endswith(merges.suffix) else (t, b"")
-                self._piece[i] = t.encode("utf-8") if t in merges.specials else b"".join(byte[c] for c in body) + end
+                yield i, b"".join(byte[c] for c in body) + end
 
     def feed(self, ids: Iterable[int]) -> str:
-        out = []
-        for i in ids:
-            if self._begun and self._separator:
-                out.append(self._separator)
-            self._begun = True
-            out.append(self._piece[i])
-        return self._state.decode(b"".join(out))
+        pieces = list(map(self._piece.__getitem__, ids))
+        if not pieces:
+            return ""
+        before = self._separator if self._begun else b""
+        self._begun = True
+        return self._state.decode(before + self._separator.join(pieces))
 
     def finish(self) -> str:
         return self._state.decode(b"", final=True)
@@ -296,13 +338,19 @@ def encode_texts(docs: DataFrame, path: str) -> DataFrame:
 
     def run(batches):
         encoder = _encoder(path)
-        sha = lambda s: hashlib.sha256(s.encode("utf-8")).hexdigest()
         for batch in sliced(batches):
             n, ids, decoded = [], [], []
-            for entries in encoder.entries([t or "" for t in batch.column(1).to_pylist()]):
-                n.append(sum([e[0] for e in entries]))
-                ids.append(sha(" ".join([e[1] for e in entries])))
-                decoded.append(sha(" ".join([e[2] for e in entries])))
+            for parts in encoder.streams([t or "" for t in batch.column(1).to_pylist()]):
+                count, of_ids, of_text, decoder = 0, hashlib.sha256(), hashlib.sha256(), Decoder(encoder.merges)
+                for part, joined in parts:
+                    if part:
+                        of_ids.update(f"{' ' if count else ''}{joined}".encode())
+                        of_text.update(decoder.feed(part).encode("utf-8"))
+                        count += len(part)
+                of_text.update(decoder.finish().encode("utf-8"))
+                n.append(count)
+                ids.append(of_ids.hexdigest())
+                decoded.append(of_text.hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(ids), pa.array(decoded)], schema=_SCHEMA)
 
     return text_rows(docs).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -47,6 +47,27 @@ def test_encode_and_decode_equal_the_library(docs, library):
     assert bpe.encode_texts(docs([]), WORD_BPE).count() == 0
 
 
+def test_texts_are_encoded_and_decoded_part_by_part(library, monkeypatch):
+    encoder = bpe.Encoder(WORD_BPE)
+    monkeypatch.setattr(bpe, "SLICE_BYTES", 100)
+    monkeypatch.setattr(bpe, "RUN", 50)
+    for text in ["Ünï çode <|endoftext|> it's " * 200, "a" * 20_000 + " b " + "ha" * 5000, "x"]:
+        parts, decoder = [p for stream in encoder.streams([text]) for p in stream], bpe.Decoder(encoder.merges)
+        ids = [i for part, _ in parts for i in part]
+        assert ids == library.encode(text, add_special_tokens=False).ids
+        assert "".join(decoder.feed(part) for part, _ in parts) + decoder.finish() == library.decode(ids, skip_special_tokens=False)
+        assert len(text) < 100 or len(parts) > 10
+
+
+def test_the_query_decodes_its_ids(docs, monkeypatch):
+    monkeypatch.setattr(bpe.Decoder, "feed", lambda self, ids: "".join(f"{i}," for i in ids))
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1], "text": ["lorem ipsum"]})
+    monkeypatch.setattr(type(docs([])), "mapInArrow", lambda self, run, ddl: list(run([batch])))
+    row, = bpe.encode_texts(docs([]), WORD_BPE)[0].to_pylist()
+    ids = [i for w in ("lorem", "ipsum") for i in bpe.Encoder(WORD_BPE).ids(w)]
+    assert row["decoded_sha256"] == hashlib.sha256("".join(f"{i}," for i in ids).encode()).hexdigest()
+
+
 def test_random_texts(encoder, library):
     rnd = random.Random(1)
     alphabet = "abcdefghijklmnopqrstuvwxyzABC 'éßÉ \n\t1²!?<|>́İΣσ　日한ª"
