@@ -35,7 +35,7 @@ from loopcount.llm.common import prepare, stored
 from loopcount.llm.topk import matrix, usable
 
 PROJECTIONS = 8
-CONFIDENCE = 0.95
+CONFIDENCE = 0.97
 #: Vectors on which the top of the tree is fitted; all vectors are indexed.
 SAMPLE = 1 << 14
 CELL_ROWS = 1 << 13
