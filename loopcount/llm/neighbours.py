@@ -12,7 +12,8 @@ distance exceeds ``quantile(CONFIDENCE)`` times the squared distance of the k-th
 
 On Spark: equal vectors are collapsed first (only the k+1 smallest ids of each can be in a
 result). The top of the kd-tree is fitted on a sample of at most ``SAMPLE`` vectors and deals
-all vectors to cells, one task each with a kd-tree of its own. A first round searches every
+all vectors to cells; a cell, or each of the slices of about ``CELL_ROWS`` vectors that a larger
+one is split into, is one task with a kd-tree of its own. A first round searches every
 query's home cell, a second one only the cells that the test, with the bound found so far,
 cannot exclude.
 
@@ -39,7 +40,7 @@ CONFIDENCE = 0.97
 #: Vectors on which the top of the tree is fitted; all vectors are indexed.
 SAMPLE = 1 << 14
 CELL_ROWS = 1 << 13
-#: Cells of one vector length and norm band; with more rows than these hold, cells grow.
+#: Cells of one vector length and norm band; cells of more than CELL_ROWS vectors are split by hash.
 MOST_CELLS = 1 << 12
 #: Queries that one task searches in a cell.
 QUERY_BLOCK = 1 << 13
@@ -313,14 +314,18 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 20) -> D
     q1 = distinct.select("qid", "v", F.lit(float("-inf")).alias("kth")).mapInArrow(place(True), kinds)
     by = ("kind", "cell")
 
+    slices = stored(dealt.groupBy(*by).agg(F.ceil(F.count("*") / CELL_ROWS).cast("int").alias("slices")), "cell-slices")
+
     def round_of(q: DataFrame) -> DataFrame:
-        # A cell with many queries is searched by several tasks; a row a cell tells by how many.
+        # A cell with many queries or vectors is searched by several tasks; a row a cell tells by how many.
         q = stored(q, "queries")
-        parts = stored(q.groupBy(*by).agg(F.ceil(F.count("*") / QUERY_BLOCK).cast("int").alias("parts")), "cells")
+        parts = stored(q.groupBy(*by).agg(F.ceil(F.count("*") / QUERY_BLOCK).cast("int").alias("parts")).join(F.broadcast(slices), list(by)), "cells")
         cells = dealt.join(F.broadcast(parts), list(by)).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        cells = cells.withColumn("slice", F.pmod(F.xxhash64("v"), F.col("slices")).cast("int"))
         again = parts.select(*[F.col(c).alias(c) for c in parts.columns])  # columns of its own, for the second use
         asking = q.join(F.broadcast(again), list(by)).withColumn("part", F.pmod(F.xxhash64("qid"), F.col("parts")).cast("int"))
-        return cells.groupBy(*by, "part").cogroup(asking.groupBy(*by, "part")).applyInArrow(_cell_search(k + 1), _LIST)
+        asking = asking.withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
+        return cells.groupBy(*by, "part", "slice").cogroup(asking.groupBy(*by, "part", "slice")).applyInArrow(_cell_search(k + 1), _LIST)
 
     order = Window.partitionBy("qid").orderBy(F.desc("score"), "vec_id")
     one = round_of(q1).withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= k + 1)

@@ -125,3 +125,29 @@ def test_recall_at_the_confidence(spark):
         score[i] = -np.inf
         hits += len({j for j, _ in got[i]} & set(np.argsort(-score)[:20].tolist()))
     assert hits >= 0.9975 * 6000  # 0.9967 with a confidence of 0.95
+
+
+def test_large_cells_are_split(vectors, monkeypatch):
+    monkeypatch.setattr(neighbours, "CELL_ROWS", 64)
+    monkeypatch.setattr(neighbours, "MOST_CELLS", 1)
+    whole = neighbours._cell_search
+
+    def bounded(k):
+        run = whole(k)
+
+        def search(cells, queries):
+            assert cells.num_rows <= 128
+            return run(cells, queries)
+        return search
+
+    monkeypatch.setattr(neighbours, "_cell_search", bounded)
+    rows = some(600, 4, 9)
+    df = vectors(rows)
+    got = lists(neighbours.nearest_neighbours(df, df.filter("vec_id % 10 = 0"), 5))
+    x = np.array([e for i, e, _ in rows[:600]], np.float32).astype(float)
+    hits = 0
+    for i in range(0, 600, 10):
+        score = x @ x[i]
+        score[i] = -np.inf
+        hits += len({j for j, _ in got[i]} & set(np.argsort(-score)[:5].tolist()))
+    assert hits >= 0.98 * 300
