@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loopcount.llm import bpe, html, jaccard, language, licenses, neighbours, packing, quality, topk, warc
+from loopcount.llm import bpe, html, hyperminhash, jaccard, language, licenses, neighbours, packing, quality, topk, warc
 from loopcount.llm.common import table
 
 
@@ -53,6 +53,10 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.languages_of(table(spark, sf_dir, "documents"))
 
 
+def op11_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hyperminhash.near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=80)
+
+
 QUERIES = {
     "op1_neighbours": op1_neighbours,
     "op2_jaccard": op2_jaccard,
@@ -64,6 +68,7 @@ QUERIES = {
     "op8_html": op8_html,
     "op9_packing": op9_packing,
     "op10_language": op10_language,
+    "op11_hyperminhash": op11_hyperminhash,
 }
 
 _OP4 = """
@@ -113,8 +118,13 @@ SELECT p.page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes, p
 FROM p LEFT JOIN f USING (payload_digest)
 """
 
+# The same links at 80 percent, and the smallest id of each component is kept.
+_OP11 = (_OP2.replace(">= 85 *", ">= 80 *")
+         .replace("SELECT n.doc_id, n.n_shingles, min(r.b) AS component_id", "SELECT n.doc_id, n.n_shingles, min(r.b) AS component_id, min(r.b) = any_value(n.doc_id) AS kept"))
+
 ORACLE_SQL = {
     "op2_jaccard": _OP2,
+    "op11_hyperminhash": _OP11,
     "op6_warc": _OP6,
     "op4_topk": _OP4,
 }
