@@ -7,7 +7,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loopcount.llm import bpe, html, hyperminhash, jaccard, language, licenses, neighbours, packing, quality, topk, warc
+from loopcount.llm import (bpe, collocations, hard_negatives, html, hyperminhash, jaccard, language, licenses, neighbours, packing, quality,
+                           topk, warc)
 from loopcount.llm.common import table
 
 
@@ -57,6 +58,16 @@ def op11_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hyperminhash.near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=80)
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"), longest=3, at_least=10, first=2000, share=50)
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    rows = rows.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return hard_negatives.hard_negatives(rows, rows.filter(F.col("vec_id") % 50 == 0), scale=256, positives=5, negatives=3, low=50, high=95)
+
+
 QUERIES = {
     "op1_neighbours": op1_neighbours,
     "op2_jaccard": op2_jaccard,
@@ -69,6 +80,8 @@ QUERIES = {
     "op9_packing": op9_packing,
     "op10_language": op10_language,
     "op11_hyperminhash": op11_hyperminhash,
+    "op12_collocations": op12_collocations,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 _OP4 = """
@@ -122,7 +135,67 @@ FROM p LEFT JOIN f USING (payload_digest)
 _OP11 = (_OP2.replace(">= 85 *", ">= 80 *")
          .replace("SELECT n.doc_id, n.n_shingles, min(r.b) AS component_id", "SELECT n.doc_id, n.n_shingles, min(r.b) AS component_id, min(r.b) = any_value(n.doc_id) AS kept"))
 
+_OP12 = """
+WITH t AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^.,;:!?\\x0A-\\x0D]+')) AS piece
+  FROM documents),
+w AS (
+  SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS a FROM t),
+g AS (
+  SELECT lang, k, unnest(list_transform(range(1, greatest(1, len(a) - k + 2)), lambda i: array_to_string(a[i:i + k - 1], ' '))) AS phrase
+  FROM w, (VALUES (1), (2), (3)) s(k)),
+f AS (
+  SELECT lang, k, phrase, count(*) AS c FROM g GROUP BY ALL),
+n AS (
+  SELECT lang, CAST(sum(c) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY ALL),
+cand AS (
+  SELECT *, string_split(phrase, ' ') AS a FROM f WHERE k > 1 AND c >= 10),
+cuts AS (
+  SELECT lang, phrase, c, k, a, i, array_to_string(a[1:i], ' ') AS head, array_to_string(a[i + 1:], ' ') AS rest
+  FROM cand, (VALUES (1), (2)) s(i) WHERE i < k),
+scored AS (
+  SELECT x.lang, x.phrase, x.k, x.i, x.c AS a, h.c AS l, r.c AS r,
+         CAST(CAST(1000000 AS HUGEINT) * x.c * x.c // (CAST(h.c AS HUGEINT) * r.c) AS BIGINT) AS score
+  FROM cuts x JOIN f h ON h.lang = x.lang AND h.phrase = x.head AND h.k = x.i
+  JOIN f r ON r.lang = x.lang AND r.phrase = x.rest AND r.k = x.k - x.i),
+lowest AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, i) = 1),
+inner_phrase AS (
+  SELECT lang, unnest([array_to_string(a[1:2], ' '), array_to_string(a[2:3], ' ')]) AS phrase, c FROM cand WHERE k = 3),
+longer AS (
+  SELECT lang, phrase, max(c) AS c FROM inner_phrase GROUP BY ALL)
+SELECT s.lang, row_number() OVER w AS rank, s.phrase, s.a, s.l, s.r, n.n, s.score
+FROM lowest s JOIN n USING (lang) LEFT JOIN longer o ON o.lang = s.lang AND o.phrase = s.phrase
+WHERE o.c IS NULL OR 100 * o.c < 50 * s.a
+WINDOW w AS (PARTITION BY s.lang ORDER BY s.score DESC, s.a DESC, s.phrase)
+QUALIFY row_number() OVER w <= 2000
+"""
+
+_OP13 = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, c.label = a.label AS alike,
+         CAST(list_sum(list_transform(list_zip(a.e, c.e), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v a JOIN v c ON c.vec_id <> a.vec_id AND len(c.e) = len(a.e)
+  WHERE a.vec_id % 50 = 0),
+p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE alike
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, s.vec_id AS negative_id, positive_score, s.score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT alike AND 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.vec_id)
+QUALIFY row_number() OVER w <= 3
+"""
+
 ORACLE_SQL = {
+    "op13_hard_negatives": _OP13,
+    "op12_collocations": _OP12,
     "op2_jaccard": _OP2,
     "op11_hyperminhash": _OP11,
     "op6_warc": _OP6,
