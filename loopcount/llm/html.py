@@ -7,7 +7,11 @@ preserving alignment of most nodes whose parents are aligned); what is not align
 its aligned ancestor and the labels below. Over all pages of the host it is counted for each node
 in how many different pages the same text stands there. Nodes of the same text in most pages are
 template, unless HTML marks them as article or main part; so are the parts that HTML itself marks
-as no content (menus, forms, scripts, notices and so on, by element or by name). The varying slots
+as no content (menus, forms, scripts, notices and so on, by element or by name). A name counts
+if all its words say so (``related-posts``, not ``related-work``); in a marked article it drops
+no heading, paragraph or table, and a name that may be content's too (``WEAK_NAMES``) drops a
+part only if links outweigh its text, or the text there is the same in most pages. A form that
+holds the article or most of the paragraphs is a container. The varying slots
 remain. Those that are bare text of plain containers and short in every page (``SIDE_CHARS``: ids,
 dates, counters) are side parts; the lowest node that covers all others, and no node inside a
 marked article, is where the article is. The page's text there, and marked text wherever it
@@ -23,9 +27,9 @@ script or style swallows the rest.
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import re
-import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -40,6 +44,8 @@ CONSTANT_SHARE = 0.5
 LEAST_PAGES = 4
 #: Characters that a side part has in a page at most.
 SIDE_CHARS = 16
+#: Ends the name of a node in a part of an article that a weak name doubts: there, constant text is template.
+DOUBT = "~"
 #: Depth to which trees are aligned.
 DEPTH = 200
 #: What all hosts' wrappers may take to be broadcast; else pages are joined with them in a shuffle.
@@ -56,27 +62,54 @@ ENDS = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}
 #: Elements and names (words of class, id and role) that are no content.
 NO_CONTENT = frozenset("""head title script style noscript template nav menu footer aside form button select textarea input iframe noframes object embed
 svg canvas dialog audio video math""".split())
-NO_CONTENT_NAME = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|nav|navbar|navigation|menu|breadcrumbs?|sidebar|side|footer|header|"
-                             r"masthead|cookies?|consent|gdpr|notice|alert|popup|modal|overlay|comments?|disqus|respond|share|sharing|social|related|"
-                             r"newsletter|subscribe|signup|login|search|pagination|pager|skip|copyright|legal|toolbar|widget)(?:$|[\s_-])")
+#: Words of names of such parts; a name counts only if all its words are of these or of ANY_PART.
+SURE_NAMES = frozenset("""ad ads advert adverts advertisement advertising advertorial sponsor sponsors sponsored promo promos promotion promotions cookie
+cookies consent gdpr comment comments disqus respond share sharing social newsletter subscribe subscription signup breadcrumb breadcrumbs pagination
+pager popup modal overlay navbar nav navigation sidebar masthead""".split())
+#: In a marked article these need more evidence: only links, or the same text in most pages of the host.
+WEAK_NAMES = frozenset("""banner menu side footer header notice alert related login search skip copyright legal toolbar widget""".split())
+ANY_PART = frozenset("""bar box area block list links link container wrapper wrap inner outer slot unit section content post posts article articles page site
+main top bottom left right buttons button icons media form item items group panel column col row module region and to by the in text label policy
+message messages primary secondary global local mobile desktop""".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Elements that hold text of their own: a name alone doesn't drop them from a marked article.
+TEXTS = HEADINGS | frozenset("p blockquote pre figure figcaption dl dt dd table td th tr tbody thead tfoot caption address".split())
+CONTROLS = frozenset("input select textarea button label fieldset legend option".split())
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?>[^>"']+|"[^"]*"|'[^']*')*+|[^>]*)>|<[!?][^>]*(?:>|\Z)""", re.S)
 _ATTRIBUTE = re.compile(r"""(?:^|[\s"'/])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _WHITE = re.compile(r"\s+")
+_WORDS = re.compile(r"[^\s_-]+")
 _MARKED = r"(^|>)(article|main)([.>]|$)"
 #: Nodes in a part that has more of a meaning than to hold others.
 _TEXT_PART = "(^|>)(" + "|".join(sorted(BLOCK - {"html", "body", "center", "div", "section"})) + ")([.>]|$)"
 _DIGITS = re.compile(r"\d+")
 
 
+@lru_cache(maxsize=4096)
+def named(name: str) -> int:
+    """2: a name of a part that is no content; 1: one that needs more evidence in an article; 0: none.
+    Every word of the name has to say so: ``related-posts`` does, ``related-work`` does not."""
+    words = [w for w in _WORDS.findall(name) if not w.isdigit()]
+    if not words or not all(w in SURE_NAMES or w in WEAK_NAMES or w in ANY_PART for w in words):
+        return 0
+    return 2 if not SURE_NAMES.isdisjoint(words) else 1 if not WEAK_NAMES.isdisjoint(words) else 0
+
+
 class Element:
-    __slots__ = ("tag", "label", "no_content", "children")
+    """``no_content``: by its tag; ``by_name``: what ``named`` says of its class, id or role."""
+    __slots__ = ("tag", "label", "no_content", "by_name", "children")
 
     def __init__(self, tag: str, attributes: str):
-        names = " ".join((m[2] or m[3] or m[4] or "").strip().lower() for m in _ATTRIBUTE.finditer(attributes)) if attributes else ""
+        found = [(m[1].lower(), (m[2] or m[3] or m[4] or "").strip().lower()) for m in _ATTRIBUTE.finditer(attributes)] if attributes else []
+        names = " ".join(value for _, value in found)
         self.tag = tag
         self.label = tag + ("." + _DIGITS.sub("", names.split()[0]) if names.strip() else "")
-        self.no_content = tag in NO_CONTENT or (tag not in ("html", "body", "article", "main") and bool(NO_CONTENT_NAME.search(names)))
+        self.no_content = tag in NO_CONTENT
+        self.by_name = 0
+        if found and tag not in ("html", "body", "article", "main"):
+            # The id of a heading is an anchor to it, no name of a part.
+            self.by_name = max((named(n) for kind, value in found if kind != "id" or tag not in HEADINGS for n in value.split()), default=0)
         self.children: list[Element | str] = []
 
 
@@ -247,51 +280,119 @@ def node_of(path: tuple, nodes: dict[tuple, str]) -> str:
 # --- texts ------------------------------------------------------------------------------
 
 
-def blocks(root: Element) -> Iterator[tuple[tuple, bool, str]]:
-    """(label path of its first text, whether it lies in a part that is no content, text) of each
-    block in page order: references decoded, white space turned into one space, trimmed."""
+def _chars(element: Element) -> tuple[int, int]:
+    """Characters of an element's text that are no white space, and those of them in links."""
+    total = linked = 0
+    todo: list = [(element, False)]
+    while todo:
+        node, link = todo.pop()
+        if isinstance(node, str):
+            n = len("".join(node.split()))
+            total, linked = total + n, linked + n * link
+        elif not node.no_content:
+            todo += [(child, link or node.tag == "a") for child in node.children]
+    return total, linked
+
+
+def containing_forms(root: Element) -> set[int]:
+    """The forms (by ``id``) that are containers of a page: they hold a marked article, or more than
+    half of the characters of its headings and paragraphs without controls."""
+    total, held, marked = 0, {}, set()
+    todo: list = [(root, ())]
+    while todo:
+        node, forms = todo.pop()
+        if isinstance(node, str) or (node.no_content and node.tag != "form"):
+            continue
+        if node.tag == "form":
+            forms = (*forms, id(node))
+        if node.tag in ("article", "main"):
+            marked.update(forms)
+        if node.tag == "p" or node.tag in HEADINGS:
+            if not _has_control(node):
+                n = _chars(node)[0]
+                total += n
+                for form in forms:
+                    held[form] = held.get(form, 0) + n
+            continue
+        todo += [(child, forms) for child in node.children]
+    return marked | {form for form, n in held.items() if 2 * n > total}
+
+
+def _has_control(element: Element) -> bool:
+    todo = list(element.children)
+    while todo:
+        node = todo.pop()
+        if not isinstance(node, str):
+            if node.tag in CONTROLS:
+                return True
+            todo += node.children
+    return False
+
+
+def blocks(root: Element) -> Iterator[tuple[tuple, bool, str, bool]]:
+    """(label path of its first text, whether it lies in a part that is no content, text, whether it
+    lies in a part of an article that a weak name doubts) of each block in page order: references
+    decoded, white space turned into one space, trimmed."""
     parts: list[str] = []
-    where: list = [None, False]
+    where: list = [None, False, False]
+    forms: set[int] | None = None
 
     def close():
         text = _WHITE.sub(" ", entities.unescape("".join(parts))).strip()
         parts.clear()
-        out = (where[0], where[1], text)
+        out = (where[0], where[1], text, where[2])
         where[0] = None
         return out if text else None
 
-    todo: list = [("open", root, (root.label,), False)]
+    todo: list = [("open", root, (root.label,), False, False, False)]
     while todo:
-        step, node, path, hidden = todo.pop()
+        step, node, path, hidden, article, doubt = todo.pop()
         if step == "close":
             if done := close():
                 yield done
             continue
         if isinstance(node, str):
-            if where[0] is not None and where[1] != hidden:
+            if where[0] is not None and (where[1], where[2]) != (hidden, doubt):
                 if done := close():
                     yield done
             if where[0] is None and not node.isspace():
-                where[0], where[1] = path, hidden
+                where[:] = path, hidden, doubt
             parts.append(node)
             continue
         if node.tag == "br":
             parts.append(" ")
             continue
-        hidden = hidden or node.no_content or (node.tag == "header" and not {"article", "main"}.intersection(x.partition(".")[0] for x in path))
+        article = article or node.tag in ("article", "main")
+        no_content = node.no_content
+        if node.tag == "form":
+            forms = containing_forms(root) if forms is None else forms
+            no_content = id(node) not in forms
+        if node.tag == "header":
+            no_content = not article
+        if node.by_name and not hidden:
+            if not article:
+                no_content = no_content or node.tag not in HEADINGS
+            elif node.tag not in TEXTS:
+                if node.by_name == 2:
+                    no_content = True
+                else:
+                    total, linked = _chars(node)
+                    no_content = no_content or 2 * linked > total
+                    doubt = True
+        hidden = hidden or no_content
         if node.tag in BLOCK or node.tag in NO_CONTENT:
             if done := close():
                 yield done
-            todo.append(("close", None, None, False))
+            todo.append(("close", None, None, False, False, False))
         for child in reversed(node.children):
-            todo.append(("open", child, path if isinstance(child, str) else path + (child.label,), hidden))
+            todo.append(("open", child, path if isinstance(child, str) else path + (child.label,), hidden, article, doubt))
     if done := close():
         yield done
 
 
 def _text_hash(text: str) -> int:
     raw = text.encode("utf-8", "surrogatepass")
-    return zlib.crc32(raw) << 20 ^ len(raw)
+    return int.from_bytes(hashlib.blake2b(raw, digest_size=8).digest(), "big", signed=True)
 
 
 # --- on Spark ---------------------------------------------------------------------------
@@ -327,7 +428,7 @@ def _slots(batches) -> Iterator[pa.RecordBatch]:
         for host, source, page, wrapper in zip(*(batch.column(i).to_pylist() for i in range(4))):
             root = parse(source)
             nodes = aligned(write_skeleton(skeleton(root)), wrapper)
-            shown = [(node_of(path, nodes), text) for path, hidden, text in blocks(root) if not hidden]
+            shown = [(node_of(path, nodes) + DOUBT * doubt, text) for path, hidden, text, doubt in blocks(root) if not hidden]
             chars: dict[str, int] = {}
             for node, text in shown:
                 chars[node] = chars.get(node, 0) + len(text)
@@ -360,22 +461,22 @@ def _is_marked(path: tuple) -> bool:
 def main_text(source: str, wrapper: str | None = None, article: str | None = None, constants: frozenset = frozenset()) -> str:
     """The main text of a page, by its host's wrapper if there is one."""
     root = parse(source)
-    shown = [(path, text) for path, hidden, text in blocks(root) if not hidden]
+    shown = [(path, text, doubt) for path, hidden, text, doubt in blocks(root) if not hidden]
     if wrapper is not None:
         nodes = aligned(write_skeleton(skeleton(root)), wrapper)
         kept, inside = [], []
-        for path, text in shown:
+        for path, text, doubt in shown:
             node = node_of(path, nodes)
-            if (node, _text_hash(text)) in constants:
+            if (node + DOUBT * doubt, _text_hash(text)) in constants:
                 continue
-            kept.append((path, text))
+            kept.append((path, text, doubt))
             if article is None or node == article or node.startswith(article + ">") or _is_marked(path):
                 inside.append(text)
         if inside:
             return "\n".join(inside)
         shown = kept
-    marked = [text for path, text in shown if _is_marked(path)]
-    return "\n".join(marked or [text for _, text in shown])
+    marked = [text for path, text, _ in shown if _is_marked(path)]
+    return "\n".join(marked or [text for _, text, _ in shown])
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -393,11 +494,11 @@ def extract(pages: DataFrame) -> DataFrame:
     texts = slots.groupBy("host", "node", "text", "page").agg(F.max("chars").alias("chars")).groupBy("host", "node", "text").agg(
         F.count("*").alias("pages"), F.max("chars").alias("chars"))
     n_pages = rows.select("host", F.xxhash64("html").alias("page")).distinct().groupBy("host").agg(F.count("*").alias("n_pages"))
-    constant = (F.col("pages") >= LEAST_PAGES) & (F.col("pages") >= CONSTANT_SHARE * F.col("n_pages")) & ~F.col("node").rlike(_MARKED)
+    constant = (F.col("pages") >= LEAST_PAGES) & (F.col("pages") >= CONSTANT_SHARE * F.col("n_pages")) & (~F.col("node").rlike(_MARKED) | F.col("node").endswith(DOUBT))
     judged = texts.join(hint(n_pages), "host").withColumn("constant", constant)
     by_node = judged.groupBy("host", "node").agg(F.max("chars").alias("chars"), F.min("constant").alias("template"), F.first("n_pages").alias("n_pages"),
                                                  F.collect_list(F.when(F.col("constant"), F.concat_ws(" ", F.col("text").cast("string"), "node"))).alias("texts"))
-    side = (F.col("chars") <= SIDE_CHARS) & ~F.col("node").rlike(_TEXT_PART)
+    side = F.col("node").endswith(DOUBT) | ((F.col("chars") <= SIDE_CHARS) & ~F.col("node").rlike(_TEXT_PART))
     varying = F.when(~F.col("template"), F.concat("node", F.lit(">")))
     article = F.when(~side, varying)
     # The first and the last name have the same ancestors in common as all between; of a host with side parts only, these are the article.
@@ -405,6 +506,10 @@ def extract(pages: DataFrame) -> DataFrame:
                                           F.flatten(F.collect_list("texts")).alias("constants"), F.first("n_pages").alias("n_pages"))
     learned = learned.select("host", "constants", *[F.when(F.col("n_pages") >= LEAST_PAGES, F.col(c)).alias(c) for c in ("low", "high")])
     known = stored(wrappers.join(learned, "host", "left"), "html-learned")
+    # Measured with all that it carries; constants are as many as the templates' texts.
+    carried = F.octet_length("wrapper") + F.octet_length("host") + F.coalesce(F.aggregate("constants", F.lit(0), lambda n, x: n + F.octet_length(x) + 16), F.lit(0))
+    size = known.agg(F.coalesce(F.sum(carried + 256), F.lit(0))).first()[0]
+    hint_known = F.broadcast if size <= BROADCAST_BYTES else (lambda df: df)
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         ready: dict[str, tuple[str | None, frozenset]] = {}
@@ -421,5 +526,5 @@ def extract(pages: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(7), pa.array(texts, pa.string()), pa.array(list(map(len, texts)), pa.int64())],
                                              names=["page_id", "url", "text", "n_chars"])
 
-    return (rows.join(hint(known), "host", "left").select("page_id", "html", "host", "wrapper", "low", "high", "constants", "url")
+    return (rows.join(hint_known(known), "host", "left").select("page_id", "html", "host", "wrapper", "low", "high", "constants", "url")
             .mapInArrow(run, "page_id long, url string, text string, n_chars long"))

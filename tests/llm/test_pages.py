@@ -146,3 +146,130 @@ def test_simple_tree_matching_keeps_the_order():
     assert size == 3 and set(pairs) == {(("r",), ("r",)), (("r", "y"), ("r", "y")), (("r", "y", "z"), ("r", "y", "z"))}
     assert html.read_skeleton(html.write_skeleton(a)) == a
     assert html.simple_tree_matching(a, ("s", ()))[0] == 0
+
+
+PROBES = [
+    ("<h2 id='related-work'>Related work</h2>", "Related work"), ("<p class='side-effects'>Side effects</p>", "Side effects"),
+    ("<section id='legal-analysis'>Legal analysis</section>", "Legal analysis"), ("<div class='search-algorithm'>Search algorithm</div>", "Search algorithm"),
+    ("<h3 id='comments'>A heading's anchor</h3>", "A heading's anchor"), ("<p class='notice'>A paragraph</p>", "A paragraph"),
+    ("<div class='notice'>A box of the article {i}</div>", "A box of the article {i}"), ("<div class='ad'>buy</div>", None), ("<div class='ad-slot-2'>buy</div>", None),
+    ("<section id=comments><p>reader {i}</p></section>", None), ("<div class='related-posts'><a>other {i}</a> <a>more</a></div>", None),
+    ("<div class='notice'>Terms apply everywhere</div>", None), ("<div role='navigation'>up</div>", None), ("<div class='share-buttons'>send</div>", None)]
+
+
+def test_names_that_only_contain_a_part_are_kept(pages):
+    body = "".join(p for p, _ in PROBES)
+    rows = [(i, "http://probe/", f"<body><article><h1>Title {i}</h1>" + body.replace("{i}", str(i)) + f"<p>{'text%d ' % i * 30}</p></article>") for i in range(6)]
+    expected = lambda i: "\n".join([f"Title {i}"] + [t.replace("{i}", str(i)) for _, t in PROBES if t] + [" ".join([f"text{i}"] * 30)])
+    got = {r["page_id"]: r["text"] for r in html.extract(pages(rows)).collect()}
+    assert got == {i: expected(i) for i in range(6)}
+    # Without a wrapper only what repeats stays in doubt.
+    assert html.main_text(rows[0][2]) == expected(0).replace(f"\n{expected(0).splitlines()[-1]}", f"\nTerms apply everywhere\n{expected(0).splitlines()[-1]}")
+
+
+def test_names(pages):
+    for name in ("ad", "ads", "ad-slot", "cookie_notice", "share-buttons", "comment-list", "nav", "post-comments", "breadcrumbs"):
+        assert html.named(name) == 2, name
+    for name in ("related", "footer-links", "side_bar", "search", "skip-to-content"):
+        assert html.named(name) == 1, name
+    for name in ("related-work", "side-effects", "legal-analysis", "search-algorithm", "adult", "shared-memory", "article", "content", "main-text", "12", ""):
+        assert html.named(name) == 0, name
+
+
+def test_a_form_around_the_page_is_a_container(pages):
+    page = lambda i: (f"<body><form id=aspnet><input type=hidden value=x><div class=top>menu</div><h1>Head {i}</h1><p>{'one%d ' % i * 20}</p><p>two {i}</p>"
+                      f"<form><p>Your mail <input></p><button>Send</button></form></form>")
+    assert html.main_text(page(1)).split("\n")[-3:] == ["Head 1", " ".join(["one1"] * 20), "two 1"]
+    got = {r["page_id"]: r["text"] for r in html.extract(pages([(i, "http://form/", page(i)) for i in range(8)])).collect()}
+    assert got == {i: f"Head {i}\n" + " ".join([f"one{i}"] * 20) + f"\ntwo {i}" for i in range(8)}
+    assert html.main_text("<form><article><p>in</article><select><option>no</select></form><p>out out out out") == "in"
+    assert html.main_text("<p>text of a page</p><form><p>Name</p><input></form>") == "text of a page"
+    assert html.main_text("<body><form>mail <input></form>") == ""
+
+
+def brute_text(source):
+    """The blocks of the marked article by the standard library's parser, for well-formed pages."""
+    from html.parser import HTMLParser
+
+    class Reader(HTMLParser):
+        def __init__(self):
+            super().__init__(convert_charrefs=True)
+            self.depth, self.hidden, self.out, self.now = 0, 0, [], ""
+
+        def flush(self):
+            text = " ".join(self.now.split())
+            self.now = ""
+            if text:
+                self.out.append(text)
+
+        def handle_starttag(self, tag, attrs):
+            if tag in html.VOID:
+                self.now += " " if tag == "br" else ""
+                return
+            if tag in html.BLOCK:
+                self.flush()
+            self.depth += tag == "article"
+            self.hidden += bool(self.hidden) or tag in html.NO_CONTENT or ("class", "ad") in attrs
+
+        def handle_endtag(self, tag):
+            if tag in html.BLOCK:
+                self.flush()
+            self.depth -= tag == "article"
+            self.hidden -= bool(self.hidden)
+
+        def handle_data(self, data):
+            if self.depth and not self.hidden:
+                self.now += data
+
+    reader = Reader()
+    reader.feed(source)
+    reader.close()
+    return "\n".join(reader.out)
+
+
+def random_page(rnd, i):
+    word = lambda: rnd.choice(["alpha", "b&amp;c", "&lt;x&gt;", "é", "中文", "&#8211;", "d\n e", "  f"]) + str(rnd.randrange(1000))
+    words = lambda: " ".join(word() for _ in range(rnd.randint(1, 9)))
+
+    def inline():
+        return rnd.choice([words(), f"<b>{words()}</b> {word()}", f"{word()}<br>{word()}", f"{word()} <!-- <p>no</p> --><a href='/x'>{word()}</a>", f"<i>{word()}</i>"])
+
+    def part(depth):
+        kind = rnd.choice(["p", "p", "h2", "ul", "div", "section", "blockquote", "aside", "script", "ad", "table"])
+        if kind in ("p", "h2"):
+            return f"<{kind}>{inline()}</{kind}>"
+        if kind == "ul":
+            return "<ul>" + "".join(f"<li>{inline()}</li>" for _ in range(rnd.randint(1, 3))) + "</ul>"
+        if kind == "table":
+            return "<table><tbody><tr>" + "".join(f"<td>{inline()}</td>" for _ in range(2)) + "</tr></tbody></table>"
+        if kind == "script":
+            return "<script>var p = '</p><article>';</script>"
+        if kind == "ad":
+            return f"<div class=\"ad\">{inline()}</div>"
+        inner = "".join(part(depth + 1) for _ in range(rnd.randint(1, 3))) if depth < 3 else f"<p>{inline()}</p>"
+        return f"<{kind}>{inner}</{kind}>"
+
+    body = "".join(part(0) for _ in range(rnd.randint(1, 12)))
+    return (f"<!DOCTYPE html><html><head><title>{word()}</title></head><body><nav><ul><li>{word()}</li></ul></nav><div class=\"ad\">{words()}</div>"
+            f"<article><h1>{words()} {i}</h1>{body}</article><footer>{words()}</footer></body></html>")
+
+
+def test_equals_a_plain_extractor_on_marked_pages(pages):
+    rnd = random.Random(3)
+    rows = [(i, "http://random/", random_page(rnd, i)) for i in range(120)]
+    got = {r["page_id"]: r["text"] for r in html.extract(pages(rows)).collect()}
+    assert got == {i: brute_text(h) for i, _, h in rows}
+
+
+def test_a_very_long_page(pages):
+    parts = [f"<p>part {i} {'x' * 50}</p>" for i in range(60_000)]
+    rows = [(1, "http://long/", "<article>" + "".join(parts) + "</article><footer>no</footer>"), (2, "http://long/", "<p>short")]
+    got = {r["page_id"]: (r["text"], r["n_chars"]) for r in html.extract(pages(rows)).collect()}
+    text = "\n".join(f"part {i} {'x' * 50}" for i in range(60_000))
+    assert got == {1: (text, len(text)), 2: ("short", 5)}
+
+
+def test_lookups_are_shuffled_where_they_are_too_large_to_broadcast(pages, monkeypatch):
+    monkeypatch.setattr(html, "BROADCAST_BYTES", 0)
+    rows = [(i, f"http://h{i % 2}.example/a", page(i, BODY.format(i, i))) for i in range(12)]
+    assert {r["page_id"]: r["text"] for r in html.extract(pages(rows)).collect()} == {i: text(i) for i in range(12)}
