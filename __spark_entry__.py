@@ -8,20 +8,20 @@ form (one row per slot) and computes each result independently of the Spark code
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from loopcount.plans import queries as _q
 
-# The operators on texts, pages and vectors are an optional part: without their folder (and
-# the pipeline built on it) the other queries stand alone. Any other import error is raised.
+# The operators on texts, pages and vectors are an optional part: without their folder, the
+# pipeline built on it or a package that they need, the other queries stand alone.
 try:
     import corpus_pipeline as _pipeline
     from loopcount.llm import queries as _llm
-except ModuleNotFoundError as missing:
-    if missing.name not in ("corpus_pipeline", "loopcount.llm"):
-        raise
+except ImportError as missing:
+    logging.getLogger(__name__).warning("without the operators of loopcount.llm: %s", missing)
     _pipeline = _llm = None
 
 SMOKE_DIR = "/root/testdata/sf0.001"
