@@ -87,11 +87,14 @@ pts AS (
   UNION ALL SELECT CAST(s_suppkey AS VARCHAR), s_suppkey * 3 + 2, 'null' FROM supplier WHERE s_suppkey % 11 = 0),
 last_pts AS (
   SELECT site, CASE WHEN text <> 'null' THEN text END AS wkt FROM pts QUALIFY row_number() OVER (PARTITION BY site ORDER BY ord DESC) = 1),
-all_points AS (
-  SELECT site, wkt AS point_wkt,
-         CAST(regexp_extract(wkt, '^POINT \\(([^ ]+) ([^ )]+)\\)$', 1) AS DOUBLE) AS lon,
+coords AS (
+  SELECT site, CAST(regexp_extract(wkt, '^POINT \\(([^ ]+) ([^ )]+)\\)$', 1) AS DOUBLE) AS lon,
          CAST(regexp_extract(wkt, '^POINT \\(([^ ]+) ([^ )]+)\\)$', 2) AS DOUBLE) AS lat
   FROM last_pts),
+all_points AS (
+  SELECT site, 'POINT (' || regexp_replace(CAST(lon AS VARCHAR), '\\.0$', '') || ' ' || regexp_replace(CAST(lat AS VARCHAR), '\\.0$', '') || ')' AS point_wkt,
+         lon, lat
+  FROM coords),
 site_points AS (SELECT * FROM all_points WHERE point_wkt IS NOT NULL)
 """
 
@@ -146,9 +149,13 @@ _OBS_COLS = ("feature_id, site, detector, obs_date, day_of_week, point_wkt, lon,
              "lane_mvt, loc_mvt, hf_id, road_wkt, total")
 
 
-def _profile(where: str) -> str:
+# Counts of every seventh day of the month one lower, as a later import corrects them.
+_LOWERED = _RAW.replace("greatest(coalesce(c.p, 0), 0) AS v", "greatest(coalesce(c.p, 0) - CASE WHEN day(c.day) % 7 = 0 THEN 1 ELSE 0 END, 0) AS v")
+
+
+def _profile(where: str, raw: str = _RAW) -> str:
     return f"""
-WITH {_RAW}, {_POINTS}, {_ROADS}, {_LAYOUT}, {_OBS},
+WITH {raw}, {_POINTS}, {_ROADS}, {_LAYOUT}, {_OBS},
 slots AS (
   SELECT o.site, o.day_of_week, o.point_wkt, o.road_wkt, max(o.lon) AS lon, max(o.lat) AS lat, c.slot,
          sum(c.v) AS slot_sum, count(*) AS num_features
@@ -189,6 +196,10 @@ def _counts_oracle() -> dict[str, str]:
                                            "observations_two_imports", "observations_reimport")},
         "observations_tue": (f"WITH {_RAW}, {_POINTS}, {_ROADS}, {_LAYOUT}, {_OBS} "
                              f"SELECT {_OBS_COLS} FROM obs WHERE day_of_week = 'Tue'"),
+        "observations_in_box": observations + " WHERE lon BETWEEN 144.035 AND 144.115 AND lat BETWEEN -37.62 AND -37.175",
+        "observations_by_flow": observations + " WHERE hf_id IN ('7', '31', '58', '1000')",
+        "profile_two_imports": _profile("true"),
+        "profile_incremental": _profile("true", _LOWERED),
         "unplaced_volumes": (f"WITH {_RAW}, {_POINTS} SELECT v.site, v.detector, v.day FROM vol v "
                              "WHERE NOT EXISTS (SELECT 1 FROM site_points p WHERE p.site = v.site)"),
         "dow_profile": _profile("true"),

@@ -3,7 +3,8 @@
 Only three kinds matter: POINT for sites, LINESTRING and MULTILINESTRING for roads. A road is
 always stored as MULTILINESTRING text (a LINESTRING is wrapped, any other kind is no road),
 written with single blanks and ', ' between coordinates, plus a parsed nested array
-``ARRAY<ARRAY<STRUCT<lon, lat>>>``. Coordinates keep their input spelling in the text.
+``ARRAY<ARRAY<STRUCT<lon, lat>>>``. Coordinates are written in one way (``number``), so that texts
+of equal geometries are equal, however they were spelled (F9).
 """
 
 from __future__ import annotations
@@ -44,6 +45,33 @@ def is_point_or_null(wkt: Column, site: Column) -> Column:
     return F.when(wkt.isNotNull() & ~wkt.rlike(POINT_RE), fail).otherwise(F.lit(True))
 
 
+def number(value: Column) -> Column:
+    """A double in its one spelling: the fewest decimals that tell it, no exponent, no trailing
+    zeros, no sign of zero. Beyond 1e-5 to 1e15 in size, where digits may not fit a decimal,
+    Java's text of the double."""
+    size = F.abs(value)
+    plain = F.regexp_replace(value.cast("string").try_cast("decimal(38,22)").cast("string"), r"\.?0+$", "")
+    return F.when(value == 0, F.lit("0")).when((size >= 1e-5) & (size < 1e15), plain).otherwise(value.cast("string"))
+
+
+_TOKEN_RE = r"^(\(*)([^(),]*)([),]*)$"
+
+
+def _numbers(body: Column) -> Column:
+    """A canonically spaced body with every coordinate as ``number``."""
+    def one(token: Column) -> Column:
+        text = F.regexp_extract(token, _TOKEN_RE, 2)
+        return F.concat(F.regexp_extract(token, _TOKEN_RE, 1), number(text.try_cast("double")), F.regexp_extract(token, _TOKEN_RE, 3))
+
+    return F.array_join(F.transform(F.split(body, " "), one), " ")
+
+
+def canonical_point(wkt: Column) -> Column:
+    """a checked POINT text, written anew: two coordinates, each as ``number``."""
+    lon, lat = point_coords(wkt)
+    return F.when(wkt.isNotNull(), F.concat(F.lit("POINT ("), number(lon), F.lit(" "), number(lat), F.lit(")")))
+
+
 def point_coords(wkt: Column) -> tuple[Column, Column]:
     """(lon, lat) of a checked POINT text."""
     part = lambda i: F.when(wkt.isNotNull(), F.regexp_extract(wkt, POINT_RE, i).cast("double"))
@@ -80,6 +108,7 @@ def road_multilinestring(wkt: Column) -> Column:
     kind, dim, body, _ = _line(wkt)
     wrapped = F.when((kind == "LINESTRING") & (body != "EMPTY"), F.concat(F.lit("("), body, F.lit(")"))
                      ).otherwise(body)
+    wrapped = F.when(body == "EMPTY", wrapped).otherwise(_numbers(wrapped))
     head = F.when(dim == "", F.lit("MULTILINESTRING ")).otherwise(F.concat(F.lit("MULTILINESTRING "), dim, F.lit(" ")))
     return F.when(wkt.isNotNull() & (kind != ""), F.concat(head, wrapped))
 

@@ -1 +1 @@
-"""DataFrame → DataFrame operators. None of them runs an action except ``bounded_broadcast``."""
+"""DataFrame → DataFrame operators. None of them runs an action except ``broadcast.measured``."""

@@ -57,11 +57,18 @@ def estimated_row_bytes(df: DataFrame) -> Column:
     return total.cast("bigint")
 
 
+def _limit(df: DataFrame, max_bytes: int | None) -> int:
+    return max_bytes if max_bytes is not None else int(df.sparkSession.conf.get(MAX_BYTES_CONF, str(DEFAULT_MAX_BYTES)))
+
+
 def measured(df: DataFrame, label: str, max_bytes: int | None = None, needs_rows: bool = False) -> Measured:
-    limit = max_bytes
-    if limit is None:
-        limit = int(df.sparkSession.conf.get(MAX_BYTES_CONF, str(DEFAULT_MAX_BYTES)))
-    df = stored(df, label.replace(" ", "-"))
+    limit = _limit(df, max_bytes)
+    return measured_table(stored(df, label.replace(" ", "-")), label, limit, needs_rows)
+
+
+def measured_table(df: DataFrame, label: str, max_bytes: int | None = None, needs_rows: bool = False) -> Measured:
+    """``measured`` for a DataFrame that is a plain scan already."""
+    limit = _limit(df, max_bytes)
     stats = df.agg(F.count(F.lit(1)).alias("rows"),
                    F.coalesce(F.sum(estimated_row_bytes(df)), F.lit(0)).alias("bytes")).first()
     rows, size = int(stats["rows"]), int(stats["bytes"])

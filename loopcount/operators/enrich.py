@@ -9,10 +9,10 @@ from loopcount.functions import dates, geo
 
 OBSERVATION_COLUMNS = [
     "feature_id", "site", "detector", "obs_date", "day_of_week", "obs_month", "volumes", "point_wkt", "lon",
-    "lat", "ds_location", "nb_lane", "lane_mvt", "loc_mvt", "hf_id", "road_wkt", "road_key", "road",
+    "lat", "place", "ds_location", "nb_lane", "lane_mvt", "loc_mvt", "hf_id", "road_wkt", "road_key", "road",
 ]
 GEOMETRY_COLUMNS = {"point_wkt", "lon", "lat", "road_wkt", "road"}
-FLAT_OBSERVATION_COLUMNS = [c for c in OBSERVATION_COLUMNS if c not in ("obs_month", "volumes", "road_key", "road")]
+FLAT_OBSERVATION_COLUMNS = [c for c in OBSERVATION_COLUMNS if c not in ("obs_month", "volumes", "place", "road_key", "road")]
 
 
 def dated(volumes: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loopcount.functions import geo
+from loopcount.functions import curve, geo
 
 # Default layout order when the caller gives none: the layout date, then all other fields.
 DEFAULT_LAYOUT_ORDER = ["dt_general", "ds_location", "nb_lane", "lane_mvt", "loc_mvt", "hf_id"]
@@ -38,7 +38,8 @@ def first_per_key(df: DataFrame, keys: list[str], order: list) -> DataFrame:
 
 
 def site_points(points: DataFrame, order: list) -> DataFrame:
-    """One point per site, the last in file order -> site, point_wkt, lon, lat.
+    """One point per site, the last in file order -> site, point_wkt (canonical), lon,
+    lat, place (Z-order).
 
     A site whose last record is 'null' has no point (NULL point_wkt); text that is not a
     POINT raises, naming the site (D22).
@@ -46,7 +47,9 @@ def site_points(points: DataFrame, order: list) -> DataFrame:
     last = last_per_key(points.where(F.col("site").isNotNull()), ["site"], order)
     last = last.select("site", geo.missing_to_null(F.col("wkt")).alias("point_wkt"))
     lon, lat = geo.point_coords(F.col("point_wkt"))
-    return last.where(geo.is_point_or_null(F.col("point_wkt"), F.col("site"))).select("site", "point_wkt", lon.alias("lon"), lat.alias("lat"))
+    checked = last.where(geo.is_point_or_null(F.col("point_wkt"), F.col("site")))
+    return (checked.select("site", geo.canonical_point(F.col("point_wkt")).alias("point_wkt"), lon.alias("lon"), lat.alias("lat"))
+            .withColumn("place", curve.place(F.col("lon"), F.col("lat"))))
 
 
 def road_lookup(lines: DataFrame, order: list) -> DataFrame:
@@ -65,6 +68,11 @@ def road_lookup(lines: DataFrame, order: list) -> DataFrame:
             .withColumn("road", geo.road_parts(F.col("road_wkt"))))
 
 
+def road_texts(roads: DataFrame) -> DataFrame:
+    """The text of each road by its key: road_key, road_wkt."""
+    return roads.where(F.col("road_key").isNotNull()).groupBy("road_key").agg(F.min("road_wkt").alias("road_wkt"))
+
+
 def road_points(roads: DataFrame) -> DataFrame:
     """F7 flattened: hf_id, part and position (from 0), lon, lat of every coordinate of a road."""
     parts = roads.select("hf_id", F.posexplode("road").alias("part", "coords"))

@@ -18,14 +18,24 @@ from loopcount.functions import geo
 from loopcount.operators import cleaning, enrich, lookups, profile
 from loopcount.operators.broadcast import measured
 from loopcount.sources import csv as csv_source
+from loopcount.session import scratch, table_exists
 from loopcount.sources.tables import read_table
 
 
 @dataclass(frozen=True)
 class Lookups:
-    """Site points and reduced layouts with roads, written and hinted as measured."""
+    """Site points, reduced layouts with roads, and the roads' texts (road_key, road_wkt; no rows
+    without a line file), written and hinted as measured."""
     points: DataFrame
     layout: DataFrame
+    roads: DataFrame
+
+
+@dataclass(frozen=True)
+class Imported:
+    """Observations that are not written yet, and the texts of their roads."""
+    observations: DataFrame
+    roads: DataFrame
 
 
 def _points(points: DataFrame, order: list, max_broadcast_bytes: int | None) -> DataFrame:
@@ -37,28 +47,40 @@ def build_lookups(points: DataFrame, layouts: DataFrame, lines: DataFrame | None
                   max_broadcast_bytes: int | None = None) -> Lookups:
     """A4 + F6 points (at least one), A5 + F7 roads, A1 + J2 reduced layout; each measured for broadcast."""
     roads = None
+    texts = points.sparkSession.createDataFrame([], "road_key long, road_wkt string")
     if lines is not None:
         roads = measured(lookups.road_lookup(lines, line_order or point_order), "roads", max_broadcast_bytes).df
+        texts = measured(lookups.road_texts(roads), "road texts", max_broadcast_bytes).df
     layout = lookups.layout_roads(lookups.first_layout(layouts, layout_order), roads)
-    return Lookups(_points(points, point_order, max_broadcast_bytes), measured(layout, "detector layouts", max_broadcast_bytes).df)
+    return Lookups(_points(points, point_order, max_broadcast_bytes), measured(layout, "detector layouts", max_broadcast_bytes).df, texts)
+
+
+def import_observations(volumes: DataFrame, points: DataFrame, layouts: DataFrame, lines: DataFrame | None = None, **options) -> DataFrame:
+    """E1 as a DataFrame: raw rows in, observations out (not written); options as of ``imported``."""
+    return imported(volumes, points, layouts, lines, **options).observations
 
 
-def import_observations(volumes: DataFrame, points: DataFrame, layouts: DataFrame,
-                        lines: DataFrame | None = None, *, point_order: list, line_order: list | None = None,
-                        layout_order: list | None = None, max_broadcast_bytes: int | None = None,
-                        keep: list[str] | None = None) -> DataFrame:
-    """E1 as a DataFrame: raw rows in, observations out (not written), and the order columns ``keep``."""
+def imported(volumes: DataFrame, points: DataFrame, layouts: DataFrame,
+             lines: DataFrame | None = None, *, point_order: list, line_order: list | None = None,
+             layout_order: list | None = None, max_broadcast_bytes: int | None = None,
+             keep: list[str] | None = None) -> Imported:
+    """Raw rows in, observations out (not written) with the order columns ``keep``, and road texts."""
     lk = build_lookups(points, layouts, lines, point_order=point_order, line_order=line_order,
                        layout_order=layout_order, max_broadcast_bytes=max_broadcast_bytes)
-    return enrich.observations(cleaning.clean_volumes(volumes, keep), lk.points, lk.layout)
+    return Imported(enrich.observations(cleaning.clean_volumes(volumes, keep), lk.points, lk.layout), lk.roads)
 
 
-def import_csv(spark: SparkSession, volumes_path, layouts_path, points_path, lines_path=None, *,
-               layout_order: list | None = None, max_broadcast_bytes: int | None = None,
-               keep: list[str] | None = None) -> DataFrame:
+def import_csv(spark: SparkSession, volumes_path, layouts_path, points_path, lines_path=None, **options) -> DataFrame:
     """E1 on the reference's CSV inputs; the line file is optional (roads are then NULL)."""
+    return imported_csv(spark, volumes_path, layouts_path, points_path, lines_path, **options).observations
+
+
+def imported_csv(spark: SparkSession, volumes_path, layouts_path, points_path, lines_path=None, *,
+                 layout_order: list | None = None, max_broadcast_bytes: int | None = None,
+                 keep: list[str] | None = None) -> Imported:
+    """``imported`` on CSV files."""
     order = csv_source.ORDER_COLUMNS
-    return import_observations(
+    return imported(
         csv_source.read_raw_volumes(spark, volumes_path, with_order=bool(keep)), csv_source.read_points(spark, points_path),
         csv_source.read_site_layouts(spark, layouts_path), csv_source.read_lines(spark, lines_path) if lines_path else None,
         point_order=order, line_order=order, layout_order=layout_order or lookups.DEFAULT_LAYOUT_ORDER + order,
@@ -67,25 +89,62 @@ def import_csv(spark: SparkSession, volumes_path, layouts_path, points_path, lin
 
 def import_job(spark: SparkSession, output_path: str, volumes_path, layouts_path, points_path,
                lines_path=None, *, mode: str = "merge", layout_order: list | None = None,
-               max_broadcast_bytes: int | None = None) -> str:
-    """E1 end to end: CSV files in, merged into the observations table."""
+               max_broadcast_bytes: int | None = None, state_path: str | None = None) -> str:
+    """E1 end to end: CSV files in, merged into the observations table; their road texts beside it.
+
+    With ``state_path``, the profile's state there follows: the months of the weekdays that the
+    import touched are summed up anew, all others stay."""
     order = csv_source.ORDER_COLUMNS
-    obs = import_csv(spark, volumes_path, layouts_path, points_path, lines_path, layout_order=layout_order,
-                     max_broadcast_bytes=max_broadcast_bytes, keep=order)
-    sinks.write_observations(obs, output_path, mode=mode, order=order)
+    with scratch(spark):
+        new = imported_csv(spark, volumes_path, layouts_path, points_path, lines_path, layout_order=layout_order,
+                           max_broadcast_bytes=max_broadcast_bytes, keep=order)
+        # Texts first: a table whose rows have keys without text would lose roads.
+        sinks.write_roads(new.roads, output_path)
+        touched = sinks.write_observations(new.observations, output_path, mode=mode, order=order)
+        if state_path is not None:
+            update_state(spark, output_path, state_path, touched if table_exists(spark, state_path) else None)
     return output_path
 
 
-def dow_profile(observations: DataFrame) -> DataFrame:
-    """E2 as a DataFrame."""
-    return profile.dow_profile(observations)
+def touched_observations(spark: SparkSession, observations_path: str, touched: list[tuple[str, int]] | None) -> DataFrame:
+    """The stored observations of these weekdays and months (all, if None)."""
+    obs = read_table(spark, observations_path)
+    return obs if touched is None else obs.where(sinks.in_partitions(touched))
+
+
+def update_state(spark: SparkSession, observations_path: str, state_path: str, touched: list[tuple[str, int]] | None = None) -> None:
+    """Sum up the touched partitions of the observations (all, if None) and replace them in the state."""
+    with scratch(spark):
+        obs = touched_observations(spark, observations_path, touched)
+        sinks.write_profile_state(profile.monthly_state(obs, sinks.read_roads(spark, observations_path)), state_path, touched)
+
+
+def dow_profile(observations: DataFrame, roads: DataFrame | None = None) -> DataFrame:
+    """E2 as a DataFrame; roads: the texts by key, if the observations come without them."""
+    return profile.dow_profile(observations, roads)
+
+
+def stored_profile(spark: SparkSession, observations_path: str, *, day_of_week: str | list[str] | None = None) -> DataFrame:
+    """E2 of a stored table: one scan of the observations, and the small table of roads."""
+    return profile.dow_profile(read_table(spark, observations_path, day_of_week=day_of_week), sinks.read_roads(spark, observations_path))
+
+
+def state_profile(spark: SparkSession, state_path: str, *, day_of_week: str | list[str] | None = None) -> DataFrame:
+    """E2 from the stored state, without the observations."""
+    return profile.from_state(read_table(spark, state_path, day_of_week=day_of_week))
 
 
 def profile_job(spark: SparkSession, observations_path: str, output_path: str, *,
                 day_of_week: str | list[str] | None = None) -> str:
     """E2 end to end: scan observations (optionally one weekday, S8), write the profile."""
-    obs = read_table(spark, observations_path, day_of_week=day_of_week)
-    sinks.write_profile(profile.dow_profile(obs), output_path)
+    with scratch(spark):
+        sinks.write_profile(stored_profile(spark, observations_path, day_of_week=day_of_week), output_path)
+    return output_path
+
+
+def state_profile_job(spark: SparkSession, state_path: str, output_path: str, *, day_of_week: str | list[str] | None = None) -> str:
+    """E2 end to end from the stored state."""
+    sinks.write_profile(state_profile(spark, state_path, day_of_week=day_of_week), output_path)
     return output_path
 
 
@@ -106,7 +165,7 @@ LEFT JOIN roadLines r ON f.hf_id = r.hf_id
 """
 
 IMPORT_SQL = """
-SELECT {hint} b.site, b.detector, b.obs_date, b.volumes, b.point_wkt, b.lon, b.lat,
+SELECT {hint} b.site, b.detector, b.obs_date, b.volumes, b.point_wkt, b.lon, b.lat, b.place,
        c.ds_location, c.nb_lane, c.lane_mvt, c.loc_mvt, c.hf_id, c.road_wkt, c.road_key, c.road
 FROM volumeData b
 LEFT JOIN detectorLayouts c

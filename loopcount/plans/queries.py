@@ -26,7 +26,7 @@ from loopcount.sources.tables import read_table
 POINT_ORDER = LINE_ORDER = LAYOUT_ORDER = csv_source.ORDER_COLUMNS
 
 # Bump when the reshaping of the driver tables changes, so old exported files are not reused.
-INPUTS_VERSION = "v2"
+INPUTS_VERSION = "v3"
 
 SOURCE_TABLES = ["events", "supplier", "nation", "lineitem"]
 
@@ -86,7 +86,7 @@ def dropped_volumes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def site_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S5, A4, F6."""
-    return lookups.site_points(_inputs(spark, sf_dir)["points"], POINT_ORDER)
+    return lookups.site_points(_inputs(spark, sf_dir)["points"], POINT_ORDER).select("site", "point_wkt", "lon", "lat")
 
 
 def road_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,12 +107,15 @@ def layout_roads(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("site", "detector", "hf_id", "road_wkt"))
 
 
-def observation_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """E1 on the fixture inputs: the full observations table (arrays included)."""
+def _imported(spark: SparkSession, sf_dir: str) -> jobs.Imported:
+    """E1 on the fixture inputs: the full observations (arrays included) and their road texts."""
     i = _inputs(spark, sf_dir)
-    return jobs.import_observations(i["volumes"], i["points"], i["layouts"], i["lines"],
-                                    point_order=POINT_ORDER, line_order=LINE_ORDER,
-                                    layout_order=LAYOUT_ORDER)
+    return jobs.imported(i["volumes"], i["points"], i["layouts"], i["lines"],
+                         point_order=POINT_ORDER, line_order=LINE_ORDER, layout_order=LAYOUT_ORDER)
+
+
+def observation_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _imported(spark, sf_dir).observations
 
 
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -134,15 +137,15 @@ def export_csv_inputs(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     Lookup files are written in their lookup order, so that file order carries it.
     """
     base = shared_path(spark, "inputs", INPUTS_VERSION, _tag(spark, sf_dir))
-    paths = {k: f"{base}/{k}" for k in ("volumes", "points", "lines", "layouts")}
+    paths = {k: f"{base}/{k}" for k in ("volumes", "points", "lines", "layouts", "points_respelled", "lines_respelled")}
     if all(path_complete(spark, p) for p in paths.values()):
         return paths
     i = _direct_inputs(spark, sf_dir)
     csv_source.write_raw_volumes_csv(i["volumes"], paths["volumes"])
-    csv_source.write_csv(i["points"].orderBy("_row").select(F.col("wkt").alias("WKT"), F.col("site").alias("SITE_NO")),
-                         paths["points"])
-    csv_source.write_csv(i["lines"].orderBy("_row").select(F.col("wkt").alias("WKT"), "hfidl", "hfidr"),
-                         paths["lines"])
+    for ending, spelled in (("", lambda c: c), ("_respelled", fixtures.respelled)):
+        wkt = spelled(F.col("wkt")).alias("WKT")
+        csv_source.write_csv(i["points"].orderBy("_row").select(wkt, F.col("site").alias("SITE_NO")), paths[f"points{ending}"])
+        csv_source.write_csv(i["lines"].orderBy("_row").select(wkt, "hfidl", "hfidr"), paths[f"lines{ending}"])
     lay = i["layouts"].orderBy(*fixtures.LAYOUT_ORDER)
     positional = [F.col("site"), F.lit(None).cast("string"), F.lit(None).cast("string"), F.col("ds_location"),
                   F.col("detector"), F.col("dt_general"), F.col("nb_lane"), F.col("lane_mvt"), F.col("loc_mvt"),
@@ -162,20 +165,22 @@ def observations_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def volumes_by_day(spark: SparkSession, sf_dir: str) -> dict[str, str]:
-    """The volume files in two parts, by even and odd day of the month."""
+    """The volume files in two parts, by even and odd day of the month, and the rows of every
+    seventh day of the month with each count lowered by one."""
     base = shared_path(spark, "inputs", INPUTS_VERSION, _tag(spark, sf_dir))
-    paths = {k: f"{base}/volumes_{k}" for k in ("even", "odd")}
+    paths = {k: f"{base}/volumes_{k}" for k in ("even", "odd", "lowered")}
     if not all(path_complete(spark, p) for p in paths.values()):
         raw = _inputs(spark, sf_dir)["volumes"]
         day = F.dayofmonth(dates.interval_date(F.col("qt_interval")))
         for k, rest in (("even", 0), ("odd", 1)):
             csv_source.write_raw_volumes_csv(raw.where(day % 2 == rest), paths[k])
+        csv_source.write_raw_volumes_csv(fixtures.lowered(raw.where(day % fixtures.LOWERED_DAY == 0)), paths["lowered"])
     return paths
 
 
-def _import(spark: SparkSession, sf_dir: str, table: str, volumes) -> None:
+def _import(spark: SparkSession, sf_dir: str, table: str, volumes, spelling: str = "", state: str | None = None) -> None:
     i = export_csv_inputs(spark, sf_dir)
-    jobs.import_job(spark, table, volumes, i["layouts"], i["points"], i["lines"], layout_order=LAYOUT_ORDER)
+    jobs.import_job(spark, table, volumes, i["layouts"], i[f"points{spelling}"], i[f"lines{spelling}"], layout_order=LAYOUT_ORDER, state_path=state)
 
 
 _STORED: dict[tuple[str, str, str], str] = {}
@@ -208,12 +213,42 @@ def observations_tue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def observations_two_imports(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K1: the table after two imports of different days, which share weekdays and months."""
+    """The table after two imports of different days, which share weekdays and months; the
+    second one's geometry files spell their numbers in another way."""
+    return enrich.with_total(read_table(spark, stored_two_imports(spark, sf_dir)))
+
+
+def stored_two_imports(spark: SparkSession, sf_dir: str) -> str:
+    def write(path: str) -> None:
+        parts = volumes_by_day(spark, sf_dir)
+        for part, spelling in (("even", ""), ("odd", "_respelled")):
+            _import(spark, sf_dir, path, parts[part], spelling)
+    return _stored(spark, sf_dir, "observations_two_imports", write)
+
+
+def profile_two_imports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places and roads that two imports spell in two ways are one group each."""
+    return jobs.stored_profile(spark, stored_two_imports(spark, sf_dir))
+
+
+def profile_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The profile of a state that followed two imports, and one that lowers counts of
+    days stored already; each import summed up only the weekdays and months that it touched."""
     def write(path: str) -> None:
         parts = volumes_by_day(spark, sf_dir)
-        for part in ("even", "odd"):
-            _import(spark, sf_dir, path, parts[part])
-    return enrich.with_total(read_table(spark, _stored(spark, sf_dir, "observations_two_imports", write)))
+        for part, spelling in (("even", ""), ("odd", "_respelled"), ("lowered", "")):
+            _import(spark, sf_dir, f"{path}/observations", parts[part], spelling, f"{path}/state")
+    return jobs.state_profile(spark, _stored(spark, sf_dir, "profile_incremental", write) + "/state")
+
+
+def observations_in_box(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K4: the stored observations of a box, by ranges of the curve that the files are ordered by."""
+    return enrich.with_total(read_table(spark, stored_observations(spark, sf_dir), box=fixtures.BOX))
+
+
+def observations_by_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K4: the stored observations of some flow ids, by their Bloom filters."""
+    return enrich.with_total(read_table(spark, stored_observations(spark, sf_dir), flows=fixtures.FLOWS))
 
 
 def observations_reimport(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -244,12 +279,13 @@ def unplaced_volumes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dow_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P10-P13, A2, A3, T1, T2, F3, F5."""
-    return profile.dow_profile(observation_frame(spark, sf_dir))
+    new = _imported(spark, sf_dir)
+    return profile.dow_profile(new.observations, new.roads)
 
 
 def profile_tue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E2 with the weekday filter on the stored observations."""
-    return profile.dow_profile(read_table(spark, stored_observations(spark, sf_dir), day_of_week="Tue"))
+    return jobs.stored_profile(spark, stored_observations(spark, sf_dir), day_of_week="Tue")
 
 
 QUERIES = {
@@ -270,6 +306,10 @@ QUERIES = {
     "dow_profile": dow_profile,
     "profile_tue": profile_tue,
     "profile_stored": profile_stored,
+    "profile_two_imports": profile_two_imports,
+    "profile_incremental": profile_incremental,
+    "observations_in_box": observations_in_box,
+    "observations_by_flow": observations_by_flow,
     "road_points": road_points,
 }
 

@@ -46,6 +46,7 @@ OBSERVATIONS_SCHEMA = T.StructType([
     T.StructField("point_wkt", T.StringType()),
     T.StructField("lon", T.DoubleType()),
     T.StructField("lat", T.DoubleType()),
+    T.StructField("place", T.LongType()),
     T.StructField("ds_location", T.StringType()),
     T.StructField("nb_lane", T.StringType()),
     T.StructField("lane_mvt", T.StringType()),
@@ -56,6 +57,19 @@ OBSERVATIONS_SCHEMA = T.StructType([
     T.StructField("road", ROAD_TYPE),
 ])
 
+#: The mergeable state of the profile: the sums of a group's records in one month.
+PROFILE_STATE_SCHEMA = T.StructType([
+    T.StructField("site", T.StringType()),
+    T.StructField("day_of_week", T.StringType()),
+    T.StructField("obs_month", T.IntegerType()),
+    T.StructField("point_wkt", T.StringType()),
+    T.StructField("lon", T.DoubleType()),
+    T.StructField("lat", T.DoubleType()),
+    T.StructField("road_wkt", T.StringType()),
+    T.StructField("sums", T.ArrayType(T.LongType())),
+    T.StructField("num_features", T.LongType()),
+])
+
 DOW_PROFILE_SCHEMA = T.StructType([
     T.StructField("feature_id", T.StringType()),
     T.StructField("site", T.StringType()),

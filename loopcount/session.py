@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,12 +25,39 @@ def shared_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([shared_dir(spark), "loopcount", *parts])
 
 
+#: Folders of intermediate tables that this process wrote and did not remove yet, by application.
+_MADE: dict[str, list[str]] = {}
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written as Parquet in a new shared folder and read back: its lineage is cut, and
-    nothing stays persisted in the session."""
-    path = shared_path(df.sparkSession, "stored", f"{label}-{uuid.uuid4().hex}")
+    nothing stays persisted in the session. ``remove_stored`` removes the folder."""
+    spark = df.sparkSession
+    path = shared_path(spark, "stored", f"{label}-{uuid.uuid4().hex}")
+    _MADE.setdefault(spark.sparkContext.applicationId, []).append(path)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def remove_stored(spark: SparkSession, since: int = 0) -> int:
+    """Remove the intermediate tables that ``stored`` wrote in this application (all, or those
+    after the first ``since``); to be called when no DataFrame on them is needed any more.
+    Returns how many."""
+    made = _MADE.get(spark.sparkContext.applicationId, [])
+    gone, made[since:] = made[since:], []
+    for path in gone:
+        delete_folder(spark, path)
+    return len(gone)
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Intermediate tables made inside are removed at the end, also after an error."""
+    since = len(_MADE.get(spark.sparkContext.applicationId, []))
+    try:
+        yield
+    finally:
+        remove_stored(spark, since)
 
 
 def _hadoop(spark: SparkSession, path: str):

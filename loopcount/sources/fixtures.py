@@ -7,7 +7,7 @@ fixed by the fixture description; the operators downstream do not know where row
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loopcount.functions.slots import slot_array
@@ -34,6 +34,14 @@ EARLIER_POINT = (5, "POINT (1 2)")
 NO_POINT = (11, "null")
 
 
+# Days of the month whose counts are lowered are multiples of this.
+LOWERED_DAY = 7
+
+# A box (lon and lat of the lower, then of the upper corner), and some flow ids.
+BOX = (144.035, -37.62, 144.115, -37.175)
+FLOWS = ["7", "31", "58", "1000"]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -105,6 +113,20 @@ def lines(nation: DataFrame) -> DataFrame:
                          wkt.alias("wkt"), k.alias("_row"))
 
 
+def respelled(wkt: Column) -> Column:
+    """The same geometry in other numerals: a zero more behind each decimal, ``.0`` behind each whole
+    number, and no blank before the bracket."""
+    longer = F.regexp_replace(wkt, r"(\d\.\d+)", "$1\\0")
+    whole = F.regexp_replace(longer, r"(?<![\d.])(\d+)(?![\d.])", "$1.0")
+    return F.regexp_replace(whole, r"^([A-Z]+) \(", "$1(")
+
+
+def lowered(raw: DataFrame) -> DataFrame:
+    """Raw rows with every positive count one lower."""
+    lower = F.transform("raw", lambda x: F.when(F.nullif(x, F.lit("")).cast("int") > 0, (F.nullif(x, F.lit("")).cast("int") - 1).cast("string")).otherwise(x))
+    return raw.withColumn("raw", lower)
+
+
 def layouts(lineitem: DataFrame) -> DataFrame:
     """Lane layouts from all line items; the order columns are kept for the first-row rule. The
     location of every fourth part holds a comma, quotes and a backslash at its end."""

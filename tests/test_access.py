@@ -1,0 +1,328 @@
+"""Canonical geometry (F9, P11), mergeable profile state (A2, A3, E2), single-pass import (K1, E1) and
+access paths by place and by flow id (K4)."""
+
+import os
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from loopcount import session, sinks
+from loopcount.functions import curve, geo
+from loopcount.operators import profile
+from loopcount.plans import jobs
+from loopcount.sources import csv as csv_source
+from loopcount.sources.tables import read_table
+from tests.conftest import write_text, write_volume_csv
+
+TUE, WED, TUE_MAR = "2012-01-31 00:00:00", "2012-02-01 00:00:00", "2012-03-06 00:00:00"
+
+
+def counts(n):
+    return [f'"{n}"'] * 96
+
+
+def volumes(tmp, name, rows):
+    return write_volume_csv(f"{tmp}/{name}", [(site, day, detector, counts(n)) for site, day, detector, n in rows])
+
+
+@pytest.fixture
+def inputs(tmp):
+    first = write_text(f"{tmp}/p1", "p.csv", "WKT,SITE_NO\nPOINT (144.10 -37.0),1\nPOINT (144.5 -37.5),2\n")
+    second = write_text(f"{tmp}/p2", "p.csv", "WKT,SITE_NO\npoint( 144.1  -3.7e1 ),1\nPOINT Z (144.50 -37.50 9),2\n")
+    lines1 = write_text(f"{tmp}/l1", "l.csv", 'WKT,hfidl,hfidr\n"LINESTRING (0.50 0, 1 -0.0)",100,101\n')
+    lines2 = write_text(f"{tmp}/l2", "l.csv", 'WKT,hfidl,hfidr\n"MULTILINESTRING((.5 0.000,1.0 0))",100,101\n')
+    layouts = write_text(f"{tmp}/s", "s.csv", "SITE,A,B,LOC,DET,DT,LANE,LMVT,LOCMVT,HF\n1,,,INT A,1,2012-01-01,1,L,T,100\n")
+    return {"points": (first, second), "lines": (lines1, lines2), "layouts": layouts, "root": tmp}
+
+
+def run(spark, inputs, vol, which=0, table="obs", state=None):
+    path = f"{inputs['root']}/{table}"
+    jobs.import_job(spark, path, vol, inputs["layouts"], inputs["points"][which], inputs["lines"][which], state_path=state and f"{inputs['root']}/{state}")
+    return path
+
+
+# --- one text per geometry ----------------------------------------------------------------
+
+
+def test_numbers_have_one_spelling(spark):
+    cases = {"144.10": "144.1", "-37.0": "-37", "-37": "-37", "1e2": "100", "1.5E-3": "0.0015", "-0.0": "0", "0": "0", "100": "100", ".5": "0.5", "5.": "5",
+             "0.00001": "0.00001", "123456789.125": "123456789.125", "144.96305999999998": "144.96305999999998", "1200": "1200", "-1000000": "-1000000",
+             "1e20": "1.0E20", "1e-9": "1.0E-9"}
+    df = spark.createDataFrame([(k,) for k in cases], "t string").select("t", geo.number(F.col("t").cast("double")).alias("n"))
+    assert {r.t: r.n for r in df.collect()} == cases
+
+
+def test_equal_numbers_have_equal_texts_and_different_ones_different(spark):
+    rnd = random.Random(1)
+    values = [rnd.uniform(-180, 180) for _ in range(300)] + [round(rnd.uniform(-180, 180), rnd.randint(0, 8)) for _ in range(300)] + [rnd.uniform(0, 1e-3) for _ in range(50)]
+    spelled = [(v, f"{v:.30f}") for v in values] + [(v, repr(v)) for v in values] + [(v, f"{v:.17e}") for v in values]
+    rows = spark.createDataFrame(spelled, "v double, t string").select("v", geo.number(F.col("t").cast("double")).alias("n")).collect()
+    by = {}
+    for r in rows:
+        by.setdefault(r.v, set()).add(r.n)
+        assert float(r.n) == r.v and "E" not in r.n.replace("E-", "") or abs(r.v) < 1e-5
+    assert all(len(t) == 1 for t in by.values()) and len({t for s in by.values() for t in s}) == len(by)
+
+
+def test_geometry_texts(spark):
+    df = spark.createDataFrame([("LINESTRING (0.50 0, 1 -0.0)",), ("MULTILINESTRING((.5 0.000,1.0 0))",), ("multilinestring ((5e-1 0,1 0), (2.50 3, 4 5.00))",),
+                                ("LINESTRING EMPTY",), ("POLYGON ((0 0, 1 0, 1 1, 0 0))",)], "w string")
+    assert [r[0] for r in df.select(geo.road_multilinestring(F.col("w"))).collect()] == [
+        "MULTILINESTRING ((0.5 0, 1 0))", "MULTILINESTRING ((0.5 0, 1 0))", "MULTILINESTRING ((0.5 0, 1 0), (2.5 3, 4 5))", "MULTILINESTRING EMPTY", None]
+    points = spark.createDataFrame([("POINT (144.10 -37.0)",), ("point( 144.1  -3.7e1 )",), ("POINT Z (144.1 -37 9)",), (None,)], "w string")
+    assert [r[0] for r in points.select(geo.canonical_point(F.col("w"))).collect()] == ["POINT (144.1 -37)"] * 3 + [None]
+
+
+def test_two_spellings_in_two_imports_are_one_group(spark, inputs):
+    root = inputs["root"]
+    run(spark, inputs, volumes(root, "v1", [("1", TUE, "1", 4), ("2", TUE, "1", 1)]), 0)
+    path = run(spark, inputs, volumes(root, "v2", [("1", TUE_MAR, "1", 8), ("2", TUE_MAR, "1", 3)]), 1)
+    rows = jobs.stored_profile(spark, path).where("slot = 0").collect()
+    assert {(r.site, r.point_wkt, r.road_wkt, r.num_features, r.avg_vehicle_count) for r in rows} == {
+        ("1", "POINT (144.1 -37)", "MULTILINESTRING ((0.5 0, 1 0))", 2, 6.0), ("2", "POINT (144.5 -37.5)", None, 2, 2.0)}
+    assert spark.read.parquet(sinks.roads_path(path)).count() == 1
+
+
+# --- mergeable state ----------------------------------------------------------------------
+
+
+def listing(path):
+    return {os.path.join(d, f): os.path.getmtime(os.path.join(d, f)) for d, _, names in os.walk(path) for f in names if f.endswith(".parquet")}
+
+
+def flat(df):
+    return sorted(map(str, df.select(*profile.PROFILE_COLUMNS).collect()))
+
+
+def test_a_state_follows_imports_and_touches_only_their_months(spark, inputs):
+    root = inputs["root"]
+    run(spark, inputs, volumes(root, "v1", [("1", TUE, "1", 4), ("1", WED, "1", 5), ("2", TUE, "1", 1)]), 0, state="state")
+    before = listing(f"{root}/state")
+    path = run(spark, inputs, volumes(root, "v2", [("1", TUE_MAR, "1", 8), ("1", TUE_MAR, "2", 2)]), 1, state="state")
+    run(spark, inputs, volumes(root, "v3", [("1", TUE_MAR, "1", 3)]), 0, state="state")  # a count goes down
+    after = listing(f"{root}/state")
+    assert before.items() <= after.items() and {p.split("/state/")[1].rsplit("/", 1)[0] for p in after.keys() - before.keys()} == {"day_of_week=Tue/obs_month=201203"}
+    got = jobs.state_profile(spark, f"{root}/state")
+    assert flat(got) == flat(jobs.stored_profile(spark, path)) and got.count() == 96 * 4
+    row = got.where("site = '1' AND day_of_week = 'Tue' AND road_wkt IS NOT NULL AND slot = 3").first()
+    assert (row.num_features, row.avg_vehicle_count) == (2, 3.5)
+    jobs.state_profile_job(spark, f"{root}/state", f"{root}/prof", day_of_week="Tue")
+    assert spark.read.parquet(f"{root}/prof").count() == 96 * 3
+    with pytest.raises(Exception, match="profile state"):
+        sinks.write_profile_state(spark.range(1).toDF("site"), f"{root}/state")
+
+
+def test_an_update_reads_only_the_touched_partitions(spark, inputs):
+    root = inputs["root"]
+    path = run(spark, inputs, volumes(root, "v1", [("1", TUE, "1", 4), ("1", WED, "1", 5), ("1", TUE_MAR, "1", 6)]))
+    touched = jobs.touched_observations(spark, path, [("Tue", 201203)])
+    plan = touched._jdf.queryExecution().executedPlan().toString()
+    assert "obs_month" in plan.split("PartitionFilters:")[1].split("]")[0] and len(touched.inputFiles()) == 3
+    state = profile.monthly_state(touched)
+    assert [(r.site, r.obs_month, r.num_features, r.sums[0]) for r in state.collect()] == [("1", 201203, 1, 6)]
+    node = plan_of(state)
+    assert metric(state, node, "numFiles") == 1
+
+
+def test_a_state_merges_like_the_whole(spark):
+    rnd = random.Random(5)
+    rows = [(f"s{rnd.randrange(4)}", rnd.choice(["Tue", "Wed"]), 201200 + rnd.randint(1, 4), rnd.choice(["POINT (1 2)", "POINT (1 3)"]), 1.0, 2.0,
+             rnd.choice([None, "MULTILINESTRING ((0 0, 1 1))"]), [rnd.randrange(2**31 - 1) for _ in range(96)]) for _ in range(200)]
+    obs = spark.createDataFrame(rows, "site string, day_of_week string, obs_month int, point_wkt string, lon double, lat double, road_wkt string, volumes array<int>")
+    assert flat(profile.from_state(profile.monthly_state(obs))) == flat(profile.dow_profile(obs))
+
+
+# --- plans --------------------------------------------------------------------------------
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan()
+
+
+def scans(plan):
+    """The file scans of a plan without adaptive execution."""
+    out = []
+    leaves = plan.collectLeaves()
+    for i in range(leaves.length()):
+        out.append(leaves.apply(i))
+    return out
+
+
+def metric(df, _plan, name):
+    spark = df.sparkSession
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        again = df.select("*")
+        again.collect()
+        return sum(leaf.metrics().apply(name).value() for leaf in scans(plan_of(again)) if leaf.metrics().contains(name))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_the_profile_reads_its_input_once(spark, inputs):
+    root = inputs["root"]
+    vol = volumes(root, "v1", [("1", TUE, "1", 4)])
+    new = jobs.imported_csv(spark, vol, inputs["layouts"], inputs["points"][0], inputs["lines"][0])
+    plan = plan_of(jobs.dow_profile(new.observations, new.roads)).toString()
+    assert plan.count("FileScan csv") == 1
+    path = run(spark, inputs, vol)
+    plan = plan_of(jobs.stored_profile(spark, path, day_of_week="Tue")).toString()
+    assert plan.count("FileScan parquet") == 2 and plan.count("volumes#") and sum("volumes:array" in line for line in plan.splitlines()) == 1
+
+
+def csv_scans(spark, since):
+    executions = spark._jsparkSession.sharedState().statusStore().executionsList()
+    plans = [executions.apply(i) for i in range(executions.length())]
+    return sum(p.physicalPlanDescription().count("V95") > 0 and p.physicalPlanDescription().count("Scan csv") > 0 for p in plans if p.executionId() > since)
+
+
+def last_execution(spark):
+    executions = spark._jsparkSession.sharedState().statusStore().executionsList()
+    return max((executions.apply(i).executionId() for i in range(executions.length())), default=-1)
+
+
+def test_an_import_into_an_existing_table_scans_its_files_once(spark, inputs):
+    root = inputs["root"]
+    run(spark, inputs, volumes(root, "v1", [("1", TUE, "1", 4), ("1", WED, "1", 5)]))
+    vol = volumes(root, "v2", [("1", TUE, "1", 7), ("1", TUE_MAR, "1", 5)])
+    since = last_execution(spark)
+    path = run(spark, inputs, vol)
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    assert csv_scans(spark, since) == 1
+    assert sorted((str(r.obs_date), r.volumes[0]) for r in spark.read.parquet(path).collect()) == [("2012-01-31", 7), ("2012-02-01", 5), ("2012-03-06", 5)]
+
+
+def stored_folders(spark):
+    base = session.shared_path(spark, "stored").removeprefix("file:")
+    return set(os.listdir(base)) if os.path.isdir(base) else set()
+
+
+def test_jobs_remove_their_intermediate_tables(spark, inputs):
+    root = inputs["root"]
+    session.remove_stored(spark)
+    before = stored_folders(spark)
+    vol = volumes(root, "v1", [("1", TUE, "1", 4)])
+    path = run(spark, inputs, vol, state="state")
+    jobs.profile_job(spark, path, f"{root}/prof")
+    assert stored_folders(spark) == before
+    df = jobs.import_csv(spark, vol, inputs["layouts"], inputs["points"][0], inputs["lines"][0])
+    assert df.count() == 1 and len(stored_folders(spark)) > len(before)
+    assert session.remove_stored(spark) > 0 and stored_folders(spark) == before
+    bad = write_volume_csv(f"{root}/bad", [("1", TUE, "1", ['"x"'] * 96)])
+    with pytest.raises(Exception, match="malformed count"):
+        run(spark, inputs, bad)
+    assert stored_folders(spark) == before
+
+
+# --- place --------------------------------------------------------------------------------
+
+
+def test_places_equal_the_interleaved_cells(spark):
+    rnd = random.Random(2)
+    rows = [(rnd.uniform(-180, 180), rnd.uniform(-90, 90)) for _ in range(200)] + [(-180.0, -90.0), (180.0, 90.0), (0.0, 0.0), (500.0, -500.0), (None, 1.0)]
+    got = spark.createDataFrame(rows, "lon double, lat double").select("lon", "lat", curve.place(F.col("lon"), F.col("lat")).alias("p")).collect()
+    for r in got:
+        if r.lon is None:
+            assert r.p is None
+            continue
+        x, y = curve.cell(r.lon, curve.LON), curve.cell(r.lat, curve.LAT)
+        assert r.p == sum((x >> i & 1) << 2 * i | (y >> i & 1) << 2 * i + 1 for i in range(curve.BITS))
+
+
+@pytest.mark.parametrize("most", [4, 8, 24, 200])
+def test_ranges_cover_the_box(most):
+    rnd = random.Random(most)
+    for _ in range(100):
+        a, b = sorted(rnd.uniform(-180, 180) for _ in range(2))
+        c, d = sorted(rnd.uniform(-90, 90) for _ in range(2))
+        ranges = curve.box_ranges(a, c, b, d, most)
+        assert 1 <= len(ranges) <= most and all(x[1] + 1 < y[0] for x, y in zip(ranges, ranges[1:]))
+        for _ in range(20):
+            p = curve.code(curve.cell(rnd.uniform(a, b), curve.LON), curve.cell(rnd.uniform(c, d), curve.LAT))
+            assert any(low <= p <= high for low, high in ranges)
+    # Small boxes away from the edges of quadrants are covered closely, and an empty box by nothing.
+    cells = sum(high - low + 1 for low, high in curve.box_ranges(144.0, -38.0, 144.5, -37.5, 200))
+    assert cells < 1.5 * (curve.CELLS / 360 * 0.5) * (curve.CELLS / 180 * 0.5) and curve.box_ranges(2, 0, 1, 1) == []
+
+
+@pytest.fixture(scope="module")
+def town(spark, tmp_path_factory):
+    """A stored table of 900 sites on a grid, ten detectors each, in row groups of some hundred rows."""
+    path = str(tmp_path_factory.mktemp("town") / "observations")
+    obs = spark.range(9000).selectExpr("id", "id % 900 AS k", "cast(id / 900 AS int) AS d").selectExpr(
+        "concat_ws('-', k, d, 0) AS feature_id", "cast(k AS string) AS site", "cast(d AS string) AS detector", "DATE'2012-01-31' AS obs_date", "'Tue' AS day_of_week",
+        "201201 AS obs_month", "array_repeat(1, 96) AS volumes", "144 + (k % 30) / 100D AS lon", "-38 + cast(k / 30 AS int) / 100D AS lat",
+        "concat('flow-', sha1(cast(k AS string))) AS hf_id")
+    obs = (obs.withColumn("point_wkt", F.concat(F.lit("POINT ("), geo.number(F.col("lon")), F.lit(" "), geo.number(F.col("lat")), F.lit(")")))
+           .withColumn("place", curve.place(F.col("lon"), F.col("lat"))))
+    none = F.lit(None).cast("string")
+    obs = obs.select("*", *[none.alias(c) for c in ("ds_location", "nb_lane", "lane_mvt", "loc_mvt", "road_wkt")], geo.road_key(none).alias("road_key"), geo.road_parts(none).alias("road"))
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    conf.setInt("parquet.block.size", 1 << 16)
+    conf.setInt("parquet.page.size.row.check.min", 10)
+    conf.setInt("parquet.block.size.row.check.min", 10)
+    conf.setInt("parquet.block.size.row.check.max", 50)
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        sinks.write_observations(obs.drop("id", "k", "d"), path)
+    finally:
+        for name in ("parquet.block.size", "parquet.page.size.row.check.min", "parquet.block.size.row.check.min", "parquet.block.size.row.check.max"):
+            conf.unset(name)
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    return path
+
+
+def footers(spark, path):
+    """(rows, columns with a Bloom filter) of every row group below a path."""
+    jvm, out = spark._jvm, []
+    for folder, _, names in os.walk(path):
+        for name in (n for n in names if n.endswith(".parquet")):
+            file = jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(jvm.org.apache.hadoop.fs.Path(os.path.join(folder, name)), spark.sparkContext._jsc.hadoopConfiguration())
+            reader = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(file)
+            groups = reader.getFooter().getBlocks()
+            for i in range(groups.size()):
+                columns = groups.get(i).getColumns()
+                out.append((groups.get(i).getRowCount(), {columns.get(j).getPath().toDotString() for j in range(columns.size()) if columns.get(j).getBloomFilterOffset() >= 0}))
+            reader.close()
+    return out
+
+
+def test_a_box_skips_row_groups(spark, town):
+    assert len(footers(spark, town)) >= 20
+    box = (144.045, -37.955, 144.105, -37.895)
+    df = read_table(spark, town, box=box)
+    assert df.count() == 6 * 6 * 10 and df.where(~F.col("lon").between(144.045, 144.105)).count() == 0
+    ranges = next(line for line in plan_of(df).toString().splitlines() if "Filter" in line and "place" in line)
+    assert ranges.count("place#") >= 2 and "Or(Or(" in plan_of(df).toString().split("PushedFilters:")[1]
+    read = metric(df.select("feature_id", "lon", "lat", "place"), None, "numOutputRows")
+    assert 360 <= read < 9000 / 4
+
+
+def test_flow_ids_skip_row_groups_by_bloom_filters(spark, town):
+    groups = footers(spark, town)
+    assert all(columns == {"hf_id", "site"} for _, columns in groups)
+    flow = read_table(spark, town).where("site = '437'").first().hf_id
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    df = read_table(spark, town, flows=[flow]).select("feature_id", "hf_id")
+    assert df.count() == 10
+    conf.set("parquet.filter.columnindex.enabled", "false")  # whole row groups only
+    try:
+        read = metric(df, None, "numOutputRows")
+        absent = metric(read_table(spark, town, flows=["flow-8"]).select("hf_id"), None, "numOutputRows")
+        conf.set("parquet.filter.bloom.enabled", "false")
+        without = metric(df, None, "numOutputRows")
+    finally:
+        conf.unset("parquet.filter.bloom.enabled")
+        conf.unset("parquet.filter.columnindex.enabled")
+    assert 10 <= read < 9000 / 8 and absent < 9000 / 8 and without > 4 * read  # minima and maxima of hashed ids exclude little
+
+
+def test_a_site_that_moved_keeps_one_row_per_id(spark, inputs):
+    root = inputs["root"]
+    vol = volumes(root, "v1", [("1", TUE, "1", 4), ("1", TUE, "2", 5), ("2", TUE, "1", 6)])
+    run(spark, inputs, vol)
+    write_text(f"{root}/p1", "p.csv", "WKT,SITE_NO\nPOINT (10 20),1\nPOINT (144.5 -37.5),2\n")
+    path = run(spark, inputs, volumes(root, "v2", [("1", TUE, "1", 9)]))
+    assert {(r.site, r.detector, r.lon, r.volumes[0]) for r in spark.read.parquet(path).collect()} == {("1", "1", 10.0, 9), ("1", "2", 144.1, 5), ("2", "1", 144.5, 6)}
+    assert csv_source.ORDER_COLUMNS and spark.read.parquet(path).count() == 3

@@ -270,7 +270,8 @@ def test_no_road_text_in_the_profile_s_main_exchange(spark, inputs):
     root = inputs["root"]
     jobs.import_job(spark, f"{root}/obs", inputs["volumes"], inputs["layouts"], inputs["points"], inputs["lines"])
     from loopcount.operators import profile
-    plan = profile.slot_sums(spark.read.parquet(f"{root}/obs"))._jdf.queryExecution().executedPlan().toString()
+    from loopcount import sinks
+    plan = profile.slot_sums(spark.read.parquet(f"{root}/obs"), sinks.read_roads(spark, f"{root}/obs"))._jdf.queryExecution().executedPlan().toString()
     main = [line for line in plan.splitlines() if "Exchange hashpartitioning(site" in line]
     assert len(main) == 1 and "road_key" in main[0] and "road_wkt" not in main[0]
 
