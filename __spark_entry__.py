@@ -145,6 +145,28 @@ obs AS (
   LEFT JOIN layout_roads l ON l.site = v.site AND l.detector = v.detector)
 """
 
+# The layout valid on the day: of the detector's rows dated up to it the latest, of one date the first.
+_ASOF = """
+dated AS (
+  SELECT *, CASE WHEN l_partkey % 37 = 0 AND CAST(site AS BIGINT) % 4 <> 0 THEN DATE '0001-01-01'
+                 ELSE DATE '2023-12-25' + CAST((l_partkey * 7 + CAST(detector AS BIGINT) * 5) % 40
+                                               + CASE WHEN CAST(site AS BIGINT) % 4 = 0 THEN 25 ELSE 0 END AS INTEGER) END AS valid_from
+  FROM lay),
+valid AS (
+  SELECT v.site AS v_site, v.detector AS v_detector, v.day AS v_day, l.*
+  FROM vol v JOIN dated l ON l.site = v.site AND l.detector = v.detector AND l.valid_from <= v.day
+  QUALIFY row_number() OVER (PARTITION BY v.site, v.detector, v.day
+                             ORDER BY l.valid_from DESC, l_orderkey, l_partkey, l_returnflag, l_linestatus) = 1),
+obs AS (
+  SELECT v.site || '-' || v.detector || '-' || CAST(epoch_ms(CAST(v.day AS TIMESTAMP)) AS VARCHAR) AS feature_id,
+         v.site, v.detector, v.day AS obs_date, strftime(v.day, '%a') AS day_of_week,
+         p.point_wkt, p.lon, p.lat, l.ds_location, l.nb_lane, l.lane_mvt, l.loc_mvt, l.hf_id, r.road_wkt, v.total
+  FROM vol v
+  JOIN site_points p ON p.site = v.site
+  LEFT JOIN valid l ON l.v_site = v.site AND l.v_detector = v.detector AND l.v_day = v.day
+  LEFT JOIN roads r ON r.hf_id = l.hf_id)
+"""
+
 _OBS_COLS = ("feature_id, site, detector, obs_date, day_of_week, point_wkt, lon, lat, ds_location, nb_lane, "
              "lane_mvt, loc_mvt, hf_id, road_wkt, total")
 
@@ -196,6 +218,7 @@ def _counts_oracle() -> dict[str, str]:
                                            "observations_two_imports", "observations_reimport")},
         "observations_tue": (f"WITH {_RAW}, {_POINTS}, {_ROADS}, {_LAYOUT}, {_OBS} "
                              f"SELECT {_OBS_COLS} FROM obs WHERE day_of_week = 'Tue'"),
+        "observations_asof": f"WITH {_RAW}, {_POINTS}, {_ROADS}, {_LAYOUT}, {_ASOF} SELECT {_OBS_COLS} FROM obs",
         "observations_in_box": observations + " WHERE lon BETWEEN 144.035 AND 144.115 AND lat BETWEEN -37.62 AND -37.175",
         "observations_by_flow": observations + " WHERE hf_id IN ('7', '31', '58', '1000')",
         "profile_two_imports": _profile("true"),

@@ -30,9 +30,13 @@ def parse(argv: list[str]) -> argparse.Namespace:
     imp.add_argument("--output", required=True, help="observations table path")
     imp.add_argument("--mode", default="merge", choices=["merge", "create"],
                      help="merge into the table by feature id, or create it")
+    imp.add_argument("--layouts-by-date", action="store_true", help="take the layout valid on the day of a count, not the first one")
+    imp.add_argument("--state", help="profile state table to keep up with the import")
     imp.add_argument("--max-broadcast-bytes", type=int, help="largest lookup to broadcast")
     prof = sub.add_parser("profile", help="average observations by site, weekday and slot (E2)")
-    prof.add_argument("--observations", required=True, help="observations table path")
+    source = prof.add_mutually_exclusive_group(required=True)
+    source.add_argument("--observations", help="observations table path")
+    source.add_argument("--state", help="profile state table path, instead of the observations")
     prof.add_argument("--output", required=True, help="profile table path")
     prof.add_argument("--day-of-week", nargs="+", help="only these weekdays, e.g. Tue")
     return p.parse_args(argv)
@@ -44,7 +48,9 @@ def main(argv: list[str] | None = None) -> int:
     start = time.perf_counter()
     if args.job == "import":
         jobs.import_job(spark, args.output, args.volumes, args.layouts, args.points, args.lines,
-                        mode=args.mode, max_broadcast_bytes=args.max_broadcast_bytes)
+                        mode=args.mode, max_broadcast_bytes=args.max_broadcast_bytes, state_path=args.state, by_date=args.layouts_by_date)
+    elif args.state:
+        jobs.state_profile_job(spark, args.state, args.output, day_of_week=args.day_of_week)
     else:
         jobs.profile_job(spark, args.observations, args.output, day_of_week=args.day_of_week)
     print(f"{args.job} finished in {time.perf_counter() - start:.1f} s", file=sys.stderr)

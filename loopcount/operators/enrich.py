@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loopcount.functions import dates, geo
+from loopcount.operators import asof, lookups
 
 OBSERVATION_COLUMNS = [
     "feature_id", "site", "detector", "obs_date", "day_of_week", "obs_month", "volumes", "point_wkt", "lon",
@@ -27,11 +28,23 @@ def placed_points(points: DataFrame) -> DataFrame:
     return points.where(F.col("point_wkt").isNotNull())
 
 
+def placed(volumes: DataFrame, points: DataFrame) -> DataFrame:
+    """J1 + P7 as an inner join on site."""
+    return dated(volumes).join(placed_points(points), "site", "inner")
+
+
 def observations(volumes: DataFrame, points: DataFrame, layout: DataFrame) -> DataFrame:
-    """J1 + P7 as an inner join on site (J4), then J3: left join on (site, detector)."""
-    placed = dated(volumes).join(placed_points(points), "site", "inner")
-    joined = placed.join(layout, ["site", "detector"], "left")
-    return finish(joined, [c for c in placed.columns if c.startswith("_")])
+    """J1, J4, P7, then J3: left join on (site, detector)."""
+    rows = placed(volumes, points)
+    joined = rows.join(layout, ["site", "detector"], "left")
+    return finish(joined, [c for c in rows.columns if c.startswith("_")])
+
+
+def observations_as_of(volumes: DataFrame, points: DataFrame, layouts: DataFrame, roads: DataFrame | None, layout_order: list) -> DataFrame:
+    """J1, J4, P7, then J3 with its date condition: the layout valid on the day, and its road."""
+    rows = placed(volumes, points)
+    joined = asof.layout_as_of(rows, layouts, layout_order)
+    return finish(lookups.with_roads(joined, roads), [c for c in rows.columns if c.startswith("_")])
 
 
 def finish(joined: DataFrame, keep: list[str] | None = None) -> DataFrame:

@@ -87,10 +87,15 @@ def first_layout(layouts: DataFrame, order: list | None = None) -> DataFrame:
     return first_per_key(keyed, ["site", "detector"], order).select(*LAYOUT_COLUMNS)
 
 
-def layout_roads(layout: DataFrame, roads: DataFrame | None) -> DataFrame:
-    """Attach road text and coordinates to each reduced layout row by flow id (left join)."""
+def with_roads(rows: DataFrame, roads: DataFrame | None) -> DataFrame:
+    """Road text and coordinates by flow id (left join); null columns without a line file."""
     if roads is None:
         none = F.lit(None).cast("string")
-        return (layout.withColumn("road_wkt", none).withColumn("road_key", geo.road_key(none))
+        return (rows.withColumn("road_wkt", none).withColumn("road_key", geo.road_key(none))
                 .withColumn("road", geo.road_parts(none)))
-    return layout.join(roads.select("hf_id", *ROAD_COLUMNS), "hf_id", "left").select(*LAYOUT_COLUMNS, *ROAD_COLUMNS)
+    return rows.join(roads.select("hf_id", *ROAD_COLUMNS), "hf_id", "left")
+
+
+def layout_roads(layout: DataFrame, roads: DataFrame | None) -> DataFrame:
+    """J2 on each reduced layout row."""
+    return with_roads(layout, roads).select(*LAYOUT_COLUMNS, *ROAD_COLUMNS)

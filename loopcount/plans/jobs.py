@@ -24,11 +24,13 @@ from loopcount.sources.tables import read_table
 
 @dataclass(frozen=True)
 class Lookups:
-    """Site points, reduced layouts with roads, and the roads' texts (road_key, road_wkt; no rows
-    without a line file), written and hinted as measured."""
+    """Site points, reduced layouts with roads (None where layouts are taken by date), roads by flow id
+    (None without a line file) and the roads' texts (road_key, road_wkt; no rows without a line
+    file), written and hinted as measured."""
     points: DataFrame
-    layout: DataFrame
-    roads: DataFrame
+    layout: DataFrame | None
+    roads: DataFrame | None
+    texts: DataFrame
 
 
 @dataclass(frozen=True)
@@ -44,15 +46,18 @@ def _points(points: DataFrame, order: list, max_broadcast_bytes: int | None) ->
 
 def build_lookups(points: DataFrame, layouts: DataFrame, lines: DataFrame | None = None, *,
                   point_order: list, line_order: list | None = None, layout_order: list | None = None,
-                  max_broadcast_bytes: int | None = None) -> Lookups:
-    """A4 + F6 points (at least one), A5 + F7 roads, A1 + J2 reduced layout; each measured for broadcast."""
+                  max_broadcast_bytes: int | None = None, by_date: bool = False) -> Lookups:
+    """A4 + F6 points (at least one), A5 + F7 roads, A1 + J2 reduced layout (not by date); each
+    measured for broadcast."""
     roads = None
     texts = points.sparkSession.createDataFrame([], "road_key long, road_wkt string")
     if lines is not None:
         roads = measured(lookups.road_lookup(lines, line_order or point_order), "roads", max_broadcast_bytes).df
         texts = measured(lookups.road_texts(roads), "road texts", max_broadcast_bytes).df
-    layout = lookups.layout_roads(lookups.first_layout(layouts, layout_order), roads)
-    return Lookups(_points(points, point_order, max_broadcast_bytes), measured(layout, "detector layouts", max_broadcast_bytes).df, texts)
+    layout = None
+    if not by_date:
+        layout = measured(lookups.layout_roads(lookups.first_layout(layouts, layout_order), roads), "detector layouts", max_broadcast_bytes).df
+    return Lookups(_points(points, point_order, max_broadcast_bytes), layout, roads, texts)
 
 
 def import_observations(volumes: DataFrame, points: DataFrame, layouts: DataFrame, lines: DataFrame | None = None, **options) -> DataFrame:
@@ -63,11 +68,16 @@ def import_observations(volumes: DataFrame, points: DataFrame, layouts: DataFram
 def imported(volumes: DataFrame, points: DataFrame, layouts: DataFrame,
              lines: DataFrame | None = None, *, point_order: list, line_order: list | None = None,
              layout_order: list | None = None, max_broadcast_bytes: int | None = None,
-             keep: list[str] | None = None) -> Imported:
-    """Raw rows in, observations out (not written) with the order columns ``keep``, and road texts."""
+             keep: list[str] | None = None, by_date: bool = False) -> Imported:
+    """Raw rows in, observations out (not written) with the order columns ``keep``, and road texts.
+
+    ``by_date``: a count gets the layout valid on its day instead of the first one (D9)."""
     lk = build_lookups(points, layouts, lines, point_order=point_order, line_order=line_order,
-                       layout_order=layout_order, max_broadcast_bytes=max_broadcast_bytes)
-    return Imported(enrich.observations(cleaning.clean_volumes(volumes, keep), lk.points, lk.layout), lk.roads)
+                       layout_order=layout_order, max_broadcast_bytes=max_broadcast_bytes, by_date=by_date)
+    clean = cleaning.clean_volumes(volumes, keep)
+    if by_date:
+        return Imported(enrich.observations_as_of(clean, lk.points, layouts, lk.roads, layout_order or lookups.DEFAULT_LAYOUT_ORDER), lk.texts)
+    return Imported(enrich.observations(clean, lk.points, lk.layout), lk.texts)
 
 
 def import_csv(spark: SparkSession, volumes_path, layouts_path, points_path, lines_path=None, **options) -> DataFrame:
@@ -77,19 +87,19 @@ def import_csv(spark: SparkSession, volumes_path, layouts_path, points_path, lin
 
 def imported_csv(spark: SparkSession, volumes_path, layouts_path, points_path, lines_path=None, *,
                  layout_order: list | None = None, max_broadcast_bytes: int | None = None,
-                 keep: list[str] | None = None) -> Imported:
+                 keep: list[str] | None = None, by_date: bool = False) -> Imported:
     """``imported`` on CSV files."""
     order = csv_source.ORDER_COLUMNS
     return imported(
         csv_source.read_raw_volumes(spark, volumes_path, with_order=bool(keep)), csv_source.read_points(spark, points_path),
         csv_source.read_site_layouts(spark, layouts_path), csv_source.read_lines(spark, lines_path) if lines_path else None,
         point_order=order, line_order=order, layout_order=layout_order or lookups.DEFAULT_LAYOUT_ORDER + order,
-        max_broadcast_bytes=max_broadcast_bytes, keep=keep)
+        max_broadcast_bytes=max_broadcast_bytes, keep=keep, by_date=by_date)
 
 
 def import_job(spark: SparkSession, output_path: str, volumes_path, layouts_path, points_path,
                lines_path=None, *, mode: str = "merge", layout_order: list | None = None,
-               max_broadcast_bytes: int | None = None, state_path: str | None = None) -> str:
+               max_broadcast_bytes: int | None = None, state_path: str | None = None, by_date: bool = False) -> str:
     """E1 end to end: CSV files in, merged into the observations table; their road texts beside it.
 
     With ``state_path``, the profile's state there follows: the months of the weekdays that the
@@ -97,7 +107,7 @@ def import_job(spark: SparkSession, output_path: str, volumes_path, layouts_path
     order = csv_source.ORDER_COLUMNS
     with scratch(spark):
         new = imported_csv(spark, volumes_path, layouts_path, points_path, lines_path, layout_order=layout_order,
-                           max_broadcast_bytes=max_broadcast_bytes, keep=order)
+                           max_broadcast_bytes=max_broadcast_bytes, keep=order, by_date=by_date)
         # Texts first: a table whose rows have keys without text would lose roads.
         sinks.write_roads(new.roads, output_path)
         touched = sinks.write_observations(new.observations, output_path, mode=mode, order=order)

@@ -26,7 +26,7 @@ from loopcount.sources.tables import read_table
 POINT_ORDER = LINE_ORDER = LAYOUT_ORDER = csv_source.ORDER_COLUMNS
 
 # Bump when the reshaping of the driver tables changes, so old exported files are not reused.
-INPUTS_VERSION = "v3"
+INPUTS_VERSION = "v4"
 
 SOURCE_TABLES = ["events", "supplier", "nation", "lineitem"]
 
@@ -46,8 +46,8 @@ class _CsvInputs(dict):
     """The reshaped driver tables, written once as the reference's CSV files and read back
     with the CSV readers (S1-S6) on first use. Lookup order is file order."""
 
-    _READERS = {"volumes": csv_source.read_raw_volumes, "points": csv_source.read_points,
-                "lines": csv_source.read_lines, "layouts": csv_source.read_site_layouts}
+    _READERS = {"volumes": csv_source.read_raw_volumes, "points": csv_source.read_points, "lines": csv_source.read_lines,
+                "layouts": csv_source.read_site_layouts, "layouts_dated": csv_source.read_site_layouts}
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         super().__init__()
@@ -131,13 +131,21 @@ def observations_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich.with_total(obs)
 
 
+def observations_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J3 with its date condition: the layout valid on the day of the count."""
+    i = _inputs(spark, sf_dir)
+    obs = jobs.import_observations(i["volumes"], i["points"], i["layouts_dated"], i["lines"], point_order=POINT_ORDER,
+                                   line_order=LINE_ORDER, layout_order=LAYOUT_ORDER, by_date=True)
+    return enrich.with_total(obs)
+
+
 def export_csv_inputs(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     """Write the fixture inputs once as the reference's CSV files, in the shared folder.
 
     Lookup files are written in their lookup order, so that file order carries it.
     """
     base = shared_path(spark, "inputs", INPUTS_VERSION, _tag(spark, sf_dir))
-    paths = {k: f"{base}/{k}" for k in ("volumes", "points", "lines", "layouts", "points_respelled", "lines_respelled")}
+    paths = {k: f"{base}/{k}" for k in ("volumes", "points", "lines", "layouts", "points_respelled", "lines_respelled", "layouts_dated")}
     if all(path_complete(spark, p) for p in paths.values()):
         return paths
     i = _direct_inputs(spark, sf_dir)
@@ -146,11 +154,11 @@ def export_csv_inputs(spark: SparkSession, sf_dir: str) -> dict[str, str]:
         wkt = spelled(F.col("wkt")).alias("WKT")
         csv_source.write_csv(i["points"].orderBy("_row").select(wkt, F.col("site").alias("SITE_NO")), paths[f"points{ending}"])
         csv_source.write_csv(i["lines"].orderBy("_row").select(wkt, "hfidl", "hfidr"), paths[f"lines{ending}"])
-    lay = i["layouts"].orderBy(*fixtures.LAYOUT_ORDER)
     positional = [F.col("site"), F.lit(None).cast("string"), F.lit(None).cast("string"), F.col("ds_location"),
                   F.col("detector"), F.col("dt_general"), F.col("nb_lane"), F.col("lane_mvt"), F.col("loc_mvt"),
                   F.col("hf_id")]
-    csv_source.write_csv(lay.select(*[c.alias(n) for c, n in zip(positional, LAYOUT_HEADER)]), paths["layouts"])
+    for name, lay in (("layouts", i["layouts"]), ("layouts_dated", fixtures.dated_layouts(i["layouts"]))):
+        csv_source.write_csv(lay.orderBy(*fixtures.LAYOUT_ORDER).select(*[c.alias(n) for c, n in zip(positional, LAYOUT_HEADER)]), paths[name])
     return paths
 
 
@@ -299,6 +307,7 @@ QUERIES = {
     "observations": observations,
     "observations_sql": observations_sql,
     "observations_fixture": observations_fixture,
+    "observations_asof": observations_asof,
     "observations_tue": observations_tue,
     "observations_two_imports": observations_two_imports,
     "observations_reimport": observations_reimport,

@@ -37,6 +37,9 @@ NO_POINT = (11, "null")
 # Days of the month whose counts are lowered are multiples of this.
 LOWERED_DAY = 7
 
+# Fixed value: the first day on which a dated layout begins.
+FIRST_LAYOUT_DAY = "2023-12-25"
+
 # A box (lon and lat of the lower, then of the upper corner), and some flow ids.
 BOX = (144.035, -37.62, 144.115, -37.175)
 FLOWS = ["7", "31", "58", "1000"]
@@ -145,6 +148,14 @@ def layouts(lineitem: DataFrame) -> DataFrame:
         *LAYOUT_ORDER)
 
 
+def dated_layouts(layouts: DataFrame) -> DataFrame:
+    """Layouts (with the line item's ``l_partkey``) that change during the month of the events; every
+    fourth site's begin within it, and some rows have no date."""
+    part, site = F.col("l_partkey"), F.col("site").cast("long")
+    day = F.date_add(F.lit(FIRST_LAYOUT_DAY).cast("date"), ((part * 7 + F.col("detector").cast("long") * 5) % 40 + F.when(site % 4 == 0, 25).otherwise(0)).cast("int"))
+    return layouts.withColumn("dt_general", F.when((part % 37 == 0) & (site % 4 != 0), F.lit("")).otherwise(day.cast("string")))
+
+
 def inputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """All four import inputs from one scale-factor folder."""
     return {
