@@ -178,19 +178,6 @@ def test_no_training_rows_and_empty_table(docs):
     assert language.keep_known(docs([])).count() == 0
 
 
-def test_probabilities_sum_to_one():
-    code, at = language.windows(["the water is in the house", "", None, "über"])
-    model = language.Model(["x"], [np.unique(code)], [np.unique(code, return_counts=True)[1].astype(float)])
-    p = np.exp(model.log_probabilities()[0].astype(float)).reshape(-1, 32).sum(axis=1)
-    assert np.allclose(p, 1, atol=1e-4) and at.tolist()[1:3] == at.tolist()[2:4]
-
-
-def test_windows_do_not_cross_texts():
-    alone = [language.windows([t])[0].tolist() for t in ("abc d!", "été", "  x")]
-    together, at = language.windows(["abc d!", "été", "  x"])
-    assert [together[a:b].tolist() for a, b in zip(at, at[1:])] == alone
-
-
 # --- quality ----------------------------------------------------------------------------
 
 
