@@ -215,9 +215,13 @@ def _counts_oracle() -> dict[str, str]:
         "layout_first": f"WITH {_ROADS}, {_LAYOUT} SELECT * FROM layout_first",
         "layout_roads": f"WITH {_ROADS}, {_LAYOUT} SELECT site, detector, hf_id, road_wkt FROM layout_roads",
         **{name: observations for name in ("observations", "observations_sql", "observations_fixture",
-                                           "observations_two_imports", "observations_reimport")},
+                                           "observations_two_imports", "observations_reimport", "observations_by_name")},
         "observations_tue": (f"WITH {_RAW}, {_POINTS}, {_ROADS}, {_LAYOUT}, {_OBS} "
                              f"SELECT {_OBS_COLS} FROM obs WHERE day_of_week = 'Tue'"),
+        "observations_cql": observations + (
+            " WHERE (day_of_week IN ('Tue', 'Thu') OR hf_id = '31') AND obs_date > DATE '2024-01-03' AND obs_date < DATE '2024-01-25'"
+            " AND NOT (ds_location LIKE 'INT 1%' OR nb_lane IS NULL)"
+            " AND ((lon BETWEEN 144.02 AND 144.2 AND lat BETWEEN -37.8 AND -37.1) OR site BETWEEN '3' AND '5')"),
         "observations_asof": f"WITH {_RAW}, {_POINTS}, {_ROADS}, {_LAYOUT}, {_ASOF} SELECT {_OBS_COLS} FROM obs",
         "observations_in_box": observations + " WHERE lon BETWEEN 144.035 AND 144.115 AND lat BETWEEN -37.62 AND -37.175",
         "observations_by_flow": observations + " WHERE hf_id IN ('7', '31', '58', '1000')",

@@ -13,6 +13,7 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loopcount import feature_types
 from loopcount.functions import clean, dates
 from loopcount.operators import cleaning, enrich, lookups, profile
 from loopcount.plans import jobs
@@ -254,6 +255,31 @@ def observations_in_box(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich.with_total(read_table(spark, stored_observations(spark, sf_dir), box=fixtures.BOX))
 
 
+def observations_cql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored observations that a filter text describes."""
+    return enrich.with_total(read_table(spark, stored_observations(spark, sf_dir), cql=fixtures.CQL))
+
+
+def observations_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A scan by the name of the catalog's table, which was declared before the import."""
+    return enrich.with_total(spark.table(declared_observations(spark, sf_dir)))
+
+
+def declared_observations(spark: SparkSession, sf_dir: str) -> str:
+    """The name of a table that is made from its declaration, then filled; as one session's catalog
+    may outlive or miss the other's, the table is made anew over what is stored."""
+    kind = feature_types.declared(feature_types.VOLUME_TYPE)
+    name = f"observations_{_tag(spark, sf_dir)}"
+
+    def write(path: str) -> None:
+        feature_types.create_table(spark, name, path, kind)
+        _import(spark, sf_dir, path, export_csv_inputs(spark, sf_dir)["volumes"])
+        feature_types.refresh_table(spark, name)
+    path = _stored(spark, sf_dir, "observations_by_name", write)
+    feature_types.create_table(spark, name, path, kind)
+    return name
+
+
 def observations_by_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K4: the stored observations of some flow ids, by their Bloom filters."""
     return enrich.with_total(read_table(spark, stored_observations(spark, sf_dir), flows=fixtures.FLOWS))
@@ -319,6 +345,8 @@ QUERIES = {
     "profile_incremental": profile_incremental,
     "observations_in_box": observations_in_box,
     "observations_by_flow": observations_by_flow,
+    "observations_cql": observations_cql,
+    "observations_by_name": observations_by_name,
     "road_points": road_points,
 }
 

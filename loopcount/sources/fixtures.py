@@ -44,6 +44,10 @@ FIRST_LAYOUT_DAY = "2023-12-25"
 BOX = (144.035, -37.62, 144.115, -37.175)
 FLOWS = ["7", "31", "58", "1000"]
 
+# Fixed value: a filter text over several attributes.
+CQL = ("(DAY_OF_WEEK IN ('Tue', 'Thu') OR HF = '31') AND QT_INTERVAL_COUNT DURING 2024-01-03T00:00:00Z/2024-01-25T00:00:00Z "
+       "AND NOT (DS_LOCATION LIKE 'INT 1%' OR NB_LANE IS NULL) AND (BBOX(geometry, 144.02, -37.8, 144.2, -37.1) OR NB_SCATS_SITE BETWEEN '3' AND '5') AND V10 >= 0")
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

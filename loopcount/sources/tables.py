@@ -10,14 +10,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loopcount.functions import curve
+from loopcount.functions.cql import cql_filter
 
 
 def read_table(spark: SparkSession, path: str, *, day_of_week: str | list[str] | None = None,
                first_date: date | None = None, last_date: date | None = None, box: tuple[float, float, float, float] | None = None,
-               flows: list[str] | None = None, sites: list[str] | None = None, where: str | None = None) -> DataFrame:
+               flows: list[str] | None = None, sites: list[str] | None = None, where: str | None = None, cql: str | None = None) -> DataFrame:
     """S7 scan; S8 attribute filter. ``day_of_week`` and the months of the two dates (both
     included) become partition filters; ``box`` is (lon, lat) of its lower and of its upper corner,
-    edges included; ``flows`` and ``sites`` are the wanted flow ids and sites."""
+    edges included; ``flows`` and ``sites`` are the wanted flow ids and sites; ``where`` is SQL, ``cql`` a
+    filter in the words of the declared type (``functions.cql``)."""
     df = spark.read.parquet(path)
     if day_of_week is not None:
         days = [day_of_week] if isinstance(day_of_week, str) else list(day_of_week)
@@ -32,4 +34,4 @@ def read_table(spark: SparkSession, path: str, *, day_of_week: str | list[str] |
             df = df.where(F.col(name).isin(wanted))
     if where:
         df = df.where(where)
-    return df
+    return df.where(cql_filter(cql)) if cql else df
