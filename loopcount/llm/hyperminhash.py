@@ -17,9 +17,11 @@ the dependence of borrowed registers raises both to some 1e-7.
 Documents with identical sets (of equal size and two equal 64-bit sums over mixed hashes) are
 one class, and classes are compared by their smallest document. Groups are not expanded into
 all their pairs: a first round compares the members of a band's list with its smallest member,
-a second one only members whose components still differ, and of these only pairs that
-differ in at most ``FAR`` of 256 bits, one a register, tested within the join. A pair that is
-left out lies in one component already.
+a second one with a member chosen by hash, another in each list. The last round compares, in
+blocks of ``BLOCK`` members, all whose components still differ, and passes on the pairs (once,
+from the first band they share) whose estimate is high enough and whose sets can overlap enough
+by their bitmaps (each bit of one that the other lacks stands for an n-gram the other lacks).
+A pair that is left out lies in one component already.
 
 Defined results: a text without words, or null, has an empty set, its own component and no
 links; with fewer than n words the whole sequence is the only n-gram. A row without id has no
@@ -38,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loopcount.llm.common import mix, prepare, sliced, small_enough, stored, text_rows
-from loopcount.llm.jaccard import components, shingle_sets
+from loopcount.llm.jaccard import bitmap, components, shingle_sets
 
 BUCKETS = 256
 MANTISSA = 10
@@ -48,6 +50,9 @@ BANDS = BUCKETS // ROWS
 SLACK = 0.2
 #: Bits, one a register, that may differ in the second round: a fourth (a tenth is expected at 0.8).
 FAR = 64
+#: Members of a list that are compared in one task; shorter lists share tasks of about TASK_ROWS members.
+BLOCK = 512
+TASK_ROWS = 4096
 #: The bands are made for similarities from here on.
 LEAST_PERCENT = 80
 #: Identical sets from which a class is looked up by broadcast, not in one shuffled group.
@@ -114,22 +119,24 @@ def short_bits(x: np.ndarray) -> np.ndarray:
     return np.packbits((mixed >> np.uint64(63)).astype(bool), bitorder="little").view(np.int64)
 
 
-_SKETCH = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64()), ("registers", pa.binary())])
-_SKETCH_DDL = "doc_id long, n long, s1 long, s2 long, registers binary"
+_SKETCH = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64()), ("registers", pa.binary()), ("bitmap", pa.binary())])
+_SKETCH_DDL = "doc_id long, n long, s1 long, s2 long, registers binary, bitmap binary"
 
 
 def sketches(docs: DataFrame, words: int) -> DataFrame:
-    """Size, identity and registers of every document's set."""
+    """Size, identity, registers and bitmap of every document's set."""
     def run(batches) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
-            n, s1, s2, regs = [], [], [], []
+            n, s1, s2, regs, maps = [], [], [], [], []
             for x in shingle_sets(batch.column(1), words):
                 x = np.sort(mix(x + _SUMS[0]))
                 n.append(len(x))
                 s1.append(int(mix(x + _SUMS[1]).sum(dtype=np.uint64)) - (1 << 63))
                 s2.append(int(mix(x ^ _SUMS[2]).sum(dtype=np.uint64)) - (1 << 63))
                 regs.append(registers(x).tobytes())
-            columns = [batch.column(0), pa.array(n, pa.int64()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()), pa.array(regs, pa.binary())]
+                maps.append(bitmap(x))
+            numbers = [pa.array(c, pa.int64()) for c in (n, s1, s2)]
+            columns = [batch.column(0), *numbers, pa.array(regs, pa.binary()), pa.array(maps, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, schema=_SKETCH)
 
     return docs.mapInArrow(run, _SKETCH_DDL)
@@ -140,7 +147,7 @@ def _register_rows(column: pa.Array) -> np.ndarray:
 
 
 def bands(classes: DataFrame) -> DataFrame:
-    """(key, rep, n) for each band of every class."""
+    """(key, band, rep, n) for each band of every class."""
     def run(batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
@@ -148,9 +155,11 @@ def bands(classes: DataFrame) -> DataFrame:
             regs = _register_rows(batch.column(2))[:, :BANDS * ROWS].reshape(-1, BANDS, ROWS).astype(np.uint64)
             key = mix((mix(regs + _BAND_SEED) * _BAND_SEED).sum(axis=2, dtype=np.uint64))
             at = pa.array(np.repeat(np.arange(batch.num_rows), BANDS))
-            yield pa.RecordBatch.from_arrays([pa.array(key.ravel().view(np.int64)), batch.column(0).take(at), batch.column(1).take(at)], names=["key", "rep", "n"])
+            band = pa.array(np.tile(np.arange(BANDS, dtype=np.int32), batch.num_rows))
+            yield pa.RecordBatch.from_arrays([pa.array(key.ravel().view(np.int64)), band, batch.column(0).take(at), batch.column(1).take(at)],
+                                             names=["key", "band", "rep", "n"])
 
-    return classes.select("rep", "n", "registers").mapInArrow(run, "key long, rep long, n long")
+    return classes.select("rep", "n", "registers").mapInArrow(run, "key long, band int, rep long, n long")
 
 
 def likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -197,6 +206,74 @@ def confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Da
     return joined.mapInArrow(run, "u long, v long")
 
 
+def _folded(maps: list[bytes]) -> dict[int, np.ndarray]:
+    """The bitmaps of each length and, folded in two, of twice that length, as words; rows of others are 0."""
+    sizes = np.array([len(m) for m in maps])
+    out = {}
+    for size in np.unique(sizes).tolist():
+        rows = np.zeros((len(maps), size // 8), np.uint64)
+        for i in np.flatnonzero((sizes == size) | (sizes == 2 * size)):
+            words = np.frombuffer(maps[i], np.uint64)
+            rows[i] = words if len(words) == size // 8 else words[:size // 8] | words[size // 8:]
+        out[size] = rows
+    return out
+
+
+def pairs_of_list(rep, n, comp, regs, maps: list[bytes], block, band: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs (a, b), a < b, of members that may be linked: components differ, sizes, registers and
+    bitmaps allow the similarity, and no earlier band than the list's is shared, as its list has
+    them too. Where members are of two blocks, only pairs across these."""
+    folded, sizes = _folded(maps), np.array([len(m) for m in maps])
+    two = block.min() != block.max()
+    left, right = [], []
+    for i in range(len(rep)):
+        ok = (comp != comp[i]) & (n * 100 >= percent * n[i]) & (n[i] * 100 >= percent * n)
+        # Each pair once: from the first block, or from the member of the smaller id.
+        ok &= ((block > block[i]) if two else (rep > rep[i]))
+        at = np.flatnonzero(ok)
+        same = regs[at] == regs[i]
+        at, same = (x[estimate(n[at], regs[at], np.full(len(at), n[i]), regs[i]) >= percent / 100 - SLACK] for x in (at, same))
+        at = at[~same[:, :band * ROWS].reshape(len(at), band, ROWS).all(axis=2).any(axis=1)]
+        for size in np.unique(np.minimum(sizes[at], sizes[i])).tolist():
+            some = at[np.minimum(sizes[at], sizes[i]) == size]
+            mine, other = folded[size][i], folded[size][some]
+            shared = np.minimum(n[i] - np.bitwise_count(mine & ~other).sum(axis=1, dtype=np.int64), n[some] - np.bitwise_count(other & ~mine).sum(axis=1, dtype=np.int64))
+            some = some[100 * shared >= percent * (n[i] + n[some] - shared)]
+            left.append(np.full(len(some), rep[i]))
+            right.append(rep[some])
+    a = np.concatenate(left) if left else np.zeros(0, np.int64)
+    b = np.concatenate(right) if right else np.zeros(0, np.int64)
+    return np.minimum(a, b), np.maximum(a, b)
+
+
+def across(lists: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of members of a list (key, band, rep, n, comp) that may be linked, each once."""
+    members = lists.groupBy("key").agg(F.count("*").alias("members"))
+    few = members.filter(F.col("members") <= BLOCK)
+    tasks = max(1, -(-(few.agg(F.sum("members")).first()[0] or 0) // TASK_ROWS))
+    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
+    rows = lists.join(members, "key").withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    # A long list has a task for each pair of blocks, short lists share one.
+    task = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("key"), F.lit(tasks))).otherwise(F.col("key"))
+    rows = rows.select("key", "band", "block", "rep", "n", "comp", task.alias("task"), (F.col("blocks") > 1).alias("long"), F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+
+    def run(table: pa.Table) -> pa.Table:
+        key = np.asarray(table["key"])
+        order = np.argsort(key, kind="stable")
+        rep, n, comp, block, band = (np.asarray(table[c])[order] for c in ("rep", "n", "comp", "block", "band"))
+        regs = _register_rows(table["registers"])[order]
+        maps = table["bitmap"].take(pa.array(order)).to_pylist()
+        cuts = np.flatnonzero(np.diff(key[order], prepend=key[order][0] - 1 if len(key) else 0))
+        found = [(np.zeros(0, np.int64),) * 2]
+        for a, b in zip(cuts, np.append(cuts[1:], len(key))):
+            found.append(pairs_of_list(rep[a:b], n[a:b], comp[a:b], regs[a:b], maps[a:b], block[a:b], int(band[a]), percent))
+        return pa.table({"a": np.concatenate([f[0] for f in found]), "b": np.concatenate([f[1] for f in found])})
+
+    rows = rows.join(classes.select("rep", "registers", "bitmap"), "rep")
+    return rows.groupBy("task", "long", "i", "j").applyInArrow(run, "a long, b long")
+
+
 def _same_id(used: DataFrame, classes: DataFrame) -> DataFrame:
     """Links (u, v) between the classes of rows that share an id but differ in their sets."""
     key = ["n", "s1", "s2"]
@@ -215,7 +292,7 @@ def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80) ->
     sets = stored(sketches(docs, words), "hmh-sketches")
     used = sets.filter((F.col("n") > 0) & F.col("doc_id").isNotNull())
     classes = stored(used.groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("rep"), F.first("registers").alias("registers"),
-                                                        F.count("*").alias("copies")), "hmh-classes")
+                                                        F.first("bitmap").alias("bitmap"), F.count("*").alias("copies")), "hmh-classes")
 
     def similar_size(n: str, m: str):
         return (F.col(n) * 100 >= percent * F.col(m)) & (F.col(m) * 100 >= percent * F.col(n))
@@ -230,12 +307,6 @@ def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80) ->
     lists = stored(rows.join(hubs.select("key", F.col("hub.rep").alias("hub"), F.col("hub.n").alias("hub_n")), "key"), "hmh-lists")
     first = lists.filter((F.col("rep") != F.col("hub")) & similar_size("n", "hub_n")).select(F.col("hub").alias("a"), F.col("rep").alias("b"))
     links = links_of(first).unionByName(_same_id(used, classes))
-    found = components(links)
-
-    # Second round: members of a list whose components still differ.
-    placed = lists.select("key", "rep", "n").join(found, F.col("rep") == F.col("node"), "left")
-    placed = stored(placed.select("key", "rep", "n", F.coalesce("component", "rep").alias("comp")), "hmh-placed")
-    mixed = placed.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low <> high").select("key")
 
     def add_bits(batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -243,14 +314,26 @@ def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80) ->
             yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(np.ascontiguousarray(bits[:, i])) for i in range(4)]], names=["rep", "b0", "b1", "b2", "b3"])
 
     bits = classes.select("rep", "registers").mapInArrow(add_bits, "rep long, b0 long, b1 long, b2 long, b3 long")
-    members = stored(placed.join(mixed, "key").join(bits, "rep").select("key", "rep", "n", "comp", "b0", "b1", "b2", "b3"), "hmh-open")
-    side = lambda s: members.select("key", *[F.col(c).alias(f"{c}_{s}") for c in members.columns if c != "key"])
+    columns = ["rep", "n", "comp", "b0", "b1", "b2", "b3"]
+
+    def open_lists(lists: DataFrame) -> DataFrame:
+        """The lists whose members' components still differ, with these."""
+        placed = lists.select("key", "band", "rep", "n").join(components(links), F.col("rep") == F.col("node"), "left")
+        placed = stored(placed.select("key", "band", "rep", "n", F.coalesce("component", "rep").alias("comp")), "hmh-placed")
+        mixed = placed.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low <> high").select("key")
+        return stored(placed.join(mixed, "key"), "hmh-open")
+
+    # Second round: to a member chosen by hash, another one in each list.
+    lists = open_lists(lists)
+    side = lambda df, s: df.select("key", *[F.col(c).alias(f"{c}_{s}") for c in columns])
+    marked = lists.join(bits, "rep")
+    hub = marked.groupBy("key").agg(F.min(F.struct(F.xxhash64("key", "rep").alias("at"), *columns)).alias("hub")).select("key", "hub.*")
     apart = sum((F.bit_count(F.col(f"b{i}_a").bitwiseXOR(F.col(f"b{i}_b"))) for i in range(1, 4)), F.bit_count(F.col("b0_a").bitwiseXOR(F.col("b0_b"))))
-    left, right = side("a"), side("b")
-    differ = (F.col("rep_a") < F.col("rep_b")) & (F.col("comp_a") != F.col("comp_b"))
-    across = left.join(right, (left["key"] == right["key"]) & differ & similar_size("n_a", "n_b") & (apart <= FAR))
-    second = across.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"))
-    final = components(links.unionByName(links_of(second)))
+    near = side(marked, "b").join(side(hub, "a"), "key").filter((F.col("comp_a") != F.col("comp_b")) & similar_size("n_a", "n_b") & (apart <= FAR))
+    links = links.unionByName(links_of(near.select(F.least("rep_a", "rep_b").alias("a"), F.greatest("rep_a", "rep_b").alias("b"))))
+
+    # Last round: all members whose components still differ, in blocks.
+    final = components(links.unionByName(links_of(across(open_lists(lists), classes, percent))))
 
     of_class = classes.select("n", "s1", "s2", "rep", "copies").join(final.withColumnRenamed("node", "rep"), "rep", "left")
     of_class = stored(of_class.select("n", "s1", "s2", "copies", F.coalesce("component", "rep").alias("component")), "hmh-of-class")

@@ -80,9 +80,11 @@ def test_components_equal_brute_force(docs, words, percent, seed):
     assert found(df) == brute(rows, words, percent)
 
 
-@pytest.mark.parametrize("hot", [2048, 10])
-def test_copies_chains_and_a_common_passage(docs, monkeypatch, hot):
+@pytest.mark.parametrize("hot,block", [(2048, 512), (10, 4)])
+def test_copies_chains_and_a_common_passage(docs, monkeypatch, hot, block):
     monkeypatch.setattr(hmh, "HOT_COPIES", hot)
+    monkeypatch.setattr(hmh, "BLOCK", block)
+    monkeypatch.setattr(hmh, "TASK_ROWS", 8 * block)
     rnd = random.Random(9)
     base = ["x%d" % i for i in range(200)]
     rows = [(i, " ".join(base)) for i in range(50, 90)]
@@ -93,6 +95,31 @@ def test_copies_chains_and_a_common_passage(docs, monkeypatch, hot):
     assert found(hmh.near_duplicates(docs(rows), 4, 80)) == brute(rows, 4, 80)
 
 
+def test_pairs_of_a_list_lose_no_link():
+    """Members of sizes around a power of two, so that bitmaps of two lengths meet."""
+    rnd = np.random.default_rng(4)
+    base = rnd.integers(0, 2**64, size=66, dtype=np.uint64)
+    sets = [np.unique(np.concatenate([base[rnd.random(66) > 0.1], rnd.integers(0, 2**64, size=rnd.integers(1, 9), dtype=np.uint64)])) for _ in range(60)]
+    sets = [np.sort(x) for x in sets]
+    n = np.array([len(x) for x in sets])
+    assert n.min() < 64 <= n.max()
+    regs = np.array([hmh.registers(x) for x in sets])
+    rep = rnd.permutation(60)
+    shares = lambda i, j, band: (regs[i] == regs[j])[band * hmh.ROWS:(band + 1) * hmh.ROWS].all()
+    for block, band in ((np.zeros(60, int), 0), (np.arange(60) % 2, 0), (np.zeros(60, int), 3)):
+        a, b = hmh.pairs_of_list(rep, n, rep, regs, [hmh.bitmap(x) for x in sets], block, band, 80)
+        got = set(zip(a.tolist(), b.tolist()))
+        assert len(got) == len(a)
+        for i in range(60):
+            for j in range(60):
+                shared = len(np.intersect1d(sets[i], sets[j]))
+                if any(shares(i, j, k) for k in range(band)):
+                    assert (rep[i], rep[j]) not in got or i == j
+                elif rep[i] < rep[j] and (block.max() == 0 or block[i] != block[j]) and 100 * shared >= 80 * (n[i] + n[j] - shared):
+                    assert (rep[i], rep[j]) in got
+        assert len(got) < 60 * 59 / 2
+
+
 def test_two_components_in_one_list(docs):
     """The smallest member of a list is a copy of some members only; the others still meet."""
     base = ["x%d" % i for i in range(100)]
