@@ -215,7 +215,7 @@ def _counts_oracle() -> dict[str, str]:
         "layout_first": f"WITH {_ROADS}, {_LAYOUT} SELECT * FROM layout_first",
         "layout_roads": f"WITH {_ROADS}, {_LAYOUT} SELECT site, detector, hf_id, road_wkt FROM layout_roads",
         **{name: observations for name in ("observations", "observations_sql", "observations_fixture",
-                                           "observations_two_imports", "observations_reimport", "observations_by_name")},
+                                           "observations_two_imports", "observations_reimport", "observations_by_name", "observations_sql_raw")},
         "observations_tue": (f"WITH {_RAW}, {_POINTS}, {_ROADS}, {_LAYOUT}, {_OBS} "
                              f"SELECT {_OBS_COLS} FROM obs WHERE day_of_week = 'Tue'"),
         "observations_cql": observations + (

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from loopcount import sinks
 from loopcount.functions import geo
+from loopcount.functions import sql as sql_functions
 from loopcount.operators import cleaning, enrich, lookups, profile
 from loopcount.operators.broadcast import measured
 from loopcount.sources import csv as csv_source
@@ -209,3 +210,56 @@ def import_sql(spark: SparkSession, volumes: DataFrame, points: DataFrame, layou
     joined = enrich.finish(spark.sql(IMPORT_SQL.format(hint="/*+ BROADCAST(c) */" if layout.broadcast else "")))
     joined.createOrReplaceTempView("placedVolumes")
     return joined
+
+
+# The whole import as one SQL text (E3) over the raw views ``rawVolumes``, ``rawPoints``, ``rawLines`` and
+# ``siteLayouts``, with the functions of ``functions.sql``; what to broadcast is the planner's choice.
+RAW_IMPORT_SQL = """
+WITH volumes AS (
+  SELECT site, detector, interval_date(qt_interval) AS obs_date, clean_counts(raw) AS volumes
+  FROM rawVolumes
+  WHERE row_kept(site, qt_interval, detector, raw)),
+points AS (
+  SELECT site, point_text(point_lon(wkt), point_lat(wkt)) AS point_wkt, point_lon(wkt) AS lon, point_lat(wkt) AS lat
+  FROM (
+    SELECT site, geometry_text(wkt) AS wkt, row_number() OVER (PARTITION BY site ORDER BY {last}) AS rank
+    FROM rawPoints WHERE site IS NOT NULL)
+  WHERE rank = 1 AND point_kept(wkt, site) AND wkt IS NOT NULL),
+roads AS (
+  SELECT hf_id, road_text(wkt) AS road_wkt
+  FROM (
+    SELECT hf_id, geometry_text(wkt) AS wkt, row_number() OVER (PARTITION BY hf_id ORDER BY {last}, side DESC) AS rank
+    FROM rawLines LATERAL VIEW posexplode(array(hfidl, hfidr)) ids AS side, hf_id
+    WHERE hf_id <> '')
+  WHERE rank = 1 AND road_kept(wkt)),
+layouts AS (
+  SELECT * FROM (
+    SELECT l.*, row_number() OVER (PARTITION BY site, detector ORDER BY {first}) AS rank
+    FROM siteLayouts l WHERE site IS NOT NULL AND detector IS NOT NULL)
+  WHERE rank = 1)
+SELECT observation_id(v.site, v.detector, v.obs_date) AS feature_id, v.site, v.detector, v.obs_date,
+       short_weekday(v.obs_date) AS day_of_week, month_number(v.obs_date) AS obs_month, v.volumes,
+       p.point_wkt, p.lon, p.lat, place_of(p.lon, p.lat) AS place,
+       l.ds_location, l.nb_lane, l.lane_mvt, l.loc_mvt, l.hf_id,
+       r.road_wkt, road_key_of(r.road_wkt) AS road_key, road_parts(r.road_wkt) AS road
+FROM volumes v
+JOIN points p ON p.site = v.site
+LEFT JOIN layouts l ON l.site = v.site AND l.detector = v.detector
+LEFT JOIN roads r ON r.hf_id = l.hf_id
+"""
+
+
+def import_raw_sql(spark: SparkSession, volumes: DataFrame, points: DataFrame, layouts: DataFrame, lines: DataFrame | None = None, *,
+                   order: list[str], layout_order: list[str]) -> DataFrame:
+    """Register the raw inputs as views and the functions, and run ``RAW_IMPORT_SQL``; the result
+    is registered as ``placedVolumes``. order: columns that tell the lookups' file order."""
+    sql_functions.register(spark)
+    if lines is None:
+        lines = spark.createDataFrame([], ", ".join(["hfidl string, hfidr string, wkt string", *[f"`{c}` string" for c in order]]))
+    for name, df in (("rawVolumes", volumes), ("rawPoints", points), ("rawLines", lines), ("siteLayouts", layouts)):
+        df.createOrReplaceTempView(name)
+    last = ", ".join(f"`{c}` DESC NULLS LAST" for c in order)
+    first = ", ".join(f"`{c}` ASC NULLS FIRST" for c in layout_order)
+    out = spark.sql(RAW_IMPORT_SQL.format(last=last, first=first))
+    out.createOrReplaceTempView("placedVolumes")
+    return out

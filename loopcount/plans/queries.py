@@ -132,6 +132,14 @@ def observations_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich.with_total(obs)
 
 
+def observations_sql_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole import as one SQL text over raw views."""
+    i = _inputs(spark, sf_dir)
+    jobs.import_raw_sql(spark, i["volumes"], i["points"], i["layouts"], i["lines"], order=POINT_ORDER, layout_order=LAYOUT_ORDER)
+    columns = ", ".join(enrich.FLAT_OBSERVATION_COLUMNS)
+    return spark.sql(f"SELECT {columns}, counts_total(volumes) AS total FROM placedVolumes")
+
+
 def observations_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J3 with its date condition: the layout valid on the day of the count."""
     i = _inputs(spark, sf_dir)
@@ -333,6 +341,7 @@ QUERIES = {
     "observations": observations,
     "observations_sql": observations_sql,
     "observations_fixture": observations_fixture,
+    "observations_sql_raw": observations_sql_raw,
     "observations_asof": observations_asof,
     "observations_tue": observations_tue,
     "observations_two_imports": observations_two_imports,
