@@ -56,8 +56,22 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(False))
 
 
+#: Folders that this process named and did not remove yet, by application.
+_NAMED: dict[str, list[str]] = {}
+
+
+def remove_stored(spark: SparkSession) -> int:
+    """Remove the intermediate tables that the operators wrote in this application; to be called
+    when a query's result is written and no DataFrame on them is needed. Returns how many."""
+    gone = _NAMED.pop(spark.sparkContext.applicationId, [])
+    for path in gone:
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    return len(gone)
+
+
 def shared_folder(spark: SparkSession, label: str) -> str:
-    """A new folder name below the shared checkpoint folder.
+    """A new folder name below the shared checkpoint folder; ``remove_stored`` removes the folder.
 
     The folder comes from ``spark.checkpoint.dir`` or the session's checkpoint folder; only
     where neither is set (tests, local trials) a temporary one is set.
@@ -67,7 +81,9 @@ def shared_folder(spark: SparkSession, label: str) -> str:
     if not base:
         base = tempfile.mkdtemp(prefix="loopcount-shared-")
         sc.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/llm/{label}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/llm/{label}-{uuid.uuid4().hex}"
+    _NAMED.setdefault(sc.applicationId, []).append(path)
+    return path
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:

@@ -6,7 +6,8 @@ first. Documents with identical sets are one class; classes with identical prefi
 are one group, and only groups are joined on the n-grams of their prefixes. Group pairs pass
 the size and the position filter; then members are expanded. A pair of members first compares
 bitmaps of the two sets (each bit of one that the other lacks stands for an n-gram the other
-lacks, which bounds the overlap), and what is left is verified exactly, on texts.
+lacks, which bounds the overlap); of what is left the texts are read and the full sets of their
+n-grams' hashes compared. (Classes are told by their size and two 64-bit sums over the hashes.)
 
 No group of many similar documents is expanded into all its pairs, as the result is components:
 a first round links every group to the smallest group of each posting list, a second one

@@ -11,7 +11,7 @@ from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from loopcount.llm import jaccard, language, quality, queries
+from loopcount.llm import common, jaccard, language, quality, queries
 from tests import oracle_compare
 from tests.llm.test_jaccard import brute
 
@@ -21,7 +21,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="driver test d
 
 def test_all_are_registered():
     names = entry.queries()
-    assert {re.match(r"op(\d+)_", n)[1] for n in names if n.startswith("op")} == {str(i) for i in range(1, 11)}
+    assert {re.match(r"op(\d+)_", n)[1] for n in names if n.startswith("op")} == {str(i) for i in range(1, 14)}
     assert "pipeline" in names and set(queries.ORACLE_SQL) <= set(names)
 
 
@@ -57,7 +57,7 @@ def test_tokens_of_whole_documents(spark):
 def test_columns_of_the_other_queries(spark):
     want = {"op3_quality": "doc_id held_out score predicted", "op5_licenses": "doc_id n_words n_base first_word last_word base_labels labels score",
             "op8_html": "page_id url text n_chars", "op9_packing": "doc_id start length ids_crc32 doc_tokens sequence_id offset",
-            "op10_language": "doc_id held_out lang_pred score"}
+            "op10_language": "doc_id held_out lang_pred score", "op11_hyperminhash": "doc_id n_shingles component_id kept"}
     for name, columns in want.items():
         df = queries.QUERIES[name](spark, SF_DIR)
         assert df.columns[:len(columns.split())] == columns.split()
@@ -94,3 +94,26 @@ def test_no_stage_drops_clean_rows_without_reason(spark, docs):
     clean = [(i, "the house is near the water and the road %d" % i, "en") for i in range(40)]
     assert language.keep_known(docs(clean)).count() == 40
     assert jaccard.keep_one_of_each(docs([(i, " ".join("w%d_%d" % (i, j) for j in range(30))) for i in range(20)])).count() == 20
+
+
+@pytest.mark.parametrize("rows", [[], [(1, None, None, None, None), (2, "", "en", "a", 0), (None, None, None, None, None)]])
+def test_pipeline_on_empty_and_null_documents(spark, tmp_path, rows):
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(i, 1, 0) for i in (1, 2)][:len(rows)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    out = corpus_pipeline.run(spark, str(tmp_path))
+    assert out.count() == 0 and out.columns[:2] == ["doc_id", "start"]
+    labels = spark.read.parquet(str(tmp_path / "labels.parquet"))
+    assert quality.keep_good(docs.limit(0), labels).count() == 0 and jaccard.keep_one_of_each(docs.limit(0)).count() == 0
+
+
+def test_intermediate_folders_are_removed(spark):
+    folder = common.shared_folder(spark, "probe")
+    base = os.path.dirname(folder).removeprefix("file:")
+    common.remove_stored(spark)
+    before = set(os.listdir(base)) if os.path.isdir(base) else set()
+    found = queries.op2_jaccard(spark, SF_DIR)
+    assert found.count() == spark.read.parquet(f"{SF_DIR}/documents.parquet").count()
+    assert len(set(os.listdir(base)) - before) > 5
+    assert common.remove_stored(spark) > 5 and set(os.listdir(base)) == before
+    assert common.remove_stored(spark) == 0
