@@ -3,10 +3,11 @@
 Every task tokenises its documents and packs them in windows of bounded size, so that no id
 crosses the network. A document longer than the longest context gives whole sequences of that
 length; its rest is routed to the smallest context tier that holds it. Tiers are packed from
-the longest to the shortest: a rest opens a sequence, the gap is filled with the largest
-shorter rests that fit (best fit, from its own and all shorter tiers), and the last of the gap
-by cutting one rest. What is left at the end of a task has fewer ids than one sequence; its
-pieces become sequences of powers of two. So no sequence needs padding.
+the longest to the shortest, each into sequences of its own length: a rest of the tier opens a
+sequence, the gap is filled with the largest rests that fit (best fit, from its own and all
+shorter tiers), and the last of the gap by cutting one rest. What a tier has left has, with all
+shorter ones, fewer ids than one of its sequences, and waits for the task's next documents; at
+the end of a task its pieces become sequences of powers of two. So no sequence needs padding.
 
 Sequences of one tier are dealt to step groups of equal number whose attention cost (the sum of
 squared piece lengths) is balanced: the costliest sequences go first, each to the lightest group
@@ -86,7 +87,8 @@ def split_rests(lengths: list[int], context: int) -> tuple[list[tuple[int, int,
 
 
 def pack_rests(rests: list[tuple[int, int, int]], context: int, tiers: tuple[int, ...]):
-    """(full sequences as lists of pieces, pieces left over: fewer ids than one sequence)."""
+    """(full sequences of the tiers' lengths as lists of pieces, pieces left over: of each tier and
+    all shorter ones fewer ids than one of its sequences)."""
     tier_of = lambda n: next(t for t in tiers if n <= t)
     shelves: dict[int, list[tuple[int, int, int]]] = {t: [] for t in tiers}
     for rest in rests:
@@ -95,29 +97,31 @@ def pack_rests(rests: list[tuple[int, int, int]], context: int, tiers: tuple[int
         shelf.sort()
     order = sorted(tiers, reverse=True)
     full = []
-    left = sum(r[0] for r in rests)
 
-    def take_best(gap: int):
+    def take_best(gap: int, among: list[int]):
         """The longest rest of at most ``gap`` ids."""
-        for t in order:
+        for t in among:
             shelf = shelves[t]
             if shelf and shelf[0][0] <= gap:
                 return shelf.pop(bisect_right(shelf, (gap, 1 << 62, 0)) - 1)
         return None
 
-    while left >= context:
-        first = next(shelves[t].pop() for t in order if shelves[t])
-        pieces, gap = [first], context - first[0]
-        while gap:
-            best = take_best(gap)
-            if best is None:  # every rest is longer: cut the shortest one
-                n, doc, start = next(shelves[t].pop(0) for t in reversed(order) if shelves[t])
-                best, rest = (gap, doc, start), (n - gap, doc, start + gap)
-                insort(shelves[tier_of(rest[0])], rest)
-            pieces.append(best)
-            gap -= best[0]
-        full.append(pieces)
-        left -= context
+    for at, length in enumerate(order):
+        among = order[at:]
+        left = sum(r[0] for t in among for r in shelves[t])
+        while shelves[length] and left >= length:
+            first = shelves[length].pop()
+            pieces, gap = [first], length - first[0]
+            while gap:
+                best = take_best(gap, among)
+                if best is None:  # every rest is longer: cut the shortest one
+                    n, doc, start = next(shelves[t].pop(0) for t in reversed(among) if shelves[t])
+                    best, rest = (gap, doc, start), (n - gap, doc, start + gap)
+                    insort(shelves[tier_of(rest[0])], rest)
+                pieces.append(best)
+                gap -= best[0]
+            full.append(pieces)
+            left -= length
     return full, [r for t in order for r in reversed(shelves[t])]
 
 

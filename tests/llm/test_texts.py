@@ -126,6 +126,28 @@ def test_pieces_cover_every_id_once_in_gapless_sequences(docs, monkeypatch):
     assert packing.pack(docs([]), BYTE_BPE).count() == 0
 
 
+@pytest.mark.parametrize("seed", range(6))
+def test_each_tier_is_packed_into_sequences_of_its_own_length(seed):
+    rnd = random.Random(seed)
+    rests = [(min(1023, int(rnd.paretovariate(0.7) * 20)), i, 0) for i in range(rnd.choice((0, 1, 5, 400)))]
+    full, left = packing.pack_rests(list(rests), 1024, packing.TIERS)
+    tier_of = lambda n: min(t for t in packing.TIERS if n <= t)
+    pieces = sorted((doc, start, n) for s in [*full, left] for n, doc, start in s)
+    for n, doc, _ in rests:
+        mine = [(start, k) for d, start, k in pieces if d == doc]
+        assert mine[0][0] == 0 and all(a + k == b for (a, k), (b, _) in zip(mine, mine[1:])) and sum(k for _, k in mine) == n
+    for s in full:
+        length = sum(p[0] for p in s)
+        assert length in packing.TIERS and tier_of(s[0][0]) == length and all(p[0] <= length for p in s)
+    for t in packing.TIERS:
+        waiting = [p[0] for p in left if tier_of(p[0]) <= t]
+        assert sum(waiting) < t or not any(tier_of(n) == t for n in waiting)
+    if len(rests) == 400:
+        assert {sum(p[0] for p in s) for s in full} >= {1024, 128}
+        # Most pieces of long windows are whole rests; gaps are filled from shorter tiers.
+        assert any(tier_of(p[0]) < 1024 for s in full if sum(q[0] for q in s) == 1024 for p in s[1:])
+
+
 def test_fast_tokens_equal_the_library():
     fast, library = packing.Tokens(BYTE_BPE), Tokenizer.from_file(BYTE_BPE)
     for text in [t or "" for _, t in ODD] + [" " * 300_000, "\n \t" * 1000 + "x", "a  b   c"]:
