@@ -4,6 +4,8 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from loopcount.llm import collocations as dic
@@ -88,25 +90,54 @@ def test_a_phrase_seen_late_still_counts_a_full_cycle(docs):
 
 
 def test_steps_and_activation():
-    """A phrase isn't counted before both its words have reached the threshold."""
-    import numpy as np
-    import pyarrow as pa
-    words = dic.Words(pa.array(["en"]), pa.array(["p q p q"]))
-    table = np.full(1 << 16, dic.NEVER, np.uint8)
-    later = np.full(1 << 16, dic.NEVER, np.uint8)
-    sizes = lambda step: {b.column(0)[0].as_py(): b.to_pylist() for b in dic.count_active(words, [table, later], step, 4) if b.num_rows}
-    assert set(sizes(0)) == {1}
-    mark = lambda phrase, size, t, step: t.__setitem__((dic.phrase_keys(pa.array(["en"]), pa.array([phrase]), size) & np.uint64(len(t) - 1)).astype(int), step)
-    mark("p", 1, table, 0)
-    assert set(sizes(1)) == {1}
-    mark("q", 1, table, 1)
-    got = sizes(2)
-    assert {(r["phrase"], r["since"], r["c"]) for r in got[2]} == {("p q", 1, 2), ("q p", 1, 1)}
-    mark("p q", 2, later, 2)
-    mark("q p", 2, later, 3)
-    got = sizes(4)
-    assert set(got) == {2, 3} and {(r["phrase"], r["since"], r["c"]) for r in got[3]} == {("p q p", 3, 1), ("q p q", 3, 1)}
-    assert set(sizes(6)) == {3} and set(sizes(8)) == set()
+    """A phrase isn't counted before both its parts have reached the threshold, then for one cycle."""
+    words = dic.Words(pa.array(["en"]), pa.array(["p q P q"]))
+    spelled = dict(zip(words.keys.view(np.int64).tolist(), words.text.to_pylist()))
+    key = {t: np.array([k], np.int64).view(np.uint64) for k, t in spelled.items()}
+    assert words.counted().to_pylist() == [{"lang": "en", "phrase": "p", "c": 2}, {"lang": "en", "phrase": "q", "c": 2}]
+    first, second = np.full(1 << 16, dic.NEVER, np.uint8), np.full(1 << 16, dic.NEVER, np.uint8)
+    slot = lambda k: (k & np.uint64((1 << 16) - 1)).astype(int)
+
+    def found(step):
+        rows = [r for b in dic.count_active(words, [first, second], step, 4) for r in b.to_pylist()]
+        return {(" ".join(spelled[r[f"k{i}"]] for i in range(1, r["size"] + 1)), r["since"], r["c"]) for r in rows}
+
+    assert found(0) == set()
+    first[slot(key["p"])] = 0
+    assert found(1) == set()
+    first[slot(key["q"])] = 1
+    assert found(2) == {("p q", 1, 2), ("q p", 1, 1)}
+    second[slot(dic._longer(key["p"], key["q"]))] = 2
+    second[slot(dic._longer(key["q"], key["p"]))] = 3
+    assert found(4) == {("p q", 1, 2), ("q p", 1, 1), ("p q p", 3, 1), ("q p q", 3, 1)}
+    assert found(6) == {("p q p", 3, 1), ("q p q", 3, 1)} and found(8) == set()
+    # A slot that another phrase wrote before the words were reached starts no earlier than these.
+    second[:] = 0
+    assert found(2) == {("p q", 1, 2), ("q p", 1, 1), ("p q p", 1, 1), ("q p q", 1, 1)}
+
+
+def test_words_of_one_key_are_counted_again_with_other_keys(docs, monkeypatch):
+    salts, usual = [], dic._cycle
+
+    def cycle(documents, longest, at_least, shards, salt):
+        salts.append(salt)
+        if salt < 2:
+            raise dic.SameKey
+        return usual(documents, longest, at_least, shards, salt)
+
+    rows = corpus(3)
+    monkeypatch.setattr(dic, "_cycle", cycle)
+    assert plain(dic.collocations(docs(rows), 3, 10, 20, 50, 2)) == brute(rows, 3, 10, 20, 50) and salts == [0, 1, 2]
+    lang, word = pa.array(["en"] * 3), pa.array(["a", "b", "c"])
+    assert len({int(k) for salt in range(4) for k in dic._keys(lang, word, salt)}) == 12
+
+
+def test_a_shared_key_is_noticed(spark, monkeypatch):
+    """All words get one key: the words' table shows it."""
+    rows = spark.createDataFrame([("en", "one two " * 12, 0)], "lang string, text string, shard int")
+    monkeypatch.setattr(dic, "_with_keys", lambda words, salt: words.selectExpr("*", "7L as k1"))
+    with pytest.raises(dic.SameKey):
+        dic._cycle(rows, 2, 10, 1, 0)
 
 
 def test_empty_table_long_text_and_big_numbers(docs, spark):
