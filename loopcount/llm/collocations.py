@@ -63,7 +63,7 @@ def _keys(lang: pa.Array, word: pa.Array, salt: int) -> np.ndarray:
     def hashes(column: pa.Array) -> np.ndarray:
         raw, at = utf8(column)
         return span_hashes(raw, at[:-1], at[1:])
-    return mix(hashes(word) + hashes(lang) + np.uint64(salt) * _FIRST)
+    return mix(hashes(word) * _LAST + mix(hashes(lang) + np.uint64(salt) * _FIRST))
 
 
 def _longer(key: np.ndarray, last: np.ndarray) -> np.ndarray:

@@ -130,6 +130,8 @@ def test_words_of_one_key_are_counted_again_with_other_keys(docs, monkeypatch):
     assert plain(dic.collocations(docs(rows), 3, 10, 20, 50, 2)) == brute(rows, 3, 10, 20, 50) and salts == [0, 1, 2]
     lang, word = pa.array(["en"] * 3), pa.array(["a", "b", "c"])
     assert len({int(k) for salt in range(4) for k in dic._keys(lang, word, salt)}) == 12
+    crossed = dic._keys(pa.array(["de", "es"]), pa.array(["es", "de"]), 0)
+    assert crossed[0] != crossed[1]
 
 
 def test_a_shared_key_is_noticed(spark, monkeypatch):
