@@ -10,8 +10,9 @@ a cover tree has centers apart from each other by at least the radius with which
 their parent's points (chosen farthest first, ``FAN`` at most a node; the radius is half the
 parent's or, at full fan, the measured one). If a node's points lie within a chord r of its
 center c, their angles to it are at most 2 asin(r / 2M), which bounds their scores from both
-sides by the anchor's angle to c. The descent takes the node of the highest bound first, leaves
-out nodes below the best scores found or outside every window, and scores leaves exactly.
+sides by the anchor's angle to c. Anchors descend in blocks: the node of the highest bound comes
+first; an anchor leaves out nodes below the best scores it found or outside all its windows; leaves
+are scored exactly, for the anchors that are left, in one product.
 
 On Spark: equal vectors of one label are collapsed (only their smallest ids can be in a result).
 Pivots from a sample of at most ``SAMPLE`` vectors deal all vectors to cells, a cell of more than
@@ -45,8 +46,8 @@ CELL_ROWS = 1 << 13
 MOST_CELLS = 1 << 12
 BLOCK_ROWS = 1 << 13
 FAN = 16
-LEAF = 64
-#: Anchors whose products with all centers are taken together.
+LEAF = 128
+#: Anchors that descend together.
 STEP = 256
 #: Bound of the error of a bound, as a share of the product of the norms.
 ROUNDING = 1e-9
@@ -136,37 +137,50 @@ class Cell:
         norms = np.sqrt((q * q).sum(axis=1))
         return bounds(self.centers @ q.T, self.tree.radius, norms, self.largest)
 
-    def best(self, q: np.ndarray, low: np.ndarray, high: np.ndarray, wanted, ranges: list[tuple[float, float]], k: int) -> list[list[tuple[int, int]]]:
-        """For each range of scores the k best (-score, id) among rows whose label is ``wanted``."""
-        tree, found = self.tree, [[] for _ in ranges]
-        floor = [r[0] for r in ranges]
-        top = max(r[1] for r in ranges)
-        heap = [(-min(high[0], top), 0)]
+    def best(self, q: np.ndarray, low: np.ndarray, high: np.ndarray, labels: np.ndarray, alike: bool, least: np.ndarray, most: np.ndarray,
+             k: int) -> list[list[list[tuple[int, int]]]]:
+        """For each anchor (a row of q, a column of low and high) and each of its ranges of scores (its
+        row of least and most; an empty one has least > most) the k best (-score, id) among rows
+        of its label, or of others.
+
+        Anchors descend together: the node of the highest bound comes first, and is left out by
+        every anchor none of whose ranges it can still improve."""
+        tree, floor = self.tree, least.astype(float)
+        found = [[[] for _ in row] for row in floor]
+        top = most.max(axis=1, initial=-np.inf)
+        reach = np.minimum(high, top)  # of a node, for an anchor
+        heap = [(-reach[0].max(initial=-np.inf), 0)]
         while heap:
             _, node = heapq.heappop(heap)
-            open_ranges = [i for i, r in enumerate(ranges) if high[node] >= floor[i] and low[node] <= r[1]]
-            if not open_ranges:
+            wanted = ((high[node][:, None] >= floor) & (low[node][:, None] <= most) & (floor <= most)).any(axis=1)
+            if not wanted.any():
                 continue
             if tree.children[node]:
                 for child in tree.children[node]:
-                    heapq.heappush(heap, (-min(high[child], top), child))
+                    heapq.heappush(heap, (-reach[child].max(), child))
                 continue
             a, b = tree.begin[node], tree.end[node]
-            score = self.x[a:b] @ q
-            fit = wanted(self.labels[a:b])
-            for i in open_ranges:
-                for row in np.flatnonzero(fit & (score >= floor[i]) & (score <= ranges[i][1])):
-                    found[i] += [(-int(score[row]), int(v)) for v in self.ids[a + row]]
-                if len(found[i]) >= k:
-                    found[i] = sorted(found[i])[:k]
-                    floor[i] = max(floor[i], -found[i][-1][0])
-        return [sorted(f)[:k] for f in found]
-
-
-def _plain(x, labels, ids: pa.Array, q, wanted, ranges, k) -> list[list[tuple[int, int]]]:
-    """``Cell.best`` for numbers beyond exact doubles, by Python integers."""
+            rows = np.flatnonzero(wanted)
+            score = q[rows] @ self.x[a:b].T
+            fit = (self.labels[a:b][None, :] == labels[rows][:, None]) == alike
+            for w in range(floor.shape[1]):
+                hit = fit & (score >= floor[rows, w][:, None]) & (score <= most[rows, w][:, None])
+                for i in np.flatnonzero(hit.any(axis=1)):
+                    anchor, at = rows[i], np.flatnonzero(hit[i])
+                    if len(at) > k:  # each row has an id at least, so no other score can be among the k best
+                        at = at[score[i, at] >= np.partition(score[i, at], len(at) - k)[len(at) - k]]
+                    best = found[anchor][w]
+                    best += [(-int(score[i, j]), int(v)) for j in at for v in self.ids[a + j]]
+                    if len(best) >= k:
+                        best.sort()
+                        del best[k:]
+                        floor[anchor, w] = max(floor[anchor, w], -best[-1][0])
+        return [[sorted(f) for f in row] for row in found]
+
+
+def _plain(x, labels, ids: pa.Array, q, fit, ranges, k) -> list[list[tuple[int, int]]]:
+    """``Cell.best`` of one anchor for numbers beyond exact doubles, by Python integers."""
     at, values = np.asarray(ids.offsets), np.asarray(ids.values)
-    fit = wanted(labels)
     scores = [max(-MOST, min(MOST, sum(int(a) * int(b) for a, b in zip(row, q)))) if fit[i] else None for i, row in enumerate(x)]
     return [sorted((-s, int(v)) for i, s in enumerate(scores) if s is not None and r[0] <= s <= r[1] for v in values[at[i]:at[i + 1]])[:k] for r in ranges]
 
@@ -187,20 +201,24 @@ def _search(scale: int, k: int, shares: tuple[int, int] | None):
             ids, labels = cells["ids"].combine_chunks(), np.asarray(cells["label"])
             exact = x.dtype != object and q.dtype != object and math.sqrt((x * x).sum(axis=1).max() * (q * q).sum(axis=1).max()) < 2.0**52
             cell = Cell(x, labels, ids) if exact else None
-            own, qids, kth, scores = (anchors[c].to_pylist() for c in ("label", "qid", "kth", "scores"))
+            own, qids = np.asarray(anchors["label"]), anchors["qid"].to_pylist()
+            kth, scores = anchors["kth"].to_pylist(), anchors["scores"].to_pylist()
+            marks = [[0] if shares is None else s for s in scores]
+            ranges = [[(t, math.inf)] if shares is None else [window(m, *shares) for m in s] for t, s in zip(kth, marks)]
             for a in range(0, len(q), STEP):
-                low, high = cell.about(q[a:a + STEP]) if exact else (None, None)
-                for i in range(a, min(len(q), a + STEP)):
-                    if shares is None:
-                        marks, ranges, wanted = [0], [(kth[i], math.inf)], lambda v, w=own[i]: v == w
-                    else:
-                        marks, wanted = scores[i], lambda v, w=own[i]: v != w
-                        ranges = [window(s, *shares) for s in marks]
-                    if exact:
-                        lists = cell.best(q[i], low[:, i - a], high[:, i - a], wanted, ranges, k)
-                    else:
-                        lists = _plain(x, labels, ids, q[i], wanted, ranges, k)
-                    for mark, best in zip(marks, lists):
+                part = range(a, min(len(q), a + STEP))
+                if exact:
+                    width = max((len(marks[i]) for i in part), default=0)
+                    least, most = np.full((len(part), width), np.inf), np.full((len(part), width), -np.inf)
+                    for i in part:
+                        for w, (x0, x1) in enumerate(ranges[i]):
+                            least[i - a, w], most[i - a, w] = x0, x1
+                    low, high = cell.about(q[a:a + STEP])
+                    lists = cell.best(q[a:a + STEP], low, high, own[a:a + STEP], shares is None, least, most, k)
+                else:
+                    lists = [_plain(x, labels, ids, q[i], (labels == own[i]) == (shares is None), ranges[i], k) for i in part]
+                for i, of_anchor in zip(part, lists):
+                    for mark, best in zip(marks[i], of_anchor):
                         for minus, v in best:
                             for column, value in zip(out, (qids[i], mark, -minus, v)):
                                 column.append(value)

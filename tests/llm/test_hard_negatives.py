@@ -117,18 +117,20 @@ def test_descent_leaves_nodes_out():
     middle = rnd.normal(size=(30, 16))
     x = np.floor(256 * (middle[rnd.integers(0, 30, 6000)] + 0.05 * rnd.normal(size=(6000, 16))))
     cell = hn.Cell(x, np.zeros(6000, np.int64), pa.array([[i] for i in range(6000)]))
-    scored = []
+    q, every = x[:10], []
+    low, high = cell.about(q)
 
-    class Rows(np.ndarray):
-        def __matmul__(self, other):
-            scored.append(len(self))
-            return np.asarray(self) @ other
+    class Labels(np.ndarray):
+        def __getitem__(self, at):
+            every.append(at)
+            return np.asarray(self)[at]
 
-    cell.x = cell.x.view(Rows)
-    q = x[:10]
-    low, high = cell.about(q)
+    cell.labels = cell.labels.view(Labels)
+    # Each anchor alone: otherwise a leaf counts that only some of a block look into.
     for i in range(10):
-        found, = cell.best(q[i], low[:, i], high[:, i], lambda v: v == 0, [(-hn.MOST, math.inf)], 6)
+        (found,), = cell.best(q[i:i + 1], low[:, i:i + 1], high[:, i:i + 1], np.zeros(1), True, np.full((1, 1), -hn.MOST), np.full((1, 1), np.inf), 6)
         best = np.sort(x @ q[i])[::-1][:6].astype(int)
         assert [-s for s, _ in found] == best.tolist()
-    assert sum(scored) < 10 * 6000 / 4
+    assert sum(at.stop - at.start for at in every) < 10 * 6000 / 4
+    together = cell.best(q, low, high, np.zeros(10), True, np.full((10, 1), -hn.MOST), np.full((10, 1), np.inf), 6)
+    assert [[-s for s, _ in f] for f, in together] == [np.sort(x @ v)[::-1][:6].astype(int).tolist() for v in q]
