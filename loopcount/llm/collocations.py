@@ -40,7 +40,7 @@ SHARDS = 2
 MOST_SLOTS = 1 << 24
 LEAST_SLOTS = 1 << 16
 #: Bytes of text counted together in a task; a longer text is counted alone.
-SLICE = 1 << 22
+SLICE = 1 << 20
 NEVER = 255
 
 _LOWER = np.arange(256, dtype=np.uint8)
