@@ -9,6 +9,8 @@ ordered by their start offset.
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,6 +38,12 @@ def scanned_order() -> list[Column]:
     return [F.input_file_name().alias("_file"), F.input_file_block_start().alias("_block"), F.monotonically_increasing_id().alias("_row")]
 
 
+def file_ranks(scan: DataFrame) -> DataFrame:
+    """The files of a scan by ``input_file_name()``: _name, _file (their rank by path, as ``file_order()`` has it)."""
+    names = sorted(scan.inputFiles(), key=unquote)
+    return scan.sparkSession.createDataFrame(list(zip(names, range(len(names)))), "_name string, _file int")
+
+
 class HeaderMismatch(ValueError):
     """A volume file's header does not have its two join columns in place, or not 99 columns."""
 
@@ -67,14 +75,20 @@ def read_raw_volumes(spark: SparkSession, path: str | list[str], *, with_order:
 
 
 def read_site_layouts(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Site-layout CSV by position (columns 0, 3-9); missing trailing fields are NULL."""
+    """Site-layout CSV by position (columns 0, 3-9); missing trailing fields are NULL.
+
+    In the order columns the rank of a file stands for its path: layouts are many short rows that
+    are sorted in each task, and a path is longer than the rest of its row."""
     raw = _reader(spark).schema(LAYOUT_CSV_SCHEMA).option("enforceSchema", True).csv(path)
-    return raw.select(
+    rows = raw.select(
         F.col("NB_SCATS_SITE").alias("site"), F.col("DS_LOCATION").alias("ds_location"),
         F.col("NB_DETECTOR").alias("detector"), F.col("DT_GENERAL").alias("dt_general"),
         F.col("NB_LANE").alias("nb_lane"), F.col("LANE_MVT").alias("lane_mvt"),
         F.col("LOC_MVT").alias("loc_mvt"), F.col("ID_HOMOGENEOUS_FLOW").alias("hf_id"),
-        *file_order())
+        *[c.alias("_name") if n == "_file" else c for n, c in zip(ORDER_COLUMNS, scanned_order())])
+    ranked = rows.join(F.broadcast(file_ranks(raw)), "_name", "left")
+    rank = F.coalesce("_file", F.raise_error(F.concat(F.lit("no rank for layout file "), "_name")).cast("int"))
+    return ranked.withColumn("_file", rank).drop("_name")
 
 
 def _by_header(spark: SparkSession, path: str | list[str]) -> DataFrame:

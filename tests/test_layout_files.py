@@ -1,0 +1,25 @@
+"""The order of layout files: a rank by path, as short as a number."""
+
+from loopcount.operators import lookups
+from loopcount.sources import csv as csv_source
+from tests.conftest import write_text
+
+HEADER = "SITE,A,B,LOC,DET,DT,LANE,LMVT,LOCMVT,HF\n"
+
+
+def layouts(spark, tmp):
+    for name in ("b.csv", "a 2%.csv", "a 10.csv", "ä.csv"):
+        rest = "".join(f"{i},,,{name},1,2012-01-01,1,L,x,1\n" for i in range(9 if name == "b.csv" else 2))
+        write_text(tmp, name, HEADER + f"1,,,{name},2,2012-01-01,1,L,x,1\n" + rest)
+    return csv_source.read_site_layouts(spark, tmp)
+
+
+def test_files_are_ranked_by_path(spark, tmp):
+    got = layouts(spark, tmp)
+    assert dict(got.dtypes)["_file"] == "int"
+    assert dict(got.select("ds_location", "_file").distinct().collect()) == {"a 10.csv": 0, "a 2%.csv": 1, "b.csv": 2, "ä.csv": 3}
+
+
+def test_first_layout_is_that_of_the_first_file(spark, tmp):
+    got = {(r.site, r.detector): r.ds_location for r in lookups.first_layout(layouts(spark, tmp), csv_source.ORDER_COLUMNS).collect()}
+    assert got["1", "2"] == got["0", "1"] == "a 10.csv" and got["8", "1"] == "b.csv"
