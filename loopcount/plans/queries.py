@@ -27,7 +27,7 @@ from loopcount.sources.tables import read_table
 POINT_ORDER = LINE_ORDER = LAYOUT_ORDER = csv_source.ORDER_COLUMNS
 
 # Bump when the reshaping of the driver tables changes, so old exported files are not reused.
-INPUTS_VERSION = "v4"
+INPUTS_VERSION = "v5"
 
 SOURCE_TABLES = ["events", "supplier", "nation", "lineitem"]
 
@@ -52,10 +52,10 @@ class _CsvInputs(dict):
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         super().__init__()
-        self._spark, self._paths = spark, export_csv_inputs(spark, sf_dir)
+        self._spark, self._sf_dir = spark, sf_dir
 
     def __missing__(self, key: str) -> DataFrame:
-        self[key] = self._READERS[key](self._spark, self._paths[key])
+        self[key] = self._READERS[key](self._spark, export_csv_inputs(self._spark, self._sf_dir, [key])[key])
         return self[key]
 
 
@@ -148,26 +148,36 @@ def observations_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich.with_total(obs)
 
 
-def export_csv_inputs(spark: SparkSession, sf_dir: str) -> dict[str, str]:
-    """Write the fixture inputs once as the reference's CSV files, in the shared folder.
+EXPORTED = ["volumes", "points", "lines", "layouts", "points_respelled", "lines_respelled", "layouts_dated"]
+
+
+def export_csv_inputs(spark: SparkSession, sf_dir: str, names: list[str] | None = None) -> dict[str, str]:
+    """Write the fixture inputs ``names`` (all, if None) once as the reference's CSV files, in the
+    shared folder; what a query does not read is not written for it.
 
     Lookup files are written in their lookup order, so that file order carries it.
     """
     base = shared_path(spark, "inputs", INPUTS_VERSION, _tag(spark, sf_dir))
-    paths = {k: f"{base}/{k}" for k in ("volumes", "points", "lines", "layouts", "points_respelled", "lines_respelled", "layouts_dated")}
-    if all(path_complete(spark, p) for p in paths.values()):
-        return paths
+    paths = {k: f"{base}/{k}" for k in names or EXPORTED}
     i = _direct_inputs(spark, sf_dir)
-    csv_source.write_raw_volumes_csv(i["volumes"], paths["volumes"])
-    for ending, spelled in (("", lambda c: c), ("_respelled", fixtures.respelled)):
-        wkt = spelled(F.col("wkt")).alias("WKT")
-        csv_source.write_csv(i["points"].orderBy("_row").select(wkt, F.col("site").alias("SITE_NO")), paths[f"points{ending}"])
-        csv_source.write_csv(i["lines"].orderBy("_row").select(wkt, "hfidl", "hfidr"), paths[f"lines{ending}"])
-    positional = [F.col("site"), F.lit(None).cast("string"), F.lit(None).cast("string"), F.col("ds_location"),
-                  F.col("detector"), F.col("dt_general"), F.col("nb_lane"), F.col("lane_mvt"), F.col("loc_mvt"),
-                  F.col("hf_id")]
-    for name, lay in (("layouts", i["layouts"]), ("layouts_dated", fixtures.dated_layouts(i["layouts"]))):
-        csv_source.write_csv(lay.orderBy(*fixtures.LAYOUT_ORDER).select(*[c.alias(n) for c, n in zip(positional, LAYOUT_HEADER)]), paths[name])
+    for name, path in paths.items():
+        if path_complete(spark, path):
+            continue
+        if name == "volumes":
+            csv_source.write_raw_volumes_csv(i["volumes"], path)
+        elif name.startswith("layouts"):
+            # Line items are sorted as they are and become layout texts behind the shuffle.
+            lay = fixtures.layouts(fixtures.table(spark, sf_dir, "lineitem").select(*fixtures.LAYOUT_SOURCE).orderBy(*fixtures.LAYOUT_ORDER))
+            lay = fixtures.dated_layouts(lay) if name == "layouts_dated" else lay
+            positional = [F.col("site"), F.lit(None).cast("string"), F.lit(None).cast("string"), F.col("ds_location"),
+                          F.col("detector"), F.col("dt_general"), F.col("nb_lane"), F.col("lane_mvt"), F.col("loc_mvt"),
+                          F.col("hf_id")]
+            csv_source.write_csv(lay.select(*[c.alias(n) for c, n in zip(positional, LAYOUT_HEADER)]), path)
+        else:
+            kind, _, spelling = name.partition("_")
+            wkt = (fixtures.respelled if spelling else F.col)("wkt").alias("WKT")
+            keys = [F.col("site").alias("SITE_NO")] if kind == "points" else ["hfidl", "hfidr"]
+            csv_source.write_csv(i[kind].orderBy("_row").select(wkt, *keys), path)
     return paths
 
 
@@ -181,22 +191,22 @@ def observations_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich.with_total(obs)
 
 
-def volumes_by_day(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+def volumes_by_day(spark: SparkSession, sf_dir: str, parts: tuple[str, ...] = ("even", "odd", "lowered")) -> dict[str, str]:
     """The volume files in two parts, by even and odd day of the month, and the rows of every
-    seventh day of the month with each count lowered by one."""
+    seventh day of the month with each count lowered by one; each made from its events alone."""
     base = shared_path(spark, "inputs", INPUTS_VERSION, _tag(spark, sf_dir))
-    paths = {k: f"{base}/volumes_{k}" for k in ("even", "odd", "lowered")}
-    if not all(path_complete(spark, p) for p in paths.values()):
-        raw = _inputs(spark, sf_dir)["volumes"]
-        day = F.dayofmonth(dates.interval_date(F.col("qt_interval")))
-        for k, rest in (("even", 0), ("odd", 1)):
-            csv_source.write_raw_volumes_csv(raw.where(day % 2 == rest), paths[k])
-        csv_source.write_raw_volumes_csv(fixtures.lowered(raw.where(day % fixtures.LOWERED_DAY == 0)), paths["lowered"])
+    paths = {k: f"{base}/volumes_{k}" for k in parts}
+    events, day = fixtures.table(spark, sf_dir, "events"), F.dayofmonth(F.to_date("ts"))
+    wanted = {"even": day % 2 == 0, "odd": day % 2 == 1, "lowered": day % fixtures.LOWERED_DAY == 0}
+    for k, path in paths.items():
+        if not path_complete(spark, path):
+            raw = fixtures.raw_volumes(events.where(wanted[k]))
+            csv_source.write_raw_volumes_csv(fixtures.lowered(raw) if k == "lowered" else raw, path)
     return paths
 
 
 def _import(spark: SparkSession, sf_dir: str, table: str, volumes, spelling: str = "", state: str | None = None) -> None:
-    i = export_csv_inputs(spark, sf_dir)
+    i = export_csv_inputs(spark, sf_dir, ["layouts", f"points{spelling}", f"lines{spelling}"])
     jobs.import_job(spark, table, volumes, i["layouts"], i[f"points{spelling}"], i[f"lines{spelling}"], layout_order=LAYOUT_ORDER, state_path=state)
 
 
@@ -215,7 +225,7 @@ def _stored(spark: SparkSession, sf_dir: str, name: str, write) -> str:
 
 def stored_observations(spark: SparkSession, sf_dir: str) -> str:
     """The observations table, imported at once; returns its path."""
-    return _stored(spark, sf_dir, "observations", lambda path: _import(spark, sf_dir, path, export_csv_inputs(spark, sf_dir)["volumes"]))
+    return _stored(spark, sf_dir, "observations", lambda path: _import(spark, sf_dir, path, export_csv_inputs(spark, sf_dir, ["volumes"])["volumes"]))
 
 
 def stored_profile(spark: SparkSession, sf_dir: str) -> str:
@@ -237,7 +247,7 @@ def observations_two_imports(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stored_two_imports(spark: SparkSession, sf_dir: str) -> str:
     def write(path: str) -> None:
-        parts = volumes_by_day(spark, sf_dir)
+        parts = volumes_by_day(spark, sf_dir, ("even", "odd"))
         for part, spelling in (("even", ""), ("odd", "_respelled")):
             _import(spark, sf_dir, path, parts[part], spelling)
     return _stored(spark, sf_dir, "observations_two_imports", write)
@@ -281,7 +291,7 @@ def declared_observations(spark: SparkSession, sf_dir: str) -> str:
 
     def write(path: str) -> None:
         feature_types.create_table(spark, name, path, kind)
-        _import(spark, sf_dir, path, export_csv_inputs(spark, sf_dir)["volumes"])
+        _import(spark, sf_dir, path, export_csv_inputs(spark, sf_dir, ["volumes"])["volumes"])
         feature_types.refresh_table(spark, name)
     path = _stored(spark, sf_dir, "observations_by_name", write)
     feature_types.create_table(spark, name, path, kind)
@@ -296,8 +306,8 @@ def observations_by_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
 def observations_reimport(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K5: the table after an import of everything and one of a part, with every line twice."""
     def write(path: str) -> None:
-        part = volumes_by_day(spark, sf_dir)["even"]
-        _import(spark, sf_dir, path, export_csv_inputs(spark, sf_dir)["volumes"])
+        part = volumes_by_day(spark, sf_dir, ("even",))["even"]
+        _import(spark, sf_dir, path, export_csv_inputs(spark, sf_dir, ["volumes"])["volumes"])
         _import(spark, sf_dir, path, [part, part])
     return enrich.with_total(read_table(spark, _stored(spark, sf_dir, "observations_reimport", write)))
 
