@@ -88,12 +88,11 @@ def raw_volumes(events: DataFrame) -> DataFrame:
     sign = f"(CASE WHEN {_NEGATIVE_ROW_SQL} THEN -1 ELSE 1 END)"
     by_slot = keyed.groupBy("user_id", "detector", "day", "slot").agg(F.count(F.lit(1)).alias("n"))
     text = F.struct("slot", (F.col("n") * F.expr(sign)).cast("string").alias("text"))
-    by_day = by_slot.groupBy("user_id", "detector", "day").agg(
+    counted = by_slot.groupBy("user_id", "detector", "day").agg(
         F.collect_list(F.when(F.col("slot").isNotNull(), text)).alias("present"))
-    # The map is made once for a row, not once for each of its slots (see below).
-    counted = by_day.select("user_id", "detector", "day", F.expr(_absent_pattern_sql()).alias("absent"),
-                            F.explode(F.array(F.map_from_entries("present"))).alias("present"))
-    raw = F.transform("absent", lambda a, i: F.coalesce(F.try_element_at("present", i), a))
+    # Most days have events in a few slots only: each of them replaces one text of the pattern.
+    raw = F.expr(f"aggregate(present, {_absent_pattern_sql()}, "
+                 f"(texts, p) -> concat(slice(texts, 1, p.slot), array(p.text), slice(texts, p.slot + 2, {SLOTS})))")
     # Exploding a one-element array keeps every row as it is, but as a generator it is a plan
     # boundary: the cleaning's filter and projection read its output column instead of each
     # re-running the lambda (measured 35 % faster at sf 0.1).
